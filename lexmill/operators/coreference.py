@@ -14,7 +14,7 @@ def _keyed(docs: DataFrame, keys: list[str], mode: str, text_col: str, outer: bo
     """One row per mention with its chain key: the exact text (`coref`) or the head's lemma (`dcoref`).
     A pronoun takes the key of the nearest name before it, or stays alone."""
     frame = analysed(docs, keys, ["mentions"], text_col, **options)
-    flat = F.flatten(F.transform("sents", lambda s, i: F.transform(s.mentions, lambda m: F.struct(
+    flat = F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
         i.cast("bigint").alias("sent_idx"), m.b.cast("bigint").alias("begin_tok"), m.e.cast("bigint").alias("end_tok"),
         m.text.alias("text"), m[KEY_OF[mode]].alias("name"), m.pronoun.alias("pronoun")))))
     # The outer form also for mentions only: see `each`.

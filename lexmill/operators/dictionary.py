@@ -19,14 +19,14 @@ MAX_LITERAL_RULES = 1000
 SALTS = 16
 
 
-def literal_rules(rules) -> list[tuple[str, str]] | None:
+def literal_rules(rules, max_literal: int = MAX_LITERAL_RULES) -> list[tuple[str, str]] | None:
     """The rules as a list if there are few enough of them, else None. Reads at most one row too many."""
     if rules is None:
         return list(L.DEFAULT_RULES)
     if not isinstance(rules, DataFrame):
         return list(rules)
-    rows = rules.select("pattern", "type").limit(MAX_LITERAL_RULES + 1).collect()
-    return None if len(rows) > MAX_LITERAL_RULES else [(r.pattern, r.type) for r in rows]
+    rows = rules.select("pattern", "type").limit(max_literal + 1).collect()
+    return None if len(rows) > max_literal else [(r.pattern, r.type) for r in rows]
 
 
 def matches(sentences: DataFrame, keys: list[str], rules: DataFrame) -> DataFrame:
@@ -53,9 +53,10 @@ def matches(sentences: DataFrame, keys: list[str], rules: DataFrame) -> DataFram
     return found.select(*where, F.expr(tagging.non_overlapping("candidates")).alias("spans"))
 
 
-def tagged_sentences(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", **options) -> DataFrame:
+def tagged_sentences(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text",
+                     max_literal: int = MAX_LITERAL_RULES, **options) -> DataFrame:
     """Keys, `sent_idx`, `toks` and `ner` after the dictionary."""
-    few = literal_rules(rules)
+    few = literal_rules(rules, max_literal)
     if few is not None:
         rows = sentence_rows(docs, keys, ["ner"], text_col, rules=few, **options)
         return rows.select(*keys, "sent_idx", "s.toks", "s.ner")

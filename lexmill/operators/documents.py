@@ -44,7 +44,9 @@ def marked(docs: DataFrame, keys: list[str], text_col: str = "text", cleanxml: b
 
 # What each layer needs before it, in the order they are built.
 NEEDS = {
-    "pos": (),
+    "toks": (),
+    "lows": ("toks",),
+    "pos": ("lows",),
     "lems": ("pos",),
     "ner": ("pos",),
     "cs": ("pos",),
@@ -59,50 +61,42 @@ NEEDS = {
 
 
 def closure(layers) -> list[str]:
-    wanted = set(layers)
+    wanted = {"toks", *layers}
     for layer in reversed(list(NEEDS)):
         if layer in wanted:
             wanted.update(NEEDS[layer])
     return [layer for layer in NEEDS if layer in wanted]
 
 
-def layered(cleaned: str, layers, rules: list[tuple[str, str]] | None = None, gazetteer=None,
-            max_len: int = L.MAX_SENTENCE_TOKENS) -> Column:
-    """Array of sentence structs with the asked layers, from the column named `cleaned`; `rules` override
+def layered(frame: DataFrame, layers, rules: list[tuple[str, str]] | None = None, gazetteer=None,
+            max_len: int = L.MAX_SENTENCE_TOKENS) -> DataFrame:
+    """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override
     entity tags."""
-    sents = tagging.words(text.sentence_tokens(cleaned))
-    have = ["toks", "lows"]
-    for layer in closure(layers):
-        if layer == "pos":
-            sents = tagging.tags(sents)
-        elif layer == "lems":
-            sents = tagging.lemmas(sents, have)
-        elif layer == "ner":
-            sents = tagging.entities(sents, have, gazetteer)
-            if rules:
-                sents = tagging.apply_phrases(sents, [*have, "ner"], rules)
-        elif layer in ("cs", "pol", "relations"):
-            build = {"cs": syntax.classes, "pol": syntax.polarities, "relations": syntax.relations}[layer]
-            sents = build(sents, have, max_len)
-        else:
-            build = {"chunks": syntax.chunks, "edges": syntax.edges, "sentiment": syntax.sentiments,
-                     "triples": syntax.triples, "mentions": syntax.mentions}[layer]
-            sents = build(sents, have)
-        have = [*have, layer]
-    return F.expr(sents)
+    steps = {
+        "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
+        "ner": lambda: tagging.entities(rules, gazetteer),
+        "cs": lambda: syntax.classes(max_len), "chunks": syntax.chunks, "edges": syntax.edges,
+        "pol": lambda: syntax.polarities(max_len), "sentiment": syntax.sentiments, "triples": syntax.triples,
+        "relations": lambda: syntax.relations(max_len), "mentions": syntax.mentions,
+    }
+    frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
+    for layer in closure(layers)[1:]:
+        for step in steps[layer]():
+            frame = frame.withColumn(step.name, F.expr(step.sql()))
+    return frame
 
 
 def analysed(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
-    """Keys and `sents`, the array of sentence structs."""
+    """Keys, `toks` and the asked layers, one array over sentences each."""
     mark_options = {k: options.pop(k) for k in ("cleanxml", "line_as_sentence") if k in options}
-    frame = marked(docs, keys, text_col, **mark_options)
-    return frame.select(*keys, layered("cleaned", layers, **options).alias("sents"))
+    frame = layered(marked(docs, keys, text_col, **mark_options), layers, **options)
+    return frame.select(*keys, *dict.fromkeys(["toks", *layers]))
 
 
 def sentence_rows(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
-    """Keys, `sent_idx` and the struct `s`, one row per sentence."""
+    """Keys, `sent_idx` and the struct `s` of `toks` and the asked layers, one row per sentence."""
     frame = analysed(docs, keys, layers, text_col, **options)
-    return each(frame, keys, "sents", "sent_idx", "s")
+    return each(frame, keys, F.arrays_zip(*[c for c in frame.columns if c not in keys]), "sent_idx", "s")
 
 
 def token_rows(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
@@ -135,6 +129,13 @@ def sentences_table(docs: DataFrame, keys: list[str], text_col: str = "text", **
         F.size(F.split("raw", text.TOKEN_MARK)).cast("bigint").alias("n_tokens"))
 
 
+def sentence_lists(docs: DataFrame, keys: list[str], text_col: str = "text", **options) -> DataFrame:
+    """`result`: the list of sentence texts of each document, printed as `[a, b]`."""
+    texts = text.sentence_texts(F.col("marked"))
+    return marked(docs, keys, text_col, **options).select(
+        *keys, F.concat(F.lit("["), F.array_join(texts, ", "), F.lit("]")).alias("result"))
+
+
 def tokens_table(docs: DataFrame, keys: list[str], text_col: str = "text", **options) -> DataFrame:
     """`sent_idx, tok_in_sent, token, begin_off, end_off`."""
     rows = _raw_sentences(docs, keys, text_col, **options).select(
@@ -184,13 +185,12 @@ def sentiments_table(docs, keys, text_col="text", **options) -> DataFrame:
 def document_sentiments(docs, keys, text_col="text", **options) -> DataFrame:
     """The class of each document's longest sentence, the first one if several are as long."""
     frame = marked(docs, keys, text_col)
-    scored = frame.select(*keys, F.arrays_zip(
-        layered("cleaned", ["sentiment"], **options).alias("s"),
-        text.sentence_texts(F.col("marked")).alias("t")).alias("z"))
+    scored = layered(frame, ["sentiment"], **options).withColumn("t", text.sentence_texts(F.col("marked")))
+    scored = scored.select(*keys, F.arrays_zip("sentiment", "t").alias("z"))
     best = F.aggregate(
         "z", F.struct(F.lit(0).alias("longest"), F.lit(None).cast("int").alias("sentiment")),
         lambda acc, z: F.when(F.length(z.t) > acc.longest, F.struct(
-            F.length(z.t).alias("longest"), z.s.sentiment.alias("sentiment"))).otherwise(acc),
+            F.length(z.t).alias("longest"), z.sentiment.alias("sentiment"))).otherwise(acc),
         lambda acc: acc.sentiment)
     return scored.where(F.size("z") > 0).select(*keys, best.cast("bigint").alias("sentiment"))
 

@@ -3,14 +3,14 @@
 Each sentence gets a class string with one character per token. Runs of a class are then a
 `regexp_extract_all`, and the nearest noun or verb is a `locate` in that string, so no window
 and no sort is needed. Sentences over `max_len` tokens keep an empty class string and get no
-structure, which also bounds the work per sentence. Layers are SQL text, as in `tagging`.
+structure, which also bounds the work per sentence. Layers are steps, as in `tagging`.
 """
 
 from __future__ import annotations
 
 from lexmill.functions import lexicons as L
 from lexmill.functions.sqltext import case, quote, quoted
-from lexmill.operators.tagging import add_field
+from lexmill.operators.tagging import Step
 
 # Noun phrases restart at a determiner or pronoun, and a pronoun stands alone.
 CHUNK_RUNS = r"q|d[jN]*|[jN]+|[Vmr]+|[it]+|[c.]+"
@@ -33,20 +33,18 @@ def _joined(xs: str, b: str, e: str) -> str:
     return f"array_join(slice({xs}, {b} + 1, {e} - {b}), ' ')"
 
 
-def classes(sents: str, fields: list[str], max_len: int) -> str:
-    """Adds the class string `cs`."""
-    return add_field(sents, fields, cs=(
-        f"CASE WHEN size(s.pos) <= {max_len} THEN array_join(transform(s.pos, p -> {CLASS_OF_TAG}), '') ELSE '' END"))
+def classes(max_len: int) -> list[Step]:
+    """The class string `cs`."""
+    return [Step("cs", "pos", (
+        f"CASE WHEN size(s.pos) <= {max_len} THEN array_join(transform(s.pos, p -> {CLASS_OF_TAG}), '') ELSE '' END"))]
 
 
 def _runs_with_start(runs: str) -> str:
     return (f"transform({runs}, (r, j) -> named_struct('r', r, 'b', length(array_join(slice({runs}, 1, j), ''))))")
 
 
-def chunks(sents: str, fields: list[str]) -> str:
-    """Adds `chunks`: kind, token range, text and head token of every phrase; needs `cs`."""
-    runs = add_field(sents, fields, runs=f"regexp_extract_all(s.cs, {quote(CHUNK_RUNS)}, 0)")
-    spans = add_field(runs, fields, runs=_runs_with_start("s.runs"))
+def chunks() -> list[Step]:
+    """`chunks`: kind, token range, text and head token of every phrase."""
     kind = case([
         ("left(x.r, 1) IN ('q', 'd', 'j', 'N')", "'NP'"),
         ("left(x.r, 1) IN ('V', 'm', 'r')", "'VP'"),
@@ -58,7 +56,12 @@ def chunks(sents: str, fields: list[str]) -> str:
              f"'head', {head})")
     whole = ("array(named_struct('kind', 'X', 'b', 0, 'e', size(s.toks), 'text', array_join(s.toks, ' '), "
              "'head', size(s.toks) - 1))")
-    return add_field(spans, fields, chunks=f"CASE WHEN s.cs = '' THEN {whole} ELSE transform(s.runs, x -> {chunk}) END")
+    return [
+        Step("runs", "cs", f"regexp_extract_all(s.cs, {quote(CHUNK_RUNS)}, 0)"),
+        Step("placed", "runs", _runs_with_start("s.runs")),
+        Step("chunks", "toks cs placed",
+             f"CASE WHEN s.cs = '' THEN {whole} ELSE transform(s.placed, x -> {chunk}) END"),
+    ]
 
 
 # One sentence as `(S (NP the dog) (VP ran) .)`, or `(X w1 w2 ...)` when over the limit.
@@ -68,19 +71,16 @@ BRACKETED = (
     "CASE WHEN s.cs = '' THEN '' ELSE ')' END)")
 
 
-def edges(sents: str, fields: list[str]) -> str:
-    """Adds `edges`: one governor per token, -1 for the root; needs `cs`. Empty over the limit."""
-    rooted = add_field(sents, fields, root=(
-        "CASE WHEN contains(s.cs, 'V') THEN locate('V', s.cs) WHEN contains(s.cs, 'N') THEN locate('N', s.cs) "
-        "ELSE 1 END - 1"))
+def edges() -> list[Step]:
+    """`edges`: one governor per token, -1 for the root. Empty over the limit."""
+    root = ("CASE WHEN contains(s.cs, 'V') THEN locate('V', s.cs) WHEN contains(s.cs, 'N') THEN locate('N', s.cs) "
+            "ELSE 1 END - 1")
     near = (
         "named_struct('c', substr(s.cs, i + 1, 1), 'c1', substr(s.cs, i + 2, 1), "
         "'noun', locate('N', s.cs, i + 2) - 1, 'verb', locate('V', s.cs, i + 2) - 1, "
         "'verb0', CASE WHEN contains(left(s.cs, i), 'V') THEN i - locate('V', reverse(left(s.cs, i))) ELSE -1 END, "
         f"'prep', left(s.cs, i) RLIKE {quote('[it][djN]*$')})")
     shape = "array<struct<c:string,c1:string,noun:int,verb:int,verb0:int,prep:boolean>>"
-    looked = add_field(rooted, [*fields, "root"], near=(
-        f"CASE WHEN s.cs = '' THEN CAST(array() AS {shape}) ELSE transform(s.pos, (p, i) -> {near}) END"))
 
     pos = "get(s.pos, i)"
     rules = [
@@ -101,7 +101,11 @@ def edges(sents: str, fields: list[str]) -> str:
     ]
     edge = case([(c, f"named_struct('dep', i, 'gov', {gov}, 'rel', {rel})") for c, gov, rel in rules],
                 "named_struct('dep', i, 'gov', s.root, 'rel', 'dep')")
-    return add_field(looked, fields, edges=f"transform(s.near, (x, i) -> {edge})")
+    return [
+        Step("root", "cs", root),
+        Step("near", "cs pos", f"CASE WHEN s.cs = '' THEN CAST(array() AS {shape}) ELSE transform(s.pos, (p, i) -> {near}) END"),
+        Step("edges", "root near pos", f"transform(s.near, (x, i) -> {edge})"),
+    ]
 
 
 # `rel(governor-i, dependent-j)`, 1-based, `ROOT-0` for the root.
@@ -110,37 +114,40 @@ EDGE_TEXT = (
     "ELSE concat(get(s.toks, x.gov), '-', x.gov + 1) END, ', ', get(s.toks, x.dep), '-', x.dep + 1, ')')), ' ')")
 
 
-def polarities(sents: str, fields: list[str], max_len: int) -> str:
-    """Adds `pol`: `down` after an odd number of downward words in the sentence, `flat` between a
+def polarities(max_len: int) -> list[Step]:
+    """`pol`: `down` after an odd number of downward words in the sentence, `flat` between a
     quantifier and the next verb, else `up`."""
     letter = case([
         (f"w IN ({quoted(L.DOWNWARD)})", "'x'"),
         (f"w IN ({quoted(L.FLAT_QUANTIFIERS)})", "'m'"),
         ("startswith(p, 'VB')", "'v'"),
     ], "'-'")
-    marked = add_field(sents, fields, q=(
-        f"CASE WHEN size(s.toks) <= {max_len} THEN array_join(zip_with(s.lows, s.pos, (w, p) -> {letter}), '') ELSE '' END"))
     scope = case([
         (f"left(s.q, i + 1) RLIKE {quote('m[^v]+$')}", "'flat'"),
         ("(length(left(s.q, i)) - length(replace(left(s.q, i), 'x', ''))) % 2 = 1", "'down'"),
     ], "'up'")
-    return add_field(marked, fields, pol=(
-        f"CASE WHEN s.q RLIKE '[xm]' THEN transform(s.toks, (t, i) -> {scope}) "
-        "ELSE array_repeat('up', size(s.toks)) END"))
+    return [
+        Step("q", "lows pos", (
+            f"CASE WHEN size(s.lows) <= {max_len} THEN array_join(zip_with(s.lows, s.pos, (w, p) -> {letter}), '') "
+            "ELSE '' END")),
+        Step("pol", "lows q", (
+            f"CASE WHEN s.q RLIKE '[xm]' THEN transform(s.lows, (w, i) -> {scope}) "
+            "ELSE array_repeat('up', size(s.lows)) END")),
+    ]
 
 
-def sentiments(sents: str, fields: list[str]) -> str:
-    """Adds `sentiment`, 0 to 4: the sum of word valences, turned over where polarity is `down`."""
+def sentiments() -> list[Step]:
+    """`sentiment`, 0 to 4: the sum of word valences, turned over where polarity is `down`."""
     value = case([
         (f"w IN ({quoted(L.POSITIVE)})", "CASE WHEN p = 'down' THEN -1 ELSE 1 END"),
         (f"w IN ({quoted(L.NEGATIVE)})", "CASE WHEN p = 'down' THEN 1 ELSE -1 END"),
     ], "0")
     score = f"aggregate(zip_with(s.lows, s.pol, (w, p) -> {value}), 0, (acc, x) -> acc + x)"
-    return add_field(sents, fields, sentiment=f"greatest(-2, least(2, {score})) + 2")
+    return [Step("sentiment", "lows pol", f"greatest(-2, least(2, {score})) + 2")]
 
 
-def triples(sents: str, fields: list[str]) -> str:
-    """Adds `triples`: NP VP NP, or NP VP PP NP, as lemma glosses; needs `chunks` and `lems`."""
+def triples() -> list[Step]:
+    """`triples`: NP VP NP, or NP VP PP NP, as lemma glosses."""
     def at(k: int) -> str:
         return f"get(s.chunks, j + {k})"
 
@@ -156,23 +163,16 @@ def triples(sents: str, fields: list[str]) -> str:
         (f"{start} AND {at(2)}.kind = 'NP'", triple(L.CONFIDENCE_DIRECT, 1)),
         (f"{start} AND {at(2)}.kind = 'PP' AND {at(3)}.kind = 'NP'", triple(L.CONFIDENCE_PREPOSITION, 2)),
     ])
-    return add_field(sents, fields, triples=(
-        f"filter(transform(s.chunks, (c, j) -> {found}), t -> t IS NOT NULL)"))
+    return [Step("triples", "chunks lems", f"filter(transform(s.chunks, (c, j) -> {found}), t -> t IS NOT NULL)")]
 
 
 TRIPLE_TEXT = "concat('(', concat_ws(',', CAST(t.confidence AS STRING), t.subject, t.relation, t.object), ')')"
 
 
-def relations(sents: str, fields: list[str], max_len: int) -> str:
-    """Adds `relations` between an entity and the next one, where a pattern's lemma stands between."""
+def relations(max_len: int) -> list[Step]:
+    """`relations` between an entity and the next one, where a pattern's lemma stands between."""
     letters = dict(zip(L.ENTITY_TYPES, "PLG"))
     letter = case([(f"n = '{kind}'", f"'{char}'") for kind, char in letters.items()], "'-'")
-    coded = add_field(sents, fields, es=(
-        f"CASE WHEN size(s.toks) <= {max_len} THEN array_join(transform(s.ner, n -> {letter}), '') ELSE '' END"))
-    runs = add_field(coded, fields, runs=(
-        "CASE WHEN s.es RLIKE '[PLG]' THEN regexp_extract_all(s.es, 'P+|L+|G+|-+', 0) ELSE CAST(array() AS array<string>) END"))
-    found = add_field(runs, fields, found=(
-        f"filter({_runs_with_start('s.runs')}, x -> left(x.r, 1) != '-')"))
     following = "get(s.found, j + 1)"
     between = f"slice(s.lems, a.b + length(a.r) + 1, {following}.b - a.b - length(a.r))"
     kind = case([
@@ -181,14 +181,21 @@ def relations(sents: str, fields: list[str], max_len: int) -> str:
         for first, lemma, second, name in L.RELATION_PATTERNS])
     relation = (f"named_struct('entity1', {_joined('s.toks', 'a.b', '(a.b + length(a.r))')}, 'type', {kind}, "
                 f"'entity2', {_joined('s.toks', following + '.b', f'({following}.b + length({following}.r))')})")
-    return add_field(found, fields, relations=(
-        f"filter(transform(s.found, (a, j) -> CASE WHEN {following} IS NOT NULL THEN {relation} END), "
-        "r -> r.type IS NOT NULL)"))
+    return [
+        Step("es", "ner", (
+            f"CASE WHEN size(s.ner) <= {max_len} THEN array_join(transform(s.ner, n -> {letter}), '') ELSE '' END")),
+        Step("entity_runs", "es", (
+            "CASE WHEN s.es RLIKE '[PLG]' THEN regexp_extract_all(s.es, 'P+|L+|G+|-+', 0) "
+            "ELSE CAST(array() AS array<string>) END")),
+        Step("found", "entity_runs", f"filter({_runs_with_start('s.entity_runs')}, x -> left(x.r, 1) != '-')"),
+        Step("relations", "found toks lems", (
+            f"filter(transform(s.found, (a, j) -> CASE WHEN {following} IS NOT NULL THEN {relation} END), "
+            "r -> r.type IS NOT NULL)")),
+    ]
 
 
-def mentions(sents: str, fields: list[str]) -> str:
-    """Adds `mentions`: noun phrases with a name as head, and personal pronouns, in text order;
-    needs `chunks`, `lems`, `ner`."""
+def mentions() -> list[Step]:
+    """`mentions`: noun phrases with a name as head, and personal pronouns, in text order."""
     named = (
         "CASE WHEN c.kind = 'NP' AND substr(s.cs, c.b + 1, 1) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
         f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', c.text, "
@@ -197,6 +204,6 @@ def mentions(sents: str, fields: list[str]) -> str:
         f"CASE WHEN w IN ({quoted(L.PRONOUNS)}) AND get(s.pos, i) IN ('PRP', 'PRP$') THEN named_struct('b', i, "
         "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true) END")
     empty = "CAST(array() AS array<struct<b:int,e:int,text:string,head_lemma:string,pronoun:boolean>>)"
-    return add_field(sents, fields, mentions=(
-        f"CASE WHEN s.cs = '' THEN {empty} ELSE array_sort(filter(concat(transform(s.chunks, c -> {named}), "
-        f"transform(s.lows, (w, i) -> {pronoun})), m -> m IS NOT NULL)) END"))
+    return [Step("mentions", "chunks cs pos ner toks lows lems", (
+        f"CASE WHEN s.cs = '' THEN {empty} ELSE sort_array(filter(concat(transform(s.chunks, c -> {named}), "
+        f"transform(s.lows, (w, i) -> {pronoun})), m -> m IS NOT NULL)) END"))]

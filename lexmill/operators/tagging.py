@@ -1,27 +1,33 @@
 """Token-level layers: part of speech, lemma, entity tag, dictionary override.
 
-A document's sentences are one array of structs; each layer adds a field to every struct `s`.
-The fields are parallel arrays over the tokens of the sentence, so a neighbour is `get(xs, i + 1)`.
-Layers are row-local: any number of them costs one scan and no shuffle. A layer is a function from
-the SQL text of the array to the SQL text of the array with one field more.
+A layer is one column of the document row: an array over the sentences, whose elements are mostly
+parallel arrays over the tokens of a sentence, so a neighbour is `get(xs, i + 1)`. A step names the
+columns it reads and gives its value for one sentence `s` as SQL text. Separate columns let the
+optimizer drop what a query does not use, and a step never copies what earlier steps made, as it
+would if a sentence were one growing struct. All steps are row-local: no shuffle, no sort.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from lexmill.functions import lexicons as L
 from lexmill.functions.sqltext import case, lookup, quote, quoted
 
 
-def add_field(sents: str, fields: list[str], **new: str) -> str:
-    """Every sentence struct with `fields` kept and the `new` ones (expressions over `s`) added."""
-    kept = [f"'{f}', s.{f}" for f in fields if f not in new]
-    added = [f"'{name}', {expr}" for name, expr in new.items()]
-    return f"transform({sents}, s -> named_struct({', '.join(kept + added)}))"
+class Step(NamedTuple):
+    name: str
+    reads: str
+    value: str
+
+    def sql(self) -> str:
+        """The column's SQL. The columns it reads are arguments and never used inside the lambda itself,
+        where the optimizer could put their whole definition, to be computed again for every sentence."""
+        return f"transform(arrays_zip({', '.join(self.reads.split())}), s -> {self.value})"
 
 
-def words(sents: str) -> str:
-    """From an array of token arrays to an array of structs `(toks, lows)`."""
-    return f"transform({sents}, s -> named_struct('toks', s, 'lows', transform(s, t -> lower(t))))"
+def words() -> list[Step]:
+    return [Step("lows", "toks", "transform(s.toks, t -> lower(t))")]
 
 
 def _first_tag() -> str:
@@ -43,15 +49,17 @@ def _first_tag() -> str:
     ], by_suffix)
 
 
-def tags(sents: str) -> str:
-    """Adds `pos`: lexicon, shape and suffix rules, then two patches from the neighbours' first tags."""
-    first = add_field(sents, ["toks", "lows"], first=f"transform(s.lows, (w, i) -> {_first_tag()})")
+def tags() -> list[Step]:
+    """`pos`: lexicon, shape and suffix rules, then two patches from the neighbours' first tags."""
     patched = case([
         ("g = 'NN' AND get(s.first, i - 1) IN ('TO', 'MD')", "'VB'"),
         ("g IN ('VBD', 'VBG') AND get(s.first, i - 1) IN ('DT', 'PRP$')",
          "CASE WHEN startswith(get(s.first, i + 1), 'NN') THEN 'JJ' ELSE 'NN' END"),
     ], "g")
-    return add_field(first, ["toks", "lows"], pos=f"transform(s.first, (g, i) -> {patched})")
+    return [
+        Step("first", "toks lows", f"transform(s.lows, (w, i) -> {_first_tag()})"),
+        Step("pos", "first", f"transform(s.first, (g, i) -> {patched})"),
+    ]
 
 
 def _stem(low: str, cut: int) -> str:
@@ -60,22 +68,23 @@ def _stem(low: str, cut: int) -> str:
             f"THEN left({low}, length({low}) - {cut + 1}) ELSE left({low}, length({low}) - {cut}) END")
 
 
-def lemmas(sents: str, fields: list[str]) -> str:
-    """Adds `lems`."""
+def lemmas() -> list[Step]:
+    """`lems`."""
     irregular = {form: lemma for lemma, forms in L.IRREGULAR_LEMMAS.items() for form in forms}
-    low = "get(s.lows, i)"
+    low, pos = "w", "get(s.pos, i)"
     plural = case([
         (f"endswith({low}, 'ies') AND length({low}) > 4", f"concat(left({low}, length({low}) - 3), 'y')"),
         (f"{low} RLIKE {quote('(?:s|x|z|ch|sh)es$')}", f"left({low}, length({low}) - 2)"),
     ], f"left({low}, length({low}) - 1)")
     lemma = case([
         (f"{low} IN ({quoted(irregular)})", lookup(irregular, low)),
-        ("startswith(p, 'NNP')", "get(s.toks, i)"),
-        (f"p IN ('NNS', 'VBZ') AND endswith({low}, 's')", plural),
-        (f"p = 'VBD' AND endswith({low}, 'ed')", _stem(low, 2)),
-        (f"p = 'VBG' AND endswith({low}, 'ing')", _stem(low, 3)),
+        (f"{pos} = 'NN'", low),
+        (f"startswith({pos}, 'NNP')", "get(s.toks, i)"),
+        (f"{pos} IN ('NNS', 'VBZ') AND endswith({low}, 's')", plural),
+        (f"{pos} = 'VBD' AND endswith({low}, 'ed')", _stem(low, 2)),
+        (f"{pos} = 'VBG' AND endswith({low}, 'ing')", _stem(low, 3)),
     ], low)
-    return add_field(sents, fields, lems=f"transform(s.pos, (p, i) -> {lemma})")
+    return [Step("lems", "toks lows pos", f"transform(s.lows, (w, i) -> {lemma})")]
 
 
 SPANS = "array<struct<b:int,e:int,type:string>>"
@@ -119,20 +128,28 @@ def override(base: str, spans: str) -> str:
             f"ELSE concat(flatten({pieces}), slice({base}, {last} + 1, size({base}))) END")
 
 
-def apply_phrases(sents: str, fields: list[str], rules: list[tuple[str, str]]) -> str:
-    """Overrides `ner` where a rule's phrase matches: token-wise, case-sensitive, leftmost then longest."""
-    with_spans = add_field(sents, fields, spans=non_overlapping(phrase_candidates("s.toks", rules)))
-    return add_field(with_spans, fields, ner=override("s.ner", "s.spans"))
-
-
-def entities(sents: str, fields: list[str], gazetteer=None) -> str:
-    """Adds `ner`: gazetteer phrases, then shapes and capitalised words, `O` otherwise."""
+def shapes() -> list[Step]:
+    """`shaped`: numbers, addresses and capitalised words, `O` otherwise."""
     tok = "get(s.toks, i)"
     shape = case([
         ("p = 'CD'", case([(f"startswith({tok}, '$')", "'MONEY'"), (f"endswith({tok}, '%')", "'PERCENT'")], "'NUMBER'")),
+        ("p = 'NNP'", "'MISC'"),
         (f"startswith({tok}, 'http://') OR startswith({tok}, 'https://')", "'URL'"),
         (f"contains({tok}, '@') AND length({tok}) > 1", "'EMAIL'"),
-        ("p = 'NNP'", "'MISC'"),
     ], "'O'")
-    shaped = add_field(sents, fields, ner=f"transform(s.pos, (p, i) -> {shape})")
-    return apply_phrases(shaped, [*fields, "ner"], L.GAZETTEER if gazetteer is None else gazetteer)
+    return [Step("shaped", "toks pos", f"transform(s.pos, (p, i) -> {shape})")]
+
+
+def phrases(name: str, base: str, rules: list[tuple[str, str]]) -> list[Step]:
+    """`name`: the tags `base`, overridden where a rule's phrase matches: token-wise, case-sensitive,
+    leftmost then longest."""
+    return [
+        Step(f"{name}_spans", "toks", non_overlapping(phrase_candidates("s.toks", rules))),
+        Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans")),
+    ]
+
+
+def entities(rules: list[tuple[str, str]] | None = None, gazetteer=None) -> list[Step]:
+    """`ner`: shapes, overridden by the gazetteer's phrases, then by the dictionary's."""
+    named = phrases("named" if rules else "ner", "shaped", L.GAZETTEER if gazetteer is None else gazetteer)
+    return shapes() + named + (phrases("ner", "named", rules) if rules else [])

@@ -18,6 +18,7 @@ from lexmill.functions import text
 from lexmill.operators import coreference, dictionary, syntax
 from lexmill.operators.documents import layered, marked, spread
 from lexmill.operators.quotes import quotes
+from lexmill.operators.tagging import Step
 from lexmill.plans.catalogue import validate
 from lexmill.sources import sinks
 
@@ -41,46 +42,54 @@ SKIPS_EMPTY = ("tokenize", "cleanxml")
 LINE_FUNCTIONS = ("tokenize", "pos", "lemma", "ner", "parse", "depparse", "natlog", "openie")
 
 
-def _lines(line: str) -> str:
+# As written in SQL text.
+NEWLINE = "\\n"
+
+
+def _per_sentence(reads: str, value: str) -> str:
+    return Step("", reads, value).sql()
+
+
+def _lines(reads: str, line: str) -> str:
     """One line per sentence, each with its line end."""
-    return f"array_join(transform(sents, s -> concat({line}, '\\n')), '')"
+    return f"array_join({_per_sentence(reads, f"concat({line}, '{NEWLINE}')")}, '')"
 
 
-def _items(field: str, item: str) -> str:
+def _items(layer: str, item: str) -> str:
     """One line per item of every sentence's list."""
-    return f"array_join(flatten(transform(sents, s -> transform(s.{field}, t -> concat({item}, '\\n')))), '')"
+    return f"array_join(transform(flatten({layer}), t -> concat({item}, '{NEWLINE}')), '')"
 
 
-def _over_document(field: str) -> str:
-    return f"array_join(flatten(transform(sents, s -> s.{field})), ' ')"
+def _over_document(layer: str) -> str:
+    return f"array_join(flatten({layer}), ' ')"
 
 
-# The result of each annotator over the columns `sents`, `cleaned`, `marked`.
+# The result of each annotator over the layer columns.
 RESULTS = {
     "tokenize": f"replace(replace(cleaned, '{text.SENTENCE_MARK}', ' '), '{text.TOKEN_MARK}', ' ')",
-    "cleanxml": "array_join(flatten(transform(sents, s -> transform(s.toks, (t, i) -> concat(t, '-', i + 1)))), ' ')",
+    "cleanxml": _over_document(_per_sentence("toks", "transform(s.toks, (t, i) -> concat(t, '-', i + 1))")),
     "pos": _over_document("pos"),
     "lemma": _over_document("lems"),
     "ner": _over_document("ner"),
     "regexner": _over_document("ner"),
-    "parse": _lines(syntax.BRACKETED),
-    "depparse": _lines(syntax.EDGE_TEXT),
-    "sentiment": _lines("CAST(s.sentiment AS STRING)"),
-    "natlog": _lines("concat(array_join(s.pol, ' '), ' ')"),
+    "parse": _lines("cs chunks", syntax.BRACKETED),
+    "depparse": _lines("toks edges", syntax.EDGE_TEXT),
+    "sentiment": _lines("sentiment", "CAST(s.sentiment AS STRING)"),
+    "natlog": _lines("pol", "concat(array_join(s.pol, ' '), ' ')"),
     "openie": _items("triples", syntax.TRIPLE_TEXT),
     "relation": _items("relations", "concat('(', concat_ws(',', t.entity1, t.type, t.entity2), ')')"),
 }
 
 # The same over the one sentence of a line.
 LINE_RESULTS = {
-    "tokenize": "concat('[', array_join(s.toks, ', '), ']')",
-    "pos": "concat('[', array_join(s.pos, ', '), ']')",
-    "lemma": "concat('[', array_join(s.lems, ', '), ']')",
-    "ner": "concat('[', array_join(s.ner, ', '), ']')",
-    "natlog": "concat('[', array_join(s.pol, ', '), ']')",
-    "openie": f"concat('[', array_join(transform(s.triples, t -> {syntax.TRIPLE_TEXT}), ', '), ']')",
-    "parse": syntax.BRACKETED,
-    "depparse": "CAST(get(s.edges, 0).gov AS STRING)",
+    "tokenize": "concat('[', array_join(get(toks, 0), ', '), ']')",
+    "pos": "concat('[', array_join(get(pos, 0), ', '), ']')",
+    "lemma": "concat('[', array_join(get(lems, 0), ', '), ']')",
+    "ner": "concat('[', array_join(get(ner, 0), ', '), ']')",
+    "natlog": "concat('[', array_join(get(pol, 0), ', '), ']')",
+    "openie": f"concat('[', array_join(transform(get(triples, 0), t -> {syntax.TRIPLE_TEXT}), ', '), ']')",
+    "parse": f"get({_per_sentence('cs chunks', syntax.BRACKETED)}, 0)",
+    "depparse": "CAST(get(get(edges, 0), 0).gov AS STRING)",
 }
 
 
@@ -95,8 +104,7 @@ def _rendered(name: str) -> Column:
 
 def _rendered_line(name: str) -> Column:
     empty = "" if name in ("parse", "depparse") else "[]"
-    return F.expr(
-        f"CASE WHEN size(sents) = 0 THEN '{empty}' ELSE get(transform(sents, s -> {LINE_RESULTS[name]}), 0) END")
+    return F.expr(f"coalesce({LINE_RESULTS[name]}, '{empty}')")
 
 
 def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] | str = "doc_id",
@@ -130,7 +138,7 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         frame = frame.withColumn("source", F.replace(text.unmarked("marked"), F.lit(text.SENTENCE_MARK), F.lit("")))
         layers = {layer for n in local for layer in LAYERS.get(n, [])}
         if any(n in LAYERS for n in local) or line_as_sentence:
-            frame = frame.withColumn("sents", layered("cleaned", layers, rules=few, **options))
+            frame = layered(frame, layers, rules=few, **options)
         rendered = {n: _rendered_line(n) if line_as_sentence else _rendered(n) for n in local}
         results = F.array(*[F.struct(F.lit(n).alias("functionality"), c.alias("result")) for n, c in rendered.items()])
         rows = frame.select(*keys, F.inline(results)).select("functionality", *keys, "result")
