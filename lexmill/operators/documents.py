@@ -192,7 +192,10 @@ def document_sentiments(docs, keys, text_col="text", **options) -> DataFrame:
         lambda acc, z: F.when(F.length(z.t) > acc.longest, F.struct(
             F.length(z.t).alias("longest"), z.sentiment.alias("sentiment"))).otherwise(acc),
         lambda acc: acc.sentiment)
-    return scored.where(F.size("z") > 0).select(*keys, best.cast("bigint").alias("sentiment"))
+    # Documents without a sentence are dropped after the generator; a filter on `best` itself would be
+    # pushed below the projections and compute it a second time (see `each`).
+    rows = scored.select(*keys, F.explode_outer(F.array(best.cast("bigint"))).alias("sentiment"))
+    return rows.where(F.col("sentiment").isNotNull())
 
 
 def triples_table(docs, keys, text_col="text", **options) -> DataFrame:

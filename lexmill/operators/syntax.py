@@ -46,21 +46,21 @@ def _runs_with_start(runs: str) -> str:
 def chunks() -> list[Step]:
     """`chunks`: kind, token range, text and head token of every phrase."""
     kind = case([
-        ("left(x.r, 1) IN ('q', 'd', 'j', 'N')", "'NP'"),
-        ("left(x.r, 1) IN ('V', 'm', 'r')", "'VP'"),
-        ("left(x.r, 1) IN ('i', 't')", "'PP'"),
+        ("left(r, 1) IN ('q', 'd', 'j', 'N')", "'NP'"),
+        ("left(r, 1) IN ('V', 'm', 'r')", "'VP'"),
+        ("left(r, 1) IN ('i', 't')", "'PP'"),
     ], "'O'")
-    end = "x.b + length(x.r)"
-    head = f"CASE WHEN contains(x.r, 'N') THEN {end} - locate('N', reverse(x.r)) ELSE {end} - 1 END"
-    chunk = (f"named_struct('kind', {kind}, 'b', x.b, 'e', {end}, 'text', {_joined('s.toks', 'x.b', f'({end})')}, "
+    begin, end = "get(s.bounds, j)", "get(s.bounds, j + 1)"
+    head = f"CASE WHEN contains(r, 'N') THEN {end} - locate('N', reverse(r)) ELSE {end} - 1 END"
+    chunk = (f"named_struct('kind', {kind}, 'b', {begin}, 'e', {end}, 'text', {_joined('s.toks', begin, end)}, "
              f"'head', {head})")
     whole = ("array(named_struct('kind', 'X', 'b', 0, 'e', size(s.toks), 'text', array_join(s.toks, ' '), "
              "'head', size(s.toks) - 1))")
     return [
         Step("runs", "cs", f"regexp_extract_all(s.cs, {quote(CHUNK_RUNS)}, 0)"),
-        Step("placed", "runs", _runs_with_start("s.runs")),
-        Step("chunks", "toks cs placed",
-             f"CASE WHEN s.cs = '' THEN {whole} ELSE transform(s.placed, x -> {chunk}) END"),
+        Step("bounds", "runs", "aggregate(s.runs, array(0), (acc, r) -> concat(acc, array(element_at(acc, -1) + length(r))))"),
+        Step("chunks", "toks cs runs bounds",
+             f"CASE WHEN s.cs = '' THEN {whole} ELSE transform(s.runs, (r, j) -> {chunk}) END"),
     ]
 
 
@@ -75,36 +75,37 @@ def edges() -> list[Step]:
     """`edges`: one governor per token, -1 for the root. Empty over the limit."""
     root = ("CASE WHEN contains(s.cs, 'V') THEN locate('V', s.cs) WHEN contains(s.cs, 'N') THEN locate('N', s.cs) "
             "ELSE 1 END - 1")
-    near = (
-        "named_struct('c', substr(s.cs, i + 1, 1), 'c1', substr(s.cs, i + 2, 1), "
-        "'noun', locate('N', s.cs, i + 2) - 1, 'verb', locate('V', s.cs, i + 2) - 1, "
-        "'verb0', CASE WHEN contains(left(s.cs, i), 'V') THEN i - locate('V', reverse(left(s.cs, i))) ELSE -1 END, "
-        f"'prep', left(s.cs, i) RLIKE {quote('[it][djN]*$')})")
-    shape = "array<struct<c:string,c1:string,noun:int,verb:int,verb0:int,prep:boolean>>"
-
-    pos = "get(s.pos, i)"
-    rules = [
-        # condition, governor, relation
-        ("i = s.root", "-1", "'root'"),
-        ("x.c IN ('d', 'j') AND x.noun >= 0", "x.noun", case([
-            (f"{pos} = 'PRP$'", "'nmod:poss'"), (f"{pos} = 'CD'", "'nummod'"), ("x.c = 'd'", "'det'")], "'amod'")),
-        ("x.c = 't' AND x.c1 = 'V'", "i + 1", "'mark'"),
-        ("x.c IN ('i', 't') AND x.noun >= 0", "x.noun", "'case'"),
-        ("x.c = 'N' AND x.c1 = 'N'", "i + 1", "'compound'"),
-        ("x.c IN ('N', 'q') AND x.verb0 >= 0", "x.verb0", "CASE WHEN x.prep THEN 'obl' ELSE 'obj' END"),
-        ("x.c IN ('N', 'q') AND x.verb >= 0", "x.verb", "'nsubj'"),
-        ("x.c = 'r' AND x.verb >= 0", "x.verb", "'advmod'"),
-        ("x.c = 'r' AND x.verb0 >= 0", "x.verb0", "'advmod'"),
-        ("x.c = 'm' AND x.verb >= 0", "x.verb", "'aux'"),
-        ("x.c = 'c'", "s.root", "'cc'"),
-        (f"{pos} IN ({quoted([*L.PUNCTUATION, 'SYM'])})", "s.root", "'punct'"),
-    ]
-    edge = case([(c, f"named_struct('dep', i, 'gov', {gov}, 'rel', {rel})") for c, gov, rel in rules],
-                "named_struct('dep', i, 'gov', s.root, 'rel', 'dep')")
+    after, left = "substr(s.cs, i + 2, 1)", "left(s.cs, i)"
+    # Places of the nearest noun or verb, -1 where there is none.
+    noun, verb = "locate('N', s.cs, i + 2) - 1", "locate('V', s.cs, i + 2) - 1"
+    verb0 = f"i - 1 - length(substring_index({left}, 'V', -1))"
+
+    def to(gov: str, rel: str) -> str:
+        return f"named_struct('dep', i, 'gov', {gov}, 'rel', {rel})"
+
+    # One branch per class of the token, so that only what its rules need is looked up.
+    loose = to("s.root", "'dep'")
+    nominal = case([
+        (f"{verb0} >= 0", to(verb0, f"CASE WHEN {left} RLIKE {quote('[it][djN]*$')} THEN 'obl' ELSE 'obj' END")),
+        (f"{verb} >= 0", to(verb, "'nsubj'")),
+    ], loose)
+    modifier = case([("p = 'PRP$'", "'nmod:poss'"), ("p = 'CD'", "'nummod'"), ("p = 'DT'", "'det'")], "'amod'")
+    edge = case([
+        ("i = s.root", to("-1", "'root'")),
+        ("startswith(p, 'NN')", case([(f"{after} = 'N'", to("i + 1", "'compound'"))], nominal)),
+        ("p = 'PRP'", nominal),
+        ("p IN ('DT', 'PRP$', 'CD') OR startswith(p, 'JJ')", case([(f"{noun} >= 0", to(noun, modifier))], loose)),
+        ("p IN ('IN', 'TO')", case([
+            (f"p = 'TO' AND {after} = 'V'", to("i + 1", "'mark'")), (f"{noun} >= 0", to(noun, "'case'"))], loose)),
+        (f"p IN ({quoted([*L.PUNCTUATION, 'SYM'])})", to("s.root", "'punct'")),
+        ("p = 'RB'", case([(f"{verb} >= 0", to(verb, "'advmod'")), (f"{verb0} >= 0", to(verb0, "'advmod'"))], loose)),
+        ("p = 'MD'", case([(f"{verb} >= 0", to(verb, "'aux'"))], loose)),
+        ("p = 'CC'", to("s.root", "'cc'")),
+    ], loose)
+    empty = "CAST(array() AS array<struct<dep:int,gov:int,rel:string>>)"
     return [
         Step("root", "cs", root),
-        Step("near", "cs pos", f"CASE WHEN s.cs = '' THEN CAST(array() AS {shape}) ELSE transform(s.pos, (p, i) -> {near}) END"),
-        Step("edges", "root near pos", f"transform(s.near, (x, i) -> {edge})"),
+        Step("edges", "root cs pos", f"CASE WHEN s.cs = '' THEN {empty} ELSE transform(s.pos, (p, i) -> {edge}) END"),
     ]
 
 

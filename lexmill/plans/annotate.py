@@ -173,12 +173,12 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
             key: str = "doc_id", **options) -> None:
     """Annotates and writes one directory of sorted text files per annotator.
 
-    The documents are range-partitioned by key before they are annotated: the sampling pass then reads
-    only the key, the shuffle carries text and not its many annotations, and every task writes a sorted
-    run of each annotator, so no annotator is confined to one writer."""
+    The documents are range-partitioned by key before they are annotated: the pass that samples the keys
+    then scans documents but annotates none, the shuffle carries text and not its many annotations, and
+    every task writes a sorted run of each annotator, so no annotator is confined to one writer."""
     names = validate(functionality)
-    n = [mappers] if mappers else []
-    ordered = docs.repartitionByRange(*n, key)
-    local = [n for n in names if n not in CHAINS]
+    ordered = docs.repartitionByRange(*([mappers] if mappers else []), key)
     results = annotate(ordered, names, keys=key, **options)
-    sinks.write_by_functionality(results, path, key, ranged=len(local) == len(names) and not isinstance(options.get("rules"), DataFrame))
+    # Chains and dictionaries that are tables shuffle by document, so their results are ranged anew.
+    ranged = not set(names) & set(CHAINS) and not isinstance(options.get("rules"), DataFrame)
+    sinks.write_by_functionality(results, path, key, mappers, ranged)
