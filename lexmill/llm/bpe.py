@@ -88,7 +88,7 @@ def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chunk_rows(bits: int):
-    """A row for each chunk: its 128-bit hash, the key of the row it stands in, and where."""
+    """A row for each chunk of a text, its first place only: 128-bit hash, the key of the row it stands in, and where."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             data, bounds = utf8(batch.column(1))
@@ -97,22 +97,24 @@ def chunk_rows(bits: int):
             row = np.searchsorted(bounds, starts, side="right") - 1
             whole = data.tobytes()
             keys = [row_key(i, whole[a:b]) for i, a, b in zip(batch.column(0).to_pylist(), bounds[:-1], bounds[1:], strict=True)]
+            hashes = [xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(starts, ends, strict=True)]
+            first = dict(reversed([((h, r), i) for i, (h, r) in enumerate(zip(hashes, row.tolist(), strict=True))]))
+            at = np.array(sorted(first.values()), np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array([xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()),
-                pa.array([keys[r] for r in row], pa.binary()),
-                pa.array(starts - bounds[row], pa.int64()), pa.array(ends - bounds[row], pa.int64())], ["chunk", "key", "start", "stop"])
+                pa.array([hashes[i] for i in at], pa.binary()), pa.array([keys[r] for r in row[at]], pa.binary()),
+                pa.array(starts[at] - bounds[row[at]]), pa.array(ends[at] - bounds[row[at]])], ["chunk", "key", "start", "stop"])
     return run
 
 
 def encode_owned(path: str):
     """Encodes the chunks that a document owns: packed text and a list of (chunk, start, stop) to (chunk, ids)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for text, owned in zip(batch.column("packed"), batch.column("owned"), strict=True):
                 whole = unpack.decompress(text.as_py())
                 for x in owned.as_py():
-                    yield x["chunk"], encode(path, whole[x["start"]:x["stop"]].decode()).tobytes()
+                    yield x["chunk"], pack.compress(encode(path, whole[x["start"]:x["stop"]].decode()).astype(np.uint32).tobytes())
 
     schema = pa.schema({"chunk": pa.binary(), "ids": pa.binary()})
     return lambda batches: packed(rows(batches), schema)
@@ -124,8 +126,8 @@ def borders(text: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(blank & (text[:-1] > 32) & (text[:-1] < 127)) + 1, [len(text)]))
 
 
-def joined(path: str, text: bytes, starts: np.ndarray, known: dict[bytes, bytes]) -> np.ndarray:
-    """The ids of a whole text from those of its chunks (known by hash, else encoded here), joins repaired."""
+def joined(path: str, text: bytes, starts: np.ndarray, known: dict[bytes, np.ndarray]) -> np.ndarray:
+    """The ids of a whole text from those of its chunks (known by hash, else encoded here and then known), joins repaired."""
     _, _, lengths = vocabulary(path)
     if not text:
         return np.empty(0, np.uint32)
@@ -149,8 +151,10 @@ def joined(path: str, text: bytes, starts: np.ndarray, known: dict[bytes, bytes]
         """A chunk's ids and where, in the text, each of them ends."""
         if k not in chunk_ids:
             a, b = int(starts[k]), int(stops[k])
-            got = known.get(xxhash.xxh3_128_digest(text[a:b])) if known else None
-            ids = np.frombuffer(got, np.uint32) if got is not None else encode(path, text[a:b].decode())
+            chunk = xxhash.xxh3_128_digest(text[a:b])
+            ids = known.get(chunk)
+            if ids is None:
+                ids = known[chunk] = encode(path, text[a:b].decode())
             chunk_ids[k] = ids, np.concatenate(([a], a + np.cumsum(lengths[ids])))
         return chunk_ids[k]
 
@@ -202,7 +206,7 @@ def encode_all(path: str, bits: int):
             for doc, text, shared in zip(*map(batch.column, ("doc_id", "packed", "shared")), strict=True):
                 whole = unpack.decompress(text.as_py())
                 data = np.frombuffer(whole, np.uint8)
-                known = {x["chunk"]: x["ids"] for x in shared.as_py() or ()}
+                known = {x["chunk"]: np.frombuffer(unpack.decompress(x["ids"]), np.uint32) for x in shared.as_py() or ()}
                 ids = joined(path, whole, cuts(data, np.array([0, len(data)]), bits), known)
                 decoded = b"".join(map(pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
                 yield doc.as_py(), len(ids), ids.astype("<u4").tobytes(), decoded
@@ -218,14 +222,15 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
     stay apart, repeated ones too; a null id stays null. Columns other than the two named are not read."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chunks = rows.mapInArrow(chunk_rows(bits), "chunk binary, key binary, start long, stop long")
-    texts = rows.mapInArrow(keyed, "key binary, doc_id long, packed binary")
+    # Both joins below ask for the same columns and the same filter, so that the texts are dealt out once.
+    texts = rows.mapInArrow(keyed, "key binary, doc_id long, packed binary").where("key IS NOT NULL")
     shared = (chunks.groupBy("chunk").agg(F.count("*").alias("n"), F.min(F.struct("key", "start", "stop")).alias("owner"))
               .where("n > 1").select("chunk", "owner.*"))
     owners = shared.groupBy("key").agg(F.collect_list(F.struct("chunk", "start", "stop")).alias("owned"))
-    ids = (texts.join(owners, "key").select("doc_id", "packed", "owned")  # the columns of the last join: one exchange
+    ids = (texts.join(owners, "key").select("doc_id", "packed", "owned")
            .mapInArrow(encode_owned(path), "chunk binary, ids binary").dropDuplicates(["chunk"]))
-    found = (chunks.select("chunk", "key").distinct().join(ids, "chunk")
-             .groupBy("key").agg(F.collect_list(F.struct("chunk", "ids")).alias("shared")))
+    found = (chunks.select("chunk", "key").join(ids, "chunk")
+             .groupBy("key").agg(F.collect_set(F.struct("chunk", "ids")).alias("shared")))
     return texts.join(found, "key", "left").select("doc_id", "packed", "shared").mapInArrow(encode_all(path, bits), OUT)
 
 
