@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -77,12 +78,25 @@ def rolling_hash(data: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def saved(frame: DataFrame) -> DataFrame:
-    """A checkpoint in the cluster's shared folder (spark.checkpoint.dir); a folder of this machine only where none
-    is set and Spark runs on this machine alone."""
-    context = frame.sparkSession.sparkContext
-    if not (frame.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
-        if not context.master.startswith("local[") and context.master != "local":
+def shared(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of this machine only where none is set and Spark
+    runs on this machine alone."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lexmill-"))
+        folder = tempfile.mkdtemp(prefix="lexmill-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder in the shared one."""
+    return f"{shared(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
+def saved(frame: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder."""
+    shared(frame.sparkSession)
     return frame.checkpoint()
