@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import bpe
-from lexmill.llm.common import documents
+from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, secrets, sharding, simhash
+from lexmill.llm.common import documents, shared_folder
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,45 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.mapInArrow(bpe.digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rated(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(documents(spark, sf_dir))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.report(decontaminate.leaks(documents(spark, sf_dir).select("doc_id", "text"), benchmark))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(documents(spark, sf_dir).select("doc_id", "text"), shared_folder(spark, "ledger")))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs), spans=False)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe,)}
+    return {f.__name__: f for f in (
+        op1_bpe, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
