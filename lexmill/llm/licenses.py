@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.sqltext import quote
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A text is looked at further if it has one of these.
@@ -96,32 +98,28 @@ def lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def detections(text: Column, rule: tuple[str, str, str, int]) -> Column:
-    """Where a rule matches: (start, -stop, -priority, label), places in the lower-case text."""
+NOTHING = "cast(array() AS array<struct<start:int,stop:int,priority:int,label:string>>)"
+
+
+def detections(text: str, rule: tuple[str, str, str, int]) -> str:
+    """Where a rule matches the column text: (start, -stop, -priority, label). Places are summed from the lengths of the
+    matches and of what lies between them. As SQL text: built of Column objects, some hundred rules take a minute."""
     label, _, pattern, priority = rule
-    gaps = F.transform(F.split(text, pattern), F.length)
-    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(sizes)), sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
-    nothing = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string>>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-    return F.aggregate(steps, start, lambda acc, s: F.struct(
-        (acc.at + s.gap + s["size"]).alias("at"),
-        F.concat(acc.found, F.array(F.struct(
-            (acc.at + s.gap).alias("start"), (-(acc.at + s.gap + s["size"])).alias("stop"), F.lit(-priority).alias("priority"),
-            F.lit(label).alias("label")))).alias("found")), lambda acc: acc.found)
-
-
-def all_detections(text: Column) -> Column:
+    gaps = f"transform(split({text}, {quote(pattern)}), x -> length(x))"
+    sizes = f"transform(regexp_extract_all({text}, {quote(pattern)}, 0), x -> length(x))"
+    found = f"named_struct('start', a.at + z.g, 'stop', -(a.at + z.g + z.s), 'priority', {-priority}, 'label', {quote(label)})"
+    return (f"aggregate(zip_with({gaps}, {sizes}, (g, s) -> named_struct('g', g, 's', s)), named_struct('at', 0, 'found', {NOTHING}), "
+            f"(a, z) -> if(z.s IS NULL, a, named_struct('at', a.at + z.g + z.s, 'found', concat(a.found, array({found})))), a -> a.found)")
+
+
+def all_detections(text: str) -> Column:
     by_keyword: dict[str, list] = {}
     for rule in signatures():
         by_keyword.setdefault(rule[1], []).append(rule)
-    nothing = F.array().cast("array<struct<start:int,stop:int,priority:int,label:string>>")
-    found = [F.when(F.contains(text, F.lit(keyword)), F.concat(*[detections(text, r) for r in rules])).otherwise(nothing)
+    found = [f"if(contains({text}, {quote(keyword)}), concat({', '.join(detections(text, r) for r in rules)}), {NOTHING})"
              for keyword, rules in by_keyword.items()]
-    gate = F.lit(False)
-    for word in GATES:
-        gate = gate | F.contains(text, F.lit(word))
-    return F.when(gate, F.concat(*found)).otherwise(nothing)
+    gate = " OR ".join(f"contains({text}, {quote(word)})" for word in GATES)
+    return F.expr(f"if({gate}, concat({', '.join(found)}), {NOTHING})")
 
 
 def unsuppressed(found: Column) -> Column:
@@ -170,7 +168,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     low = docs.select(F.col(doc_id).alias("doc_id"), lower(F.col(text)).alias("low"))
     base, method = F.col("base"), F.col("method")
     found = low.select("doc_id", F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"), base_places(F.col("low")).alias("base"),
-                       unsuppressed(all_detections(F.col("low"))).alias("method"))
+                       unsuppressed(all_detections("low")).alias("method"))
     labels = F.array_sort(F.array_distinct(base.label))
     return found.select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.get(base, F.lit(0)).word.alias("first_word"),

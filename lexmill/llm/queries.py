@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, secrets, sharding, simhash
+from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, repeats, secrets, sharding, simhash
 from lexmill.llm.common import documents, shared_folder
 
 
@@ -16,6 +16,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.mapInArrow(bpe.digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(repeats.repeated(documents(spark, sf_dir)))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rated(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
@@ -54,7 +58,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html)}
+        op1_bpe, op2_repeats, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
