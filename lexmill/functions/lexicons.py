@@ -138,6 +138,3 @@ RELATION_PATTERNS = [
 # Confidence of the two triple patterns.
 CONFIDENCE_DIRECT = 1.0
 CONFIDENCE_PREPOSITION = 0.5
-
-# Sentences with more tokens than this get no phrase structure, polarity or edges.
-MAX_SENTENCE_TOKENS = 100

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import html, text
-from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
 from lexmill.operators import syntax, tagging
 
@@ -68,16 +67,15 @@ def closure(layers) -> list[str]:
     return [layer for layer in NEEDS if layer in wanted]
 
 
-def layered(frame: DataFrame, layers, rules: list[tuple[str, str]] | None = None, gazetteer=None,
-            max_len: int = L.MAX_SENTENCE_TOKENS) -> DataFrame:
+def layered(frame: DataFrame, layers, rules: list[tuple[str, str]] | None = None, gazetteer=None) -> DataFrame:
     """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override
     entity tags."""
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
         "ner": lambda: tagging.entities(rules, gazetteer),
-        "cs": lambda: syntax.classes(max_len), "chunks": syntax.chunks, "edges": syntax.edges,
-        "pol": lambda: syntax.polarities(max_len), "sentiment": syntax.sentiments, "triples": syntax.triples,
-        "relations": lambda: syntax.relations(max_len), "mentions": syntax.mentions,
+        "cs": syntax.classes, "chunks": syntax.chunks, "edges": syntax.edges,
+        "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
+        "relations": syntax.relations, "mentions": syntax.mentions,
     }
     frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
     for layer in closure(layers)[1:]:
@@ -173,7 +171,7 @@ def edges_table(docs, keys, text_col="text", **options) -> DataFrame:
 def first_governors(docs, keys, text_col="text", **options) -> DataFrame:
     """The governor of the first token of every sentence; -1 where that token is the root."""
     rows = sentence_rows(docs, keys, ["edges"], text_col, **options)
-    return rows.where(F.size("s.edges") > 0).select(
+    return rows.select(
         *keys, "sent_idx", F.get("s.edges", F.lit(0)).gov.cast("bigint").alias("gov_tok"))
 
 

@@ -1,9 +1,8 @@
 """Sentence-level layers: phrase chunks, dependency edges, polarity, sentiment, triples, relations.
 
-Each sentence gets a class string with one character per token. Runs of a class are then a
-`regexp_extract_all`, and the nearest noun or verb is a `locate` in that string, so no window
-and no sort is needed. Sentences over `max_len` tokens keep an empty class string and get no
-structure, which also bounds the work per sentence. Layers are steps, as in `tagging`.
+Each sentence gets a class letter per token. The places of a class cut the sentence into segments, and what
+holds for a whole segment (the nearest noun or verb, how many words turned the meaning) is repeated over it
+once, so every layer is linear in the sentence, however long it is. Layers are steps, as in `tagging`.
 """
 
 from __future__ import annotations
@@ -12,9 +11,6 @@ from lexmill.functions import lexicons as L
 from lexmill.functions.sqltext import case, quote, quoted
 from lexmill.operators.tagging import Step
 
-# Noun phrases restart at a determiner or pronoun, and a pronoun stands alone.
-CHUNK_RUNS = r"q|d[jN]*|[jN]+|[Vmr]+|[it]+|[c.]+"
-
 CLASS_OF_TAG = case([
     ("startswith(p, 'NN')", "'N'"),
     ("p IN ('DT', 'PRP$')", "'d'"),
@@ -33,52 +29,73 @@ def _joined(xs: str, b: str, e: str) -> str:
     return f"array_join(slice({xs}, {b} + 1, {e} - {b}), ' ')"
 
 
-def classes(max_len: int) -> list[Step]:
-    """The class string `cs`."""
-    return [Step("cs", "pos", (
-        f"CASE WHEN size(s.pos) <= {max_len} THEN array_join(transform(s.pos, p -> {CLASS_OF_TAG}), '') ELSE '' END"))]
+def places(xs: str, test: str) -> str:
+    """Where the test over the element `c` holds."""
+    return f"filter(transform({xs}, (c, i) -> CASE WHEN {test} THEN i END), i -> i IS NOT NULL)"
+
+
+def segments(at: str, n: str, inner: str, last: str, shift: int) -> str:
+    """An array of `n` values, `inner` (over place `p` and its number `k`) up to each place of `at`, then `last`.
+    With `shift` 1 a place belongs to the segment before it, with 0 to the one after."""
+    before = f"CASE WHEN k = 0 THEN {-shift} ELSE get({at}, k - 1) END"
+    rest = f"greatest(0, {n} - {shift} - CASE WHEN size({at}) = 0 THEN {-shift} ELSE element_at({at}, -1) END)"
+    return (f"concat(flatten(transform({at}, (p, k) -> array_repeat({inner}, p - {before}))), "
+            f"array_repeat({last}, {rest}))")
+
+
+def following(at: str, n: str) -> str:
+    """For each token the next place of `at` after it, -1 where there is none."""
+    return segments(at, n, "p", "-1", 0)
+
 
+def preceding(at: str, n: str) -> str:
+    """For each token the last place of `at` before it, -1 where there is none."""
+    return segments(at, n, f"CASE WHEN k = 0 THEN -1 ELSE get({at}, k - 1) END",
+                    f"CASE WHEN size({at}) = 0 THEN -1 ELSE element_at({at}, -1) END", 1)
 
-def _runs_with_start(runs: str) -> str:
-    return (f"transform({runs}, (r, j) -> named_struct('r', r, 'b', length(array_join(slice({runs}, 1, j), ''))))")
+
+def classes() -> list[Step]:
+    """The class letters `cs` and the places of nouns and verbs."""
+    return [
+        Step("cs", "pos", f"transform(s.pos, p -> {CLASS_OF_TAG})"),
+        Step("nouns", "cs", places("s.cs", "c = 'N'")),
+        Step("verbs", "cs", places("s.cs", "c = 'V'")),
+        Step("noun0", "nouns cs", preceding("s.nouns", "size(s.cs)")),
+    ]
+
+
+KIND_OF_CLASS = case([("{0} IN ('q', 'd', 'j', 'N')", "'NP'"), ("{0} IN ('V', 'm', 'r')", "'VP'"), ("{0} IN ('i', 't')", "'PP'")], "'O'")
 
 
 def chunks() -> list[Step]:
-    """`chunks`: kind, token range, text and head token of every phrase."""
-    kind = case([
-        ("left(r, 1) IN ('q', 'd', 'j', 'N')", "'NP'"),
-        ("left(r, 1) IN ('V', 'm', 'r')", "'VP'"),
-        ("left(r, 1) IN ('i', 't')", "'PP'"),
-    ], "'O'")
-    begin, end = "get(s.bounds, j)", "get(s.bounds, j + 1)"
-    head = f"CASE WHEN contains(r, 'N') THEN {end} - locate('N', reverse(r)) ELSE {end} - 1 END"
-    chunk = (f"named_struct('kind', {kind}, 'b', {begin}, 'e', {end}, 'text', {_joined('s.toks', begin, end)}, "
-             f"'head', {head})")
-    whole = ("array(named_struct('kind', 'X', 'b', 0, 'e', size(s.toks), 'text', array_join(s.toks, ' '), "
-             "'head', size(s.toks) - 1))")
+    """`chunks`: kind, token range, text and head token of every phrase. Noun phrases restart at a determiner or
+    pronoun, and a pronoun stands alone."""
+    begin, end = "get(s.bounds, j)", "coalesce(get(s.bounds, j + 1), size(s.cs))"
+    kind, last = KIND_OF_CLASS.format("get(s.cs, b)"), f"({end} - 1)"
+    noun = f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} ELSE get(s.noun0, {last}) END"
+    chunk = (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, 'text', {_joined('s.toks', 'b', end)}, "
+             f"'head', CASE WHEN {noun} >= b THEN {noun} ELSE {last} END)")
+    new = (f"i = 0 OR c IN ('d', 'q') OR get(s.cs, i - 1) = 'q' "
+           f"OR {KIND_OF_CLASS.format('c')} != {KIND_OF_CLASS.format('get(s.cs, i - 1)')}")
     return [
-        Step("runs", "cs", f"regexp_extract_all(s.cs, {quote(CHUNK_RUNS)}, 0)"),
-        Step("bounds", "runs", "aggregate(s.runs, array(0), (acc, r) -> concat(acc, array(element_at(acc, -1) + length(r))))"),
-        Step("chunks", "toks cs runs bounds",
-             f"CASE WHEN s.cs = '' THEN {whole} ELSE transform(s.runs, (r, j) -> {chunk}) END"),
+        Step("bounds", "cs", places("s.cs", new)),
+        Step("chunks", "toks cs noun0 bounds", f"transform(s.bounds, (b, j) -> {chunk})"),
     ]
 
 
-# One sentence as `(S (NP the dog) (VP ran) .)`, or `(X w1 w2 ...)` when over the limit.
+# One sentence as `(S (NP the dog) (VP ran) .)`.
 BRACKETED = (
-    "concat(CASE WHEN s.cs = '' THEN '' ELSE '(S ' END, array_join(transform(s.chunks, c -> "
-    "CASE WHEN c.kind = 'O' THEN c.text ELSE concat('(', c.kind, ' ', c.text, ')') END), ' '), "
-    "CASE WHEN s.cs = '' THEN '' ELSE ')' END)")
+    "concat('(S ', array_join(transform(s.chunks, c -> "
+    "CASE WHEN c.kind = 'O' THEN c.text ELSE concat('(', c.kind, ' ', c.text, ')') END), ' '), ')')")
 
 
 def edges() -> list[Step]:
-    """`edges`: one governor per token, -1 for the root. Empty over the limit."""
-    root = ("CASE WHEN contains(s.cs, 'V') THEN locate('V', s.cs) WHEN contains(s.cs, 'N') THEN locate('N', s.cs) "
-            "ELSE 1 END - 1")
-    after, left = "substr(s.cs, i + 2, 1)", "left(s.cs, i)"
-    # Places of the nearest noun or verb, -1 where there is none.
-    noun, verb = "locate('N', s.cs, i + 2) - 1", "locate('V', s.cs, i + 2) - 1"
-    verb0 = f"i - 1 - length(substring_index({left}, 'V', -1))"
+    """`edges`: one governor per token, -1 for the root."""
+    root = "coalesce(get(s.verbs, 0), get(s.nouns, 0), 0)"
+    after = "get(s.cs, i + 1)"
+    noun, verb, verb0 = "get(s.noun, i)", "get(s.verb, i)", "get(s.verb0, i)"
+    # The last word before the noun phrase is a preposition.
+    oblique = "get(s.cs, get(s.other0, i)) IN ('i', 't')"
 
     def to(gov: str, rel: str) -> str:
         return f"named_struct('dep', i, 'gov', {gov}, 'rel', {rel})"
@@ -86,7 +103,7 @@ def edges() -> list[Step]:
     # One branch per class of the token, so that only what its rules need is looked up.
     loose = to("s.root", "'dep'")
     nominal = case([
-        (f"{verb0} >= 0", to(verb0, f"CASE WHEN {left} RLIKE {quote('[it][djN]*$')} THEN 'obl' ELSE 'obj' END")),
+        (f"{verb0} >= 0", to(verb0, f"CASE WHEN {oblique} THEN 'obl' ELSE 'obj' END")),
         (f"{verb} >= 0", to(verb, "'nsubj'")),
     ], loose)
     modifier = case([("p = 'PRP$'", "'nmod:poss'"), ("p = 'CD'", "'nummod'"), ("p = 'DT'", "'det'")], "'amod'")
@@ -102,10 +119,15 @@ def edges() -> list[Step]:
         ("p = 'MD'", case([(f"{verb} >= 0", to(verb, "'aux'"))], loose)),
         ("p = 'CC'", to("s.root", "'cc'")),
     ], loose)
-    empty = "CAST(array() AS array<struct<dep:int,gov:int,rel:string>>)"
+    n = "size(s.cs)"
     return [
-        Step("root", "cs", root),
-        Step("edges", "root cs pos", f"CASE WHEN s.cs = '' THEN {empty} ELSE transform(s.pos, (p, i) -> {edge}) END"),
+        Step("root", "nouns verbs", root),
+        Step("others", "cs", places("s.cs", "c NOT IN ('d', 'j', 'N')")),
+        Step("noun", "nouns cs", following("s.nouns", n)),
+        Step("verb", "verbs cs", following("s.verbs", n)),
+        Step("verb0", "verbs cs", preceding("s.verbs", n)),
+        Step("other0", "others cs", preceding("s.others", n)),
+        Step("edges", "root cs noun verb verb0 other0 pos", f"transform(s.pos, (p, i) -> {edge})"),
     ]
 
 
@@ -115,7 +137,7 @@ EDGE_TEXT = (
     "ELSE concat(get(s.toks, x.gov), '-', x.gov + 1) END, ', ', get(s.toks, x.dep), '-', x.dep + 1, ')')), ' ')")
 
 
-def polarities(max_len: int) -> list[Step]:
+def polarities() -> list[Step]:
     """`pol`: `down` after an odd number of downward words in the sentence, `flat` between a
     quantifier and the next verb, else `up`."""
     letter = case([
@@ -123,17 +145,21 @@ def polarities(max_len: int) -> list[Step]:
         (f"w IN ({quoted(L.FLAT_QUANTIFIERS)})", "'m'"),
         ("startswith(p, 'VB')", "'v'"),
     ], "'-'")
-    scope = case([
-        (f"left(s.q, i + 1) RLIKE {quote('m[^v]+$')}", "'flat'"),
-        ("(length(left(s.q, i)) - length(replace(left(s.q, i), 'x', ''))) % 2 = 1", "'down'"),
-    ], "'up'")
+    n = "size(s.q)"
+    turned = segments("s.turns", n, "k % 2", "size(s.turns) % 2", 1)
+    verb0 = "CASE WHEN c = 'v' THEN i ELSE get(s.qv, i) END"
+    scope = case([(f"get(s.qm, i) > {verb0}", "'flat'"), ("get(s.odd, i) = 1", "'down'")], "'up'")
     return [
-        Step("q", "lows pos", (
-            f"CASE WHEN size(s.lows) <= {max_len} THEN array_join(zip_with(s.lows, s.pos, (w, p) -> {letter}), '') "
-            "ELSE '' END")),
-        Step("pol", "lows q", (
-            f"CASE WHEN s.q RLIKE '[xm]' THEN transform(s.lows, (w, i) -> {scope}) "
-            "ELSE array_repeat('up', size(s.lows)) END")),
+        Step("q", "lows pos", f"zip_with(s.lows, s.pos, (w, p) -> {letter})"),
+        Step("turns", "q", places("s.q", "c = 'x'")),
+        Step("limits", "q", places("s.q", "c = 'm'")),
+        Step("qverbs", "q", places("s.q", "c = 'v'")),
+        Step("odd", "turns q", turned),
+        Step("qm", "limits q", preceding("s.limits", n)),
+        Step("qv", "qverbs q", preceding("s.qverbs", n)),
+        Step("pol", "q turns limits odd qm qv", (
+            f"CASE WHEN size(s.turns) + size(s.limits) = 0 THEN array_repeat('up', {n}) "
+            f"ELSE transform(s.q, (c, i) -> {scope}) END")),
     ]
 
 
@@ -170,27 +196,22 @@ def triples() -> list[Step]:
 TRIPLE_TEXT = "concat('(', concat_ws(',', CAST(t.confidence AS STRING), t.subject, t.relation, t.object), ')')"
 
 
-def relations(max_len: int) -> list[Step]:
+def relations() -> list[Step]:
     """`relations` between an entity and the next one, where a pattern's lemma stands between."""
-    letters = dict(zip(L.ENTITY_TYPES, "PLG"))
-    letter = case([(f"n = '{kind}'", f"'{char}'") for kind, char in letters.items()], "'-'")
-    following = "get(s.found, j + 1)"
-    between = f"slice(s.lems, a.b + length(a.r) + 1, {following}.b - a.b - length(a.r))"
+    following_ = "get(s.found, j + 1)"
+    between = f"slice(s.lems, a.e + 1, {following_}.b - a.e)"
     kind = case([
-        (f"left(a.r, 1) = '{letters[first]}' AND left({following}.r, 1) = '{letters[second]}' "
-         f"AND array_contains({between}, {quote(lemma)})", quote(name))
+        (f"a.type = '{first}' AND {following_}.type = '{second}' AND array_contains({between}, {quote(lemma)})", quote(name))
         for first, lemma, second, name in L.RELATION_PATTERNS])
-    relation = (f"named_struct('entity1', {_joined('s.toks', 'a.b', '(a.b + length(a.r))')}, 'type', {kind}, "
-                f"'entity2', {_joined('s.toks', following + '.b', f'({following}.b + length({following}.r))')})")
+    relation = (f"named_struct('entity1', {_joined('s.toks', 'a.b', 'a.e')}, 'type', {kind}, "
+                f"'entity2', {_joined('s.toks', following_ + '.b', following_ + '.e')})")
     return [
-        Step("es", "ner", (
-            f"CASE WHEN size(s.ner) <= {max_len} THEN array_join(transform(s.ner, n -> {letter}), '') ELSE '' END")),
-        Step("entity_runs", "es", (
-            "CASE WHEN s.es RLIKE '[PLG]' THEN regexp_extract_all(s.es, 'P+|L+|G+|-+', 0) "
-            "ELSE CAST(array() AS array<string>) END")),
-        Step("found", "entity_runs", f"filter({_runs_with_start('s.entity_runs')}, x -> left(x.r, 1) != '-')"),
+        Step("entity_bounds", "ner", places("s.ner", "i = 0 OR c != get(s.ner, i - 1)")),
+        Step("found", "ner entity_bounds", (
+            "filter(transform(s.entity_bounds, (b, j) -> named_struct('b', b, 'e', coalesce(get(s.entity_bounds, j + 1), "
+            f"size(s.ner)), 'type', get(s.ner, b))), x -> x.type IN ({quoted(L.ENTITY_TYPES)}))")),
         Step("relations", "found toks lems", (
-            f"filter(transform(s.found, (a, j) -> CASE WHEN {following} IS NOT NULL THEN {relation} END), "
+            f"filter(transform(s.found, (a, j) -> CASE WHEN {following_} IS NOT NULL THEN {relation} END), "
             "r -> r.type IS NOT NULL)")),
     ]
 
@@ -198,13 +219,12 @@ def relations(max_len: int) -> list[Step]:
 def mentions() -> list[Step]:
     """`mentions`: noun phrases with a name as head, and personal pronouns, in text order."""
     named = (
-        "CASE WHEN c.kind = 'NP' AND substr(s.cs, c.b + 1, 1) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
+        "CASE WHEN c.kind = 'NP' AND get(s.cs, c.b) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
         f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', c.text, "
         "'head_lemma', lower(get(s.lems, c.head)), 'pronoun', false) END")
     pronoun = (
         f"CASE WHEN w IN ({quoted(L.PRONOUNS)}) AND get(s.pos, i) IN ('PRP', 'PRP$') THEN named_struct('b', i, "
         "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true) END")
-    empty = "CAST(array() AS array<struct<b:int,e:int,text:string,head_lemma:string,pronoun:boolean>>)"
     return [Step("mentions", "chunks cs pos ner toks lows lems", (
-        f"CASE WHEN s.cs = '' THEN {empty} ELSE sort_array(filter(concat(transform(s.chunks, c -> {named}), "
-        f"transform(s.lows, (w, i) -> {pronoun})), m -> m IS NOT NULL)) END"))]
+        f"sort_array(filter(concat(transform(s.chunks, c -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
+        "m -> m IS NOT NULL))"))]

@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions import lexicons as L
 from lexmill.functions import text
 from lexmill.operators import coreference, dictionary, syntax
 from lexmill.operators.documents import layered, marked, spread
@@ -72,7 +71,7 @@ RESULTS = {
     "lemma": _over_document("lems"),
     "ner": _over_document("ner"),
     "regexner": _over_document("ner"),
-    "parse": _lines("cs chunks", syntax.BRACKETED),
+    "parse": _lines("chunks", syntax.BRACKETED),
     "depparse": _lines("toks edges", syntax.EDGE_TEXT),
     "sentiment": _lines("sentiment", "CAST(s.sentiment AS STRING)"),
     "natlog": _lines("pol", "concat(array_join(s.pol, ' '), ' ')"),
@@ -88,7 +87,7 @@ LINE_RESULTS = {
     "ner": "concat('[', array_join(get(ner, 0), ', '), ']')",
     "natlog": "concat('[', array_join(get(pol, 0), ', '), ']')",
     "openie": f"concat('[', array_join(transform(get(triples, 0), t -> {syntax.TRIPLE_TEXT}), ', '), ']')",
-    "parse": f"get({_per_sentence('cs chunks', syntax.BRACKETED)}, 0)",
+    "parse": f"get({_per_sentence('chunks', syntax.BRACKETED)}, 0)",
     "depparse": "CAST(get(get(edges, 0), 0).gov AS STRING)",
 }
 
@@ -109,7 +108,7 @@ def _rendered_line(name: str) -> Column:
 
 def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] | str = "doc_id",
              text_col: str = "text", mappers: int | None = None, rules=None, gazetteer=None,
-             max_len: int = L.MAX_SENTENCE_TOKENS, line_as_sentence: bool = False) -> DataFrame:
+             line_as_sentence: bool = False) -> DataFrame:
     """Rows `(functionality, *keys, result)`, one per requested annotator and document.
 
     `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when
@@ -128,7 +127,7 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
     by_join = [] if few is not None else [n for n in names if n in ("ner", "regexner")]
     by_chain = [n for n in names if n in CHAINS]
     local = [n for n in names if n not in by_join and n not in by_chain]
-    options = {"gazetteer": gazetteer, "max_len": max_len}
+    options = {"gazetteer": gazetteer}
     clean_first = {"cleanxml": "cleanxml" in names}
 
     frames = []

@@ -149,13 +149,13 @@ def entities(source: str = "pos", rules=None) -> list[str]:
     ]
 
 
-def chunked(source: str = "pos", max_len: int = L.MAX_SENTENCE_TOKENS) -> list[str]:
+def chunked(source: str = "pos") -> list[str]:
     """`cls({source}.*, c, kind, chunk_idx)` and `chunk(doc_id, sent_idx, chunk_idx, kind, b, e, text, head, c0)`."""
     c = case([
         ("pos LIKE 'NN%'", "'N'"), ("pos IN ('DT', 'PRP$')", "'d'"), ("pos = 'PRP'", "'q'"),
         ("pos LIKE 'JJ%' OR pos = 'CD'", "'j'"), ("pos LIKE 'VB%'", "'V'"), ("pos = 'MD'", "'m'"), ("pos = 'RB'", "'r'"),
         ("pos = 'IN'", "'i'"), ("pos = 'TO'", "'t'"), ("pos = 'CC'", "'c'")], "'.'")
-    kind = case([(f"n > {max_len}", "'X'"), ("c IN ('N', 'd', 'q', 'j')", "'NP'"), ("c IN ('V', 'm', 'r')", "'VP'"),
+    kind = case([("c IN ('N', 'd', 'q', 'j')", "'NP'"), ("c IN ('V', 'm', 'r')", "'VP'"),
                  ("c IN ('i', 't')", "'PP'")], "'O'")
     w = "OVER (PARTITION BY doc_id, sent_idx ORDER BY t)"
     return [
@@ -166,12 +166,12 @@ def chunked(source: str = "pos", max_len: int = L.MAX_SENTENCE_TOKENS) -> list[s
         f"cls AS MATERIALIZED (SELECT *, sum(new) {w} - 1 AS chunk_idx FROM starts)",
         """chunk AS MATERIALIZED (SELECT doc_id, sent_idx, chunk_idx, any_value(kind) AS kind, min(t) AS b, max(t) + 1 AS e,
             string_agg(token, ' ' ORDER BY t) AS text,
-            CASE WHEN any_value(kind) = 'X' THEN max(t) ELSE coalesce(max(CASE WHEN c = 'N' THEN t END), max(t)) END AS head,
+            coalesce(max(CASE WHEN c = 'N' THEN t END), max(t)) AS head,
             arg_min(c, t) AS c0 FROM cls GROUP BY ALL)""",
     ]
 
 
-def polarity(source: str = "pos", max_len: int = L.MAX_SENTENCE_TOKENS) -> list[str]:
+def polarity(source: str = "pos") -> list[str]:
     """`pol({source}.*, polarity)`."""
     w = "OVER (PARTITION BY doc_id, sent_idx ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return [
@@ -179,7 +179,7 @@ def polarity(source: str = "pos", max_len: int = L.MAX_SENTENCE_TOKENS) -> list[
             pos LIKE 'VB%' AND low NOT IN ({words(L.DOWNWARD)}) AND low NOT IN ({words(L.FLAT_QUANTIFIERS)}) AS v FROM {source})""",
         f"""seen AS (SELECT *, coalesce(sum(CAST(x AS INT)) {w}, 0) AS ops, max(CASE WHEN m THEN t END) {w} AS last_m,
             greatest(coalesce(max(CASE WHEN v THEN t END) {w}, -1), CASE WHEN v THEN t ELSE -1 END) AS last_v FROM marks)""",
-        f"""pol AS MATERIALIZED (SELECT * EXCLUDE (x, m, v, ops, last_m, last_v), CASE WHEN n > {max_len} THEN 'up'
+        f"""pol AS MATERIALIZED (SELECT * EXCLUDE (x, m, v, ops, last_m, last_v), CASE
             WHEN last_m > last_v THEN 'flat' WHEN ops % 2 = 1 THEN 'down' ELSE 'up' END AS polarity FROM seen)""",
     ]
 
@@ -195,7 +195,7 @@ SENTENCES = f"""sentences AS (SELECT doc_id, sent_idx, regexp_replace(string_agg
 OFFSETS = """offs AS (SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) AS end_off FROM tok)"""
 
 
-def dependency(max_len: int = L.MAX_SENTENCE_TOKENS) -> list[str]:
+def dependency() -> list[str]:
     after = "OVER (PARTITION BY doc_id, sent_idx ORDER BY t ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
     before = "OVER (PARTITION BY doc_id, sent_idx ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     every = "OVER (PARTITION BY doc_id, sent_idx)"
@@ -220,7 +220,7 @@ def dependency(max_len: int = L.MAX_SENTENCE_TOKENS) -> list[str]:
             max(CASE WHEN c = 'V' THEN t END) {before} AS verb0, max(CASE WHEN c IN ('i', 't') THEN t END) {before} AS prep,
             max(CASE WHEN c NOT IN ('i', 't', 'd', 'j', 'N') THEN t END) {before} AS other,
             coalesce(min(CASE WHEN c = 'V' THEN t END) {every}, min(CASE WHEN c = 'N' THEN t END) {every}, 0) AS root
-            FROM cls WHERE n <= {max_len})""",
+            FROM cls)""",
         f"""edges AS (SELECT doc_id, sent_idx, t AS dep_tok, CAST({case([(c, g) for c, g, _ in rules], 'root')} AS BIGINT) AS gov_tok,
             {case([(c, r) for c, _, r in rules], "'dep'")} AS rel FROM near)""",
     ]
@@ -235,7 +235,7 @@ def mention_rows(mode: str) -> list[str]:
             FROM chunk k JOIN cls h ON h.doc_id = k.doc_id AND h.sent_idx = k.sent_idx AND h.t = k.head
             WHERE k.kind = 'NP' AND k.c0 <> 'q' AND (h.pos LIKE 'NNP%' OR h.ner IN ({words(L.ENTITY_TYPES)})))""",
         f"""found AS (SELECT * FROM names UNION ALL SELECT doc_id, sent_idx, t, t + 1, token, low, true FROM cls
-            WHERE kind <> 'X' AND low IN ({words(L.PRONOUNS)}) AND pos IN ('PRP', 'PRP$'))""",
+            WHERE low IN ({words(L.PRONOUNS)}) AND pos IN ('PRP', 'PRP$'))""",
         f"""linked AS (SELECT *, row_number() OVER ({w}) AS place, last_value(CASE WHEN NOT pronoun THEN {key} END IGNORE NULLS)
             OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nearest FROM found)""",
         f"""mention AS MATERIALIZED (SELECT doc_id, sent_idx, b, e, text, pronoun, place, CASE WHEN NOT pronoun THEN {key}
@@ -288,7 +288,7 @@ def _relations() -> str:
         for first, lemma, second, name in L.RELATION_PATTERNS])
     return select(LEM + entities("lem") + [
         f"""runs AS (SELECT *, t - row_number() OVER (PARTITION BY doc_id, sent_idx, ner ORDER BY t) AS grp FROM ner
-            WHERE ner IN ({words(L.ENTITY_TYPES)}) AND n <= {L.MAX_SENTENCE_TOKENS})""",
+            WHERE ner IN ({words(L.ENTITY_TYPES)}))""",
         """ent AS (SELECT doc_id, sent_idx, ner, min(t) AS b, max(t) + 1 AS e, string_agg(token, ' ' ORDER BY t) AS text
             FROM runs GROUP BY doc_id, sent_idx, ner, grp)""",
         """pair AS (SELECT *, lead(ner) OVER w AS b_ner, lead(b) OVER w AS b_b, lead(text) OVER w AS b_text FROM ent
@@ -325,8 +325,8 @@ def _long() -> str:
 
 def _syntax_long() -> str:
     parse = """(SELECT doc_id, string_agg(line || chr(10), '' ORDER BY sent_idx) AS r FROM (SELECT doc_id, sent_idx,
-        CASE WHEN any_value(kind) = 'X' THEN any_value('(X ' || text || ')') ELSE '(S ' || string_agg(CASE WHEN kind = 'O' THEN text
-        ELSE '(' || kind || ' ' || text || ')' END, ' ' ORDER BY chunk_idx) || ')' END AS line FROM chunk GROUP BY ALL) GROUP BY doc_id)"""
+        '(S ' || string_agg(CASE WHEN kind = 'O' THEN text
+        ELSE '(' || kind || ' ' || text || ')' END, ' ' ORDER BY chunk_idx) || ')' AS line FROM chunk GROUP BY ALL) GROUP BY doc_id)"""
     deps = """(SELECT doc_id, string_agg(line || chr(10), '' ORDER BY sent_idx) AS r FROM (SELECT s.doc_id, s.sent_idx, coalesce(string_agg(
         e.rel || '(' || CASE WHEN e.gov_tok < 0 THEN 'ROOT-0' ELSE g.token || '-' || (e.gov_tok + 1) END || ', ' || d.token || '-' || (e.dep_tok + 1)
         || ')', ' ' ORDER BY e.dep_tok), '') AS line FROM (SELECT DISTINCT doc_id, sent_idx FROM tok) s
