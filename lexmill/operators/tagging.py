@@ -111,11 +111,17 @@ def phrase_candidates(toks: str, rules: list[tuple[str, str]]) -> str:
             "c -> c IS NOT NULL)")
 
 
-def non_overlapping(candidates: str) -> str:
-    """Leftmost spans that do not overlap, from candidates in token order with distinct starts."""
-    return (f"aggregate({candidates}, named_struct('end', 0, 'kept', CAST(array() AS {SPANS})), "
-            "(acc, c) -> CASE WHEN c.b >= acc.end "
-            "THEN named_struct('end', c.e, 'kept', concat(acc.kept, array(c))) ELSE acc END, acc -> acc.kept)")
+def non_overlapping(candidates: str, block: int = 256) -> str:
+    """Leftmost spans that do not overlap, from candidates in token order with distinct starts. Appending copies
+    an array, so the walk goes in blocks: a block starts at the end of the last span kept before it."""
+    nothing = f"CAST(array() AS {SPANS})"
+    walk = (f"aggregate(slice(cs, j * {block} + 1, {block}), named_struct('end', acc.end, 'kept', {nothing}), "
+            "(a, c) -> CASE WHEN c.b >= a.end THEN named_struct('end', c.e, 'kept', concat(a.kept, array(c))) ELSE a END)")
+    step = f"get(transform(array({walk}), w -> named_struct('end', w.end, 'kept', concat(acc.kept, array(w.kept)))), 0)"
+    blocks = f"sequence(0, CAST(floor((size(cs) - 1) / {block}) AS INT))"
+    folded = (f"aggregate({blocks}, named_struct('end', 0, 'kept', CAST(array() AS array<{SPANS}>)), "
+              f"(acc, j) -> {step}, acc -> flatten(acc.kept))")
+    return f"get(transform(array({candidates}), cs -> CASE WHEN size(cs) = 0 THEN {nothing} ELSE {folded} END), 0)"
 
 
 def override(base: str, spans: str) -> str:
