@@ -21,7 +21,7 @@ HEADLINE = [
     "tokenize", "ssplit", "cleanxml", "pos", "lemma", "ner", "regexner", "regexner_join", "natlog", "sentiment",
     "doc_sentiment", "parse_chunks", "depparse_edges", "coref", "coref_text", "relation", "quote", "openie",
     "line_as_sentence", "annotate_long", "annotate_syntax", "html_to_text", "articles_to_lines", "normalize_nfkd",
-    "read_lines_indexed", "sink_by_functionality",
+    "read_lines_indexed", "sink_by_functionality", "sorted_results", "dcoref", "read_lines_by_offset", "html_to_text_exact",
 ]
 
 
@@ -32,6 +32,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("lexmill-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g")
+        .config("spark.lexmill.spread", str(4 * int(cpus)))  # the tables are one split each
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -28,15 +28,17 @@ def token_pattern(possessive: bool = True) -> str:
     """The token regex.
 
     Possessive quantifiers match the same, but never recurse on long runs (a list of 100,000 numbers
-    would overflow the stack); engines without them use the plain form. The local part of an address is
-    bounded, so a long unbroken run costs linear time. The possessive form also tries a plain word first,
-    when the character after it rules out an address or abbreviation."""
+    would overflow the stack); engines without them use the plain form. An address is only tried where its
+    local part can begin, so that a long unbroken run is looked at once and not from each of its characters.
+    The possessive form also tries a plain word first, when the character after it rules out an address or
+    abbreviation."""
     p = "+" if possessive else ""
     part = rf"\p{{L}}[\p{{L}}\p{{M}}]*{p}"
     word = rf"{part}(?:[-'’]{part})*{p}"
+    starts = r"(?<![\p{L}\p{N}._%+-])" if possessive else ""
     parts = [
         rf"https?://[^{_BLANK}<>\"'’“”]+{p}",
-        rf"[\p{{L}}\p{{N}}._%+-]{{1,64}}{p}@[\p{{L}}\p{{N}}-]+{p}(?:\.[\p{{L}}\p{{N}}-]+{p})+{p}",
+        rf"{starts}[\p{{L}}\p{{N}}._%+-]+{p}@[\p{{L}}\p{{N}}-]+{p}(?:\.[\p{{L}}\p{{N}}-]+{p})+{p}",
         rf"\$?\p{{N}}+{p}(?:[.,:/-]\p{{N}}+{p})*{p}%?",
         r"(?:Mr|Mrs|Ms|Dr|Prof|St|Jr|Sr|vs)\.",
         rf"(?:\p{{L}}\.){{2,}}{p}",

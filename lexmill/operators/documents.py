@@ -1,7 +1,6 @@
 """From a table with a text column to annotated document rows and typed tables.
 
-Every function here is row-local: one scan, no shuffle, no sort. `spread` is the only exchange
-and is used only where a scan has fewer splits than the cluster has cores.
+Every function here is row-local: one scan, no shuffle, no sort. `spread` is the only exchange.
 """
 
 from __future__ import annotations
@@ -14,15 +13,8 @@ from lexmill.functions.rows import each
 from lexmill.operators import syntax, tagging
 
 
-def spread(docs: DataFrame, n: int | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Round-robin (or by `keys`) to `n` partitions. Without `n`, only a scan with fewer splits than
-    cores is spread: a large table already has a split for every core and is left where it is."""
-    if n is None:
-        # One small file may be a single row group, so several splits can still be one task's work.
-        cores = docs.sparkSession.sparkContext.defaultParallelism
-        if docs.rdd.getNumPartitions() >= 2 * cores:
-            return docs
-        n = 4 * cores
+def spread(docs: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
+    """Round-robin (or by `keys`) to `n` partitions; for an input of too few splits, where the caller asks for it."""
     return docs.repartition(n, *(keys or []))
 
 

@@ -9,15 +9,22 @@ from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
 
 _QUOTE = r'("[^"]*"|“[^“”]*”)([^"“]*)'
-# A name has at most six words, which keeps the search linear in runs of capitalised words.
-_NAME = r"\p{Lu}\p{L}+(?: \p{Lu}\p{L}+){0,5}"
+_NAME = r"\p{Lu}\p{L}+(?: \p{Lu}\p{L}+)*+"
 _VERB = "(?:" + "|".join(L.SPEECH_VERBS) + ")"
 # The speaker stands right after the quote, as `said Name` or `Name said`, or right before it, as
-# `Name said,` or `said Name,`.
+# `Name said,` or `said Name,`. A name is a run of capitalised words, of any length.
 AFTER_VERB = rf"^\s*{_VERB} ({_NAME})"
 AFTER_NAME = rf"^\s*({_NAME}) {_VERB}(?:[^\p{{L}}]|$)"
-BEFORE_NAME = rf"({_NAME}) {_VERB}[,:]?\s*$"
 BEFORE_VERB = rf"(?:^|[^\p{{L}}]){_VERB} ({_NAME})[,:]\s*$"
+# For `Name said,` the verb at the end is cut off; the name is then read backwards from there, so that a long run of
+# capitalised words is looked at once and not from each of its words.
+VERB_AT_END = rf"(?s)^(.*) {_VERB}[,:]?\s*$"
+NAME_BACKWARDS = r"^(\p{L}+\p{Lu}(?= |$|[^\p{L}])(?: \p{L}+\p{Lu}(?= |$|[^\p{L}]))*+)"
+
+
+def name_before(text: Column) -> Column:
+    said = F.regexp_extract(text, VERB_AT_END, 1)
+    return F.reverse(F.regexp_extract(F.reverse(said), NAME_BACKWARDS, 1))
 
 
 def quotes(text: Column) -> Column:
@@ -27,8 +34,7 @@ def quotes(text: Column) -> Column:
     lead = F.regexp_extract(text, r'^([^"“]*)', 1)
 
     def speaker(q, a, b):
-        found = [F.regexp_extract(t, p, 1) for t, p in (
-            (a, AFTER_VERB), (a, AFTER_NAME), (b, BEFORE_NAME), (b, BEFORE_VERB))]
+        found = [F.regexp_extract(a, AFTER_VERB, 1), F.regexp_extract(a, AFTER_NAME, 1), name_before(b), F.regexp_extract(b, BEFORE_VERB, 1)]
         return F.struct(q.alias("text"), F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit("")).alias("speaker"))
 
     before = F.slice(F.concat(F.array(lead), after), 1, F.size(spans))

@@ -18,7 +18,7 @@ from lexmill.operators import coreference, dictionary, syntax
 from lexmill.operators.documents import layered, marked, spread
 from lexmill.operators.quotes import quotes
 from lexmill.operators.tagging import Step
-from lexmill.plans.catalogue import validate
+from lexmill.plans.catalogue import resolve, validate
 from lexmill.sources import sinks
 
 # The layers an annotator's output is written from.
@@ -135,7 +135,8 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         # Quotes are read from the same text as the tokens.
         frame = marked(docs, keys, text_col, line_as_sentence=line_as_sentence, **clean_first)
         frame = frame.withColumn("source", F.replace(text.unmarked("marked"), F.lit(text.SENTENCE_MARK), F.lit("")))
-        layers = {layer for n in local for layer in LAYERS.get(n, [])}
+        # Every annotator of the plan offers its layers; Spark drops the columns that no result reads.
+        layers = {layer for n in resolve(local) for layer in LAYERS.get(n, [])}
         if any(n in LAYERS for n in local) or line_as_sentence:
             frame = layered(frame, layers, rules=few, **options)
         rendered = {n: _rendered_line(n) if line_as_sentence else _rendered(n) for n in local}

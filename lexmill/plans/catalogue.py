@@ -24,22 +24,22 @@ CATALOGUE = [
 
 # Prerequisites of each annotator, a flat list that is not followed further.
 PREREQUISITES = {
-    "tokenize": "",
-    "cleanxml": "tokenize",
-    "ssplit": "tokenize",
-    "pos": "tokenize ssplit",
-    "lemma": "tokenize ssplit pos",
-    "ner": "tokenize ssplit pos lemma",
-    "regexner": "tokenize ssplit pos lemma ner",
-    "sentiment": "tokenize ssplit parse",
-    "parse": "tokenize ssplit",
-    "depparse": "tokenize ssplit pos",
-    "dcoref": "tokenize ssplit pos lemma ner parse",
-    "coref": "tokenize ssplit pos lemma ner parse",
-    "relation": "tokenize ssplit pos lemma ner parse depparse",
-    "natlog": "tokenize ssplit pos lemma parse",
-    "quote": "tokenize ssplit pos lemma ner depparse coref",
-    "openie": "tokenize ssplit pos lemma depparse natlog",
+    "tokenize": (),
+    "cleanxml": ("tokenize",),
+    "ssplit": ("tokenize",),
+    "pos": ("tokenize", "ssplit"),
+    "lemma": ("tokenize", "ssplit", "pos"),
+    "ner": ("tokenize", "ssplit", "pos", "lemma"),
+    "regexner": ("tokenize", "ssplit", "pos", "lemma", "ner"),
+    "sentiment": ("tokenize", "ssplit", "parse"),
+    "parse": ("tokenize", "ssplit"),
+    "depparse": ("tokenize", "ssplit", "pos"),
+    "dcoref": ("tokenize", "ssplit", "pos", "lemma", "ner", "parse"),
+    "coref": ("tokenize", "ssplit", "pos", "lemma", "ner", "parse"),
+    "relation": ("tokenize", "ssplit", "pos", "lemma", "ner", "parse", "depparse"),
+    "natlog": ("tokenize", "ssplit", "pos", "lemma", "parse"),
+    "quote": ("tokenize", "ssplit", "pos", "lemma", "ner", "depparse", "coref"),
+    "openie": ("tokenize", "ssplit", "pos", "lemma", "depparse", "natlog"),
 }
 
 
@@ -67,5 +67,5 @@ def resolve(functionality: str | list[str]) -> list[str]:
     plan: dict[str, None] = {}
     for name in CATALOGUE:
         if name in names:
-            plan.update(dict.fromkeys([*PREREQUISITES[name].split(), name]))
+            plan.update(dict.fromkeys([*PREREQUISITES[name], name]))
     return list(plan)

@@ -8,7 +8,6 @@ from __future__ import annotations
 from lexmill.functions import html
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
-from lexmill.operators import quotes
 from lexmill.queries import fixtures
 
 
@@ -266,17 +265,21 @@ LEM = POS + lemmas()
 RELATION_LETTERS = dict(zip(L.ENTITY_TYPES, "PLG"))
 
 
-def _triples() -> str:
-    gloss = "SELECT doc_id, sent_idx, chunk_idx, string_agg(lemma, ' ' ORDER BY t) AS gloss FROM cls GROUP BY ALL"
+def _triple_ctes(source: str = "cls") -> list[str]:
+    gloss = f"SELECT doc_id, sent_idx, chunk_idx, string_agg(lemma, ' ' ORDER BY t) AS gloss FROM {source} GROUP BY ALL"
     w = "OVER (PARTITION BY doc_id, sent_idx ORDER BY chunk_idx)"
     ahead = ", ".join(f"lead(k.kind, {d}) {w} AS k{d}, lead(g.gloss, {d}) {w} AS g{d}" for d in (1, 2, 3))
-    return select(LEM + chunked("lem") + [
+    return [
         f"gl AS ({gloss})",
         f"""row4 AS (SELECT k.doc_id, k.sent_idx, k.chunk_idx, k.kind AS k0, g.gloss AS g0, {ahead.replace('OVER (PARTITION BY doc_id, sent_idx ORDER BY chunk_idx)', 'OVER w')}
             FROM chunk k JOIN gl g ON g.doc_id = k.doc_id AND g.sent_idx = k.sent_idx AND g.chunk_idx = k.chunk_idx
             WINDOW w AS (PARTITION BY k.doc_id, k.sent_idx ORDER BY k.chunk_idx))""",
         f"""hits AS (SELECT *, k2 = 'NP' AS direct FROM row4 WHERE k0 = 'NP' AND k1 = 'VP' AND (k2 = 'NP' OR (k2 = 'PP' AND k3 = 'NP')))""",
-    ], f"""SELECT doc_id, sent_idx, row_number() OVER (PARTITION BY doc_id, sent_idx ORDER BY chunk_idx) - 1 AS triple_idx,
+    ]
+
+
+def _triples() -> str:
+    return select(LEM + chunked("lem") + _triple_ctes(), f"""SELECT doc_id, sent_idx, row_number() OVER (PARTITION BY doc_id, sent_idx ORDER BY chunk_idx) - 1 AS triple_idx,
         CASE WHEN direct THEN {L.CONFIDENCE_DIRECT}::DOUBLE ELSE {L.CONFIDENCE_PREPOSITION}::DOUBLE END AS confidence, g0 AS subject,
         CASE WHEN direct THEN g1 ELSE g1 || ' ' || g2 END AS relation, CASE WHEN direct THEN g2 ELSE g3 END AS object FROM hits""")
 
@@ -299,9 +302,13 @@ def _relations() -> str:
 
 
 def _quotes() -> str:
-    spans = q(quotes._QUOTE)
+    """With patterns of its own: a quotation with what follows it up to the next one, and speakers by word lists."""
+    spans = q('("[^"]*"|“[^“”]*”)([^"“]*)')
+    verbs = "(?:" + "|".join(L.SPEECH_VERBS) + ")"
+    name = "((?:\\p{Lu}\\p{L}+ )*\\p{Lu}\\p{L}+)"
     found = " ,".join(f"nullif(regexp_extract({c}, {q(p)}, 1), '')" for c, p in (
-        ("a", quotes.AFTER_VERB), ("a", quotes.AFTER_NAME), ("b", quotes.BEFORE_NAME), ("b", quotes.BEFORE_VERB)))
+        ("a", f"^\\s*{verbs} {name}"), ("a", f"^\\s*{name} {verbs}(?:[^\\p{{L}}]|$)"),
+        ("b", f"(?s)(?:^|[^\\p{{L}}]){name} {verbs}[,:]?\\s*$"), ("b", f"(?:^|[^\\p{{L}}]){verbs} {name}[,:]\\s*$")))
     return select([
         DOCS,
         f"""qs AS (SELECT doc_id, regexp_extract_all(text, {spans}, 1) AS s, regexp_extract_all(text, {spans}, 2) AS a,
@@ -341,6 +348,25 @@ def _syntax_long() -> str:
         for name, source in (("parse", parse), ("depparse", deps), ("natlog", pol), ("sentiment", senti))))
 
 
+def _line_as_sentence(lines: str) -> str:
+    """The eight functions over a line as one sentence; the line's key stands in for the document's."""
+    keyed = lines.replace("conv_id, turn, text", "conv_id || ':' || turn AS doc_id, conv_id, turn, text")
+    ctes = (tokens(keyed, one_sentence=True) + tags() + lemmas() + entities("lem") + chunked("ner") + dependency() + polarity("cls"))
+    lists = {"tokenize": ("token", "tok"), "pos": ("pos", "pos"), "lemma": ("lemma", "lem"), "ner": ("ner", "ner"), "natlog": ("polarity", "pol")}
+    sources = [(name, f"SELECT doc_id, '[' || string_agg({col}, ', ' ORDER BY t) || ']' AS r FROM {table} GROUP BY doc_id", "[]")
+               for name, (col, table) in lists.items()]
+    triples = _triple_ctes("cls")
+    sources.append(("openie", f"""SELECT doc_id, '[' || string_agg('(' || CASE WHEN direct THEN '{L.CONFIDENCE_DIRECT}' ELSE '{L.CONFIDENCE_PREPOSITION}' END
+        || ',' || g0 || ',' || CASE WHEN direct THEN g1 ELSE g1 || ' ' || g2 END || ',' || CASE WHEN direct THEN g2 ELSE g3 END || ')', ', '
+        ORDER BY chunk_idx) || ']' AS r FROM hits GROUP BY doc_id""", "[]"))
+    sources.append(("parse", """SELECT doc_id, '(S ' || string_agg(CASE WHEN kind = 'O' THEN text ELSE '(' || kind || ' ' || text || ')' END, ' '
+        ORDER BY chunk_idx) || ')' AS r FROM chunk GROUP BY doc_id""", ""))
+    sources.append(("depparse", "SELECT doc_id, CAST(gov_tok AS VARCHAR) AS r FROM edges WHERE dep_tok = 0", ""))
+    return select(ctes + triples, " UNION ALL ".join(
+        f"SELECT {q(name)} AS functionality, d.conv_id, d.turn, coalesce(r, {q(none)}) AS result FROM docs d LEFT JOIN ({sql}) x ON x.doc_id = d.doc_id"
+        for name, sql, none in sources))
+
+
 ONE_LINE = "replace(replace(text, chr(10), ' '), chr(13), ' ')"
 ARTICLE_TEXT = html_text("html")
 
@@ -377,19 +403,18 @@ def oracle_sql() -> dict[str, str]:
         "quote": _quotes(),
         "annotate_long": _long(),
         "annotate_syntax": _syntax_long(),
-        "line_as_sentence": select(
-            tokens(lines, "conv_id, turn", one_sentence=True) + tags("conv_id, turn") + lemmas(), " UNION ALL ".join(
-                f"""SELECT {q(name)} AS functionality, d.conv_id, d.turn, '[' || coalesce(r, '') || ']' AS result FROM docs d LEFT JOIN
-                (SELECT conv_id, turn, string_agg({col}, ', ' ORDER BY k) AS r FROM {table} GROUP BY ALL) x
-                ON x.conv_id = d.conv_id AND x.turn = d.turn"""
-                for name, col, table in (("tokenize", "token", "tok"), ("pos", "pos", "pos"), ("lemma", "lemma", "lem")))),
+        "line_as_sentence": _line_as_sentence(lines),
         "select_blocks": "SELECT page_id, 0::BIGINT AS block_idx, html AS content FROM pages",
         "html_to_text": f"SELECT page_id, {html_text('html', ('script', 'style'))} AS text FROM pages",
         "drop_newlines": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
         "articles_to_lines": f"SELECT page_id, replace({ARTICLE_TEXT}, chr(10), '') AS text FROM pages",
         "plain_lines": f"SELECT {ONE_LINE} AS text FROM documents",
-        "spread": "SELECT doc_id, text FROM documents",
-        "progress": "SELECT doc_id FROM documents",
+        "spread": "SELECT 16::BIGINT AS parts, count(*) AS n_rows, true AS even FROM documents",
+        "progress": "SELECT count(*) AS n FROM documents",
+        "read_lines_indexed": f"SELECT {ONE_LINE} AS text, count(*) AS n, 0::BIGINT AS first, 0::BIGINT AS gap FROM documents GROUP BY 1",
+        "read_lines_by_offset": f"SELECT 0::BIGINT AS off, {ONE_LINE} AS text FROM documents",
+        "read_rules": r"""SELECT DISTINCT p AS pattern, 'OPENING' AS type FROM (SELECT regexp_extract(text, '^(\p{L}+ \p{L}+)(?:[ .,]|$)', 1) AS p
+            FROM documents) WHERE p <> ''""",
         "annotate_with_model": "SELECT doc_id, length(text) AS n_chars FROM documents",
         "read_articles": "SELECT CAST(page_id AS VARCHAR) AS id, 2::BIGINT AS n_blocks, html AS content FROM pages",
         "sink_by_functionality": select(

@@ -3,35 +3,42 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import html
 from lexmill.functions.rows import each
 from lexmill.operators import coreference, dictionary, documents, quotes
-from lexmill.plans.annotate import annotate, annotate_with_model, run_job
+from lexmill.plans.annotate import LINE_FUNCTIONS, annotate, annotate_with_model, run_job
 from lexmill.queries import fixtures
 from lexmill.sources import readers, sinks
 
 KEY = ["doc_id"]
 
 
+def spread(spark: SparkSession, docs: DataFrame, keys: list[str]) -> DataFrame:
+    """To spark.lexmill.spread partitions where that is set: for a small table that is one split of one file."""
+    n = spark.conf.get("spark.lexmill.spread", None)
+    return documents.spread(docs, int(n), keys) if n else docs
+
+
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.spread(readers.read_docs(spark, sf_dir, "documents", KEY), keys=KEY)
+    return spread(spark, readers.read_docs(spark, sf_dir, "documents", KEY), KEY)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents and a few English ones, on which the linguistic rules fire."""
     docs = readers.read_docs(spark, sf_dir, "documents", KEY)
-    return documents.spread(docs.unionByName(spark.createDataFrame(fixtures.ROWS, fixtures.SCHEMA)), keys=KEY)
+    return spread(spark, docs.unionByName(spark.createDataFrame(fixtures.ROWS, fixtures.SCHEMA)), KEY)
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.spread(readers.read_docs(spark, sf_dir, "pages", ["page_id"], "html"), keys=["page_id"])
+    return spread(spark, readers.read_docs(spark, sf_dir, "pages", ["page_id"], "html"), ["page_id"])
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,12 +50,14 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names, or a local one where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    stamp = spark.range(1).select(F.uuid()).first()[0]
-    return f"{shared.rstrip('/')}/run-{stamp}"
+    """A new folder in the one the cluster names in spark.checkpoint.dir, which all executors must share; a folder of
+    this machine only where none is set and Spark runs on this machine alone."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return f"{shared.rstrip('/')}/run-{uuid.uuid4()}"
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="lexmill-")
 
 
 def table(fn: Callable, *args, **kwargs) -> Callable[[SparkSession, str], DataFrame]:
@@ -89,8 +98,8 @@ def cleanxml(spark, sf_dir):
 
 def line_as_sentence(spark, sf_dir):
     keys = ["conv_id", "turn"]
-    lines = documents.spread(readers.read_docs(spark, sf_dir, "conversations", keys), keys=keys)
-    return annotate(lines, "tokenize,pos,lemma", keys=keys, line_as_sentence=True)
+    lines = spread(spark, readers.read_docs(spark, sf_dir, "conversations", keys), keys)
+    return annotate(lines, LINE_FUNCTIONS, keys=keys, line_as_sentence=True)
 
 
 def select_blocks(spark, sf_dir):
@@ -124,9 +133,26 @@ def plain_lines(spark, sf_dir, read=readers.read_plain_lines):
     return read(spark, path)
 
 
+def read_lines_indexed(spark, sf_dir):
+    """Per text how often it was read; `first` is 0 and `gap` counts numbers that are missing or given twice."""
+    lines = plain_lines(spark, sf_dir, readers.read_lines)
+    return lines.groupBy("text").agg(F.count("*").alias("n")).crossJoin(F.broadcast(lines.agg(
+        F.min("doc_id").alias("first"), (F.max("doc_id") + 1 - F.countDistinct("doc_id")).alias("gap"))))
+
+
 def lines_by_offset(spark, sf_dir):
+    """`off`: the byte offset of a line less the widths of the lines before it in its file, which is 0."""
     lines = plain_lines(spark, sf_dir, readers.read_lines_by_offset)
-    return lines.select(F.element_at(F.split("path", "/"), -1).alias("file"), "byte_offset", "text")
+    before = Window.partitionBy("path").orderBy("byte_offset").rowsBetween(Window.unboundedPreceding, -1)
+    widths = F.coalesce(F.sum(F.octet_length("text") + 1).over(before), F.lit(0))
+    return lines.select((F.col("byte_offset") - widths).alias("off"), "text")
+
+
+def read_rules(spark, sf_dir):
+    """The openings of the documents, written as a dictionary file and read back."""
+    path = scratch(spark)
+    openings(docs_of(spark, sf_dir)).select(F.concat_ws("\t", "pattern", "type").alias("value")).write.mode("overwrite").text(path)
+    return readers.read_rules(spark, path)
 
 
 def read_articles(spark, sf_dir):
@@ -137,14 +163,14 @@ def read_articles(spark, sf_dir):
 
 
 def spread_rows(spark, sf_dir):
-    return documents.spread(readers.read_docs(spark, sf_dir, "documents", KEY), 16, KEY)
+    """How many partitions have rows, and how many rows there are: 16 and all of them, once spread."""
+    rows = documents.spread(readers.read_docs(spark, sf_dir, "documents", KEY), 16)
+    sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    return sizes.agg(F.count("*").alias("parts"), F.sum("n").alias("n_rows"), (F.max("n") - F.min("n") <= 16).alias("even"))
 
 
 def sorted_results(spark, sf_dir):
-    from pyspark.sql import Window
-    results = annotate(corpus(spark, sf_dir), "tokenize")
-    ranked = F.row_number().over(Window.partitionBy("functionality").orderBy("doc_id")).cast("bigint")
-    return results.select("functionality", "doc_id", ranked.alias("rank"), "result")
+    return sinks.ranked(annotate(corpus(spark, sf_dir), "tokenize"))
 
 
 def sink_by_functionality(spark, sf_dir):
@@ -174,8 +200,10 @@ def with_model(spark, sf_dir):
 
 
 def progress(spark, sf_dir):
-    counted, _ = sinks.counted(readers.read_docs(spark, sf_dir, "documents", KEY))
-    return counted.select("doc_id")
+    """What the observation saw once a job had run over the counted documents."""
+    counted, seen = sinks.counted(readers.read_docs(spark, sf_dir, "documents", KEY))
+    counted.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["n"],)], "n bigint")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -214,9 +242,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drop_newlines": drop_newlines,
         "articles_to_lines": articles_to_lines,
         "plain_lines": plain_lines,
-        "read_lines_indexed": partial(plain_lines, read=readers.read_lines),
+        "read_lines_indexed": read_lines_indexed,
         "read_lines_by_offset": lines_by_offset,
         "read_articles": read_articles,
+        "read_rules": read_rules,
         "spread": spread_rows,
         "sorted_results": sorted_results,
         "sink_by_functionality": sink_by_functionality,

@@ -120,12 +120,19 @@ def test_other_sinks(spark, docs, tmp_path):
     assert seen.get["n"] == 2
 
 
-def test_spread_only_where_there_are_few_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, 2 * cores)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == 4 * cores
-    assert spread(wide, 3).rdd.getNumPartitions() == 3
+def test_spread_is_on_request(spark):
+    assert spread(spark.range(0, 1000, 1, 1), 3).rdd.getNumPartitions() == 3
+
+
+def test_ranks_over_many_ranges(spark):
+    keys = [*range(500), 7, 7, -3, None]
+    rows = spark.createDataFrame([(f, k, f"{f}{k}") for f in "ab" for k in keys], "functionality string, doc_id bigint, result string").repartition(5)
+    got = sinks.ranked(rows).collect()
+    for f in "ab":
+        own = sorted(((r["rank"], r.doc_id) for r in got if r.functionality == f))
+        assert [r for r, _ in own] == list(range(1, len(keys) + 1))
+        assert [k for _, k in own] == sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert sinks.ranked(rows.limit(0)).count() == 0
 
 
 def test_running_sum(spark):
