@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Entities decoded by the built-in variant, the ampersand last.
+# Entities that the built-in variant decodes, the ampersand last.
 ENTITIES = [
     ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
@@ -19,13 +19,15 @@ ENTITIES = [
 ]
 
 TAG_MARK = "\x01"
-COMMENT = r"(?s)<!--.*?-->"
-DECLARATION = r"(?is)<!doctype[^>]*>"
-TAG = r"(?s)</?[A-Za-z][^>]*>"
-
-
-def dropped_element(tag: str) -> str:
-    return rf"(?is)<{tag}[^>]*>.*?</{tag}\s*>"
+# What the built-in variant reads: whole tags without signs in their values, a declaration, a comment without other
+# markup in it, a title without markup. Each pattern stops at the next sign, so no text is looked at twice.
+_INSIDE = r"""(?:[\s/][^<>"'&]*+(?:"[^"<>&]*+"[^<>"'&]*+)*+)?+>"""
+TAG = r"</?[A-Za-z][A-Za-z0-9]*+" + _INSIDE
+COMMENT = r"<!--[^<>-][^<>]*+(?<=[^<>-]--)>"
+DECLARATION = r"(?i)<!doctype[^<>]*+>"
+# Elements whose content the parser reads in another way; as text they must be empty of signs.
+RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "plaintext")
+RAW_OPEN = r"(?i)<(?:" + "|".join(RAW) + r")(?![a-z0-9])"
 
 
 def select_blocks(contents: Column, kind: str = "sanitized_html") -> Column:
@@ -35,14 +37,38 @@ def select_blocks(contents: Column, kind: str = "sanitized_html") -> Column:
     return F.coalesce(F.transform(chosen, lambda b: b.content), F.array().cast("array<string>"))
 
 
+def _without_element(markup: Column, tag: str) -> Column:
+    """Every `<tag ...> ... </tag>` replaced by a mark: the text is cut at the end tags, and each piece at its first
+    start tag, which takes one pass however the tags stand. A piece without a start tag only loses its end tag."""
+    pieces = F.split(markup, f"</{tag}>")
+    cut = F.transform(pieces, lambda p, i: F.when(i < F.size(pieces) - 1, F.substring_index(p, f"<{tag}", 1)).otherwise(p))
+    return F.array_join(cut, TAG_MARK)
+
+
 def html_to_text(markup: Column, drop_tags: tuple[str, ...] = ()) -> Column:
-    """Text nodes joined by one space, with built-in functions. Right for well-formed markup with the
-    entities above; `html_to_text_exact` is for everything else."""
-    for pattern in [COMMENT, DECLARATION, *[dropped_element(t) for t in drop_tags], TAG]:
-        markup = F.regexp_replace(markup, pattern, TAG_MARK)
+    """Text nodes joined by one space, the same as `html_to_text_exact`.
+
+    Rows of plain markup and common entities are read with built-in functions. A row that still has a `<` or `&` after
+    that (unclosed or nested comments, signs in attributes, other entities, scripts kept as text) goes through the
+    parser: by its content, and with the same result."""
+    dropped, other = markup, F.contains(markup, F.lit(TAG_MARK))
+    for tag in drop_tags:
+        dropped = F.when(F.contains(markup, F.lit(f"<{tag}")), _without_element(dropped, tag)).otherwise(dropped)
+        other = other | markup.rlike(rf"(?i)<{tag}[^\s/>]")
+    raw = "|".join(t for t in RAW if t not in drop_tags)
+    other = other | F.regexp_replace(dropped, rf"(?i)<({raw}){_INSIDE}[^<&]*+</\1>", "").rlike(RAW_OPEN)
+    marked = dropped
+    for pattern in (COMMENT, DECLARATION, TAG):
+        marked = F.regexp_replace(marked, pattern, TAG_MARK)
+    signs = marked
+    for name, _ in ENTITIES:
+        signs = F.replace(signs, F.lit(name), F.lit(""))
+    other = other | signs.rlike("[<&]")
+    text = marked
     for name, char in ENTITIES:
-        markup = F.replace(markup, F.lit(name), F.lit(char))
-    return F.regexp_replace(F.regexp_replace(markup, r"^\x01+|\x01+\z", ""), r"\x01+", " ")
+        text = F.replace(text, F.lit(name), F.lit(char))
+    native = F.regexp_replace(F.regexp_replace(text, r"^\x01++|\x01++\z", ""), r"\x01++", " ")
+    return F.coalesce(html_to_text_exact(F.when(other, markup), drop_tags), native)
 
 
 def html_to_text_exact(markup: Column, drop_tags: tuple[str, ...] = ()) -> Column:

@@ -5,7 +5,6 @@ from an unnested token table instead, so an error in one is not repeated in the
 
 from __future__ import annotations
 
-from lexmill.functions import html
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
 from lexmill.queries import fixtures
@@ -29,10 +28,18 @@ DOCS = ("docs AS MATERIALIZED (SELECT doc_id, text FROM documents UNION ALL SELE
 
 
 def html_text(column: str, drop_tags=()) -> str:
-    for pattern in [html.COMMENT, html.DECLARATION, *[html.dropped_element(t) for t in drop_tags], html.TAG]:
-        column = f"regexp_replace({column}, {q(pattern)}, chr(1), 'g')"
-    for name, char in html.ENTITIES:
+    """Text nodes by patterns of its own: comments, dropped elements, tags with quoted values, three entities (one of
+    them also without its semicolon, as pages are cut off). An element that is not dropped keeps its content raw."""
+    for tag in drop_tags:
+        column = f"regexp_replace({column}, {q(f'(?is)<{tag}(?:[ /][^>]*)?>.*?</{tag}>')}, chr(1), 'g')"
+    for tag in {"script"} - set(drop_tags):  # tags in the one string of a script are text
+        column = f"replace(replace({column}, '=\"</', '=\"' || chr(2) || '/'), '>\";', chr(3) || '\";')"
+    column = f"regexp_replace({column}, '(?s)<!--.*?-->', chr(1), 'g')"
+    column = f"""regexp_replace({column}, '<[A-Za-z/!](?:[^>"]|"[^"]*")*>', chr(1), 'g')"""
+    column = f"replace(replace({column}, chr(2), '<'), chr(3), '>')"
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
         column = f"replace({column}, {q(name)}, {q(char)})"
+    column = f"regexp_replace({column}, '&amp;?', '&', 'g')"
     return f"regexp_replace(regexp_replace({column}, '^\\x01+|\\x01+$', '', 'g'), '\\x01+', ' ', 'g')"
 
 
@@ -406,6 +413,7 @@ def oracle_sql() -> dict[str, str]:
         "line_as_sentence": _line_as_sentence(lines),
         "select_blocks": "SELECT page_id, 0::BIGINT AS block_idx, html AS content FROM pages",
         "html_to_text": f"SELECT page_id, {html_text('html', ('script', 'style'))} AS text FROM pages",
+        "html_to_text_exact": f"SELECT page_id, {html_text('html', ('script', 'style'))} AS text FROM pages",
         "drop_newlines": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
         "articles_to_lines": f"SELECT page_id, replace({ARTICLE_TEXT}, chr(10), '') AS text FROM pages",
         "plain_lines": f"SELECT {ONE_LINE} AS text FROM documents",

@@ -140,3 +140,24 @@ def test_running_sum(spark):
         got = spark.range(1).select(F.expr(f"transform(sequence(1, {n}), x -> CAST(x AS BIGINT))" if n else "CAST(array() AS array<bigint>)").alias("xs"))
         got = got.select(F.expr(running_sum("xs")).alias("s")).first().s
         assert got == [i * (i + 1) // 2 for i in range(1, n + 1)]
+
+
+def test_markup_is_read_as_the_parser_does(docs):
+    import random
+    rng = random.Random(5)
+    parts = ["<p>", "</p>", '<b class="x">', "<br/>", '<a title="x > y">', "<a href='q'>", "text", "&amp;", "&copy;", "&#233;", "&eacute;", "&", "<",
+             "<!-- c -->", "<!-- open", "<!-->", "--!>", "-->", "<script>", "</script>", '<script>var a="</p>";</script>', "<style>p{}</style>",
+             "<SCRIPT>", "</Script >", "<title>a", "</title>", "<textarea>", "<!DOCTYPE html>", '<?xml v="1"?>', "<![CDATA[x]]>", " ", "\n", "\x01",
+             "a < b", "</", "<p", "&am", '<p\n x="1"\ty="2" />', "<x-y>", "<scripted>", "<svg/onload=x>"]
+    frame = docs(*["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(3000)], None, "")
+    for drop in ((), ("script", "style")):
+        both = frame.select("text", html.html_to_text(F.col("text"), drop).alias("a"), html.html_to_text_exact(F.col("text"), drop).alias("b"))
+        assert [r for r in both.collect() if r.a != r.b] == []
+
+
+def test_bad_markup_is_linear(docs):
+    import time
+    frame = docs("<!--" * 20_000, "<a" * 100_000, "<script" * 50_000, '<a "' * 50_000)
+    start = time.perf_counter()
+    frame.select(html.html_to_text(F.col("text"), ("script", "style"))).collect()
+    assert time.perf_counter() - start < 8
