@@ -91,7 +91,7 @@ SPANS = "array<struct<b:int,e:int,type:string>>"
 
 
 def phrase_candidates(toks: str, rules: list[tuple[str, str]]) -> str:
-    """The longest rule that starts at each token, in token order; the first rule wins a tie."""
+    """The longest rule that starts at each token, in token order; one type per phrase."""
     by_length: dict[int, dict[str, str]] = {}
     for phrase, kind in rules:
         parts = phrase.split()

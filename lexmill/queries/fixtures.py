@@ -33,3 +33,9 @@ RULES = [
     ("Apache License", "LICENSE"),
     ("General Public License", "LICENSE"),
 ]
+
+# Rules that both forms of a dictionary must read alike: two types for a phrase, nulls, other blanks, a frequent word.
+ODD_RULES = [
+    ("Barack Obama", "ZED"), ("Barack Obama", "ABLE"), (None, "NONE"), ("the", "FREQUENT"), ("of", None), ("  ", "BLANK"),
+    ("New\xa0York\u3000City", "CITY"), ("\tBachelor  of Arts ", "DEGREE"), ("of Arts", "TAIL"), ("Harvard", "H"),
+]

@@ -73,8 +73,15 @@ def asked(functionality: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def regexner(spark, sf_dir):
-    rules = spark.createDataFrame(fixtures.RULES, "pattern string, type string")
-    return dictionary.regexner_table(corpus(spark, sf_dir), KEY, rules)
+    return dictionary.regexner_table(corpus(spark, sf_dir), KEY, fixtures.RULES)
+
+
+def regexner_rules(spark, sf_dir):
+    """Rules with ties, nulls, odd blanks and a frequent word, once as a list and once as a table."""
+    docs = corpus(spark, sf_dir)
+    table_ = spark.createDataFrame(fixtures.ODD_RULES, "pattern string, type string")
+    forms = [dictionary.regexner_table(docs, KEY, rules).withColumn("form", F.lit(form)) for form, rules in (("list", fixtures.ODD_RULES), ("table", table_))]
+    return forms[0].union(forms[1])
 
 
 def openings(docs: DataFrame) -> DataFrame:
@@ -85,7 +92,7 @@ def openings(docs: DataFrame) -> DataFrame:
 
 def regexner_join(spark, sf_dir):
     docs = corpus(spark, sf_dir)
-    return dictionary.regexner_table(docs, KEY, openings(docs), max_literal=0)
+    return dictionary.regexner_table(docs, KEY, openings(docs))
 
 
 def sentence_list(spark, sf_dir):
@@ -217,6 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ner": token_layer("ner"),
         "regexner": regexner,
         "regexner_join": regexner_join,
+        "regexner_rules": regexner_rules,
         "natlog": token_layer("pol"),
         "sentiment": table(documents.sentiments_table),
         "doc_sentiment": table(documents.document_sentiments),

@@ -69,12 +69,21 @@ def test_ner_equals_regexner_when_both_are_asked(docs):
     assert annotate(docs("A Bachelor of Laws."), "ner").first().result == "O MISC O MISC O"
 
 
-def test_sentence_limit(docs):
-    long, short = " ".join(["word"] * 101), " ".join(["word"] * 100)
-    got = {(r.functionality, r.doc_id): r.result for r in annotate(docs(long, short), "parse,depparse,natlog").collect()}
-    assert got["parse", 0].startswith("(X word") and got["parse", 1].startswith("(S (NP")
-    assert got["depparse", 0] == "\n" and got["depparse", 1].startswith("root")
-    assert got["natlog", 0] == "up " * 101 + "\n"
+def test_long_sentences_are_analysed_in_full(docs):
+    """One edge for each token, polarity and relations across the whole sentence, in time that grows with it."""
+    import time
+    took = {}
+    for n in (101, 5_000, 100_000):
+        unit = "No big dog eats without Barack Obama who works for Harvard University and he ".split()
+        words = (unit * (n // len(unit) + 1))[:n]
+        start = time.perf_counter()
+        got = {r.functionality: r.result for r in annotate(docs(" ".join(words)), "parse,depparse,natlog,relation,coref").collect()}
+        took[n] = time.perf_counter() - start
+        assert got["depparse"].count("(") == len(got["natlog"].split()) == n
+        assert got["parse"].startswith("(S (NP") and "down" in got["natlog"]
+        assert got["relation"].count("Work_For") == words.count("Harvard") - (words[-1] == "Harvard")
+        assert got["coref"]
+    assert took[100_000] < 60 * max(1, took[5_000])
 
 
 def test_line_as_sentence(docs):
@@ -95,7 +104,7 @@ def test_overlapping_phrases_leftmost_then_longest(docs, spark):
     table = spark.createDataFrame(rules, "pattern string, type string")
     frame = docs("A Bachelor of Arts and a Bachelor of Laws.", "Arts and a Bachelor", "nothing")
     few = dictionary.regexner_table(frame, ["doc_id"], rules)
-    many = dictionary.regexner_table(frame, ["doc_id"], table, max_literal=0)
+    many = dictionary.regexner_table(frame, ["doc_id"], table)
     assert sorted(few.collect()) == sorted(many.collect())
     tags = [r.ner for r in few.where("doc_id = 0").orderBy("sent_idx", "tok_in_sent").collect()]
     assert tags == ["O", "DEGREE", "DEGREE", "DEGREE", "Y", "Y", "B", "O", "MISC", "O"]

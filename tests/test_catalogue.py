@@ -31,4 +31,4 @@ def test_bad_request(bad):
 
 def test_every_name_has_prerequisites_in_the_catalogue():
     assert set(PREREQUISITES) == set(CATALOGUE)
-    assert all(set(p.split()) <= set(CATALOGUE) for p in PREREQUISITES.values())
+    assert all(set(p) <= set(CATALOGUE) for p in PREREQUISITES.values())
