@@ -1,16 +1,20 @@
 """spark-submit job.py -input PATH -output PATH -functionality a,b,c [-mappers N] [-rules TSV]
-[-format lines|articles] [-line-as-sentence]"""
+[-format lines|offsets|articles] [-sink sorted|keyed|json|typed] [-line-as-sentence]
+
+Articles are keyed by their line, not by their id. Records that are no JSON go to PATH.bad and are counted."""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import run_job, validate
 from lexmill.functions import html
-from lexmill.sources import readers
+from lexmill.plans.annotate import SINKS
+from lexmill.sources import readers, sinks
 
 
 def main() -> None:
@@ -20,19 +24,26 @@ def main() -> None:
     parser.add_argument("-functionality", required=True, help="comma-separated annotators")
     parser.add_argument("-mappers", type=int, help="partitions; Spark's own choice if not given")
     parser.add_argument("-rules", help="dictionary of phrase TAB type lines")
-    parser.add_argument("-format", choices=["lines", "articles"], default="lines")
+    parser.add_argument("-format", choices=["lines", "offsets", "articles"], default="lines")
+    parser.add_argument("-sink", choices=list(SINKS), default="sorted")
     parser.add_argument("-line-as-sentence", action="store_true")
     args = parser.parse_args()
     validate(args.functionality)
 
     spark = SparkSession.builder.appName("lexmill").getOrCreate()
+    keys = ["doc_id"]
     if args.format == "lines":
         docs = readers.read_lines(spark, args.input)
+    elif args.format == "offsets":
+        docs, keys = readers.read_lines_by_offset(spark, args.input), ["path", "byte_offset"]
     else:
-        articles = readers.read_articles(spark, args.input).where("_corrupt_record IS NULL")
-        docs = articles.select(F.col("id").alias("doc_id"), html.article_text(F.col("contents")).alias("text"))
+        articles = readers.read_numbered_articles(spark, args.input)
+        bad, seen = sinks.counted(articles.where("_corrupt_record IS NOT NULL").select(F.col("_corrupt_record").alias("value")), "bad")
+        bad.write.mode("overwrite").text(args.output.rstrip("/") + ".bad")
+        print(f"{seen.get['n']} records could not be read", file=sys.stderr)
+        docs = articles.where("_corrupt_record IS NULL").select("doc_id", html.article_text(F.col("contents")).alias("text"))
     rules = readers.read_rules(spark, args.rules) if args.rules else None
-    run_job(docs, args.functionality, args.output, args.mappers, rules=rules, line_as_sentence=args.line_as_sentence)
+    run_job(docs, args.functionality, args.output, args.mappers, keys, args.sink, rules=rules, line_as_sentence=args.line_as_sentence)
     spark.stop()
 
 

@@ -170,15 +170,29 @@ def annotate_with_model(docs: DataFrame, factory: Callable[[], Callable[[pd.Data
 
 
 def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers: int | None = None,
-            key: str = "doc_id", **options) -> None:
-    """Annotates and writes one directory of sorted text files per annotator.
-
-    The documents are range-partitioned by key before they are annotated: the pass that samples the keys
-    then scans documents but annotates none, the shuffle carries text and not its many annotations, and
-    every task writes a sorted run of each annotator, so no annotator is confined to one writer."""
+            keys: list[str] | str = "doc_id", sink: str = "sorted", **options) -> None:
+    """Annotates and writes: one directory of sorted text files per annotator (`sorted`), lines with the annotator and
+    the last key (`keyed`), JSON objects (`json`) or typed Parquet (`typed`).
+
+    For sorted output the documents are range-partitioned by key before they are annotated: the pass that samples the
+    keys then scans documents but annotates none, the shuffle carries text and not its many annotations, and
+    every task writes a sorted run of each annotator, so no annotator is confined to one writer. Chains and dictionaries
+    that are tables shuffle by document anyway: with them only the results are ranged. The other sinks range nothing."""
     names = validate(functionality)
-    ordered = docs.repartitionByRange(*([mappers] if mappers else []), key)
-    results = annotate(ordered, names, keys=key, **options)
-    # Chains and dictionaries that are tables shuffle by document, so their results are ranged anew.
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if sink not in SINKS:
+        raise ValueError(f"No such sink: {sink}")
+    if sink != "sorted":
+        SINKS[sink](annotate(docs, names, keys=keys, mappers=mappers, **options), path, keys)
+        return
     ranged = not set(names) & set(CHAINS) and not isinstance(options.get("rules"), DataFrame)
-    sinks.write_by_functionality(results, path, key, mappers, ranged)
+    ordered = docs.repartitionByRange(*([mappers] if mappers else []), *keys) if ranged else docs
+    sinks.write_by_functionality(annotate(ordered, names, keys=keys, **options), path, keys, mappers, ranged)
+
+
+SINKS = {
+    "sorted": None,
+    "keyed": lambda results, path, keys: sinks.write_keyed(results, path, keys[-1]),
+    "json": lambda results, path, keys: sinks.write_json(results, path),
+    "typed": lambda results, path, keys: sinks.write_typed(results, path),
+}

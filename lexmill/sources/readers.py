@@ -80,6 +80,14 @@ def read_articles(spark: SparkSession, path) -> DataFrame:
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
+def read_numbered_articles(spark: SparkSession, path) -> DataFrame:
+    """`doc_id, id, contents, _corrupt_record`: as `read_articles`, with the line number as key, since an article's own
+    id may be missing or given twice."""
+    schema = ARTICLES + ", _corrupt_record string"
+    record = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return read_lines(spark, path).where("trim(text) != ''").select("doc_id", record.alias("r")).select("doc_id", "r.*")
+
+
 def read_rules(spark: SparkSession, path) -> DataFrame:
     """`pattern, type` from lines `phrase TAB type`."""
     return (spark.read.csv(path, sep="\t", schema="pattern string, type string", quote="")

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
-def write_by_functionality(results: DataFrame, path: str, key: str = "doc_id", n: int | None = None,
+def write_by_functionality(results: DataFrame, path: str, keys: list[str] | str = "doc_id", n: int | None = None,
                            ranged: bool = False) -> None:
-    """`path/functionality=<name>/part-*`, sorted by key within and across the parts; the key is dropped.
+    """`path/functionality=<name>/part-*`, sorted by key within and across the parts; the keys are dropped.
 
     An annotator's rows are range-partitioned by key as well, so they fill many tasks. `ranged` says the
     rows already come in key ranges, and saves that shuffle."""
+    keys = [keys] if isinstance(keys, str) else keys
     if not ranged:
-        results = results.repartitionByRange(*([n] if n else []), "functionality", key)
-    (results.sortWithinPartitions("functionality", key).select("functionality", "result")
+        results = results.repartitionByRange(*([n] if n else []), "functionality", *keys)
+    (results.sortWithinPartitions("functionality", *keys).select("functionality", "result")
      .write.mode("overwrite").partitionBy("functionality").text(path))
 
 

@@ -161,3 +161,27 @@ def test_bad_markup_is_linear(docs):
     start = time.perf_counter()
     frame.select(html.html_to_text(F.col("text"), ("script", "style"))).collect()
     assert time.perf_counter() - start < 8
+
+
+def test_job_keeps_articles_apart(spark, tmp_path, monkeypatch):
+    """Missing and repeated ids, a bad line, and the keyed sink with byte offsets."""
+    import json
+    import sys
+
+    import job
+    lines = [json.dumps({"id": i, "contents": [{"type": "sanitized_html", "content": t}]}) for i, t in (
+        (None, "Barack Obama spoke. He left."), (None, "Angela Merkel spoke. He left."), ("a", "Tom Lee won."), ("a", "Tom Lee lost."))]
+    write(tmp_path / "in.json", "\n".join([*lines, "{no json"]).encode())
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    monkeypatch.setattr(sys, "argv", ["job", "-input", str(tmp_path / "in.json"), "-output", str(tmp_path / "out"), "-functionality", "coref,pos",
+                                      "-format", "articles", "-sink", "json"])
+    job.main()
+    got = sorted((r.functionality, r.doc_id, r.result) for r in spark.read.json(str(tmp_path / "out")).collect())
+    assert [x[:2] for x in got] == [(f, i) for f in ("coref", "pos") for i in range(4)]
+    assert "Barack Obama" in got[0][2] and "Angela" not in got[0][2] and "Angela Merkel" in got[1][2]
+    assert lines_of(tmp_path / "out.bad") == ["{no json"]
+    write(tmp_path / "t.txt", b"One dog.\nTwo cats.\n")
+    monkeypatch.setattr(sys, "argv", ["job", "-input", str(tmp_path / "t.txt"), "-output", str(tmp_path / "keyed"), "-functionality", "tokenize",
+                                      "-format", "offsets", "-sink", "keyed"])
+    job.main()
+    assert sorted(lines_of(tmp_path / "keyed")) == ["(tokenize, 0)\tOne dog .", "(tokenize, 9)\tTwo cats ."]
