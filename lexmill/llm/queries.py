@@ -1,4 +1,4 @@
-"""The operators over the tables they are meant for, and SQL for those that SQL can express."""
+"""The operators over the tables they are meant for; their SQL is in oracle.py."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, repeats, secrets, sharding, simhash
 from lexmill.llm.common import documents, shared_folder
+from lexmill.llm.oracle import oracle_sql
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +57,9 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+__all__ = ["oracle_sql", "queries"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe, op2_repeats, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
