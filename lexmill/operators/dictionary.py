@@ -82,18 +82,23 @@ def matches(sentences: DataFrame, keys: list[str], rules: DataFrame) -> DataFram
     return found.select(*where, F.expr(tagging.non_overlapping("candidates")).alias("spans"))
 
 
-def tagged_sentences(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", **options) -> DataFrame:
-    """Keys, `sent_idx`, `toks` and `ner` after the dictionary."""
+def tagged_sentences(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", gazetteer=None, **options) -> DataFrame:
+    """Keys, `sent_idx`, `toks` and `ner` after the gazetteer and then the dictionary, either one a list or a table;
+    `rules=()` is no dictionary. After a table, a list is read as one too, since it comes later."""
     few = literal_rules(rules)
-    if few is not None:
-        rows = sentence_rows(docs, keys, ["ner"], text_col, rules=few, **options)
-        return rows.select(*keys, "sent_idx", "s.toks", "s.ner")
-    rows = sentence_rows(docs, keys, ["ner"], text_col, **options)
-    found = matches(sentence_rows(docs, keys, [], text_col, **options), keys, rules)
-    same = [rows[c].eqNullSafe(found[c]) for c in [*keys, "sent_idx"]]
-    joined = rows.join(found, reduce(and_, same), "left").select(*[rows[c] for c in rows.columns], "spans")
-    joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast(tagging.SPANS)))
-    return joined.select(*keys, "sent_idx", "s.toks", F.expr(tagging.override("s.ner", "spans")).alias("ner"))
+    tables = [t for t in (gazetteer, rules) if isinstance(t, DataFrame)]
+    if isinstance(gazetteer, DataFrame):
+        tables += [docs.sparkSession.createDataFrame(few, "pattern string, type string")] if few else []
+        few, gazetteer = [], []
+    rows = sentence_rows(docs, keys, ["ner"], text_col, rules=few or [], gazetteer=gazetteer, **options)
+    rows = rows.select(*keys, "sent_idx", "s.toks", "s.ner")
+    for table in tables:
+        found = matches(sentence_rows(docs, keys, [], text_col, **options), keys, table)
+        same = [rows[c].eqNullSafe(found[c]) for c in [*keys, "sent_idx"]]
+        joined = rows.join(found, reduce(and_, same), "left").select(*[rows[c] for c in rows.columns], "spans")
+        joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast(tagging.SPANS)))
+        rows = joined.select(*keys, "sent_idx", "toks", F.expr(tagging.override("ner", "spans")).alias("ner"))
+    return rows
 
 
 def regexner_table(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", **options) -> DataFrame:

@@ -112,7 +112,8 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
     """Rows `(functionality, *keys, result)`, one per requested annotator and document.
 
     `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when
-    `regexner` is requested, and then to `ner` too. `cleanxml` cleans the text of every annotator.
+    `regexner` is requested, and then to `ner` too. So is `gazetteer` for `ner`; as a table it is for `ner` and
+    `regexner`, and the annotators that build on entities keep the small built-in one. `cleanxml` cleans the text of every annotator.
     `tokenize` and `cleanxml` skip documents without tokens, the others give an empty string.
     With `line_as_sentence` a row is one sentence and results are printed as lists.
     `keys` must identify a document."""
@@ -124,10 +125,11 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         docs = spread(docs, mappers)
 
     few = dictionary.literal_rules(rules) if "regexner" in names else []
-    by_join = [] if few is not None else [n for n in names if n in ("ner", "regexner")]
+    tables = few is None or isinstance(gazetteer, DataFrame)
+    by_join = [n for n in names if n in ("ner", "regexner")] if tables else []
     by_chain = [n for n in names if n in CHAINS]
     local = [n for n in names if n not in by_join and n not in by_chain]
-    options = {"gazetteer": gazetteer}
+    options = {"gazetteer": None if isinstance(gazetteer, DataFrame) else gazetteer}
     clean_first = {"cleanxml": "cleanxml" in names}
 
     frames = []
@@ -148,7 +150,7 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         chains = coreference.chain_results(docs, keys, mode, text_col, **clean_first, **options)
         frames.append(chains.select(F.lit(mode).alias("functionality"), *keys, "result"))
     if by_join:
-        tagged = dictionary.tagged_sentences(docs, keys, rules, text_col, **clean_first, **options)
+        tagged = dictionary.tagged_sentences(docs, keys, rules if "regexner" in names else (), text_col, gazetteer, **clean_first)
         per_doc = tagged.groupBy(*keys).agg(F.array_join(F.flatten(F.transform(
             F.array_sort(F.collect_list(F.struct("sent_idx", "ner"))), lambda x: x.ner)), " ").alias("result"))
         per_doc = docs.select(*keys).join(per_doc, keys, "left")

@@ -136,7 +136,11 @@ def phrases(name: str, rules, source: str) -> list[str]:
     ]
 
 
-def entities(source: str = "pos", rules=None) -> list[str]:
+OPENINGS = ("""SELECT DISTINCT p, 2, 0, 'OPENING' FROM (SELECT regexp_extract(text, '^(\\p{L}+ \\p{L}+)(?:[ .,]|$)', 1) AS p FROM docs)
+            WHERE p <> ''""", 2)
+
+
+def entities(source: str = "pos", rules=None, gazetteer=L.GAZETTEER) -> list[str]:
     """`ner({source}.*, ner)`."""
     shape = case([
         ("s.pos = 'CD' AND token LIKE '$%'", "'MONEY'"),
@@ -149,7 +153,7 @@ def entities(source: str = "pos", rules=None) -> list[str]:
     on = "{0}.doc_id = s.doc_id AND {0}.sent_idx = s.sent_idx AND s.t >= {0}.b AND s.t < {0}.e"
     join = f"LEFT JOIN gaz g ON {on.format('g')}" + (f" LEFT JOIN dict d ON {on.format('d')}" if rules else "")
     return [
-        *phrases("gaz", L.GAZETTEER, source),
+        *phrases("gaz", gazetteer, source),
         *(phrases("dict", rules, source) if rules else []),
         f"ner AS MATERIALIZED (SELECT s.*, coalesce({'d.type, ' if rules else ''}g.type, {shape}) AS ner FROM {source} s {join})",
     ]
@@ -394,9 +398,8 @@ def oracle_sql() -> dict[str, str]:
         "lemma": select(LEM, "SELECT doc_id, sent_idx, t AS tok_in_sent, token, lemma FROM lem"),
         "ner": select(POS + entities(), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
         "regexner": select(POS + entities(rules=fixtures.RULES), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
-        "regexner_join": select(POS + entities(rules=(
-            """SELECT DISTINCT p, 2, 0, 'OPENING' FROM (SELECT regexp_extract(text, '^(\\p{L}+ \\p{L}+)(?:[ .,]|$)', 1) AS p FROM docs)
-            WHERE p <> ''""", 2)), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
+        "regexner_join": select(POS + entities(rules=OPENINGS), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
+        "ner_gazetteer": select(POS + entities(gazetteer=OPENINGS), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
         "regexner_rules": select(POS + entities(rules=[
             ("Barack Obama", "ABLE"), ("Bachelor of Arts", "DEGREE"), ("Harvard", "H"), ("New York City", "CITY"), ("of Arts", "TAIL"), ("the", "FREQUENT")]),
             """SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner, form FROM ner, (VALUES ('list'), ('table')) forms(form)"""),

@@ -76,6 +76,12 @@ def regexner(spark, sf_dir):
     return dictionary.regexner_table(corpus(spark, sf_dir), KEY, fixtures.RULES)
 
 
+def ner_gazetteer(spark, sf_dir):
+    """Names from a table drawn from the documents."""
+    docs = corpus(spark, sf_dir)
+    return dictionary.regexner_table(docs, KEY, (), gazetteer=openings(docs))
+
+
 def regexner_rules(spark, sf_dir):
     """Rules with ties, nulls, odd blanks and a frequent word, once as a list and once as a table."""
     docs = corpus(spark, sf_dir)
@@ -225,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "regexner": regexner,
         "regexner_join": regexner_join,
         "regexner_rules": regexner_rules,
+        "ner_gazetteer": ner_gazetteer,
         "natlog": token_layer("pol"),
         "sentiment": table(documents.sentiments_table),
         "doc_sentiment": table(documents.document_sentiments),

@@ -110,6 +110,14 @@ def test_overlapping_phrases_leftmost_then_longest(docs, spark):
     assert tags == ["O", "DEGREE", "DEGREE", "DEGREE", "Y", "Y", "B", "O", "MISC", "O"]
 
 
+def test_gazetteer_as_a_table(docs, spark):
+    names = spark.createDataFrame([("red fox", "ANIMAL"), ("fox", "X"), (None, "Y")], "pattern string, type string")
+    frame = docs("A red fox of Harvard.", None, "fox")
+    got = {(r.functionality, r.doc_id): r.result for r in annotate(frame, "ner,regexner,pos", rules=[("fox of", "RULE")], gazetteer=names).collect()}
+    assert got["ner", 0] == "O ANIMAL RULE RULE MISC O" and got["ner", 2] == "X" and got["ner", 1] == ""
+    assert {r.result for r in annotate(frame, "ner", gazetteer=names).collect()} == {"O ANIMAL ANIMAL O MISC O", "", "X"}
+
+
 def test_large_dictionary_through_annotate(docs, spark):
     rules = spark.range(1500).select(F.concat(F.lit("word"), F.col("id")).alias("pattern"), F.lit("W").alias("type"))
     got = {(r.functionality, r.doc_id): r.result for r in annotate(docs("word7 word1600 word12.", ""), "regexner,ner,pos", rules=rules).collect()}
