@@ -14,7 +14,7 @@ last. Two equal strings have equal anchors at the same place, so their contexts
    must hold them all.
 4. What was found goes back to the blocks, where bytes are removed.
 
-Documents are dealt out once; the first, third and fourth steps read the same exchange. Hashes of contexts have 88 bits.
+Documents are dealt out once: the first, third and fourth steps read the same exchange, in one plan. Hashes of contexts have 88 bits.
 """
 
 from __future__ import annotations
@@ -25,19 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import rolling_hash, saved, utf8
+from lexmill.llm.common import rolling_hash, utf8
 from lexmill.llm.suffixes import common_prefixes, suffix_array
 
 LENGTH = 50
 GRAM = 16
-#: Bytes of text in a block, hashes in a bucket, contexts in a shard, about.
+#: Bytes of text in a block, hashes in a bucket, about; and bytes of the input for each shard, which gets less than half
+#: as much, since only contexts that differ from others of their anchor come to a shard.
 BLOCK = 4 << 20
 BUCKET = 1 << 20
-SHARD = 30_000
+SHARD = 4 << 20
 HOT = 2_000
 LAST = (1 << 63) - 1  # stands for a null id, which comes after all others
 ALL = -1
@@ -148,7 +150,7 @@ def list_contexts(buckets: int, length: int):
 def resolve(hot: int):
     """Step 2. For each block: the keys of contexts that go whole, and those whose bytes are asked for (with their place
     in the shards: by anchor, or string by string)."""
-    schema = pa.schema({"block": pa.int64(), "whole": pa.binary(), "asked": pa.binary(), "spread": pa.binary(), "n_asked": pa.int64()})
+    schema = pa.schema({"block": pa.int64(), "whole": pa.binary(), "asked": pa.binary(), "spread": pa.binary()})
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -173,7 +175,7 @@ def resolve(hot: int):
             gone = at[whole[at]]
             if len(ask) or len(gone):
                 rows.append({"block": b, "whole": squeezed(np.sort(keys[gone]), 8), "asked": squeezed(keys[ask], 8),
-                             "spread": (several[group[ask]] > hot).astype(np.uint8).tobytes(), "n_asked": len(ask)})
+                             "spread": (several[group[ask]] > hot).astype(np.uint8).tobytes()})
         return pa.Table.from_pylist(rows, schema)
     return run
 
@@ -182,12 +184,13 @@ def gathered(table: pa.Table, column: str, width: int = 8) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint64), *(unsqueezed(x, width) for x in table.column(column).to_pylist())])
 
 
-FETCHED = "shard long, block long, context long, rank long, at int, bytes binary"
+FETCHED = "shard long, block long, contexts binary, ranks binary, places binary, sizes binary, bytes binary"
 
 
 def fetch(shards: int, length: int):
     """Step 3, in the blocks: the bytes of contexts that are asked for, by the document of the smallest id."""
-    schema = pa.schema({"shard": pa.int64(), "block": pa.int64(), "context": pa.int64(), "rank": pa.int64(), "at": pa.int32(), "bytes": pa.binary()})
+    names = ("contexts", "ranks", "places", "sizes", "bytes")
+    schema = pa.schema({"shard": pa.int64(), "block": pa.int64()} | dict.fromkeys(names, pa.binary()))
 
     def run(block: tuple, docs: pa.Table, asked: pa.Table) -> pa.Table:
         wanted = gathered(asked, "asked")
@@ -202,16 +205,22 @@ def fetch(shards: int, length: int):
         mine = np.flatnonzero(wanted[at] == keys)
         mine = mine[np.lexsort((ranks[found.doc[mine]], keys[mine]))]
         mine = mine[np.concatenate(([True], keys[mine][1:] != keys[mine][:-1]))] if len(mine) else mine
-        whole, rows = data.tobytes(), []
-        for i in mine.tolist():
-            a, n = int(found.first[i]), int(found.count[i])
-            same = {"block": block[0].as_py(), "context": int(keys[i].view(np.int64)), "rank": int(ranks[found.doc[i]])}
-            if not spread[at[i]]:
-                rows.append(same | {"shard": int(found.anchor[i] % np.uint64(shards)), "at": 0, "bytes": whole[a:a + n - 1 + length]})
-                continue
-            for k in range(n):
-                string = whole[a + k:a + k + length]
-                rows.append(same | {"shard": int.from_bytes(hashlib.blake2b(string, digest_size=6).digest()) % shards, "at": k, "bytes": string})
+        whole = data.tobytes()
+        spread = spread[at[mine]].astype(bool)
+        starts, sizes = found.first[mine], found.count[mine] - 1 + length
+        pieces = np.where(spread, found.count[mine], 1)  # a string each
+        owner = np.repeat(np.arange(len(mine)), pieces)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts, sizes = starts[owner] + place, np.where(spread[owner], length, sizes[owner])
+        strings = [whole[a:a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        shard = (found.anchor[mine][owner] % np.uint64(shards)).astype(np.int64)
+        for i in np.flatnonzero(spread[owner]).tolist():
+            shard[i] = xxhash.xxh3_64_intdigest(strings[i]) % shards
+        rows, pack = [], zstandard.ZstdCompressor(level=1)
+        for s, own in parts_of(shard):
+            rows.append({"shard": s, "block": block[0].as_py(), "contexts": squeezed(keys[mine][owner[own]], 8),
+                         "ranks": squeezed(ranks[found.doc[mine]][owner[own]].astype(np.int64), 8), "places": squeezed(place[own], 8),
+                         "sizes": squeezed(sizes[own], 8), "bytes": pack.compress(b"".join([strings[i] for i in own]))})
         return pa.Table.from_pylist(rows, schema)
     return run
 
@@ -222,30 +231,30 @@ def sort_shard(length: int):
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        strings = table.column("bytes").to_pylist()
-        sizes = np.array([len(x) + 1 for x in strings], np.int64)
+        contexts, ranks, places, lengths = (gathered(table, c).astype(np.int64) for c in ("contexts", "ranks", "places", "sizes"))
+        blocks = np.repeat(table.column("block").to_numpy(), [len(unsqueezed(x, 8)) for x in table.column("places").to_pylist()])
+        unpack = zstandard.ZstdDecompressor()
+        data = np.frombuffer(b"".join(map(unpack.decompress, table.column("bytes").to_pylist())), np.uint8)
+        sizes = lengths + 1  # with a sign that parts the strings and that none of them has
         bounds = np.concatenate(([0], np.cumsum(sizes)))
-        text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64)
-        text += 2
-        text[bounds[1:] - 1] = 1  # parts the strings; no string has it
-        text = np.append(text, 0)
+        text = np.ones(bounds[-1] + 1, np.int64)
+        text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), lengths)] = data.astype(np.int64) + 2
+        text[-1] = 0
         order = suffix_array(text)
         shared = common_prefixes(text, order, length)
-        owner = np.repeat(np.arange(len(strings)), sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(text) - 1) - bounds[owner]
         full = place + length < sizes[owner]
         order = order[order < len(text) - 1]
         run_of = np.cumsum(shared[order] < length) - 1
-        ranks = table.column("rank").to_numpy()
         least = np.full(run_of[-1] + 1, LAST, np.int64)
         mine = ranks[owner[order]]
         np.minimum.at(least, run_of[full[order]], mine[full[order]])
         hit = order[full[order] & (mine > least[run_of])]
-        bits = np.zeros(len(strings), np.uint64)
-        np.bitwise_or.at(bits, owner[hit], np.uint64(1) << (place[hit] + table.column("at").to_numpy()[owner[hit]]).astype(np.uint64))
+        bits = np.zeros(len(sizes), np.uint64)
+        np.bitwise_or.at(bits, owner[hit], np.uint64(1) << (place[hit] + places[owner[hit]]).astype(np.uint64))
         some = np.flatnonzero(bits)
-        return pa.Table.from_arrays([pa.array(table.column("block").to_numpy()[some]), pa.array(table.column("context").to_numpy()[some]),
-                                     pa.array(bits[some].view(np.int64))], schema=schema)
+        return pa.Table.from_arrays([pa.array(blocks[some]), pa.array(contexts[some]), pa.array(bits[some].view(np.int64))], schema=schema)
     return run
 
 
@@ -314,9 +323,9 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("rank"), F.lit(blocks)))
     by_block = dealt.groupBy("block")
     listed = by_block.applyInArrow(list_contexts(buckets, length), "bucket long, block long, anchors binary, hashes binary, ranks binary")
-    resolved = saved(listed.groupBy("bucket").applyInArrow(resolve(hot), "block long, whole binary, asked binary, spread binary, n_asked long"))
-    shards = max(1, math.ceil((resolved.agg(F.sum("n_asked")).first()[0] or 0) / SHARD))
-    fetched = by_block.cogroup(resolved.where("n_asked > 0").groupBy("block")).applyInArrow(fetch(shards, length), FETCHED)
+    resolved = listed.groupBy("bucket").applyInArrow(resolve(hot), "block long, whole binary, asked binary, spread binary")
+    shards = max(1, math.ceil(total / SHARD))
+    fetched = by_block.cogroup(resolved.select("block", "asked", "spread").groupBy("block")).applyInArrow(fetch(shards, length), FETCHED)
     strings = fetched.groupBy("shard").applyInArrow(sort_shard(length), "block long, context long, bits long")
     found = (resolved.select("block", "whole", F.lit(None).cast("long").alias("context"), F.lit(None).cast("long").alias("bits"))
              .union(strings.select("block", F.lit(None).cast("binary"), "context", "bits")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Up to so many symbols, a scan goes bucket by bucket over whole arrays; beyond, entry by entry.
+#: Up to so many symbols, suffixes are induced, in scans that go bucket by bucket over whole arrays.
 WIDE = 600
 
 
@@ -65,35 +65,39 @@ def induce_wide(text: np.ndarray, is_s: np.ndarray, heads: np.ndarray, tails: np
     return out
 
 
-def induce_long(text: list[int], is_s: list[bool], heads: list[int], tails: list[int], lms: list[int]) -> np.ndarray:
-    """The same, entry by entry."""
-    out = [-1] * len(text)
-    back = [t - 1 for t in tails]
-    for i in reversed(lms):
-        c = text[i]
-        out[back[c]] = i
-        back[c] -= 1
-    front = list(heads)
-    for i in range(len(out)):
-        j = out[i] - 1
-        if j >= 0 and not is_s[j]:
-            c = text[j]
-            out[front[c]] = j
-            front[c] += 1
-    back = [t - 1 for t in tails]
-    for i in range(len(out) - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and is_s[j]:
-            c = text[j]
-            out[back[c]] = j
-            back[c] -= 1
-    return np.array(out, np.int64)
+def by_doubling(numbers: np.ndarray) -> np.ndarray:
+    """The order of suffixes of a sequence, by doubling the length that is compared; only what is not settled yet is
+    compared again. For many numbers, where a scan bucket by bucket or entry by entry is slow."""
+    n = len(numbers)
+    rank = np.unique(numbers, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(rank, kind="stable")
+    rank = np.searchsorted(rank[order], rank)  # the first place of a group of equals
+    step = 1
+    while True:
+        sorted_ranks = rank[order]
+        alone = np.concatenate(([True], sorted_ranks[1:] != sorted_ranks[:-1]))
+        alone &= np.concatenate((alone[1:], [True]))
+        open_ = order[~alone]
+        if not len(open_):
+            return order
+        behind = np.full(len(open_), -1, np.int64)
+        inside = open_ + step < n
+        behind[inside] = rank[open_[inside] + step]
+        key = rank[open_] * (n + 1) + behind + 1
+        by_key = np.argsort(key, kind="stable")
+        open_, key = open_[by_key], key[by_key]
+        places = np.flatnonzero(~alone)
+        order[places] = open_
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[open_] = places[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        step *= 2
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """text: symbols from 0 without a large gap; the last one is smaller than all others. Suffixes are classed, the
-    leftmost-S substrings sorted by induction and numbered, the numbers sorted by this function itself unless all
-    differ, and the order of all suffixes induced from that of the leftmost-S ones."""
+    leftmost-S substrings sorted by induction and numbered, the numbers sorted in turn (by this function itself while
+    they are few, else by doubling) unless all differ, and the order of all suffixes induced from that of the leftmost-S
+    ones."""
     n = len(text)
     if n < 3:
         return np.argsort(text, kind="stable")
@@ -101,14 +105,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     tails = np.cumsum(np.bincount(text))
     heads = np.concatenate(([0], tails[:-1]))
-    if len(tails) <= WIDE:
-        def induce(starts):
-            return induce_wide(text, is_s, heads, tails, starts)
-    else:
-        lists = text.tolist(), is_s.tolist(), heads.tolist(), tails.tolist()
-
-        def induce(starts):
-            return induce_long(*lists, starts.tolist())
+    if len(tails) > WIDE:
+        return by_doubling(text)
+
+    def induce(starts):
+        return induce_wide(text, is_s, heads, tails, starts)
     order = induce(lms)
     mark = np.zeros(n, bool)
     mark[lms] = True
@@ -135,19 +136,24 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """In text order (permuted): how much each suffix has in common with the one before it in order, up to most."""
-    before = np.empty(len(text), np.int64)
+    """In text order (permuted): how much each suffix has in common with the one before it in order, up to most. Four
+    symbols are compared at a time; symbols are below 65536, and what lies beyond the text is like no symbol."""
+    n = len(text)
+    padded = np.concatenate((text.astype(np.uint64) + np.uint64(1), np.zeros(most + 8, np.uint64)))
+    words = padded.copy()
+    for k in (1, 2, 3):
+        words[:-k] |= padded[k:] << np.uint64(16 * k)
+    before = np.empty(n, np.int64)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
-    out = np.zeros(len(text), np.int64)
+    out = np.zeros(n, np.int64)
     open_ = np.flatnonzero(before >= 0)
     k = 0
     while len(open_) and k < most:
-        x, y = open_ + k, before[open_] + k
-        inside = (x < len(text)) & (y < len(text))
-        open_, x, y = open_[inside], x[inside], y[inside]
-        same = text[x] == text[y]
-        k += 1
-        open_ = open_[same]
-        out[open_] = k
-    return out
+        unlike = words[np.minimum(open_ + k, n)] ^ words[np.minimum(before[open_] + k, n)]
+        equal = np.where(unlike == 0, 4, np.where(unlike & np.uint64(0xFFFFFFFFFFFF) == 0, 3, np.where(
+            unlike & np.uint64(0xFFFFFFFF) == 0, 2, np.where(unlike & np.uint64(0xFFFF) == 0, 1, 0))))
+        out[open_] = k + equal
+        open_ = open_[unlike == 0]
+        k += 4
+    return np.minimum(out, most)
