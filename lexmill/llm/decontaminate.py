@@ -20,6 +20,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,7 @@ from lexmill.llm.common import blocks
 
 WINDOW = 10
 SAMPLE = 8
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Bytes of benchmark text that are searched in one pass.
 PART_BYTES = 8 << 20
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -232,7 +233,7 @@ def search_part(part: Part, text: str, name: str):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-          window: int = WINDOW, name: str = "leak", part_bytes: int = PART_BYTES) -> DataFrame:
+          window: int = WINDOW, name: str = "leak", part_bytes: int = PART_BYTES, then=None, schema: T.StructType | None = None) -> DataFrame:
     """The documents, all columns, with a column name: n_words; spans (words from first to before stop, merged); items
     (ids of benchmark items as sorted strings); long (a hit of a full window, not only of a shorter item).
 
@@ -246,7 +247,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
     out = docs.withColumn(name, F.lit(None).cast(LEAK))
     for i in range(parts):
         own = items.where(F.pmod(F.xxhash64("name", "body"), F.lit(parts)) == i).collect()  # about part_bytes
-        out = out.mapInArrow(search_part(Part([(r.name, r.body.encode()) for r in own], window), text, name), out.schema)
+        search = search_part(Part([(r.name, r.body.encode()) for r in own], window), text, name)
+        if then and i == parts - 1:
+            return out.mapInArrow(lambda batches, search=search: then(search(batches)), schema)
+        out = out.mapInArrow(search, out.schema)
     return out
 
 
@@ -275,6 +279,15 @@ def cut(found: DataFrame, text: str = "text", name: str = "leak") -> DataFrame:
     return found.mapInArrow(lambda batches: without_spans(batches, text, name), schema)
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "__leak", **options) -> DataFrame:
+    """The documents without those that have a full window of an item, and without the words of shorter items."""
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            long = pa.array([x["long"] for x in batch.column(name).to_pylist()], pa.bool_())
+            yield from without_spans(iter([batch.filter(pa.compute.invert(long))]), text, name)
+    return leaks(docs, benchmark, text, name=name, then=finish, schema=docs.drop(name).schema, **options)
+
+
 def report(found: DataFrame, doc_id: str = "doc_id", name: str = "leak") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     leak = F.col(name)
