@@ -19,6 +19,7 @@ Documents are dealt out once: the first, third and fourth steps read the same ex
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -39,6 +40,7 @@ GRAM = 16
 #: as much, since only contexts that differ from others of their anchor come to a shard.
 BLOCK = 4 << 20
 BUCKET = 1 << 20
+PIECE = 1 << 18
 SHARD = 4 << 20
 HOT = 2_000
 LAST = (1 << 63) - 1  # stands for a null id, which comes after all others
@@ -62,41 +64,57 @@ def key(anchor: np.ndarray, context: np.ndarray) -> np.ndarray:
         return mixed(anchor * np.uint64(0xD6E8FEB86659FD93) + context)
 
 
+@functools.cache
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of POWER and of its inverse from 1 on."""
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(size, POWER)), np.cumprod(np.full(size, INVERSE))
+
+
 class Contexts:
-    """The contexts of a block of texts: where each begins and how many strings it has; its text; its hashes."""
+    """The contexts of a block of texts: where each begins and how many strings it has; its text; its hashes. Texts are
+    looked at in pieces that stay in a processor's cache; a longer text is a piece of its own."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, length: int):
         none = np.empty(0, np.int64)
-        self.first, self.count, self.doc, self.anchor, self.hash = none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-        hashes = rolling_hash(data, GRAM)
-        span = length - GRAM + 1
-        if len(hashes) < span:
-            return
-        least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-        width = 1
-        while 2 * width <= span:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        least = np.minimum(least[:len(least) - (span - width)], least[span - width:]) if span > width else least
-        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        sizes = np.diff(bounds)
-        room = np.maximum(0, sizes - length + 1)
-        doc = np.repeat(np.arange(len(sizes)), room)
-        starts = np.arange(len(doc)) - np.repeat(np.cumsum(room) - room, room) + bounds[:-1][doc]
-        if not len(starts):
-            return
-        at = at[starts]
-        new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]))))
-        self.first, self.doc = starts[new], doc[new]
-        self.count = np.diff(np.append(new, len(starts)))
-        stop = self.first + self.count - 1 + length
-        with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(len(data), POWER))
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(RANDOM[data] * powers)))
-            back = np.cumprod(np.full(len(data), INVERSE))
-            raw = (sums[stop] - sums[self.first]) * back[self.first] + (stop - self.first).astype(np.uint64)
-        self.anchor = mixed(hashes[at[new]]) & M40
-        self.hash = mixed(raw) & M48
+        found = [(none, none, none, none.astype(np.uint64), none.astype(np.uint64))]
+        i = 0
+        while i < len(bounds) - 1:
+            stop = max(i + 1, int(np.searchsorted(bounds, bounds[i] + PIECE, side="right")) - 1)
+            first, count, doc, anchor, context = contexts_of(data[bounds[i]:bounds[stop]], bounds[i:stop + 1] - bounds[i], length)
+            found.append((first + bounds[i], count, doc + i, anchor, context))
+            i = stop
+        self.first, self.count, self.doc, self.anchor, self.hash = map(np.concatenate, zip(*found, strict=True))
+
+
+def contexts_of(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    hashes = rolling_hash(data, GRAM)
+    span = length - GRAM + 1
+    if len(hashes) < span:
+        none = np.empty(0, np.int64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+    least = hashes & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(hashes), dtype=np.uint64)  # of equal hashes the first
+    width = 1
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[:len(least) - (span - width)], least[span - width:]) if span > width else least
+    # a context ends where the anchor changes, and where a text has no more strings
+    ends = np.maximum(bounds[:-1], bounds[1:] - length + 1)
+    edges = np.unique(np.concatenate((np.flatnonzero(least[1:] != least[:-1]) + 1, bounds[:-1], ends, [len(least)])))
+    edges = edges[edges <= len(least)]
+    first, stop = edges[:-1], edges[1:]
+    doc = np.searchsorted(bounds, first, side="right") - 1
+    inside = first < ends[doc]
+    first, stop, doc = first[inside], stop[inside], doc[inside]
+    after = stop - 1 + length
+    up, down = powers(max(2 * PIECE, 1 << (len(data) - 1).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(RANDOM[data] * up[:len(data)])))
+        raw = (sums[after] - sums[first]) * down[first] + (after - first).astype(np.uint64)
+    at = (least[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return first, stop - first, doc, mixed(hashes[at]) & M40, mixed(raw) & M48
 
 
 def squeezed(array: np.ndarray, width: int) -> bytes:
