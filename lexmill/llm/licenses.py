@@ -1,14 +1,16 @@
 """License scans in Spark's own functions: ordered signature rules behind a keyword filter.
 
 Every license gives a few signatures (identifier, statement, tag, address, full name), each a regular expression with a
-priority. A text is held against a license's signatures only if it has the license's keyword, and against any only if it
-has one of GATES. Detections are intervals; one that lies in another of the same or higher priority is suppressed, so
-that `lesser general public license` is not also `general public license`. Everything is a column expression: no
-shuffle, no Python, no state beyond the row.
+priority. A signature has its own needs: sets of literals, of each of which every match must contain one. A text is held
+against a signature only if it meets them, so that the filter loses no match. Detections are intervals; one that lies in
+another of the same or higher priority is suppressed, so that `lesser general public license` is not also `general
+public license`. Everything is a column expression: no shuffle, no Python, no state beyond the row.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,10 @@ from lexmill.functions.sqltext import quote
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A text is looked at further if it has one of these.
-GATES = ("licen", "spdx", ".org/")
 # The base phrases, as words, and their labels.
 BASE = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
-# Label, keyword, identifier, name, address; the last three are regular expressions over lower-case text.
+# Label, keywords (every match of the name has one), identifier, name, address; the last three are regular
+# expressions over lower-case text.
 LICENSES = (
     ("mit", "mit", r"mit", r"(?:the\s+)?mit", r"opensource\.org/licenses?/mit"),
     ("mit-0", "mit", r"mit-0", r"mit\s+no\s+attribution", r"opensource\.org/licenses?/mit-0"),
@@ -35,7 +36,7 @@ LICENSES = (
     ("gpl-2.0", "general", r"gpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu\s+)?general\s+public\s+license,?\s+(?:version|v)\.?\s*2", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
     ("gpl-3.0", "general", r"gpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu\s+)?general\s+public\s+license,?\s+(?:version|v)\.?\s*3", r"gnu\.org/licenses/gpl-3\.0"),
     ("gpl", "gpl", r"gpl", r"(?:gnu\s+)?gpl(?:\s*v?[123])?", r"gnu\.org/(?:copyleft|licenses)/gpl(?:\.html)?"),
-    ("lgpl-2.0", "lesser", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+license,?\s+(?:version|v)\.?\s*2(?:\.0)?(?!\.?\d)", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0"),
+    ("lgpl-2.0", "lesser|library", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+license,?\s+(?:version|v)\.?\s*2(?:\.0)?(?!\.?\d)", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0"),
     ("lgpl-2.1", "lesser", r"lgpl-2\.1(?:-only|-or-later|\+)?", r"(?:gnu\s+)?lesser\s+general\s+public\s+license,?\s+(?:version|v)\.?\s*2\.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
     ("lgpl-3.0", "lesser", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu\s+)?lesser\s+general\s+public\s+license,?\s+(?:version|v)\.?\s*3", r"gnu\.org/licenses/lgpl-3\.0"),
     ("lgpl", "lgpl", r"lgpl", r"(?:gnu\s+)?lgpl(?:\s*v?[23](?:\.1)?)?", r"gnu\.org/(?:copyleft|licenses)/(?:lgpl|lesser)(?:\.html)?"),
@@ -64,15 +65,15 @@ LICENSES = (
     ("cc-by-nd", "cc", r"cc-by-nd-[1-4]\.\d", r"cc[\s-]by-nd(?:\s+[1-4]\.\d)?(?![\w-])", r"creativecommons\.org/licenses/by-nd/[1-4]\.\d"),
     ("cc-by-nc-sa", "cc", r"cc-by-nc-sa-[1-4]\.\d", r"cc[\s-]by-nc-sa(?:\s+[1-4]\.\d)?(?![\w-])", r"creativecommons\.org/licenses/by-nc-sa/[1-4]\.\d"),
     ("cc-by-nc-nd", "cc", r"cc-by-nc-nd-[1-4]\.\d", r"cc[\s-]by-nc-nd(?:\s+[1-4]\.\d)?(?![\w-])", r"creativecommons\.org/licenses/by-nc-nd/[1-4]\.\d"),
-    ("ofl-1.1", "ofl", r"ofl-1\.1", r"sil\s+open\s+font\s+license|ofl", r"scripts\.sil\.org/ofl"),
-    ("psf-2.0", "python", r"(?:psf|python)-2\.0", r"python\s+software\s+foundation\s+license|python\s+license", r"docs\.python\.org/.{0,20}license"),
+    ("ofl-1.1", "ofl|font", r"ofl-1\.1", r"sil\s+open\s+font\s+license|ofl", r"scripts\.sil\.org/ofl"),
+    ("psf-2.0", "python", r"psf-2\.0|python-2\.0", r"python\s+software\s+foundation\s+license|python\s+license", r"docs\.python\.org/.{0,20}license"),
     ("php-3.01", "php", r"php-3\.0?1?", r"php\s+license", r"php\.net/license|php\.org/license"),
     ("ruby", "ruby", r"ruby", r"ruby\s+license", r"ruby-lang\.org/.{0,20}license"),
     ("postgresql", "postgresql", r"postgresql", r"postgresql\s+license", r"postgresql\.org/about/licen[cs]e"),
     ("openssl", "openssl", r"openssl", r"openssl\s+license", r"openssl\.org/source/license"),
     ("ms-pl", "microsoft", r"ms-pl", r"microsoft\s+public\s+license", r"opensource\.org/licenses?/ms-pl"),
     ("ms-rl", "microsoft", r"ms-rl", r"microsoft\s+reciprocal\s+license", r"opensource\.org/licenses?/ms-rl"),
-    ("odbl", "odbl", r"odbl-1\.0", r"odbl|open\s+database\s+license", r"opendatacommons\.org/licenses/odbl"),
+    ("odbl", "odbl|database", r"odbl-1\.0", r"odbl|open\s+database\s+license", r"opendatacommons\.org/licenses/odbl"),
     ("llama", "llama", r"llama[23](?:\.\d)?", r"llama\s+[23](?:\.\d)?\s+community\s+license", r"llama\.org/license"),
 )
 UNDER = r"(?:licen[cs]ed|released|distributed|available|published|provided)\s+under\s+(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+(?:the\s+)?)?"
@@ -80,16 +81,33 @@ LICENSE = r"\s+licen[cs]e"
 NO_MORE = r"(?![\w+-])"
 
 
-def signatures() -> list[tuple[str, str, str, int]]:
-    """(label, keyword, regular expression, priority) of every rule, in order."""
+#: The statements' words before a name.
+VERBS = ("licensed", "licenced", "released", "distributed", "available", "published", "provided")
+#: What every address has one of.
+PLACES = (".org/", "php.net/", "joinup.ec.europa.eu/", "wtfpl.or")
+#: Licenses whose name can stand without the word license.
+BARE = ("apache-1.1", "apache-2.0", "ofl-1.1", "odbl")
+Needs = tuple[tuple[str, ...], ...]
+
+
+def beginnings(pattern: str) -> tuple[str, ...]:
+    """For each alternative of a regular expression, the plain characters that all its matches begin with."""
+    plain = [re.match(r"(?:(?:\\\.|[a-z0-9/-])(?![?*{]))*", part)[0] for part in re.split(r"\|(?![^(]*\))", pattern)]
+    return tuple(x.replace("\\", "") for x in plain)
+
+
+def signatures() -> list[tuple[str, Needs, str, int]]:
+    """(label, needs, regular expression, priority) of every rule, in order."""
     out = []
-    for label, keyword, identifier, name, address in LICENSES:
+    for label, keywords, identifier, name, address in LICENSES:
+        words, tag = tuple(keywords.split("|")), beginnings(identifier)
+        suffix = "" if "licen" in name else LICENSE
         out += [
-            (label, keyword, rf"spdx-license-identifier:\s*(?:{identifier}){NO_MORE}", 4),
-            (label, keyword, rf"(?:{UNDER})(?:{name})(?:\s+licen[cs]e)?{NO_MORE}", 3),
-            (label, keyword, rf"\blicen[cs]e\s*[:=]\s*[\"']?(?:{identifier}){NO_MORE}", 3),
-            (label, keyword, rf"(?:{address})", 3),
-            (label, keyword, rf"\b(?:{name}){'' if 'licen' in name else LICENSE}{NO_MORE}", 2),
+            (label, (("spdx-license-identifier:",), tag), rf"spdx-license-identifier:\s*(?:{identifier}){NO_MORE}", 4),
+            (label, (("under",), VERBS, words), rf"(?:{UNDER})(?:{name})(?:\s+licen[cs]e)?{NO_MORE}", 3),
+            (label, (("license", "licence"), tag), rf"\blicen[cs]e\s*[:=]\s*[\"']?(?:{identifier}){NO_MORE}", 3),
+            (label, (PLACES, beginnings(address)), rf"(?:{address})", 3),
+            (label, (words,) if label in BARE else (("licen",), words), rf"\b(?:{name}){suffix}{NO_MORE}", 2),
         ]
     return out
 
@@ -101,7 +119,7 @@ def lower(text: Column) -> Column:
 NOTHING = "cast(array() AS array<struct<start:int,stop:int,priority:int,label:string>>)"
 
 
-def detections(text: str, rule: tuple[str, str, str, int]) -> str:
+def detections(text: str, rule: tuple[str, Needs, str, int]) -> str:
     """Where a rule matches the column text: (start, -stop, -priority, label). Places are summed from the lengths of the
     matches and of what lies between them. As SQL text: built of Column objects, some hundred rules take a minute."""
     label, _, pattern, priority = rule
@@ -113,13 +131,22 @@ def detections(text: str, rule: tuple[str, str, str, int]) -> str:
 
 
 def all_detections(text: str) -> Column:
-    by_keyword: dict[str, list] = {}
+    """Rules of one first need stand behind it together, and each behind the rest of its needs."""
+    def has(words):
+        return "(" + " OR ".join(f"contains({text}, {quote(word)})" for word in words) + ")"
+
+    by_need: dict[tuple[str, ...], list] = {}
     for rule in signatures():
-        by_keyword.setdefault(rule[1], []).append(rule)
-    found = [f"if(contains({text}, {quote(keyword)}), concat({', '.join(detections(text, r) for r in rules)}), {NOTHING})"
-             for keyword, rules in by_keyword.items()]
-    gate = " OR ".join(f"contains({text}, {quote(word)})" for word in GATES)
-    return F.expr(f"if({gate}, concat({', '.join(found)}), {NOTHING})")
+        by_need.setdefault(rule[1][0], []).append(rule)
+    found = []
+    for need, rules in by_need.items():
+        by_rest: dict[Needs, list] = {}
+        for rule in rules:
+            by_rest.setdefault(rule[1][1:], []).append(detections(text, rule))
+        parts = [f"concat({', '.join(x)})" if not rest else f"if({' AND '.join(map(has, rest))}, concat({', '.join(x)}), {NOTHING})"
+                 for rest, x in by_rest.items()]
+        found.append(f"if({has(need)}, concat({', '.join(parts)}), {NOTHING})")
+    return F.expr(f"concat({', '.join(found)})")
 
 
 def unsuppressed(found: Column) -> Column:

@@ -1,6 +1,9 @@
 """Base places against word lists; signatures, priority and containment on written texts."""
 
 import re
+from itertools import product
+
+from pyspark.sql import functions as F
 
 from lexmill.llm import licenses
 
@@ -44,6 +47,56 @@ def test_signatures(rows):
     assert len(licenses.signatures()) > 200
 
 
+def examples(parsed):
+    """Texts that a parsed expression matches: every alternative, and every optional part left out and put in."""
+    texts = [""]
+    for op, value in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            more = [chr(value)]
+        elif kind == "ANY":
+            more = ["x"]
+        elif kind == "IN":
+            first, what = value[0]
+            more = [{"CATEGORY_SPACE": " ", "CATEGORY_DIGIT": "1"}[str(what)] if str(first) == "CATEGORY" else chr(what[0] if str(first) == "RANGE" else what)]
+        elif kind == "SUBPATTERN":
+            more = examples(value[3])
+        elif kind == "BRANCH":
+            more = [x for part in value[1] for x in examples(part)]
+        elif kind == "MAX_REPEAT":
+            least, most, part = value
+            more = [y for n in {least, max(least, min(1, most))} for y in ([""] if n == 0 else examples(part))]
+        else:
+            assert kind in ("AT", "ASSERT_NOT"), kind
+            more = [""]
+        texts = [a + b for a, b in product(texts, more)]
+        texts = texts[:1] + texts[1:-1:len(texts) // 40 + 1] + texts[-1:] if len(texts) > 40 else texts
+    return texts
+
+
+def test_every_signature_alone(rows):
+    rules = [(label, re.compile(pattern, re.ASCII), priority) for label, _, pattern, priority in licenses.signatures()]
+    assert len(rules) == 260
+    texts = []
+    for _, pattern, _ in rules:
+        own = [x for x in examples(re._parser.parse(pattern.pattern)) if pattern.fullmatch(x)]
+        assert own, pattern.pattern
+        texts += own
+    want = {i: sorted((m.start(), -m.end(), -p, label) for label, pattern, p in rules for m in pattern.finditer(x)) for i, x in enumerate(texts)}
+    found = rows(enumerate(texts)).select("doc_id", F.array_sort(licenses.all_detections("text")).alias("found"))
+    assert {r.doc_id: [tuple(f) for f in r.found] for r in found.collect()} == want
+
+
+def test_identifiers_and_addresses_without_the_name(rows):
+    texts = {
+        "SPDX-License-Identifier: GPL-2.0-only": ("gpl-2.0", 1.0), "SPDX-License-Identifier: LGPL-2.1": ("lgpl-2.1", 1.0),
+        "license: MS-PL": ("ms-pl", 0.75), "http://creativecommons.org/licenses/by/4.0": ("cc-by", 0.75),
+        "http://creativecommons.org/publicdomain/zero/1.0": ("cc0-1.0", 0.75), "SIL Open Font License": ("ofl-1.1", 0.5),
+        "released under the Apache 2.0": ("apache-2.0", 0.75), "distributed under GPL": ("gpl", 0.75)}
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(rows(enumerate(texts))).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_plan_and_edges(spark):
     docs = spark.createDataFrame([(1, "MIT License", "low")], "id bigint, body string, low string")
     frame = licenses.scan(docs, "id", "body")
