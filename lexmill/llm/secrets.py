@@ -38,13 +38,22 @@ class Rule:
         return f"{self.kind}@{zlib.crc32(repr((self.pattern, int(self.flags), self.group, self.least)).encode()):08x}"
 
 
+LABEL = r"(?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----"
+LINE = r"(?:\r?\n|\r|\\r\\n|\\n)"
+#: A private key from BEGIN to its END, whatever stands between but other marks of five dashes. Where END is missing: its
+#: attributes, then lines that are one run of base64 and runs of 16 characters on, and the shorter run that ends them.
+#: All is taken possessively and stops before the next mark, so that keys without END stay linear.
+PEM = (rf"-----BEGIN {LABEL}(?:[^-]*+(?:-(?!----)[^-]*+)*+-{{5,}}+END {LABEL}"
+       rf"|(?:{LINE}[ \t>]*[A-Za-z][A-Za-z-]*: [^\r\n\\]*+)*+"
+       rf"(?:(?:(?:\s|\\[rn])++[A-Za-z0-9+/]{{16,}}+=*+|(?:[ \t]|{LINE})*?{LINE}[ \t]*+[A-Za-z0-9+/]++=*+(?=[ \t]*+(?:[\r\n\\]|\Z)))++"
+       rf"(?:(?:\s|\\[rn])++[A-Za-z0-9+/]++=*+)?)?+)")
 #: The first three are the base; the order settles ties. Runs are taken whole from their first character, so that no
 #: rule looks twice at a stretch.
 RULES = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE, 2, 8),
     Rule("access", r"AKIA[A-Z0-9]+", least=16),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{32,}+"),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("forge", r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}+"),
 )
