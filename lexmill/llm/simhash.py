@@ -35,16 +35,16 @@ CELL = 64
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shingle_hashes(text: bytes) -> np.ndarray:
+def shingle_hashes(text: bytes, width: int = WORDS) -> np.ndarray:
     words = text.translate(LOWER).split()  # of bytes: at space and \x09-\x0d alone
     if not words:
         return np.empty(0, np.uint64)
     line = b" ".join(words)
-    n = max(1, len(words) - WORDS + 1)
+    n = max(1, len(words) - width + 1)
     ends = np.cumsum([len(w) for w in words]) + np.arange(len(words))
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    stops = ends[min(WORDS, len(words)) - 1:].tolist()
+    stops = ends[min(width, len(words)) - 1:].tolist()
     return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[:n].tolist(), stops, strict=True)), np.uint64, n)
 
 

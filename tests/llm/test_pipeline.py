@@ -43,6 +43,18 @@ def test_one_of_each_group_stays(spark, docs):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [3, 7, 9, None]
 
 
+def test_near_copies_of_the_five_words_go(spark, docs):
+    words = [f"w{i}" for i in range(300)]
+    near, far = words[:], words[:]
+    near[150] = "other"
+    for i in range(10, 300, 20):
+        far[i] = "other"
+    table = docs((5, " ".join(words)), (6, " ".join(near)), (7, " ".join(far)))
+    assert sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, table, SF).collect()) == [5, 7]
+    pieces = [" ".join(words[:60]), " ".join(words[:25] + ["other"] + words[26:60])]  # 51 of 61 shingles
+    assert [r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(*enumerate(pieces)), SF).collect()] == [0]
+
+
 def test_leaks_go_and_short_items_are_cut(spark, docs, tmp_path):
     item = "one two three four five six seven eight nine ten eleven twelve"
     spark.createDataFrame([(1, item), (2, "short item")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
