@@ -2,8 +2,8 @@
 
 A text is addressed by its SHA-256, whatever paths and versions it stands under. The ledger is a Parquet table in a
 folder that all executors share: a row for every scan of a blob, with the versioned rules that were run and what they
-found. A scan reads only blobs that lack a rule, runs only the rules they lack, appends a row, and the findings of all
-rows go back to every path of the blob by a join. A changed pattern is a new version, and scans what it must anew.
+found. A scan reads only blobs that lack a rule, runs only the rules they lack, appends a row, and the findings of the wanted
+versions go back to every path of the blob by a join. A changed pattern is a new version, and scans what it must anew.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.common import blocks, packed
 
-LEDGER = "blob binary, rules array<string>, findings array<struct<kind:string,start:int,stop:int>>"
-FINDINGS = pa.list_(pa.struct({"kind": pa.string(), "start": pa.int32(), "stop": pa.int32()}))
+LEDGER = "blob binary, rules array<string>, findings array<struct<rule:string,start:int,stop:int>>"
+FINDINGS = pa.list_(pa.struct({"rule": pa.string(), "start": pa.int32(), "stop": pa.int32()}))
 
 
 @dataclass(frozen=True)
@@ -72,8 +72,8 @@ def scan_blobs(rules: Sequence[Rule]):
                 for i, rule, pattern in map(compiled.__getitem__, names):
                     for m in pattern.finditer(body):
                         if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                            found.append((m.start(), i, m.end(), rule.kind))
-                yield blob.as_py(), names, [{"kind": k, "start": a, "stop": b} for a, _, b, k in sorted(found)]
+                            found.append((m.start(), i, m.end(), rule.version))
+                yield blob.as_py(), names, [{"rule": k, "start": a, "stop": b} for a, _, b, k in sorted(found)]
 
     return lambda batches: packed((r for b in batches for r in rows(blocks(iter([b]), "text"))), schema)
 
@@ -82,7 +82,10 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """An empty ledger where the folder has none yet."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(LEDGER).parquet(path) if there else spark.createDataFrame([], LEDGER)
+    if not there:
+        return spark.createDataFrame([], LEDGER)
+    # Rows of findings without their rule's version, as earlier ledgers have them, count as not scanned.
+    return spark.read.schema(LEDGER).parquet(path).where("NOT exists(findings, f -> f.rule IS NULL)")
 
 
 def scan(versions: DataFrame, ledger: str, text: str = "text", rules: Sequence[Rule] = RULES, name: str = "findings") -> DataFrame:
@@ -101,11 +104,11 @@ def scan(versions: DataFrame, ledger: str, text: str = "text", rules: Sequence[R
               .where("size(todo) > 0"))
     unseen.mapInArrow(scan_blobs(rules), LEDGER).write.mode("append").parquet(ledger)
 
-    place = {r.kind: i for i, r in enumerate(rules)}
+    place = {r.version: i for i, r in enumerate(rules)}
     order = F.create_map(*[x for k, i in place.items() for x in (F.lit(k), F.lit(i))])
     current = read_ledger(spark, ledger).select("blob", "findings", F.arrays_overlap("rules", wanted).alias("used")).where("used")
-    sorted_ = F.sort_array(F.transform(F.filter(F.flatten(F.collect_list("findings")), lambda f: F.array_contains(F.lit(list(place)), f.kind)),
-                                       lambda f: F.struct(f.start, order[f.kind].alias("i"), f.stop, f.kind)))
+    sorted_ = F.sort_array(F.transform(F.filter(F.flatten(F.collect_list("findings")), lambda f: F.array_contains(F.lit(list(place)), f.rule)),
+                                       lambda f: F.struct(f.start, order[f.rule].alias("i"), f.stop, F.substring_index(f.rule, "@", 1).alias("kind"))))
     found = (current.where("size(findings) > 0").groupBy("blob")
              .agg(F.transform(F.array_distinct(sorted_), lambda f: F.struct(f.kind, f.start, f.stop)).alias("__found")))
     joined = versions.drop(name).withColumn("__blob", address).join(found.withColumnRenamed("blob", "__blob"), "__blob", "left")
