@@ -19,6 +19,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until frame has no such column."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches between rows, so that the texts of a block have about size bytes at most."""
     for batch in batches:

@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import blocks, saved
+from lexmill.llm.common import blocks, saved, unused
 
 WORDS = 3
 SEED = 42
@@ -71,16 +71,18 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but the last, which is the text; then its fingerprint."""
     for batch in blocks(batches, "text"):
-        hashes = [shingle_hashes((x or "").encode()) for x in batch.column(1).to_pylist()]
+        hashes = [shingle_hashes((x or "").encode()) for x in batch.column(batch.num_columns - 1).to_pylist()]
         prints = majority(np.concatenate(hashes), np.array([len(h) for h in hashes], np.int64)) if hashes else np.empty(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(prints.view(np.int64))], ["doc_id", "bits"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints.view(np.int64))], [*batch.schema.names[:-1], "bits"])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, bits (long) of every row; 0 where the text has no word or is null."""
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")) \
-        .mapInArrow(fingerprint_rows, "doc_id long, bits long")
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """doc_id, bits (long) of every row; 0 where the text has no word or is null. With digest, also a hash of the text."""
+    more = [F.xxhash64(F.col(text)).alias("digest")] if digest else []
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), *more, F.col(text).alias("text")) \
+        .mapInArrow(fingerprint_rows, "doc_id long, digest long, bits long" if digest else "doc_id long, bits long")
 
 
 def masks(groups: int) -> list[int]:
@@ -136,6 +138,13 @@ def components(pairs: DataFrame) -> DataFrame:
         before = state
 
 
+def rooted(prints: DataFrame, groups: int, cell: int, **least: Column) -> DataFrame:
+    """bits, root and the named minima of every distinct fingerprint; root is the same throughout a component."""
+    first = saved(prints.groupBy("bits").agg(*[c.alias(name) for name, c in least.items()]))
+    roots = components(links(first.select("bits"), groups, cell))
+    return first.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", groups: int = GROUPS, cell: int = CELL) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id (the smallest doc_id reachable over links).
 
@@ -143,9 +152,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     like any other. Every row is returned, repeated ones too; a null id is in no minimum, and a component of null ids
     alone has a null component_id. Columns other than the two named are not read."""
     prints = saved(fingerprints(docs, doc_id, text))
-    first = saved(prints.groupBy("bits").agg(F.min("doc_id").alias("lowest")))
-    roots = components(links(first.select("bits"), groups, cell))
-    rooted = first.join(roots.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    lowest = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    named = rooted.join(lowest, "root").select("bits", "component_id")
+    nodes = rooted(prints, groups, cell, lowest=F.min("doc_id"))
+    lowest = nodes.groupBy("root").agg(F.min("lowest").alias("component_id"))
+    named = nodes.join(lowest, "root").select("bits", "component_id")
     return prints.join(named, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", groups: int = GROUPS, cell: int = CELL) -> DataFrame:
+    """One row of each component, with all its columns: the smallest doc_id's, and of several texts under that id the
+    one of the smallest hash. A null id is larger than any other; a row that is there twice stays once. Texts without a
+    word, null ones too, are one component."""
+    prints = saved(fingerprints(docs, doc_id, text, digest=True))
+    nodes = rooted(prints, groups, cell, least=F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "digest")))
+    late, key, digest = unused(docs, "late", "key", "digest")
+    best = nodes.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.late").alias(late), F.coalesce("least.doc_id", F.lit(0)).alias(key), F.col("least.digest").alias(digest))
+    rows = docs.withColumns({late: F.col(doc_id).isNull(), key: F.coalesce(F.col(doc_id).cast("long"), F.lit(0)),
+                             digest: F.xxhash64(F.col(text))})
+    kept = rows.join(best, [late, key, digest], "left_semi").dropDuplicates([late, key, digest])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

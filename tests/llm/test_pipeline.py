@@ -34,25 +34,25 @@ def test_language_rejects_what_has_none(spark):
 
 
 def test_one_of_each_group_stays(spark, docs):
-    words = [f"w{i}" for i in range(300)]
+    words = [f"w{i}" for i in range(3000)]
     near = words[:]
     near[150] = "other"
-    table = docs((5, " ".join(words)), (3, " ".join(words)), (9, "apart from all others"), (9, "apart from all others"), (None, "no id"), (8, None), (7, ""))
+    table = docs((5, " ".join(words)), (3, " ".join(words)), (6, " ".join(near)), (9, "apart from all others"), (9, "apart from all others"),
+                 (9, "one id with another text"), (None, "no id"), (None, "no id"), (None, "apart from all others"), (8, None), (7, ""))
     kept = pipeline.drop_near_duplicates(spark, table, SF)
     assert kept.columns == table.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [3, 7, 9, None]
+    assert sorted(((r.doc_id, (r.text or "")[:8]) for r in kept.collect()), key=repr) == [
+        (3, "w0 w1 w2"), (7, ""), (9, "apart fr"), (9, "one id w"), (None, "no id")]
 
 
-def test_near_copies_of_the_five_words_go(spark, docs):
-    words = [f"w{i}" for i in range(300)]
-    near, far = words[:], words[:]
-    near[150] = "other"
-    for i in range(10, 300, 20):
-        far[i] = "other"
-    table = docs((5, " ".join(words)), (6, " ".join(near)), (7, " ".join(far)))
-    assert sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, table, SF).collect()) == [5, 7]
-    pieces = [" ".join(words[:60]), " ".join(words[:25] + ["other"] + words[26:60])]  # 51 of 61 shingles
-    assert [r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(*enumerate(pieces)), SF).collect()] == [0]
+def test_one_stays_exactly_where_the_operator_links(spark):
+    table = corpus(spark)
+    classes = {r.component_id for r in pipeline.simhash.near_duplicates(table).collect()}
+    kept = [r.doc_id for r in pipeline.drop_near_duplicates(spark, table, SF).collect()]
+    assert sorted(kept) == sorted(classes)
+    named = table.withColumnsRenamed({"lang": "late", "source": "digest", "n_chars": "key"})
+    again = pipeline.simhash.one_of_each(named)
+    assert again.columns == named.columns and sorted(r.doc_id for r in again.collect()) == sorted(classes)
 
 
 def test_leaks_go_and_short_items_are_cut(spark, docs, tmp_path):
