@@ -14,7 +14,7 @@ import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from lexmill.llm import bpe, decontaminate, language, minhash, secrets  # noqa: E402
+from lexmill.llm import bpe, decontaminate, language, secrets, simhash  # noqa: E402
 from lexmill.llm.common import shared_folder  # noqa: E402
 
 #: The language of most letters must have at least this share of them.
@@ -44,12 +44,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8 or more. Of each group of linked
-    texts the document of the smallest id stays, once if its row is repeated. Rows without an id stay as they are."""
+    """Texts are linked if their fingerprints over three-word shingles differ in two bits or less. Of each group of linked
+    texts one row stays: that of the smallest id. A null id counts as the largest; texts without a word are one group."""
     lean(spark)
-    best = minhash.without_near_copies(docs.where("doc_id IS NOT NULL"))
-    named = docs.join(best, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL").select(*docs.columns))
+    return simhash.one_of_each(docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
