@@ -21,6 +21,29 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: The words of the texts paired with their equals up to a fourth of the text further on; islands of one distance are runs.
+RUNS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+    xor(list_reduce([CAST(4294967295 AS BIGINT)] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: [CAST(ord(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda x, e: xor(xor(x, e) >> 1, 3988292384 * (xor(x, e) & 1))), 4294967295) AS h FROM documents),
+e AS (SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS dealt, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a,
+    3 + (h // 10) % 8 AS parts FROM d),
+tok AS MATERIALIZED (SELECT r, i, n, w[1 + CASE WHEN dealt AND i >= a THEN a + (i - a) % (1 + (n - a) // parts) ELSE i END] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM e)),
+same AS (SELECT x.r, x.i, y.i - x.i AS q FROM tok x JOIN tok y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+island AS (SELECT r, q, min(i) AS s, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM same)
+    GROUP BY r, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS MATERIALIZED (SELECT r, s, length, min(q) AS q FROM island GROUP BY r, s, length),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + length)) AS i FROM run),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM tok ANTI JOIN gone USING (r, i) GROUP BY r),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    arg_max((s, length, q), (length, -s, -q)) AS best FROM run GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period,
+    1000 * best[2] // best[3] AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION}
+    return {"op5_decontamination": DECONTAMINATION, "op11_runs": RUNS}

@@ -17,6 +17,7 @@ COLUMNS = {
     "op8": {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
     "op9": {"doc_id", "fingerprint", "component_id"},
     "op10": {"page_id", "url", "text", "n_chars"},
+    "op11": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
