@@ -44,6 +44,15 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS lengt
 FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
 """
 
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION, "op11_runs": RUNS}
+    return {"op5_decontamination": DECONTAMINATION, "op11_runs": RUNS, "op13_topk": TOP_K}

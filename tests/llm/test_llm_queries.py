@@ -18,6 +18,7 @@ COLUMNS = {
     "op9": {"doc_id", "fingerprint", "component_id"},
     "op10": {"page_id", "url", "text", "n_chars"},
     "op11": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op13": {"query_id", "rank", "vec_id", "score"},
 }
 
 
@@ -26,8 +27,9 @@ def test_query(spark, number):
     [name] = [n for n in contract.queries() if n.startswith(f"{number}_")]
     frame = contract.queries()[name](spark, SF)
     assert COLUMNS[number] <= set(frame.columns)
-    table = "pages" if number == "op10" else "documents"
-    assert frame.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if int(number[2:]) < 12:
+        table = "pages" if number == "op10" else "documents"
+        assert frame.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in contract.oracle_sql():
         assert check.differences(spark, check.duck(SF), SF, name) == ""
 
