@@ -15,7 +15,7 @@ sys.path.insert(0, ROOT)
 
 import __spark_entry__ as contract  # noqa: E402
 
-TABLES = ["documents", "pages", "benchmark", "conversations"]
+TABLES = ["documents", "pages", "benchmark", "conversations", "embeddings"]
 
 
 def session() -> SparkSession:
