@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, repeats, runs, secrets, sharding, simhash, topk
+from lexmill.llm import bpe, decontaminate, html, language, licenses, quality, repeats, runs, search, secrets, sharding, simhash, topk
 from lexmill.llm.common import documents, shared_folder
 from lexmill.llm.oracle import oracle_sql
 
@@ -79,6 +79,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 20)
+
+
 def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20, 64)
@@ -89,4 +93,5 @@ __all__ = ["oracle_sql", "queries"]
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op2_repeats, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html, op11_runs, op13_topk)}
+        op1_bpe, op2_repeats, op3_quality, op4_sharding, op5_decontamination, op6_secrets, op7_language, op8_licenses, op9_simhash, op10_html, op11_runs, op12_search,
+        op13_topk)}

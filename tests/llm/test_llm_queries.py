@@ -18,6 +18,7 @@ COLUMNS = {
     "op9": {"doc_id", "fingerprint", "component_id"},
     "op10": {"page_id", "url", "text", "n_chars"},
     "op11": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op12": {"item_id", "rank", "doc_id", "score"},
     "op13": {"query_id", "rank", "vec_id", "score"},
 }
 
