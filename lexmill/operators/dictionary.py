@@ -1,108 +1,40 @@
-"""Dictionary phrases over token rows, for dictionaries of any size.
+"""Dictionary phrases over tokens, for dictionaries of any size.
 
-A Python list of rules is written into the row-local plan as literal maps. A DataFrame of rules stays a table, whatever
-its size: its first words are put into a bit map of fixed size, only tokens that pass it are unfolded to phrases, and
-those meet the rules in an equi-join, so neither the rules nor the occurrences of a frequent
-word have to fit one task. Both forms read rules alike: words are parted by blanks, a rule without a word, phrase or type is
-none, and of two types for one phrase the alphabetically first one counts.
-"""
+A Python list of rules is written into the row-local plan as literal maps; a DataFrame of rules is matched as `phrases` has
+it. Both forms read rules alike."""
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-from operator import and_
-
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
-from lexmill.functions.text import BLANK
-from lexmill.operators import tagging
+from lexmill.operators import phrases
 from lexmill.operators.documents import sentence_rows
 
-#: Bits of the map of first words, in words of 64; the map is a literal of 128 KB whatever the dictionary's size.
-MAP_WORDS = 1 << 14
-#: Python's form of the blanks that part words.
-PYTHON_BLANK = r"[\s\x1c\x1d\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\xa0]+"
-
 
-def literal_rules(rules) -> list[tuple[str, str]] | None:
-    """The rules of a list, one type for each phrase; None for a DataFrame."""
-    if isinstance(rules, DataFrame):
-        return None
+def as_rules(rules, trie_bytes: int | None = None):
+    """The rules of a list (None: the default ones), one type for each phrase; a table as a trie or as it is."""
+    if isinstance(rules, phrases.Trie | DataFrame):
+        return phrases.prepared(rules, trie_bytes)
     kinds: dict[str, str] = {}
     for pattern, kind in L.DEFAULT_RULES if rules is None else rules:
-        phrase = " ".join(w for w in re.split(PYTHON_BLANK, pattern or "") if w)
+        phrase = phrases.phrase_of(pattern)
         if phrase and kind is not None:
             kinds[phrase] = min(kind, kinds.get(phrase, kind))
     return sorted(kinds.items())
 
 
-def phrase_table(rules: DataFrame) -> DataFrame:
-    """`phrase, n, first, type`, one row per phrase."""
-    words = F.filter(F.split("pattern", BLANK), lambda w: w != "")
-    return (rules.select(F.array_join(words, " ").alias("phrase"), F.size(words).alias("n"), F.get(words, F.lit(0)).alias("first"), "type")
-            .where("n > 0 AND type IS NOT NULL").groupBy("phrase", "n", "first").agg(F.min("type").alias("type")))
-
-
-def _bit(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(MAP_WORDS * 64)).cast("int")
-
-
-def first_word_map(phrases: DataFrame) -> Column:
-    """An array literal of MAP_WORDS longs: a bit for each hash of a first word."""
-    bit = _bit(F.col("first"))
-    rows = (phrases.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, CAST(pmod(xxhash64(first), 64) AS INT))").alias("bit"))
-            .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())  # MAP_WORDS rows at most
-    bits = [0] * MAP_WORDS
-    for r in rows:
-        bits[r.word] = r.bits
-    return F.lit(np.array(bits, np.int64))
-
-
-def matches(sentences: DataFrame, keys: list[str], rules: DataFrame) -> DataFrame:
-    """Keys, `sent_idx` and `spans` of every sentence with a match: leftmost, then longest, no overlap."""
-    phrases = phrase_table(rules)
-    lengths = sorted(phrases.agg(F.collect_set("n").alias("lengths")).first().lengths)  # bounded by the longest rule
-    where = [*keys, "sent_idx"]
-    known = F.get(first_word_map(phrases), F.shiftright(_bit(F.col("tok")), 6)).bitwiseAND(
-        F.expr("shiftleft(1L, CAST(pmod(xxhash64(tok), 64) AS INT))")) != 0
-    starts = each(sentences.select(*where, "s.toks"), [*where, "toks"], "toks", "b", "tok").where(known)
-    starts = starts.withColumn("b", F.col("b").cast("int"))
-    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: F.col("b") + n <= F.size("toks"))
-    grams = starts.select(*where, "b", "toks", F.explode(fitting).alias("n"))
-    grams = grams.select(*where, "b", "n", F.array_join(F.slice("toks", F.col("b") + 1, F.col("n")), " ").alias("phrase"))
-    hits = grams.join(phrases, ["n", "phrase"])  # a frequent phrase is split by Spark: no aggregate binds its rows
-    longest = hits.groupBy(*where, "b").agg(F.max_by("type", "n").alias("type"), F.max("n").alias("n"))
-    candidates = F.array_sort(F.collect_list(F.struct("b", (F.col("b") + F.col("n")).alias("e"), "type")))
-    found = longest.groupBy(*where).agg(candidates.alias("candidates"))
-    return found.select(*where, F.expr(tagging.non_overlapping("candidates")).alias("spans"))
-
-
-def tagged_sentences(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", gazetteer=None, **options) -> DataFrame:
-    """Keys, `sent_idx`, `toks` and `ner` after the gazetteer and then the dictionary, either one a list or a table;
-    `rules=()` is no dictionary. After a table, a list is read as one too, since it comes later."""
-    few = literal_rules(rules)
-    tables = [t for t in (gazetteer, rules) if isinstance(t, DataFrame)]
-    if isinstance(gazetteer, DataFrame):
-        tables += [docs.sparkSession.createDataFrame(few, "pattern string, type string")] if few else []
-        few, gazetteer = [], []
-    rows = sentence_rows(docs, keys, ["ner"], text_col, rules=few or [], gazetteer=gazetteer, **options)
-    rows = rows.select(*keys, "sent_idx", "s.toks", "s.ner")
-    for table in tables:
-        found = matches(sentence_rows(docs, keys, [], text_col, **options), keys, table)
-        same = [rows[c].eqNullSafe(found[c]) for c in [*keys, "sent_idx"]]
-        joined = rows.join(found, reduce(and_, same), "left").select(*[rows[c] for c in rows.columns], "spans")
-        joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast(tagging.SPANS)))
-        rows = joined.select(*keys, "sent_idx", "toks", F.expr(tagging.override("ner", "spans")).alias("ner"))
-    return rows
+def as_gazetteer(gazetteer):
+    """None stays None, which is the built-in one."""
+    return gazetteer if gazetteer is None else as_rules(gazetteer)
 
 
-def regexner_table(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", **options) -> DataFrame:
-    """`sent_idx, tok_in_sent, token, ner`."""
-    rows = tagged_sentences(docs, keys, rules, text_col, **options)
-    rows = each(rows, [*keys, "sent_idx", "ner"], "toks", "tok_in_sent", "token")
+def regexner_table(docs: DataFrame, keys: list[str], rules=None, text_col: str = "text", gazetteer=None,
+                   trie_bytes: int | None = None, **options) -> DataFrame:
+    """`sent_idx, tok_in_sent, token, ner` after the gazetteer and then the dictionary, either one a list or a table;
+    `rules=()` is no dictionary. A dictionary of more than trie_bytes (`phrases.TRIE_BYTES`) is joined."""
+    rows = sentence_rows(docs, keys, ["ner"], text_col, rules=as_rules(rules, trie_bytes), gazetteer=as_gazetteer(gazetteer), **options)
+    rows = each(rows.select(*keys, "sent_idx", "s.toks", "s.ner"), [*keys, "sent_idx", "ner"], "toks", "tok_in_sent", "token")
     return rows.select(*keys, "sent_idx", "tok_in_sent", "token", F.get("ner", F.col("tok_in_sent").cast("int")).alias("ner"))

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import html, text
+from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
-from lexmill.operators import syntax, tagging
+from lexmill.operators import phrases, syntax, tagging
 
 
 def spread(docs: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
@@ -59,12 +60,19 @@ def closure(layers) -> list[str]:
     return [layer for layer in NEEDS if layer in wanted]
 
 
-def layered(frame: DataFrame, layers, rules: list[tuple[str, str]] | None = None, gazetteer=None) -> DataFrame:
-    """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override
-    entity tags."""
+def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None) -> DataFrame:
+    """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override the entity tags
+    of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it."""
+    tables = {}
+    if "ner" in closure(layers):
+        for name, given in (("named", gazetteer), ("ner", rules)):
+            if isinstance(given, phrases.Trie | DataFrame):
+                frame = phrases.with_spans(frame, keys, given, f"{name}_spans")
+                tables[name] = None
+    names = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules} | tables
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
-        "ner": lambda: tagging.entities(rules, gazetteer),
+        "ner": lambda: tagging.entities(names["ner"], names["named"]),
         "cs": syntax.classes, "chunks": syntax.chunks, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "relations": syntax.relations, "mentions": syntax.mentions,
@@ -79,7 +87,7 @@ def layered(frame: DataFrame, layers, rules: list[tuple[str, str]] | None = None
 def analysed(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
     """Keys, `toks` and the asked layers, one array over sentences each."""
     mark_options = {k: options.pop(k) for k in ("cleanxml", "line_as_sentence") if k in options}
-    frame = layered(marked(docs, keys, text_col, **mark_options), layers, **options)
+    frame = layered(marked(docs, keys, text_col, **mark_options), layers, keys, **options)
     return frame.select(*keys, *dict.fromkeys(["toks", *layers]))
 
 
@@ -175,7 +183,7 @@ def sentiments_table(docs, keys, text_col="text", **options) -> DataFrame:
 def document_sentiments(docs, keys, text_col="text", **options) -> DataFrame:
     """The class of each document's longest sentence, the first one if several are as long."""
     frame = marked(docs, keys, text_col)
-    scored = layered(frame, ["sentiment"], **options).withColumn("t", text.sentence_texts(F.col("marked")))
+    scored = layered(frame, ["sentiment"], keys, **options).withColumn("t", text.sentence_texts(F.col("marked")))
     scored = scored.select(*keys, F.arrays_zip("sentiment", "t").alias("z"))
     best = F.aggregate(
         "z", F.struct(F.lit(0).alias("longest"), F.lit(None).cast("int").alias("sentiment")),

@@ -146,16 +146,14 @@ def shapes() -> list[Step]:
     return [Step("shaped", "toks pos", f"transform(s.pos, (p, i) -> {shape})")]
 
 
-def phrases(name: str, base: str, rules: list[tuple[str, str]]) -> list[Step]:
-    """`name`: the tags `base`, overridden where a rule's phrase matches: token-wise, case-sensitive,
-    leftmost then longest."""
-    return [
-        Step(f"{name}_spans", "toks", non_overlapping(phrase_candidates("s.toks", rules))),
-        Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans")),
-    ]
+def phrases(name: str, base: str, rules: list[tuple[str, str]] | None) -> list[Step]:
+    """`name`: the tags `base`, overridden where a rule's phrase matches: token-wise, case-sensitive, leftmost then
+    longest. Without rules the spans are there already, from a table."""
+    found = [] if rules is None else [Step(f"{name}_spans", "toks", non_overlapping(phrase_candidates("s.toks", rules)))]
+    return [*found, Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans"))]
 
 
-def entities(rules: list[tuple[str, str]] | None = None, gazetteer=None) -> list[Step]:
-    """`ner`: shapes, overridden by the gazetteer's phrases, then by the dictionary's."""
-    named = phrases("named" if rules else "ner", "shaped", L.GAZETTEER if gazetteer is None else gazetteer)
-    return shapes() + named + (phrases("ner", "named", rules) if rules else [])
+def entities(rules: list[tuple[str, str]] | None, gazetteer: list[tuple[str, str]] | None) -> list[Step]:
+    """`ner`: shapes, overridden by the gazetteer's phrases, then by the dictionary's. None stands for a table, whose spans
+    are in `named_spans` and `ner_spans`; an empty list changes nothing."""
+    return shapes() + phrases("named", "shaped", gazetteer) + phrases("ner", "named", rules)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text
-from lexmill.operators import coreference, dictionary, syntax
+from lexmill.operators import coreference, dictionary, phrases, syntax
 from lexmill.operators.documents import layered, marked, spread
 from lexmill.operators.quotes import quotes
 from lexmill.operators.tagging import Step
@@ -111,9 +111,9 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
              line_as_sentence: bool = False) -> DataFrame:
     """Rows `(functionality, *keys, result)`, one per requested annotator and document.
 
-    `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when
-    `regexner` is requested, and then to `ner` too. So is `gazetteer` for `ner`; as a table it is for `ner` and
-    `regexner`, and the annotators that build on entities keep the small built-in one. `cleanxml` cleans the text of every annotator.
+    `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when `regexner` is
+    requested, and then to every annotator that reads entities. So is `gazetteer`, which stands in for the built-in
+    names. `cleanxml` cleans the text of every annotator.
     `tokenize` and `cleanxml` skip documents without tokens, the others give an empty string.
     With `line_as_sentence` a row is one sentence and results are printed as lists.
     `keys` must identify a document."""
@@ -124,12 +124,9 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
     if mappers:
         docs = spread(docs, mappers)
 
-    few = dictionary.literal_rules(rules) if "regexner" in names else []
-    tables = few is None or isinstance(gazetteer, DataFrame)
-    by_join = [n for n in names if n in ("ner", "regexner")] if tables else []
     by_chain = [n for n in names if n in CHAINS]
-    local = [n for n in names if n not in by_join and n not in by_chain]
-    options = {"gazetteer": None if isinstance(gazetteer, DataFrame) else gazetteer}
+    local = [n for n in names if n not in by_chain]
+    options = {"rules": dictionary.as_rules(rules) if "regexner" in names else [], "gazetteer": dictionary.as_gazetteer(gazetteer)}
     clean_first = {"cleanxml": "cleanxml" in names}
 
     frames = []
@@ -140,7 +137,7 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         # Every annotator of the plan offers its layers; Spark drops the columns that no result reads.
         layers = {layer for n in resolve(local) for layer in LAYERS.get(n, [])}
         if any(n in LAYERS for n in local) or line_as_sentence:
-            frame = layered(frame, layers, rules=few, **options)
+            frame = layered(frame, layers, keys, **options)
         rendered = {n: _rendered_line(n) if line_as_sentence else _rendered(n) for n in local}
         results = F.array(*[F.struct(F.lit(n).alias("functionality"), c.alias("result")) for n, c in rendered.items()])
         rows = frame.select(*keys, F.inline(results)).select("functionality", *keys, "result")
@@ -149,14 +146,6 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
     for mode in by_chain:
         chains = coreference.chain_results(docs, keys, mode, text_col, **clean_first, **options)
         frames.append(chains.select(F.lit(mode).alias("functionality"), *keys, "result"))
-    if by_join:
-        tagged = dictionary.tagged_sentences(docs, keys, rules if "regexner" in names else (), text_col, gazetteer, **clean_first)
-        per_doc = tagged.groupBy(*keys).agg(F.array_join(F.flatten(F.transform(
-            F.array_sort(F.collect_list(F.struct("sent_idx", "ner"))), lambda x: x.ner)), " ").alias("result"))
-        per_doc = docs.select(*keys).join(per_doc, keys, "left")
-        frames.append(per_doc.select(
-            F.explode(F.array(*[F.lit(n) for n in by_join])).alias("functionality"), *keys,
-            F.coalesce("result", F.lit("")).alias("result")))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -178,8 +167,8 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
 
     For sorted output the documents are range-partitioned by key before they are annotated: the pass that samples the
     keys then scans documents but annotates none, the shuffle carries text and not its many annotations, and
-    every task writes a sorted run of each annotator, so no annotator is confined to one writer. Chains and dictionaries
-    that are tables shuffle by document anyway: with them only the results are ranged. The other sinks range nothing."""
+    every task writes a sorted run of each annotator, so no annotator is confined to one writer. Chains, and dictionaries
+    too large for a trie, shuffle by document: with them only the results are ranged. The other sinks range nothing."""
     names = validate(functionality)
     keys = [keys] if isinstance(keys, str) else list(keys)
     if sink not in SINKS:
@@ -187,7 +176,9 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
     if sink != "sorted":
         SINKS[sink](annotate(docs, names, keys=keys, mappers=mappers, **options), path, keys)
         return
-    ranged = not set(names) & set(CHAINS) and not isinstance(options.get("rules"), DataFrame)
+    for name in {"rules", "gazetteer"} & set(options):
+        options[name] = phrases.prepared(options[name])
+    ranged = not set(names) & set(CHAINS) and not any(isinstance(options.get(name), DataFrame) for name in ("rules", "gazetteer"))
     ordered = docs.repartitionByRange(*([mappers] if mappers else []), *keys) if ranged else docs
     sinks.write_by_functionality(annotate(ordered, names, keys=keys, **options), path, keys, mappers, ranged)
 

@@ -402,7 +402,7 @@ def oracle_sql() -> dict[str, str]:
         "ner_gazetteer": select(POS + entities(gazetteer=OPENINGS), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner FROM ner"),
         "regexner_rules": select(POS + entities(rules=[
             ("Barack Obama", "ABLE"), ("Bachelor of Arts", "DEGREE"), ("Harvard", "H"), ("New York City", "CITY"), ("of Arts", "TAIL"), ("the", "FREQUENT")]),
-            """SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner, form FROM ner, (VALUES ('list'), ('table')) forms(form)"""),
+            """SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner, form FROM ner, (VALUES ('list'), ('trie'), ('join')) forms(form)"""),
         "natlog": select(POS + polarity(), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, polarity FROM pol"),
         "sentiment": select(POS + polarity() + sentiment(), "SELECT doc_id, sent_idx, sentiment FROM sentiments"),
         "doc_sentiment": select(POS + polarity() + sentiment() + [SENTENCES], """SELECT s.doc_id, arg_min(sentiment, (-length(text), s.sent_idx)) AS sentiment

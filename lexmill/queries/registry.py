@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -83,11 +83,12 @@ def ner_gazetteer(spark, sf_dir):
 
 
 def regexner_rules(spark, sf_dir):
-    """Rules with ties, nulls, odd blanks and a frequent word, once as a list and once as a table."""
+    """Rules with ties, nulls, odd blanks and a frequent word: as a list, as a table that is walked and as one that is joined."""
     docs = corpus(spark, sf_dir)
     table_ = spark.createDataFrame(fixtures.ODD_RULES, "pattern string, type string")
-    forms = [dictionary.regexner_table(docs, KEY, rules).withColumn("form", F.lit(form)) for form, rules in (("list", fixtures.ODD_RULES), ("table", table_))]
-    return forms[0].union(forms[1])
+    forms = [dictionary.regexner_table(docs, KEY, rules, trie_bytes=size).withColumn("form", F.lit(form)) for form, rules, size in (
+        ("list", fixtures.ODD_RULES, 0), ("trie", table_, 1 << 20), ("join", table_, 0))]
+    return reduce(DataFrame.union, forms)
 
 
 def openings(docs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill import annotate, annotate_with_model
-from lexmill.operators import coreference, dictionary, documents
+from lexmill.operators import coreference, dictionary, documents, phrases
 from lexmill.plans.catalogue import CATALOGUE
 
 EXPECTED = [
@@ -104,8 +104,8 @@ def test_overlapping_phrases_leftmost_then_longest(docs, spark):
     table = spark.createDataFrame(rules, "pattern string, type string")
     frame = docs("A Bachelor of Arts and a Bachelor of Laws.", "Arts and a Bachelor", "nothing")
     few = dictionary.regexner_table(frame, ["doc_id"], rules)
-    many = dictionary.regexner_table(frame, ["doc_id"], table)
-    assert sorted(few.collect()) == sorted(many.collect())
+    for size in (0, 1 << 20):  # joined, and walked
+        assert sorted(few.collect()) == sorted(dictionary.regexner_table(frame, ["doc_id"], table, trie_bytes=size).collect())
     tags = [r.ner for r in few.where("doc_id = 0").orderBy("sent_idx", "tok_in_sent").collect()]
     assert tags == ["O", "DEGREE", "DEGREE", "DEGREE", "Y", "Y", "B", "O", "MISC", "O"]
 
@@ -118,6 +118,31 @@ def test_gazetteer_as_a_table(docs, spark):
     assert {r.result for r in annotate(frame, "ner", gazetteer=names).collect()} == {"O ANIMAL ANIMAL O MISC O", "", "X"}
 
 
+def test_joined_spans_stand_at_their_sentences(docs, spark):
+    table = spark.createDataFrame([("x y", "T"), ("y", "U")], "pattern string, type string")
+    texts = ["a. x y. b. c. y x y. d.", "none. at all.", "", None, "x y", "a. b. y."]
+    frame = documents.marked(docs(*texts), ["doc_id"])
+    trie = phrases.prepared(table)
+    assert isinstance(trie, phrases.Trie) and phrases.prepared(table, 3) is table
+    rows = [sorted(phrases.with_spans(frame, ["doc_id"], t, "spans").select("doc_id", "spans").collect()) for t in (trie, table)]
+    assert rows[0] == rows[1]
+    assert [[tuple(x) for s in r.spans for x in s] for r in rows[0]] == [[(0, 2, "T"), (0, 1, "U"), (1, 3, "T")], [], [], [], [(0, 2, "T")], [(0, 1, "U")]]
+    assert [len(r.spans) for r in rows[0]] == [6, 2, 0, 0, 1, 3]
+
+
+def test_trie_takes_the_longest_and_goes_on_after_it():
+    trie = phrases.Trie([("a b c", "3"), ("a", "1"), ("b", "B"), ("c d", "2"), ("a b x y", "4")])
+    assert trie.spans("a b x a b c d b a b".split()) == [(0, 1, "1"), (1, 2, "B"), (3, 6, "3"), (7, 8, "B"), (8, 9, "1"), (9, 10, "B")]
+
+
+def test_table_gazetteer_reaches_what_builds_on_entities(docs, spark):
+    names = spark.createDataFrame([("Ada Ray", "PERSON"), ("Mill House", "ORGANIZATION")], "pattern string, type string")
+    frame = docs("Ada Ray works for Mill House. Ada Ray left. She returned.")
+    got = {r.functionality: r.result for r in annotate(frame, "ner,relation,coref", gazetteer=names).collect()}
+    assert got["ner"].startswith("PERSON PERSON O O ORGANIZATION ORGANIZATION")
+    assert got["relation"] == "(Ada Ray,Work_For,Mill House)\n" and got["coref"] == "(Ada Ray:She)\n"
+
+
 def test_large_dictionary_through_annotate(docs, spark):
     rules = spark.range(1500).select(F.concat(F.lit("word"), F.col("id")).alias("pattern"), F.lit("W").alias("type"))
     got = {(r.functionality, r.doc_id): r.result for r in annotate(docs("word7 word1600 word12.", ""), "regexner,ner,pos", rules=rules).collect()}
