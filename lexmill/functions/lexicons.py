@@ -4,6 +4,29 @@ They are English, small on purpose and of fixed size, so they are written into t
 expressions as literals (set probes and literal maps) instead of being joined.
 """
 
+# Irregular verbs of English by base form: past, and participle where it is another form. Verbs whose past is
+# their base form (cut, put) are left out, since nothing can be told from the word alone.
+IRREGULAR_VERBS = {
+    "arise": "arose arisen", "awake": "awoke awoken", "bear": "bore borne", "beat": "- beaten", "become": "became", "begin": "began begun",
+    "bend": "bent", "bind": "bound", "bite": "bit bitten", "bleed": "bled", "blow": "blew blown", "break": "broke broken",
+    "breed": "bred", "bring": "brought", "build": "built", "buy": "bought", "catch": "caught", "choose": "chose chosen",
+    "cling": "clung", "creep": "crept", "deal": "dealt", "dig": "dug", "draw": "drew drawn", "drink": "drank drunk",
+    "drive": "drove driven", "eat": "ate eaten", "fall": "fell fallen", "feed": "fed", "feel": "felt", "fight": "fought",
+    "find": "found", "flee": "fled", "fly": "flew flown", "forbid": "forbade forbidden", "forget": "forgot forgotten",
+    "forgive": "forgave forgiven", "freeze": "froze frozen", "get": "got gotten", "give": "gave given", "go": "went gone",
+    "grow": "grew grown", "hang": "hung", "hear": "heard", "hide": "hid hidden", "hold": "held", "keep": "kept", "know": "knew known",
+    "lead": "led", "leave": "left", "lend": "lent", "lose": "lost", "make": "made", "mean": "meant", "meet": "met", "pay": "paid",
+    "ride": "rode ridden", "ring": "rang rung", "rise": "rose risen", "run": "ran", "see": "- seen", "seek": "sought", "sell": "sold",
+    "send": "sent", "shake": "shook shaken", "shine": "shone", "shoot": "shot", "shrink": "shrank shrunk", "sing": "sang sung",
+    "sink": "sank sunk", "sit": "sat", "sleep": "slept", "slide": "slid", "speak": "spoke spoken", "spend": "spent", "spin": "spun",
+    "stand": "stood", "steal": "stole stolen", "stick": "stuck", "strike": "struck stricken", "swear": "swore sworn", "sweep": "swept",
+    "swim": "swam swum", "swing": "swung", "take": "took taken", "teach": "taught", "tear": "tore torn", "tell": "told",
+    "think": "thought", "throw": "threw thrown", "understand": "understood", "wake": "woke woken", "wear": "wore worn", "weep": "wept",
+    "win": "won", "write": "wrote written",
+}
+PAST = [forms.split()[0] for forms in IRREGULAR_VERBS.values() if forms.split()[0] != "-"]
+PARTICIPLES = [forms.split()[1] for forms in IRREGULAR_VERBS.values() if " " in forms]
+
 # Closed-class words by tag, matched on the lower-cased token.
 CLOSED_CLASS = {
     "DT": ["the", "a", "an", "this", "that", "these", "those", "every", "each", "some", "any", "no"],
@@ -16,9 +39,9 @@ CLOSED_CLASS = {
     "PRP$": ["my", "your", "his", "its", "our", "their"],
     "VBZ": ["is", "has", "does", "says"],
     "VBP": ["are", "am", "have", "do", "say"],
-    "VBD": ["was", "were", "had", "did", "said", "went", "spoke", "left", "grew", "shrank", "paid", "won", "ran"],
+    "VBD": ["was", "were", "had", "did", "said", *PAST],
     "VB": ["be"],
-    "VBN": ["been", "gone", "eaten"],
+    "VBN": ["been", *PARTICIPLES],
     "RB": ["not", "n't", "n’t", "never"],
     "WP": ["who", "what"],
     "WDT": ["which"],
@@ -65,28 +88,23 @@ SUFFIXES = [
 ]
 
 # Irregular lemmas, matched on the lower-cased token.
-IRREGULAR_LEMMAS = {
+IRREGULAR_LEMMAS = {verb: [f for f in forms.split() if f != "-"] for verb, forms in IRREGULAR_VERBS.items()} | {
     "be": ["is", "are", "am", "was", "were", "been"],
     "have": ["has", "had"],
     "do": ["does", "did"],
     "say": ["says", "said"],
     "go": ["went", "gone", "goes"],
-    "speak": ["spoke", "spoken"],
-    "leave": ["left"],
-    "grow": ["grew", "grown"],
-    "shrink": ["shrank", "shrunk"],
-    "eat": ["ate", "eaten"],
-    "pay": ["paid"],
-    "win": ["won"],
-    "run": ["ran"],
-    "tell": ["told"],
     "write": ["wrote", "written", "writing"],
     "live": ["lived", "living"],
     "base": ["based", "basing"],
     "child": ["children"],
+    "foot": ["feet"],
+    "goose": ["geese"],
     "man": ["men"],
-    "woman": ["women"],
+    "mouse": ["mice"],
     "person": ["people"],
+    "tooth": ["teeth"],
+    "woman": ["women"],
     "good": ["better", "best"],
     "bad": ["worse", "worst"],
     "not": ["n't", "n’t"],
@@ -107,21 +125,23 @@ PRONOUNS = ["he", "she", "they", "him", "her", "them", "its", "his", "their"]
 SPEECH_VERBS = ["said", "says", "say", "told", "tells", "asked", "asks", "replied", "replies",
                 "added", "adds", "claimed", "claims", "wrote", "writes"]
 
-# Seed gazetteer, (phrase, type), in rule order.
-GAZETTEER = [
-    ("Barack Obama", "PERSON"),
-    ("Angela Merkel", "PERSON"),
-    ("Marie Curie", "PERSON"),
-    ("Harvard University", "ORGANIZATION"),
-    ("United Nations", "ORGANIZATION"),
-    ("Apache Software Foundation", "ORGANIZATION"),
-    ("New York", "LOCATION"),
-    ("New York City", "LOCATION"),
-    ("Paris", "LOCATION"),
-    ("Berlin", "LOCATION"),
-    ("France", "LOCATION"),
-    ("Germany", "LOCATION"),
-]
+# Seed gazetteer, well-known names by type; a table of one's own takes its place.
+NAMES = {
+    "PERSON": ["Barack Obama", "Angela Merkel", "Marie Curie", "Albert Einstein", "Isaac Newton", "Nelson Mandela", "William Shakespeare"],
+    "ORGANIZATION": [
+        "Harvard University", "Oxford University", "Cambridge University", "United Nations", "European Union", "World Bank", "Red Cross",
+        "World Health Organization", "International Monetary Fund", "Apache Software Foundation", "Supreme Court"],
+    "LOCATION": [
+        "Africa", "Asia", "Europe", "North America", "South America", "Argentina", "Australia", "Austria", "Belgium", "Brazil", "Canada",
+        "Chile", "China", "Colombia", "Denmark", "Egypt", "Finland", "France", "Germany", "Greece", "Hungary", "India", "Indonesia",
+        "Ireland", "Israel", "Italy", "Japan", "Kenya", "Mexico", "Netherlands", "New Zealand", "Nigeria", "Norway", "Pakistan", "Peru",
+        "Poland", "Portugal", "Russia", "Saudi Arabia", "South Africa", "South Korea", "Spain", "Sweden", "Switzerland", "Turkey",
+        "Ukraine", "United Kingdom", "United States", "Vietnam", "Amsterdam", "Athens", "Beijing", "Berlin", "Boston", "Brussels",
+        "Buenos Aires", "Cairo", "Chicago", "Dublin", "Hong Kong", "Istanbul", "London", "Los Angeles", "Madrid", "Moscow", "New Delhi",
+        "New York", "New York City", "Oslo", "Paris", "Prague", "Rome", "San Francisco", "Seoul", "Singapore", "Stockholm", "Sydney",
+        "Tokyo", "Toronto", "Vienna", "Warsaw"],
+}
+GAZETTEER = [(name, kind) for kind, names in NAMES.items() for name in names]
 ENTITY_TYPES = ["PERSON", "LOCATION", "ORGANIZATION"]
 
 # The two phrases of the default dictionary.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import html, text
 from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
-from lexmill.operators import phrases, syntax, tagging
+from lexmill.operators import phrases, syntax, tagger, tagging
 
 
 def spread(docs: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
@@ -60,27 +60,35 @@ def closure(layers) -> list[str]:
     return [layer for layer in NEEDS if layer in wanted]
 
 
-def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None) -> DataFrame:
+def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None, taggers=None) -> DataFrame:
     """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override the entity tags
-    of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it."""
-    tables = {}
-    if "ner" in closure(layers):
-        for name, given in (("named", gazetteer), ("ner", rules)):
+    of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it.
+    `taggers` maps `pos`, `ner` or `lemma` to what was learned for it, which then stands in for the built-in rules."""
+    needed, taggers = closure(layers), taggers or {}
+    listed = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules}
+    if "ner" in needed:
+        for name, given in listed.items():
             if isinstance(given, phrases.Trie | DataFrame):
                 frame = phrases.with_spans(frame, keys, given, f"{name}_spans")
-                tables[name] = None
-    names = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules} | tables
+                listed[name] = None
+        if "ner" in taggers:
+            frame = tagger.with_tags(frame, keys, taggers["ner"], "shaped")
+    if "pos" in taggers and "pos" in needed:
+        frame = tagger.with_tags(frame, keys, taggers["pos"], "pos")
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
-        "ner": lambda: tagging.entities(names["ner"], names["named"]),
+        "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers),
         "cs": syntax.classes, "chunks": syntax.chunks, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "relations": syntax.relations, "mentions": syntax.mentions,
     }
     frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
-    for layer in closure(layers)[1:]:
-        for step in steps[layer]():
-            frame = frame.withColumn(step.name, F.expr(step.sql()))
+    for layer in needed[1:]:
+        if layer == "lems" and "lemma" in taggers:
+            frame = tagger.with_lemmas(frame, taggers["lemma"])
+        elif layer != "pos" or "pos" not in taggers:
+            for step in steps[layer]():
+                frame = frame.withColumn(step.name, F.expr(step.sql()))
     return frame
 
 

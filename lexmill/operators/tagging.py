@@ -153,7 +153,7 @@ def phrases(name: str, base: str, rules: list[tuple[str, str]] | None) -> list[S
     return [*found, Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans"))]
 
 
-def entities(rules: list[tuple[str, str]] | None, gazetteer: list[tuple[str, str]] | None) -> list[Step]:
+def entities(rules: list[tuple[str, str]] | None, gazetteer: list[tuple[str, str]] | None, learned: bool = False) -> list[Step]:
     """`ner`: shapes, overridden by the gazetteer's phrases, then by the dictionary's. None stands for a table, whose spans
-    are in `named_spans` and `ner_spans`; an empty list changes nothing."""
-    return shapes() + phrases("named", "shaped", gazetteer) + phrases("ner", "named", rules)
+    are in `named_spans` and `ner_spans`; an empty list changes nothing. With learned tags `shaped` is there already."""
+    return ([] if learned else shapes()) + phrases("named", "shaped", gazetteer) + phrases("ner", "named", rules)

@@ -108,12 +108,13 @@ def _rendered_line(name: str) -> Column:
 
 def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] | str = "doc_id",
              text_col: str = "text", mappers: int | None = None, rules=None, gazetteer=None,
-             line_as_sentence: bool = False) -> DataFrame:
+             line_as_sentence: bool = False, taggers=None) -> DataFrame:
     """Rows `(functionality, *keys, result)`, one per requested annotator and document.
 
     `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when `regexner` is
     requested, and then to every annotator that reads entities. So is `gazetteer`, which stands in for the built-in
-    names. `cleanxml` cleans the text of every annotator.
+    names. `taggers` maps `pos`, `ner` or `lemma` to a learned `tagger.Tagger` or `tagger.Lemmatizer`, for every annotator
+    that reads these layers. `cleanxml` cleans the text of every annotator.
     `tokenize` and `cleanxml` skip documents without tokens, the others give an empty string.
     With `line_as_sentence` a row is one sentence and results are printed as lists.
     `keys` must identify a document."""
@@ -126,7 +127,8 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
 
     by_chain = [n for n in names if n in CHAINS]
     local = [n for n in names if n not in by_chain]
-    options = {"rules": dictionary.as_rules(rules) if "regexner" in names else [], "gazetteer": dictionary.as_gazetteer(gazetteer)}
+    options = {"rules": dictionary.as_rules(rules) if "regexner" in names else [], "gazetteer": dictionary.as_gazetteer(gazetteer),
+               "taggers": taggers}
     clean_first = {"cleanxml": "cleanxml" in names}
 
     frames = []

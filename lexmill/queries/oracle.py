@@ -112,6 +112,33 @@ def lemmas() -> list[str]:
     return [f"lem AS MATERIALIZED (SELECT *, coalesce({irregular}, {regular}) AS lemma FROM pos)"]
 
 
+def tagger_counts() -> str:
+    """Moves from the tag before, words, and the endings of rare words."""
+    shape = case([(f"regexp_matches(w, {q(L.DIGIT_FIRST)})", "'d'"), (f"NOT regexp_matches(w, {q(L.LETTER_OR_DIGIT)})", "'p'"),
+                  (f"regexp_matches(w, {q(L.CAPITAL_FIRST)})", "'C'")], "'l'")
+    return select(POS + [
+        "labels AS (SELECT doc_id, sent_idx, t, n, CASE WHEN t = 0 THEN low ELSE token END AS w, pos FROM pos)",
+        "words AS MATERIALIZED (SELECT w, pos, count(*) AS n FROM labels GROUP BY ALL)",
+        f"rare AS (SELECT w, {shape} AS kind, lower(w) AS low FROM words GROUP BY w HAVING sum(n) <= 10)",
+        "endings AS (SELECT w, kind || right(low, k) AS ending FROM (SELECT *, unnest(range(0, least(4, length(low)) + 1)) AS k FROM rare))",
+    ], """SELECT 'word' AS kind, w AS context, pos AS tag, n FROM words
+        UNION ALL SELECT 'end', ending, pos, CAST(sum(n) AS BIGINT) FROM endings JOIN words USING (w) GROUP BY ALL
+        UNION ALL SELECT 'move', CASE WHEN t = 0 THEN '' ELSE before END, pos, count(*) FROM (SELECT t, pos,
+            lag(pos) OVER (PARTITION BY doc_id, sent_idx ORDER BY t) AS before FROM labels) GROUP BY ALL
+        UNION ALL SELECT 'move', pos, '', count(*) FROM labels WHERE t = n - 1 GROUP BY ALL""")
+
+
+def lemma_counts() -> str:
+    """The longest common beginning by comparing all of them."""
+    return select(LEM + [
+        "forms AS (SELECT low AS w, pos, lower(lemma) AS l, count(*) AS n FROM lem GROUP BY ALL)",
+        """edits AS (SELECT w, pos, n, (length(w) - same) || ':' || substr(l, same + 1) AS edit FROM (SELECT *, list_max(list_filter(
+            range(0, least(length(w), length(l)) + 1), lambda k: left(w, k) = left(l, k))) AS same FROM forms))""",
+        """places AS (SELECT pos || ' ' || right(w, k) AS context, edit, n FROM (SELECT *, unnest(range(0, least(5, length(w)) + 1)) AS k FROM edits)
+            UNION ALL SELECT pos || '=' || w, edit, n FROM edits)""",
+    ], "SELECT 'edit' AS kind, context, edit AS tag, CAST(sum(n) AS BIGINT) AS n FROM places GROUP BY ALL")
+
+
 def phrases(name: str, rules, source: str) -> list[str]:
     """`{name}(doc_id, sent_idx, b, e, type)`: leftmost-longest phrases of `source`, by a recursive walk.
     `rules` is a list, or a query for `(phrase, len, rule, type)` and the longest length."""
@@ -403,6 +430,8 @@ def oracle_sql() -> dict[str, str]:
         "regexner_rules": select(POS + entities(rules=[
             ("Barack Obama", "ABLE"), ("Bachelor of Arts", "DEGREE"), ("Harvard", "H"), ("New York City", "CITY"), ("of Arts", "TAIL"), ("the", "FREQUENT")]),
             """SELECT doc_id, sent_idx, t AS tok_in_sent, token, ner, form FROM ner, (VALUES ('list'), ('trie'), ('join')) forms(form)"""),
+        "tagger_counts": tagger_counts(),
+        "lemma_counts": lemma_counts(),
         "natlog": select(POS + polarity(), "SELECT doc_id, sent_idx, t AS tok_in_sent, token, polarity FROM pol"),
         "sentiment": select(POS + polarity() + sentiment(), "SELECT doc_id, sent_idx, sentiment FROM sentiments"),
         "doc_sentiment": select(POS + polarity() + sentiment() + [SENTENCES], """SELECT s.doc_id, arg_min(sentiment, (-length(text), s.sent_idx)) AS sentiment

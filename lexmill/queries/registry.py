@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import html
 from lexmill.functions.rows import each
-from lexmill.operators import coreference, dictionary, documents, quotes
+from lexmill.operators import coreference, dictionary, documents, quotes, tagger
 from lexmill.plans.annotate import LINE_FUNCTIONS, annotate, annotate_with_model, run_job
 from lexmill.queries import fixtures
 from lexmill.sources import readers, sinks
@@ -91,6 +91,34 @@ def regexner_rules(spark, sf_dir):
     return reduce(DataFrame.union, forms)
 
 
+def silver(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """What the built-in rules say of the corpus, as labels to learn from."""
+    return documents.analysed(corpus(spark, sf_dir), KEY, [layer])
+
+
+def tagger_counts(spark, sf_dir):
+    return tagger.train(silver(spark, sf_dir, "pos"), "pos")
+
+
+def lemma_counts(spark, sf_dir):
+    return tagger.train_lemmas(documents.analysed(corpus(spark, sf_dir), KEY, ["pos", "lems"]))
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """Written as Parquet and read back, as a model's counts are."""
+    path = scratch(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
+def learned_layers(spark, sf_dir):
+    """Parts of speech, lemmas and entities by models that were learned from every other document, on all documents."""
+    labels = stored(documents.analysed(corpus(spark, sf_dir), KEY, ["pos", "lems", "ner"]).where("pmod(doc_id, 2) = 0"))
+    taggers = {name: tagger.tagger(stored(tagger.train(labels, name))) for name in ("pos", "ner")}
+    taggers["lemma"] = tagger.lemmatizer(stored(tagger.train_lemmas(labels)))
+    return documents.token_rows(corpus(spark, sf_dir), KEY, ["pos", "lems", "ner"], taggers=taggers, gazetteer=[])
+
+
 def openings(docs: DataFrame) -> DataFrame:
     """A dictionary that grows with the data: the first two words of every document."""
     first = F.regexp_extract("text", r"^(\p{L}+ \p{L}+)(?:[ .,]|\z)", 1)
@@ -233,6 +261,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "regexner_join": regexner_join,
         "regexner_rules": regexner_rules,
         "ner_gazetteer": ner_gazetteer,
+        "tagger_counts": tagger_counts,
+        "lemma_counts": lemma_counts,
+        "learned_layers": learned_layers,
         "natlog": token_layer("pol"),
         "sentiment": table(documents.sentiments_table),
         "doc_sentiment": table(documents.document_sentiments),
