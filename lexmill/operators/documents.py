@@ -5,7 +5,7 @@ Every function here is row-local: one scan, no shuffle, no sort. `spread` is the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import html, text
@@ -47,6 +47,7 @@ NEEDS = {
     "pol": ("pos",),
     "sentiment": ("pol",),
     "triples": ("chunks", "lems"),
+    "pairs": ("ner", "lems"),
     "relations": ("ner", "lems"),
     "mentions": ("chunks", "lems", "ner"),
 }
@@ -60,10 +61,12 @@ def closure(layers) -> list[str]:
     return [layer for layer in NEEDS if layer in wanted]
 
 
-def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None, taggers=None) -> DataFrame:
+def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None, taggers=None, patterns=None,
+            lemmas=None, types=None) -> DataFrame:
     """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override the entity tags
     of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it.
-    `taggers` maps `pos`, `ner` or `lemma` to what was learned for it, which then stands in for the built-in rules."""
+    `taggers` maps `pos`, `ner` or `lemma` to what was learned for it, which then stands in for the built-in rules.
+    `patterns` are those of the relations, a list; the layer `pairs` alone needs but their `lemmas` and `types`."""
     needed, taggers = closure(layers), taggers or {}
     listed = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules}
     if "ner" in needed:
@@ -80,7 +83,8 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
         "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers),
         "cs": syntax.classes, "chunks": syntax.chunks, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
-        "relations": syntax.relations, "mentions": syntax.mentions,
+        "pairs": lambda: syntax.entity_pairs(lemmas, types), "relations": lambda: syntax.relations(patterns),
+        "mentions": syntax.mentions,
     }
     frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
     for layer in needed[1:]:
@@ -209,6 +213,18 @@ def triples_table(docs, keys, text_col="text", **options) -> DataFrame:
                      **{c: F.col(f"x.{c}") for c in ("confidence", "subject", "relation", "object")})
 
 
-def relations_table(docs, keys, text_col="text", **options) -> DataFrame:
-    return _exploded(sentence_rows(docs, keys, ["relations"], text_col, **options), keys, "relations", "relation_idx",
-                     **{c: F.col(f"x.{c}") for c in ("entity1", "type", "entity2")})
+def relations_table(docs, keys, text_col="text", patterns=None, **options) -> DataFrame:
+    """`relation_idx, entity1, type, entity2`: every pair of entities that a pattern names, by the places of both, then by type.
+    `patterns` is a list of (type, lemma, type, relation) or a DataFrame (first, lemma, second, relation); with a table the
+    pairs are joined to it, and only its lemmas and entity types are written into the plan."""
+    columns = {c: F.col(f"x.{c}") for c in ("entity1", "type", "entity2")}
+    if not isinstance(patterns, DataFrame):
+        return _exploded(sentence_rows(docs, keys, ["relations"], text_col, patterns=patterns, **options), keys, "relations", "relation_idx", **columns)
+    known = patterns.select("first", "lemma", "second", "relation").dropna().distinct()
+    words = known.agg(F.collect_set("lemma").alias("lemmas"), F.array_union(F.collect_set("first"), F.collect_set("second")).alias("types")).first()
+    rows = sentence_rows(docs, keys, ["pairs"], text_col, lemmas=sorted(words.lemmas) or [""], types=sorted(words.types) or [""], **options)
+    pairs = each(rows, [*keys, "sent_idx"], "s.pairs", "i", "x").select(*keys, "sent_idx", "x.*")
+    same = (F.col("type1") == F.col("first")) & (pairs["lemma"] == known["lemma"]) & (F.col("type2") == F.col("second"))
+    named = pairs.join(known, same).select(*keys, "sent_idx", "b1", "b2", F.col("relation").alias("type"), "entity1", "entity2").distinct()
+    place = F.row_number().over(Window.partitionBy(*keys, "sent_idx").orderBy("b1", "b2", "type")) - 1
+    return named.select(*keys, "sent_idx", place.cast("bigint").alias("relation_idx"), "entity1", "type", "entity2")

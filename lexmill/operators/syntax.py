@@ -8,7 +8,7 @@ once, so every layer is linear in the sentence, however long it is. Layers are s
 from __future__ import annotations
 
 from lexmill.functions import lexicons as L
-from lexmill.functions.sqltext import case, quote, quoted
+from lexmill.functions.sqltext import case, lookup, quote, quoted
 from lexmill.operators.tagging import Step
 
 CLASS_OF_TAG = case([
@@ -196,26 +196,69 @@ def triples() -> list[Step]:
 TRIPLE_TEXT = "concat('(', concat_ws(',', CAST(t.confidence AS STRING), t.subject, t.relation, t.object), ')')"
 
 
-def relations() -> list[Step]:
-    """`relations` between an entity and the next one, where a pattern's lemma stands between."""
-    following_ = "get(s.found, j + 1)"
-    between = f"slice(s.lems, a.e + 1, {following_}.b - a.e)"
-    kind = case([
-        (f"a.type = '{first}' AND {following_}.type = '{second}' AND array_contains({between}, {quote(lemma)})", quote(name))
-        for first, lemma, second, name in L.RELATION_PATTERNS])
-    relation = (f"named_struct('entity1', {_joined('s.toks', 'a.b', 'a.e')}, 'type', {kind}, "
-                f"'entity2', {_joined('s.toks', following_ + '.b', following_ + '.e')})")
+PAIR = "struct<b1:int,b2:int,entity1:string,type1:string,lemma:string,type2:string,entity2:string>"
+
+
+def _adjacent(at: str, groups: str, part: str, wanted: str) -> str:
+    """Every entity before a place of `at` with every one after it, no other place of `at` between: `groups` are the first
+    entities of each stretch between places, `part` the number of places before each entity. `wanted` is over place `p`."""
+    here, after = "get(s.{0}, r)".format(groups), "get(s.{0}, r + 1)".format(groups)
+    beyond = f"coalesce(get(s.{groups}, r + 2), size(s.found))"
+    place = f"get(s.{at}, get(s.{part}, {here}))"
+    pair = ("named_struct('b1', a.b, 'b2', z.b, 'entity1', " + _joined("s.toks", "a.b", "a.e") + ", 'type1', a.type, "
+            "'lemma', get(s.lems, p), 'type2', z.type, 'entity2', " + _joined("s.toks", "z.b", "z.e") + ")")
+    product = (f"flatten(transform(slice(s.found, {here} + 1, {after} - {here}), a -> "
+               f"transform(slice(s.found, {after} + 1, {beyond} - {after}), z -> {pair})))")
+    named = f"get(transform(array({place}), p -> CASE WHEN {wanted} THEN {product} ELSE CAST(array() AS array<{PAIR}>) END), 0)"
+    return (f"flatten(transform(s.{groups}, (c, r) -> CASE WHEN get(s.{part}, {after}) = get(s.{part}, c) + 1 THEN {named} "
+            f"ELSE CAST(array() AS array<{PAIR}>) END))")
+
+
+def entity_pairs(lemmas, types) -> list[Step]:
+    """`pairs`: two entities of a sentence with a pattern's word between them. A word that is no preposition (a verb) holds
+    all entities before it together with all after it, as far as the next such word to either side; a preposition likewise,
+    as far as the next pattern's word of any kind. Words of an entity are no pattern's words."""
+    def parts(at: str, name: str) -> list[Step]:
+        n = "size(s.toks)"
+        return [
+            Step(f"{name}_count", f"toks {at}", segments(f"s.{at}", n, "k", f"size(s.{at})", 1)),
+            Step(f"{name}_part", f"found {name}_count", f"transform(s.found, x -> get(s.{name}_count, x.b))"),
+            Step(f"{name}_groups", f"{name}_part", places(f"s.{name}_part", f"i = 0 OR c != get(s.{name}_part, i - 1)")),
+        ]
     return [
         Step("entity_bounds", "ner", places("s.ner", "i = 0 OR c != get(s.ner, i - 1)")),
         Step("found", "ner entity_bounds", (
             "filter(transform(s.entity_bounds, (b, j) -> named_struct('b', b, 'e', coalesce(get(s.entity_bounds, j + 1), "
-            f"size(s.ner)), 'type', get(s.ner, b))), x -> x.type IN ({quoted(L.ENTITY_TYPES)}))")),
-        Step("relations", "found toks lems", (
-            f"filter(transform(s.found, (a, j) -> CASE WHEN {following_} IS NOT NULL THEN {relation} END), "
-            "r -> r.type IS NOT NULL)")),
+            f"size(s.ner)), 'type', get(s.ner, b))), x -> x.type IN ({quoted(types)}))")),
+        Step("links", "lems ner", places("s.lems", f"c IN ({quoted(lemmas)}) AND get(s.ner, i) NOT IN ({quoted(types)})")),
+        Step("deeds", "links pos", "filter(s.links, p -> get(s.pos, p) NOT IN ('IN', 'TO'))"),
+        *parts("links", "link"),
+        *parts("deeds", "deed"),
+        Step("pairs", "found toks lems pos links link_part link_groups deeds deed_part deed_groups", (
+            f"CASE WHEN size(s.found) < 2 OR size(s.links) = 0 THEN CAST(array() AS array<{PAIR}>) ELSE concat("
+            + _adjacent("deeds", "deed_groups", "deed_part", "true") + ", "
+            + _adjacent("links", "link_groups", "link_part", "get(s.pos, p) IN ('IN', 'TO')") + ") END")),
     ]
 
 
+def relations(patterns=None) -> list[Step]:
+    """`relations`: the pairs that a pattern (type, lemma, type, relation) names, by the places of both entities."""
+    patterns = L.RELATION_PATTERNS if patterns is None else patterns
+    names: dict[str, list[str]] = {}
+    for first, lemma, second, name in sorted(set(map(tuple, patterns))):
+        names.setdefault(f"{first}|{lemma}|{second}", []).append(name)
+    kinds = lookup({key: "|".join(kinds) for key, kinds in names.items()}, "concat_ws('|', x.type1, x.lemma, x.type2)")
+    named = (f"flatten(transform(s.pairs, x -> transform(split(coalesce({kinds}, ''), '[|]'), k -> "
+             "named_struct('b1', x.b1, 'b2', x.b2, 'type', k, 'entity1', x.entity1, 'entity2', x.entity2))))")
+    return [
+        *entity_pairs(sorted({p[1] for p in patterns}) or [""], sorted({t for p in patterns for t in (p[0], p[2])}) or [""]),
+        Step("relations", "pairs", (
+            "CASE WHEN size(s.pairs) = 0 THEN CAST(array() AS array<struct<entity1:string,type:string,entity2:string>>) ELSE "
+            f"transform(sort_array(array_distinct(filter({named}, x -> x.type != ''))), "
+            "x -> named_struct('entity1', x.entity1, 'type', x.type, 'entity2', x.entity2)) END")),
+    ] if names else [Step("relations", "toks", "CAST(array() AS array<struct<entity1:string,type:string,entity2:string>>)")]
+
+
 def mentions() -> list[Step]:
     """`mentions`: noun phrases with a name as head, and personal pronouns, in text order."""
     named = (

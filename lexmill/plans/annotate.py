@@ -108,13 +108,14 @@ def _rendered_line(name: str) -> Column:
 
 def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] | str = "doc_id",
              text_col: str = "text", mappers: int | None = None, rules=None, gazetteer=None,
-             line_as_sentence: bool = False, taggers=None) -> DataFrame:
+             line_as_sentence: bool = False, taggers=None, patterns=None) -> DataFrame:
     """Rows `(functionality, *keys, result)`, one per requested annotator and document.
 
     `rules` is a list of (phrase, type) or a DataFrame `(pattern, type)` of any size; it applies when `regexner` is
     requested, and then to every annotator that reads entities. So is `gazetteer`, which stands in for the built-in
     names. `taggers` maps `pos`, `ner` or `lemma` to a learned `tagger.Tagger` or `tagger.Lemmatizer`, for every annotator
-    that reads these layers. `cleanxml` cleans the text of every annotator.
+    that reads these layers. `patterns` is a list of (type, lemma, type, relation) for `relation`. `cleanxml` cleans the
+    text of every annotator.
     `tokenize` and `cleanxml` skip documents without tokens, the others give an empty string.
     With `line_as_sentence` a row is one sentence and results are printed as lists.
     `keys` must identify a document."""
@@ -139,7 +140,7 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         # Every annotator of the plan offers its layers; Spark drops the columns that no result reads.
         layers = {layer for n in resolve(local) for layer in LAYERS.get(n, [])}
         if any(n in LAYERS for n in local) or line_as_sentence:
-            frame = layered(frame, layers, keys, **options)
+            frame = layered(frame, layers, keys, patterns=patterns, **options)
         rendered = {n: _rendered_line(n) if line_as_sentence else _rendered(n) for n in local}
         results = F.array(*[F.struct(F.lit(n).alias("functionality"), c.alias("result")) for n, c in rendered.items()])
         rows = frame.select(*keys, F.inline(results)).select("functionality", *keys, "result")

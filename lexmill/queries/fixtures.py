@@ -23,8 +23,18 @@ ROWS = [
     (-19, "John Smith saw the big Red House. The dogs stopped. He saw his old friend Angela Merkel in Berlin."),
     (-20, "Angela Merkel wrote \"No.\" The dog said \"Woof\" and Marie Curie replied \"Why?\" Tom Lee said: \"Go\""),
 ]
+ROWS += [
+    (-21, "Barack Obama and Angela Merkel work for Harvard University and the United Nations, but Marie Curie lives in Paris."),
+    (-22, "In Berlin Angela Merkel lived in Germany, in Europe, and worked for the World Bank. Oxford University, based in Oxford, worked."),
+]
 SCHEMA = "doc_id bigint, text string"
 
+# Relations between names that are drawn from the documents, by words that are frequent in them.
+OPENING_PATTERNS = [
+    ("OPENING", "in", "OPENING", "Within"), ("OPENING", "the", "OPENING", "Beside"), ("OPENING", "and", "OPENING", "With"),
+    ("OPENING", "and", "OPENING", "Also_With"), ("OPENING", "de", "OPENING", "Of"), ("NUMBER", "of", "OPENING", "Counts"),
+]
+
 # The dictionary of the checks.
 RULES = [
     ("Bachelor of Arts", "DEGREE"),

@@ -300,7 +300,6 @@ def select(ctes: list[str], final: str) -> str:
 TOK = tokens()
 POS = TOK + tags()
 LEM = POS + lemmas()
-RELATION_LETTERS = dict(zip(L.ENTITY_TYPES, "PLG"))
 
 
 def _triple_ctes(source: str = "cls") -> list[str]:
@@ -322,21 +321,25 @@ def _triples() -> str:
         CASE WHEN direct THEN g1 ELSE g1 || ' ' || g2 END AS relation, CASE WHEN direct THEN g2 ELSE g3 END AS object FROM hits""")
 
 
-def _relations() -> str:
-    kind = case([
-        (f"a.ner = {q(first)} AND b_ner = {q(second)} AND EXISTS (SELECT 1 FROM ner l WHERE l.doc_id = a.doc_id AND l.sent_idx = a.sent_idx "
-         f"AND l.t >= a.e AND l.t < a.b_b AND l.lemma = {q(lemma)})", q(name))
-        for first, lemma, second, name in L.RELATION_PATTERNS])
-    return select(LEM + entities("lem") + [
+def _relations(gazetteer=L.GAZETTEER, patterns=L.RELATION_PATTERNS) -> str:
+    """Entities and a pattern's words as rows; a pair holds if the words between count as they must."""
+    lemmas, types = words(sorted({p[1] for p in patterns})), words(sorted({t for p in patterns for t in (p[0], p[2])}))
+    return select(LEM + entities("lem", gazetteer=gazetteer) + [
+        f"pattern(first, lemma, second, type) AS (VALUES {', '.join('(' + words(p) + ')' for p in patterns)})",
         f"""runs AS (SELECT *, t - row_number() OVER (PARTITION BY doc_id, sent_idx, ner ORDER BY t) AS grp FROM ner
-            WHERE ner IN ({words(L.ENTITY_TYPES)}))""",
-        """ent AS (SELECT doc_id, sent_idx, ner, min(t) AS b, max(t) + 1 AS e, string_agg(token, ' ' ORDER BY t) AS text
+            WHERE ner IN ({types}))""",
+        """ent AS MATERIALIZED (SELECT doc_id, sent_idx, ner, min(t) AS b, max(t) + 1 AS e, string_agg(token, ' ' ORDER BY t) AS text
             FROM runs GROUP BY doc_id, sent_idx, ner, grp)""",
-        """pair AS (SELECT *, lead(ner) OVER w AS b_ner, lead(b) OVER w AS b_b, lead(text) OVER w AS b_text FROM ent
-            WINDOW w AS (PARTITION BY doc_id, sent_idx ORDER BY b))""",
-        f"typed AS (SELECT doc_id, sent_idx, b, text AS entity1, {kind} AS type, b_text AS entity2 FROM pair a WHERE b_ner IS NOT NULL)",
-    ], """SELECT doc_id, sent_idx, row_number() OVER (PARTITION BY doc_id, sent_idx ORDER BY b) - 1 AS relation_idx,
-        entity1, type, entity2 FROM typed WHERE type IS NOT NULL""")
+        f"word AS MATERIALIZED (SELECT doc_id, sent_idx, t, lemma, pos IN ('IN', 'TO') AS small FROM ner WHERE lemma IN ({lemmas}) AND ner NOT IN ({types}))",
+        """pair AS MATERIALIZED (SELECT a.doc_id, a.sent_idx, a.b, a.e, a.ner AS type1, a.text AS entity1, z.b AS zb, z.ner AS type2, z.text AS entity2,
+            w.t, w.lemma, w.small FROM ent a JOIN ent z ON a.doc_id = z.doc_id AND a.sent_idx = z.sent_idx AND a.e <= z.b
+            JOIN word w ON a.doc_id = w.doc_id AND a.sent_idx = w.sent_idx AND w.t >= a.e AND w.t < z.b)""",
+        """clear AS (SELECT DISTINCT * FROM pair p WHERE NOT EXISTS (SELECT 1 FROM word o WHERE o.doc_id = p.doc_id AND o.sent_idx = p.sent_idx
+            AND o.t >= p.e AND o.t < p.zb AND o.t <> p.t AND (p.small OR NOT o.small)))""",
+        """typed AS (SELECT DISTINCT doc_id, sent_idx, b, zb, entity1, type, entity2 FROM clear c JOIN pattern k
+            ON c.type1 = k.first AND c.lemma = k.lemma AND c.type2 = k.second)""",
+    ], """SELECT doc_id, sent_idx, row_number() OVER (PARTITION BY doc_id, sent_idx ORDER BY b, zb, type) - 1 AS relation_idx,
+        entity1, type, entity2 FROM typed""")
 
 
 def _quotes() -> str:
@@ -442,6 +445,7 @@ def oracle_sql() -> dict[str, str]:
         "first_governor": select(POS + chunked() + dependency(), "SELECT doc_id, sent_idx, gov_tok FROM edges WHERE dep_tok = 0"),
         "openie": _triples(),
         "relation": _relations(),
+        "relation_table": _relations(OPENINGS, fixtures.OPENING_PATTERNS),
         "quote": _quotes(),
         "annotate_long": _long(),
         "annotate_syntax": _syntax_long(),

@@ -130,6 +130,13 @@ def regexner_join(spark, sf_dir):
     return dictionary.regexner_table(docs, KEY, openings(docs))
 
 
+def relation_table(spark, sf_dir):
+    """Relations between names drawn from the documents, by a table of patterns."""
+    docs = corpus(spark, sf_dir)
+    patterns = spark.createDataFrame(fixtures.OPENING_PATTERNS, "first string, lemma string, second string, relation string")
+    return documents.relations_table(docs, KEY, patterns=patterns, gazetteer=dictionary.as_gazetteer(openings(docs)))
+
+
 def sentence_list(spark, sf_dir):
     return documents.sentence_lists(corpus(spark, sf_dir), KEY)
 
@@ -275,6 +282,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dcoref": table(coreference.mentions_table, "dcoref"),
         "dcoref_text": asked("dcoref"),
         "relation": table(documents.relations_table),
+        "relation_table": relation_table,
         "quote": table(quotes.quotes_table),
         "openie": table(documents.triples_table),
         "line_as_sentence": line_as_sentence,

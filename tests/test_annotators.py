@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill import annotate, annotate_with_model
+from lexmill.functions import lexicons as L
 from lexmill.operators import coreference, dictionary, documents, phrases
 from lexmill.plans.catalogue import CATALOGUE
 
@@ -143,6 +144,25 @@ def test_table_gazetteer_reaches_what_builds_on_entities(docs, spark):
     assert got["relation"] == "(Ada Ray,Work_For,Mill House)\n" and got["coref"] == "(Ada Ray:She)\n"
 
 
+def test_relations_between_all_that_one_verb_parts(docs):
+    both = "Barack Obama and Angela Merkel work for Harvard University"
+    assert annotate(docs(both), "relation").first().result == (
+        "(Barack Obama,Work_For,Harvard University)\n(Angela Merkel,Work_For,Harvard University)\n")
+    parted = annotate(docs("Barack Obama lives in Paris and Angela Merkel works for Harvard University and the United Nations."), "relation").first().result
+    assert parted == "(Barack Obama,Live_In,Paris)\n(Angela Merkel,Work_For,Harvard University)\n(Angela Merkel,Work_For,United Nations)\n"
+    own = [("PERSON", "lead", "LOCATION", "Head"), ("PERSON", "lead", "LOCATION", "Boss"), ("LOCATION", "near", "LOCATION", "Near")]
+    assert annotate(docs("Angela Merkel led Germany."), "relation", patterns=own).first().result == "(Angela Merkel,Boss,Germany)\n(Angela Merkel,Head,Germany)\n"
+    assert annotate(docs("Angela Merkel led Germany."), "relation", patterns=[]).first().result == ""
+
+
+def test_relations_by_a_table_of_patterns(docs, spark):
+    frame = docs("Barack Obama and Angela Merkel work for Harvard University in Paris. Paris, in France.", "nothing", None)
+    table = spark.createDataFrame([*L.RELATION_PATTERNS, L.RELATION_PATTERNS[0], (None, "work", "LOCATION", "x")], "first string, lemma string, second string, relation string")
+    few, many = (sorted(documents.relations_table(frame, ["doc_id"], patterns=p).collect()) for p in (None, table))
+    assert few == many and len(few) == 3
+    assert documents.relations_table(frame, ["doc_id"], patterns=table.limit(0)).count() == 0
+
+
 def test_large_dictionary_through_annotate(docs, spark):
     rules = spark.range(1500).select(F.concat(F.lit("word"), F.col("id")).alias("pattern"), F.lit("W").alias("type"))
     got = {(r.functionality, r.doc_id): r.result for r in annotate(docs("word7 word1600 word12.", ""), "regexner,ner,pos", rules=rules).collect()}
