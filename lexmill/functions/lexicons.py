@@ -121,10 +121,28 @@ DOWNWARD = ["no", "not", "n't", "n’t", "never", "none", "nobody", "neither", "
 FLAT_QUANTIFIERS = ["most", "many", "exactly"]
 
 # Pronouns that may corefer, and verbs of speech as they appear in text.
-PRONOUNS = ["he", "she", "they", "him", "her", "them", "its", "his", "their"]
+PRONOUN_KINDS = {
+    "male": ["he", "him", "his"],
+    "female": ["she", "her"],
+    "plural": ["they", "them", "their"],
+    "thing": ["its"],
+}
+PRONOUNS = [word for words in PRONOUN_KINDS.values() for word in words]
 SPEECH_VERBS = ["said", "says", "say", "told", "tells", "asked", "asks", "replied", "replies",
                 "added", "adds", "claimed", "claims", "wrote", "writes"]
 
+# Frequent given names by gender.
+GIVEN_NAMES = {
+    "male": [
+        "Adam", "Albert", "Andrew", "Anthony", "Barack", "Ben", "Bob", "Carlos", "Charles", "Daniel", "David", "Edward", "Frank", "George",
+        "Hans", "Henry", "Isaac", "Jack", "James", "John", "José", "Juan", "Kevin", "Mark", "Martin", "Michael", "Mohammed", "Nelson",
+        "Paul", "Peter", "Pierre", "Richard", "Robert", "Stephen", "Steven", "Thomas", "Tim", "Tom", "William"],
+    "female": [
+        "Alice", "Amy", "Angela", "Ann", "Anna", "Barbara", "Carol", "Catherine", "Claire", "Elizabeth", "Emily", "Emma", "Eva", "Hannah",
+        "Helen", "Jane", "Jennifer", "Jessica", "Julia", "Karen", "Kate", "Laura", "Linda", "Lisa", "Margaret", "Maria", "Marie", "Mary",
+        "Nancy", "Olivia", "Patricia", "Rachel", "Rebecca", "Rose", "Ruth", "Sandra", "Sarah", "Sophie", "Susan"],
+}
+
 # Seed gazetteer, well-known names by type; a table of one's own takes its place.
 NAMES = {
     "PERSON": ["Barack Obama", "Angela Merkel", "Marie Curie", "Albert Einstein", "Isaac Newton", "Nelson Mandela", "William Shakespeare"],

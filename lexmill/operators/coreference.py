@@ -1,59 +1,193 @@
-"""Mention chains. Mentions are found row-locally; only they, not the text, are shuffled by document."""
+"""Mention chains, found in the row of a document.
+
+Mentions stand in text order in one array. Each looks for the nearest earlier one that it may mean, sieve by sieve, and is
+merged into its chain; the first sieve that finds one decides. For a name (`coref`): the same words without determiners; an
+acronym and the name that it abbreviates, whichever comes first; the same first and last word; a single word that is the
+last word of a longer name, or the first word of a longer name of a person. In the mode `dcoref` names are merged by the
+lemma of their head instead. A pronoun means the nearest earlier name that agrees with it in gender, number and kind, in
+either mode. Every sieve is a lookup by a key, so the work is linear in the mentions.
+
+Both modes come from one pass, and nothing is shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from typing import NamedTuple
+from unicodedata import category
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions import lexicons as L
+from lexmill.functions.rows import each
 from lexmill.operators.documents import analysed
 
-KEY_OF = {"coref": "text", "dcoref": "head_lemma"}
+MODES = ("coref", "dcoref")
+#: Words that may stand before a name and are no part of it.
+DETERMINERS = frozenset(L.CLOSED_CLASS["DT"] + L.CLOSED_CLASS["PRP$"])
+KIND_OF_PRONOUN = {word: kind for kind, words in L.PRONOUN_KINDS.items() for word in words}
+GENDER = {name: gender for gender, names in L.GIVEN_NAMES.items() for name in names}
+
+
+class Mention(NamedTuple):
+    text: str
+    head_lemma: str
+    pronoun: bool
+    type: str
+    plural: bool
+
+
+class Chains:
+    """Union-find over the mentions of a document; the root of a chain is its first mention."""
+
+    def __init__(self, n: int):
+        self.above = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.above[i] != i:
+            self.above[i] = self.above[self.above[i]]
+            i = self.above[i]
+        return i
+
+    def merge(self, i: int, j: int) -> None:
+        a, b = sorted((self.root(i), self.root(j)))
+        self.above[b] = a
+
+
+def name_words(text: str) -> list[str]:
+    """The words of a name without determiners before it, unless it is made of them."""
+    words = text.split(" ")
+    at = next((i for i, w in enumerate(words) if w.lower() not in DETERMINERS), 0)
+    return words[at:]
+
+
+def capital(word: str) -> bool:
+    return word != "" and category(word[0]) == "Lu"
+
+
+def keys_of(mention: Mention) -> tuple[list[tuple], list[tuple]]:
+    """What a name looks for, in the order of the sieves, and what it is found by."""
+    words = name_words(mention.text)
+    first, last = words[0], words[-1]
+    sought: list[tuple] = [("same", *words)]
+    known = [("same", *words)]
+    if len(words) == 1:
+        letters = first.replace(".", "")
+        if len(letters) > 1 and all(category(c) == "Lu" for c in letters):
+            sought.append(("long", letters))
+            known.append(("short", letters))
+        sought += [("last", last), ("first", first)]
+    else:
+        initials = "".join(w[0] for w in words if capital(w))
+        if len(initials) > 1:
+            sought.append(("short", initials))
+            known.append(("long", initials))
+        sought.append(("ends", first, last))
+        known += [("ends", first, last), ("last", last)] + ([("first", first)] if mention.type == "PERSON" else [])
+    return sought, known
+
 
+def agreeing(mention: Mention) -> list[str]:
+    """The kinds of pronouns that may mean a name."""
+    kinds = []
+    if mention.type not in ("LOCATION", "ORGANIZATION") and not mention.plural:
+        gender = GENDER.get(name_words(mention.text)[0])
+        kinds += [kind for kind in ("male", "female") if gender in (None, kind)]
+    if mention.plural or mention.type == "ORGANIZATION":
+        kinds.append("plural")
+    if mention.type != "PERSON":
+        kinds.append("thing")
+    return kinds
 
-def _keyed(docs: DataFrame, keys: list[str], mode: str, text_col: str, outer: bool, **options) -> DataFrame:
-    """One row per mention with its chain key: the exact text (`coref`) or the head's lemma (`dcoref`).
-    A pronoun takes the key of the nearest name before it, or stays alone."""
+
+def chains(mentions: list[Mention], mode: str) -> list[int]:
+    """The place of the first mention of each one's chain."""
+    merged = Chains(len(mentions))
+    latest: dict[tuple, int] = {}
+    for i, mention in enumerate(mentions):
+        if mention.pronoun:
+            sought = [("kind", KIND_OF_PRONOUN[mention.head_lemma])]
+            known: list[tuple] = []
+        else:
+            sought, known = keys_of(mention) if mode == "coref" else ([("head", mention.head_lemma)], [("head", mention.head_lemma)])
+            known = known + [("kind", kind) for kind in agreeing(mention)]
+        found = next((latest[key] for key in sought if key in latest), None)
+        if found is not None:
+            merged.merge(found, i)
+        latest.update(dict.fromkeys(known, i))
+    return [merged.root(i) for i in range(len(mentions))]
+
+
+def representatives(mentions: list[Mention], roots: list[int]) -> dict[int, int]:
+    """By chain: its first longest name, or its first mention if it has no name."""
+    best: dict[int, tuple] = {}
+    for i, (mention, root) in enumerate(zip(mentions, roots, strict=True)):
+        rank = (mention.pronoun, -len(mention.text), i)
+        best[root] = min(best.get(root, rank), rank)
+    return {root: rank[2] for root, rank in best.items()}
+
+
+def lines(mentions: list[Mention], mode: str) -> str:
+    """A line `(representative:m1|m2)` for each chain: of two mentions or more in the mode `coref`, of any number in `dcoref`."""
+    roots = chains(mentions, mode)
+    names = representatives(mentions, roots)
+    members: dict[int, list[str]] = {}
+    for mention, root in zip(mentions, roots, strict=True):
+        members.setdefault(root, []).append(mention.text)
+    out = []
+    for root, texts in members.items():
+        if len(texts) >= (2 if mode == "coref" else 1):
+            name = mentions[names[root]].text
+            others = [t for t in texts if t != name]
+            out.append(f"({name}{':' if others else ''}{'|'.join(others)})\n")
+    return "".join(out)
+
+
+def _of(row) -> list[Mention]:
+    return [Mention(m["text"], m["head_lemma"], m["pronoun"], m["type"], m["plural"]) for m in row or []]
+
+
+CHAIN_TYPE = pa.list_(pa.struct([("chain", pa.int64()), ("rep", pa.bool_())]))
+
+
+def _resolved(mode: str):
+    def resolve(rows: pa.Array) -> pa.Array:
+        out = []
+        for row in rows.to_pylist():
+            mentions = _of(row)
+            roots = chains(mentions, mode)
+            names = representatives(mentions, roots)
+            out.append([{"chain": root + 1, "rep": names[root] == i} for i, root in enumerate(roots)])
+        return pa.array(out, CHAIN_TYPE)
+    return F.arrow_udf(resolve, "array<struct<chain:bigint,rep:boolean>>")
+
+
+def _printed(modes):
+    def results(rows: pa.Array, sizes: pa.Array) -> pa.Array:
+        return pa.array([[lines(mentions, mode) for mode in modes] for mentions in map(_of, rows.to_pylist())], pa.list_(pa.string()))
+    return F.arrow_udf(results, "array<string>")
+
+
+def _flat(docs: DataFrame, keys: list[str], text_col: str, **options) -> DataFrame:
+    """Keys and `ms`, the mentions of a document in text order."""
     frame = analysed(docs, keys, ["mentions"], text_col, **options)
-    flat = F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
+    return frame.select(*keys, F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
         i.cast("bigint").alias("sent_idx"), m.b.cast("bigint").alias("begin_tok"), m.e.cast("bigint").alias("end_tok"),
-        m.text.alias("text"), m[KEY_OF[mode]].alias("name"), m.pronoun.alias("pronoun")))))
-    # The outer form also for mentions only: see `each`.
-    rows = frame.select(*keys, F.explode_outer(flat).alias("m")).select(*keys, "m.*")
-    rows = rows if outer else rows.where(F.col("text").isNotNull())
-    before = (Window.partitionBy(*keys).orderBy("sent_idx", "begin_tok", "end_tok")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    nearest = F.last(F.when(~F.col("pronoun"), F.col("name")), ignorenulls=True).over(before)
-    alone = F.concat_ws("\x1f", F.lit(""), "sent_idx", "begin_tok")
-    return rows.withColumn("chain_key", F.when(F.col("pronoun"), F.coalesce(nearest, alone)).otherwise(F.col("name")))
+        m.text.alias("text"), m.head_lemma.alias("head_lemma"), m.pronoun.alias("pronoun"), m.type.alias("type"), m.plural.alias("plural"))))).alias("ms"))
 
 
 def mentions_table(docs: DataFrame, keys: list[str], mode: str = "coref", text_col: str = "text", **options) -> DataFrame:
-    """`chain_id, sent_idx, begin_tok, end_tok, text, is_representative`. A chain's id is the place of its
-    first mention in the document; the representative is the first longest name."""
-    rows = _keyed(docs, keys, mode, text_col, outer=False, **options)
-    order = ["sent_idx", "begin_tok", "end_tok"]
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    chain = Window.partitionBy(*keys, "chain_key")
-    rows = rows.withColumn("chain_id", F.min("place").over(chain))
-    rank = F.row_number().over(chain.orderBy("pronoun", F.length("text").desc(), "place"))
-    return rows.withColumn("rank", rank).select(
-        *keys, "chain_id", *order, "text", (F.col("rank") == 1).alias("is_representative"))
-
-
-def chain_results(docs: DataFrame, keys: list[str], mode: str = "coref", text_col: str = "text", **options) -> DataFrame:
-    """Keys and `result`: a line `(representative:m1|m2)` per chain, every document kept. `coref` prints
-    chains of two mentions or more, `dcoref` all."""
-    rows = _keyed(docs, keys, mode, text_col, outer=True, **options)
-    place = F.struct("sent_idx", "begin_tok", "end_tok")
-    chains = rows.groupBy(*keys, "chain_key").agg(
-        F.count("text").alias("n"),
-        F.min(place).alias("first"),
-        F.min_by("text", F.struct("pronoun", -F.length("text"), "sent_idx", "begin_tok", "end_tok")).alias("rep"),
-        F.array_sort(F.collect_list(F.struct("sent_idx", "begin_tok", "end_tok", "text"))).alias("ms"))
-    others = F.filter(F.transform("ms", lambda m: m.text), lambda t: t != F.col("rep"))
-    line = F.concat(F.lit("("), "rep", F.when(F.size(others) > 0, F.concat(F.lit(":"), F.array_join(others, "|")))
-                    .otherwise(""), F.lit(")\n"))
-    shown = F.col("n") >= (2 if mode == "coref" else 1)
-    lines = chains.select(*keys, "first", F.when(shown, line).alias("line"))
-    ordered = F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("first", "line"))))
-    return lines.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x.line), "").alias("result"))
+    """`chain_id, sent_idx, begin_tok, end_tok, text, is_representative`. A chain's id is the place of its first mention in the
+    document, from 1; the representative is the first longest name."""
+    rows = _flat(docs, keys, text_col, **options).withColumn("chains", _resolved(mode)("ms"))
+    rows = each(rows, keys, F.arrays_zip(F.col("ms").alias("m"), F.col("chains").alias("c")), "place", "x")
+    return rows.select(*keys, F.col("x.c.chain").alias("chain_id"), "x.m.sent_idx", "x.m.begin_tok", "x.m.end_tok", "x.m.text",
+                       F.col("x.c.rep").alias("is_representative"))
+
+
+def chain_results(docs: DataFrame, keys: list[str], modes=("coref",), text_col: str = "text", **options) -> DataFrame:
+    """`functionality`, keys and `result`, the chain lines of each mode, every document kept."""
+    modes = list(modes)
+    rows = _flat(docs, keys, text_col, **options).withColumn("results", _printed(modes)("ms", F.size("ms")))  # see `tagger.with_lemmas`
+    rows = each(rows, keys, "results", "mode", "result")
+    return rows.select(F.get(F.array(*map(F.lit, modes)), F.col("mode").cast("int")).alias("functionality"), *keys, "result")

@@ -264,10 +264,11 @@ def mentions() -> list[Step]:
     named = (
         "CASE WHEN c.kind = 'NP' AND get(s.cs, c.b) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
         f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', c.text, "
-        "'head_lemma', lower(get(s.lems, c.head)), 'pronoun', false) END")
+        "'head_lemma', lower(get(s.lems, c.head)), 'pronoun', false, 'type', get(s.ner, c.head), "
+        "'plural', get(s.pos, c.head) IN ('NNS', 'NNPS')) END")
     pronoun = (
         f"CASE WHEN w IN ({quoted(L.PRONOUNS)}) AND get(s.pos, i) IN ('PRP', 'PRP$') THEN named_struct('b', i, "
-        "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true) END")
+        "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true, 'type', 'O', 'plural', false) END")
     return [Step("mentions", "chunks cs pos ner toks lows lems", (
         f"sort_array(filter(concat(transform(s.chunks, c -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
         "m -> m IS NOT NULL))"))]

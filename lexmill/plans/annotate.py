@@ -146,9 +146,8 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         rows = frame.select(*keys, F.inline(results)).select("functionality", *keys, "result")
         frames.append(rows.where(~F.col("functionality").isin(*SKIPS_EMPTY) | (F.col("result") != ""))
                       if not line_as_sentence and set(local) & set(SKIPS_EMPTY) else rows)
-    for mode in by_chain:
-        chains = coreference.chain_results(docs, keys, mode, text_col, **clean_first, **options)
-        frames.append(chains.select(F.lit(mode).alias("functionality"), *keys, "result"))
+    if by_chain:
+        frames.append(coreference.chain_results(docs, keys, by_chain, text_col, **clean_first, **options))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -170,8 +169,9 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
 
     For sorted output the documents are range-partitioned by key before they are annotated: the pass that samples the
     keys then scans documents but annotates none, the shuffle carries text and not its many annotations, and
-    every task writes a sorted run of each annotator, so no annotator is confined to one writer. Chains, and dictionaries
-    too large for a trie, shuffle by document: with them only the results are ranged. The other sinks range nothing."""
+    every task writes a sorted run of each annotator, so no annotator is confined to one writer. Dictionaries too large for a
+    trie and taggers too large to be sent shuffle by document: with them only the results are ranged. The other sinks range
+    nothing."""
     names = validate(functionality)
     keys = [keys] if isinstance(keys, str) else list(keys)
     if sink not in SINKS:
@@ -181,7 +181,8 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
         return
     for name in {"rules", "gazetteer"} & set(options):
         options[name] = phrases.prepared(options[name])
-    ranged = not set(names) & set(CHAINS) and not any(isinstance(options.get(name), DataFrame) for name in ("rules", "gazetteer"))
+    large = [t for t in (options.get("taggers") or {}).values() if getattr(t, "lexicon", None) is not None]
+    ranged = not large and not any(isinstance(options.get(name), DataFrame) for name in ("rules", "gazetteer"))
     ordered = docs.repartitionByRange(*([mappers] if mappers else []), *keys) if ranged else docs
     sinks.write_by_functionality(annotate(ordered, names, keys=keys, **options), path, keys, mappers, ranged)
 

@@ -264,19 +264,47 @@ def dependency() -> list[str]:
 
 
 def mention_rows(mode: str) -> list[str]:
-    """`mention(doc_id, sent_idx, b, e, text, pronoun, ckey, place)`."""
-    key = "text" if mode == "coref" else "head_lemma"
-    w = "PARTITION BY doc_id ORDER BY sent_idx, b, e"
+    """`mention(doc_id, sent_idx, b, e, text, pronoun, ckey, place)`, ckey being the first place of the chain: every mention is
+    joined to the earlier ones of its document, and chains are walked from their first mentions."""
+    kind_of = case([(f"low IN ({words(ws)})", q(kind)) for kind, ws in L.PRONOUN_KINDS.items()])
+    gender = case([(f"split_part(name, ' ', 1) IN ({words(ns)})", q(kind)) for kind, ns in L.GIVEN_NAMES.items()])
+    before = "|".join(L.CLOSED_CLASS["DT"] + L.CLOSED_CLASS["PRP$"])
+    sieves = [
+        "o.name = m.name",
+        "(m.single AND m.letters = o.initials AND NOT o.single) OR (o.single AND o.letters = m.initials AND NOT m.single)",
+        "NOT m.single AND NOT o.single AND o.first = m.first AND o.last = m.last",
+        "m.single AND NOT o.single AND o.last = m.last",
+        "m.single AND NOT o.single AND o.first = m.first AND o.type = 'PERSON'",
+    ] if mode == "coref" else ["o.head_lemma = m.head_lemma"]
+    agrees = case([
+        ("m.kind IN ('male', 'female')", "o.type NOT IN ('LOCATION', 'ORGANIZATION') AND NOT o.plural AND coalesce(o.gender, m.kind) = m.kind"),
+        ("m.kind = 'plural'", "o.plural OR o.type = 'ORGANIZATION'"),
+        ("m.kind = 'thing'", "o.type <> 'PERSON'")], "false")
+    nearest = ", ".join(f"max(CASE WHEN {s} THEN o.place END) AS s{i}" for i, s in enumerate(sieves))
     return [
-        f"""names AS (SELECT k.doc_id, k.sent_idx, k.b, k.e, k.text, lower(h.lemma) AS head_lemma, false AS pronoun
-            FROM chunk k JOIN cls h ON h.doc_id = k.doc_id AND h.sent_idx = k.sent_idx AND h.t = k.head
+        f"""names AS (SELECT k.doc_id, k.sent_idx, k.b, k.e, k.text, lower(h.lemma) AS head_lemma, false AS pronoun, h.ner AS type,
+            h.pos IN ('NNS', 'NNPS') AS plural, CAST(NULL AS VARCHAR) AS kind FROM chunk k JOIN cls h ON h.doc_id = k.doc_id AND h.sent_idx = k.sent_idx AND h.t = k.head
             WHERE k.kind = 'NP' AND k.c0 <> 'q' AND (h.pos LIKE 'NNP%' OR h.ner IN ({words(L.ENTITY_TYPES)})))""",
-        f"""found AS (SELECT * FROM names UNION ALL SELECT doc_id, sent_idx, t, t + 1, token, low, true FROM cls
+        f"""found AS (SELECT * FROM names UNION ALL SELECT doc_id, sent_idx, t, t + 1, token, low, true, 'O', false, {kind_of} FROM cls
             WHERE low IN ({words(L.PRONOUNS)}) AND pos IN ('PRP', 'PRP$'))""",
-        f"""linked AS (SELECT *, row_number() OVER ({w}) AS place, last_value(CASE WHEN NOT pronoun THEN {key} END IGNORE NULLS)
-            OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nearest FROM found)""",
-        f"""mention AS MATERIALIZED (SELECT doc_id, sent_idx, b, e, text, pronoun, place, CASE WHEN NOT pronoun THEN {key}
-            ELSE coalesce(nearest, chr(31) || place) END AS ckey FROM linked)""",
+        f"""named AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sent_idx, b, e) AS place,
+            coalesce(nullif(regexp_replace(text || ' ', {q('^(?i:(?:' + before + ') )+')}, ''), ''), text || ' ') AS padded FROM found)""",
+        """parted AS (SELECT *, rtrim(padded, ' ') AS name, string_split(rtrim(padded, ' '), ' ') AS ws FROM named)""",
+        rf"""sieved AS MATERIALIZED (SELECT *, len(ws) = 1 AS single, ws[1] AS first, ws[-1] AS last, {gender} AS gender,
+            CASE WHEN regexp_matches(replace(name, '.', ''), '^\p{{Lu}}{{2,}}$') THEN replace(name, '.', '') END AS letters,
+            CASE WHEN len(list_filter(ws, lambda w: regexp_matches(w, '^\p{{Lu}}'))) > 1
+                THEN array_to_string(list_transform(list_filter(ws, lambda w: regexp_matches(w, '^\p{{Lu}}')), lambda w: left(w, 1)), '') END AS initials
+            FROM parted)""",
+        f"""earlier AS (SELECT m.doc_id, m.place, {nearest} FROM sieved m JOIN sieved o
+            ON o.doc_id = m.doc_id AND o.place < m.place AND NOT m.pronoun AND NOT o.pronoun GROUP BY ALL
+            UNION ALL SELECT m.doc_id, m.place, max(o.place){', CAST(NULL AS BIGINT)' * (len(sieves) - 1)}
+            FROM sieved m JOIN sieved o ON o.doc_id = m.doc_id AND o.place < m.place AND m.pronoun AND NOT o.pronoun AND ({agrees}) GROUP BY m.doc_id, m.place)""",
+        f"""meant AS MATERIALIZED (SELECT m.doc_id, m.place, coalesce({', '.join(f's{i}' for i in range(len(sieves)))}) AS up
+            FROM sieved m LEFT JOIN earlier e ON e.doc_id = m.doc_id AND e.place = m.place)""",
+        """rooted AS (SELECT doc_id, place, place AS ckey FROM meant WHERE up IS NULL
+            UNION ALL SELECT n.doc_id, n.place, r.ckey FROM rooted r JOIN meant n ON n.doc_id = r.doc_id AND n.up = r.place)""",
+        """mention AS MATERIALIZED (SELECT s.doc_id, sent_idx, b, e, text, pronoun, s.place, ckey FROM sieved s
+            JOIN rooted r ON r.doc_id = s.doc_id AND r.place = s.place)""",
         """chains AS MATERIALIZED (SELECT doc_id, ckey, min(place) AS chain_id, count(*) AS n,
             arg_min(place, (pronoun, -length(text), place)) AS rep_place,
             arg_min(text, (pronoun, -length(text), place)) AS rep FROM mention GROUP BY ALL)""",
