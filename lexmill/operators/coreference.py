@@ -4,8 +4,8 @@ Mentions stand in text order in one array. Each looks for the nearest earlier on
 merged into its chain; the first sieve that finds one decides. For a name (`coref`): the same words without determiners; an
 acronym and the name that it abbreviates, whichever comes first; the same first and last word; a single word that is the
 last word of a longer name, or the first word of a longer name of a person. In the mode `dcoref` names are merged by the
-lemma of their head instead. A pronoun means the nearest earlier name that agrees with it in gender, number and kind, in
-either mode. Every sieve is a lookup by a key, so the work is linear in the mentions.
+lemma of their head instead. A pronoun means the nearest earlier name whose chain agrees with it in gender, number and kind,
+in either mode. Every sieve is a lookup by a key, so the work is linear in the mentions.
 
 Both modes come from one pass, and nothing is shuffled."""
 
@@ -87,34 +87,40 @@ def keys_of(mention: Mention) -> tuple[list[tuple], list[tuple]]:
     return sought, known
 
 
-def agreeing(mention: Mention) -> list[str]:
-    """The kinds of pronouns that may mean a name."""
+def agreeing(kind: str | None, gender: str | None, plural: bool) -> list[str]:
+    """The kinds of pronouns that may mean a name, by its entity type and gender as far as they are known."""
     kinds = []
-    if mention.type not in ("LOCATION", "ORGANIZATION") and not mention.plural:
-        gender = GENDER.get(name_words(mention.text)[0])
-        kinds += [kind for kind in ("male", "female") if gender in (None, kind)]
-    if mention.plural or mention.type == "ORGANIZATION":
+    if kind not in ("LOCATION", "ORGANIZATION") and not plural:
+        kinds += [k for k in ("male", "female") if gender in (None, k)]
+    if plural or kind == "ORGANIZATION":
         kinds.append("plural")
-    if mention.type != "PERSON":
+    if kind != "PERSON":
         kinds.append("thing")
     return kinds
 
 
 def chains(mentions: list[Mention], mode: str) -> list[int]:
-    """The place of the first mention of each one's chain."""
+    """The place of the first mention of each one's chain. What a chain's names have told of its type and gender holds for
+    its later names too."""
     merged = Chains(len(mentions))
     latest: dict[tuple, int] = {}
+    told: dict[int, tuple[str | None, str | None]] = {}
     for i, mention in enumerate(mentions):
         if mention.pronoun:
-            sought = [("kind", KIND_OF_PRONOUN[mention.head_lemma])]
-            known: list[tuple] = []
-        else:
-            sought, known = keys_of(mention) if mode == "coref" else ([("head", mention.head_lemma)], [("head", mention.head_lemma)])
-            known = known + [("kind", kind) for kind in agreeing(mention)]
+            found = latest.get(("kind", KIND_OF_PRONOUN[mention.head_lemma]))
+            if found is not None:
+                merged.merge(found, i)
+            continue
+        sought, known = keys_of(mention) if mode == "coref" else ([("head", mention.head_lemma)], [("head", mention.head_lemma)])
         found = next((latest[key] for key in sought if key in latest), None)
         if found is not None:
             merged.merge(found, i)
+        root = merged.root(i)
+        kind, gender = told.get(root, (None, None))
+        told[root] = kind, gender = (kind or (mention.type if mention.type in L.ENTITY_TYPES else None),
+                                     gender or GENDER.get(name_words(mention.text)[0]))
         latest.update(dict.fromkeys(known, i))
+        latest.update(dict.fromkeys((("kind", k) for k in agreeing(kind, gender, mention.plural)), i))
     return [merged.root(i) for i in range(len(mentions))]
 
 

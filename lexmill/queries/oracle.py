@@ -277,9 +277,9 @@ def mention_rows(mode: str) -> list[str]:
         "m.single AND NOT o.single AND o.first = m.first AND o.type = 'PERSON'",
     ] if mode == "coref" else ["o.head_lemma = m.head_lemma"]
     agrees = case([
-        ("m.kind IN ('male', 'female')", "o.type NOT IN ('LOCATION', 'ORGANIZATION') AND NOT o.plural AND coalesce(o.gender, m.kind) = m.kind"),
-        ("m.kind = 'plural'", "o.plural OR o.type = 'ORGANIZATION'"),
-        ("m.kind = 'thing'", "o.type <> 'PERSON'")], "false")
+        ("m.kind IN ('male', 'female')", "coalesce(o.type, '') NOT IN ('LOCATION', 'ORGANIZATION') AND NOT o.plural AND coalesce(o.gender, m.kind) = m.kind"),
+        ("m.kind = 'plural'", "o.plural OR coalesce(o.type, '') = 'ORGANIZATION'"),
+        ("m.kind = 'thing'", "coalesce(o.type, '') <> 'PERSON'")], "false")
     nearest = ", ".join(f"max(CASE WHEN {s} THEN o.place END) AS s{i}" for i, s in enumerate(sieves))
     return [
         f"""names AS (SELECT k.doc_id, k.sent_idx, k.b, k.e, k.text, lower(h.lemma) AS head_lemma, false AS pronoun, h.ner AS type,
@@ -296,15 +296,20 @@ def mention_rows(mode: str) -> list[str]:
                 THEN array_to_string(list_transform(list_filter(ws, lambda w: regexp_matches(w, '^\p{{Lu}}')), lambda w: left(w, 1)), '') END AS initials
             FROM parted)""",
         f"""earlier AS (SELECT m.doc_id, m.place, {nearest} FROM sieved m JOIN sieved o
-            ON o.doc_id = m.doc_id AND o.place < m.place AND NOT m.pronoun AND NOT o.pronoun GROUP BY ALL
-            UNION ALL SELECT m.doc_id, m.place, max(o.place){', CAST(NULL AS BIGINT)' * (len(sieves) - 1)}
-            FROM sieved m JOIN sieved o ON o.doc_id = m.doc_id AND o.place < m.place AND m.pronoun AND NOT o.pronoun AND ({agrees}) GROUP BY m.doc_id, m.place)""",
+            ON o.doc_id = m.doc_id AND o.place < m.place AND NOT m.pronoun AND NOT o.pronoun GROUP BY ALL)""",
         f"""meant AS MATERIALIZED (SELECT m.doc_id, m.place, coalesce({', '.join(f's{i}' for i in range(len(sieves)))}) AS up
-            FROM sieved m LEFT JOIN earlier e ON e.doc_id = m.doc_id AND e.place = m.place)""",
+            FROM sieved m LEFT JOIN earlier e ON e.doc_id = m.doc_id AND e.place = m.place WHERE NOT m.pronoun)""",
         """rooted AS (SELECT doc_id, place, place AS ckey FROM meant WHERE up IS NULL
             UNION ALL SELECT n.doc_id, n.place, r.ckey FROM rooted r JOIN meant n ON n.doc_id = r.doc_id AND n.up = r.place)""",
-        """mention AS MATERIALIZED (SELECT s.doc_id, sent_idx, b, e, text, pronoun, s.place, ckey FROM sieved s
-            JOIN rooted r ON r.doc_id = s.doc_id AND r.place = s.place)""",
+        f"""told AS MATERIALIZED (SELECT s.doc_id, s.place, r.ckey, s.plural,
+            first_value(CASE WHEN s.type IN ({words(L.ENTITY_TYPES)}) THEN s.type END IGNORE NULLS) OVER w AS type,
+            first_value(s.gender IGNORE NULLS) OVER w AS gender FROM sieved s JOIN rooted r ON r.doc_id = s.doc_id AND r.place = s.place
+            WINDOW w AS (PARTITION BY s.doc_id, r.ckey ORDER BY s.place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        f"""meaning AS (SELECT m.doc_id, m.place, arg_max(o.ckey, o.place) AS ckey FROM sieved m JOIN told o
+            ON o.doc_id = m.doc_id AND o.place < m.place AND m.pronoun AND ({agrees}) GROUP BY m.doc_id, m.place)""",
+        """mention AS MATERIALIZED (SELECT s.doc_id, sent_idx, b, e, text, pronoun, s.place, coalesce(t.ckey, p.ckey, s.place) AS ckey
+            FROM sieved s LEFT JOIN told t ON t.doc_id = s.doc_id AND t.place = s.place
+            LEFT JOIN meaning p ON p.doc_id = s.doc_id AND p.place = s.place)""",
         """chains AS MATERIALIZED (SELECT doc_id, ckey, min(place) AS chain_id, count(*) AS n,
             arg_min(place, (pronoun, -length(text), place)) AS rep_place,
             arg_min(text, (pronoun, -length(text), place)) AS rep FROM mention GROUP BY ALL)""",

@@ -44,7 +44,7 @@ def test_links_among_all_earlier_mentions():
     rng = random.Random(11)
     words = ["Ann", "Bob", "Ray", "Lee", "Red", "House"]
 
-    def link(i, mentions):
+    def link(i, mentions, roots):
         m = mentions[i]
         ws = coreference.name_words(m.text)
 
@@ -57,7 +57,13 @@ def test_links_among_all_earlier_mentions():
                     len(ws) == 1 < len(vs) and ws[0] == vs[0] and o.type == "PERSON"][sieve]
         if m.pronoun:
             kind = coreference.KIND_OF_PRONOUN[m.head_lemma]
-            return next((j for j in range(i - 1, -1, -1) if not mentions[j].pronoun and kind in coreference.agreeing(mentions[j])), None)
+
+            def agrees(j):
+                chain = [mentions[x] for x in range(j + 1) if roots[x] == roots[j] and not mentions[x].pronoun]
+                types = [x.type for x in chain if x.type in ("PERSON", "LOCATION", "ORGANIZATION")]
+                genders = [g for x in chain if (g := coreference.GENDER.get(coreference.name_words(x.text)[0]))]
+                return kind in coreference.agreeing((types or [None])[0], (genders or [None])[0], mentions[j].plural)
+            return next((j for j in range(i - 1, -1, -1) if not mentions[j].pronoun and agrees(j)), None)
         return next((j for s in range(5) for j in range(i - 1, -1, -1) if not mentions[j].pronoun and fits(mentions[j], s)), None)
 
     for _ in range(300):
@@ -68,7 +74,7 @@ def test_links_among_all_earlier_mentions():
                             name(rng.choice(["AR", "BL", "RH"]) if rng.random() < 0.2 else " ".join(rng.choices(words, k=rng.randrange(1, 4))), kind, rng.random() < 0.2))
         roots = list(range(len(mentions)))
         for i in range(len(mentions)):
-            found = link(i, mentions)
+            found = link(i, mentions, roots)
             roots[i] = i if found is None else roots[found]
         assert coreference.chains(mentions, "coref") == roots
 
