@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import lexicons as L
-from lexmill.functions.rows import each
+from lexmill.functions.rows import each, held
 from lexmill.operators.documents import analysed
 
 MODES = ("coref", "dcoref")
@@ -169,7 +169,7 @@ def _resolved(mode: str):
 
 
 def _printed(modes):
-    def results(rows: pa.Array, sizes: pa.Array) -> pa.Array:
+    def results(rows: pa.Array) -> pa.Array:
         return pa.array([[lines(mentions, mode) for mode in modes] for mentions in map(_of, rows.to_pylist())], pa.list_(pa.string()))
     return F.arrow_udf(results, "array<string>")
 
@@ -177,9 +177,10 @@ def _printed(modes):
 def _flat(docs: DataFrame, keys: list[str], text_col: str, **options) -> DataFrame:
     """Keys and `ms`, the mentions of a document in text order."""
     frame = analysed(docs, keys, ["mentions"], text_col, **options)
-    return frame.select(*keys, F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
+    flat = F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
         i.cast("bigint").alias("sent_idx"), m.b.cast("bigint").alias("begin_tok"), m.e.cast("bigint").alias("end_tok"),
-        m.text.alias("text"), m.head_lemma.alias("head_lemma"), m.pronoun.alias("pronoun"), m.type.alias("type"), m.plural.alias("plural"))))).alias("ms"))
+        m.text.alias("text"), m.head_lemma.alias("head_lemma"), m.pronoun.alias("pronoun"), m.type.alias("type"), m.plural.alias("plural")))))
+    return frame.select(*keys, held(flat).alias("ms"))
 
 
 def mentions_table(docs: DataFrame, keys: list[str], mode: str = "coref", text_col: str = "text", **options) -> DataFrame:
@@ -194,6 +195,6 @@ def mentions_table(docs: DataFrame, keys: list[str], mode: str = "coref", text_c
 def chain_results(docs: DataFrame, keys: list[str], modes=("coref",), text_col: str = "text", **options) -> DataFrame:
     """`functionality`, keys and `result`, the chain lines of each mode, every document kept."""
     modes = list(modes)
-    rows = _flat(docs, keys, text_col, **options).withColumn("results", _printed(modes)("ms", F.size("ms")))  # see `tagger.with_lemmas`
+    rows = _flat(docs, keys, text_col, **options).withColumn("results", _printed(modes)("ms"))
     rows = each(rows, keys, "results", "mode", "result")
     return rows.select(F.get(F.array(*map(F.lit, modes)), F.col("mode").cast("int")).alias("functionality"), *keys, "result")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
+from lexmill.functions.rows import held
 
 ENDING = 4
 #: Words that are seen more often than this say nothing about the endings of unknown ones.
@@ -290,15 +291,12 @@ def lemmatizer(counts: DataFrame, model_bytes: int | None = None) -> Lemmatizer:
 
 
 def with_lemmas(frame: DataFrame, lemmatizer: Lemmatizer, name: str = "lems") -> DataFrame:
-    """Adds learned lemmas to a frame with the columns `cleaned` and `pos`.
-
-    The size of pos is asked for so that pos is used twice: the optimizer puts a definition that is used once into the
-    call itself, and a call with lambdas inside is not sent to Python."""
+    """Adds learned lemmas to a frame with the columns `cleaned` and `pos`."""
     sent = frame.sparkSession.sparkContext.broadcast(lemmatizer)
 
-    def lemmas(cleaned: pa.Array, pos: pa.Array, sizes: pa.Array) -> pa.Array:
+    def lemmas(cleaned: pa.Array, pos: pa.Array) -> pa.Array:
         edit = sent.value.lemma
         return _nested([[[edit(w, t) for w, t in zip(ws, ts, strict=True)] for ws, ts in zip(_sentences(row), tags, strict=True)]
                         for row, tags in zip(cleaned.to_pylist(), pos.to_pylist(), strict=True)])
 
-    return frame.withColumn(name, F.arrow_udf(lemmas, "array<array<string>>")("cleaned", "pos", F.size("pos")))
+    return frame.withColumn("pos", held("pos")).withColumn(name, F.arrow_udf(lemmas, "array<array<string>>")("cleaned", "pos"))

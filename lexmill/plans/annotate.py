@@ -162,6 +162,14 @@ def annotate_with_model(docs: DataFrame, factory: Callable[[], Callable[[pd.Data
     return docs.mapInPandas(run, schema)
 
 
+def _keeps_order(options: dict) -> bool:
+    """Whether results come in the order of the documents. Prepares tables of rules on the way."""
+    for name in {"rules", "gazetteer"} & set(options):
+        options[name] = phrases.prepared(options[name])
+    large = [t for t in (options.get("taggers") or {}).values() if getattr(t, "lexicon", None) is not None]
+    return not large and not any(isinstance(options.get(name), DataFrame) for name in ("rules", "gazetteer"))
+
+
 def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers: int | None = None,
             keys: list[str] | str = "doc_id", sink: str = "sorted", **options) -> None:
     """Annotates and writes: one directory of sorted text files per annotator (`sorted`), lines with the annotator and
@@ -179,14 +187,20 @@ def run_job(docs: DataFrame, functionality: str | list[str], path: str, mappers:
     if sink != "sorted":
         SINKS[sink](annotate(docs, names, keys=keys, mappers=mappers, **options), path, keys)
         return
-    for name in {"rules", "gazetteer"} & set(options):
-        options[name] = phrases.prepared(options[name])
-    large = [t for t in (options.get("taggers") or {}).values() if getattr(t, "lexicon", None) is not None]
-    ranged = not large and not any(isinstance(options.get(name), DataFrame) for name in ("rules", "gazetteer"))
+    ranged = _keeps_order(options)
     ordered = docs.repartitionByRange(*([mappers] if mappers else []), *keys) if ranged else docs
     sinks.write_by_functionality(annotate(ordered, names, keys=keys, **options), path, keys, mappers, ranged)
 
 
+def ranked_results(docs: DataFrame, functionality: str | list[str], path: str, keys: list[str] | str = "doc_id", **options) -> DataFrame:
+    """`functionality`, keys, `rank` and `result` of every annotator and document, in key order. The documents are brought into
+    key order, annotated once and written to `path`; see `sinks.ranked`."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ranged = _keeps_order(options)
+    ordered = docs.repartitionByRange(*keys).sortWithinPartitions(*keys) if ranged else docs
+    return sinks.ranked(annotate(ordered, functionality, keys=keys, **options), path, keys, ranged)
+
+
 SINKS = {
     "sorted": None,
     "keyed": lambda results, path, keys: sinks.write_keyed(results, path, keys[-1]),

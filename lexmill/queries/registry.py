@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import html
 from lexmill.functions.rows import each
 from lexmill.operators import coreference, dictionary, documents, quotes, tagger
-from lexmill.plans.annotate import LINE_FUNCTIONS, annotate, annotate_with_model, run_job
+from lexmill.plans.annotate import LINE_FUNCTIONS, annotate, annotate_with_model, ranked_results, run_job
 from lexmill.queries import fixtures
 from lexmill.sources import readers, sinks
 
@@ -219,7 +219,7 @@ def spread_rows(spark, sf_dir):
 
 
 def sorted_results(spark, sf_dir):
-    return sinks.ranked(annotate(corpus(spark, sf_dir), "tokenize"))
+    return ranked_results(corpus(spark, sf_dir), "tokenize,coref", scratch(spark))
 
 
 def sink_by_functionality(spark, sf_dir):

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-#: Key ranges of an annotator's results, at least.
-RANGES = 64
-
-
 def write_by_functionality(results: DataFrame, path: str, keys: list[str] | str = "doc_id", n: int | None = None,
                            ranged: bool = False) -> None:
     """`path/functionality=<name>/part-*`, sorted by key within and across the parts; the keys are dropped.
@@ -22,24 +18,26 @@ def write_by_functionality(results: DataFrame, path: str, keys: list[str] | str
      .write.mode("overwrite").partitionBy("functionality").text(path))
 
 
-def ranked(results: DataFrame, key: str = "doc_id") -> DataFrame:
-    """`functionality, key, rank, result`: the place of each result among its annotator's in key order, from 1.
-
-    Quantiles of the keys part an annotator's results into ranges of keys, rows are numbered within a range, and the counts of the ranges before are added by a join of one row per range, so that no
-    task holds an annotator's results whole. Keys must be numbers; equal ones are in any order."""
-    cores = results.sparkSession.sparkContext.defaultParallelism
-    n = max(RANGES, 4 * cores)
-    bounds = results.select(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000).alias("bounds")).first().bounds or []
-    place = F.lit(0)
-    if bounds:
-        place = F.aggregate(F.lit(sorted(set(bounds))), F.lit(0), lambda acc, x: acc + F.when(F.col(key) > x, 1).otherwise(0))
-    parted = results.withColumn("range", place)
-    counts = parted.groupBy("functionality", "range").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("functionality").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
-    bases = counts.select("functionality", "range", F.coalesce(before, F.lit(0)).alias("base"))  # one row per range
-    inside = F.row_number().over(Window.partitionBy("functionality", "range").orderBy(key))
-    return parted.withColumn("inside", inside).join(F.broadcast(bases), ["functionality", "range"]).select(
-        "functionality", key, (F.col("base") + F.col("inside")).cast("bigint").alias("rank"), "result")
+def ranked(results: DataFrame, path: str, keys: list[str] | str = "doc_id", ordered: bool = False) -> DataFrame:
+    """`functionality`, keys, `rank`, `result`: the place of each result among its annotator's in key order, from 1. `path` is
+    a new folder.
+
+    The results are written once, in key order, each with its partition and its place there; what was written is counted by
+    partition, and the counts of the partitions before are added to the places, so that nothing is computed twice and no task
+    holds an annotator's results whole. `ordered` says that the rows come in key order already, across partitions and within
+    them; else they are range-partitioned and sorted first. Equal keys are in any order."""
+    keys = [keys] if isinstance(keys, str) else keys
+    if not ordered:
+        results = results.repartitionByRange("functionality", *keys).sortWithinPartitions("functionality", *keys)
+    # The partition in the upper bits, the row in the lower 33.
+    results.withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
+    written = results.sparkSession.read.parquet(path).withColumn("part", F.shiftright("at", 33))
+    inside = F.row_number().over(Window.partitionBy("functionality", "part").orderBy("at"))
+    counts = written.groupBy("functionality", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("functionality").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    bases = counts.select("functionality", "part", F.coalesce(before, F.lit(0)).alias("base"))  # one row per partition
+    return written.withColumn("inside", inside).join(bases, ["functionality", "part"]).select(
+        "functionality", *keys, (F.col("base") + F.col("inside")).cast("bigint").alias("rank"), "result")
 
 
 def write_keyed(results: DataFrame, path: str, key: str = "doc_id") -> None:

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill import annotate, run_job
+from lexmill import annotate, ranked_results, run_job
 from lexmill.functions import html
 from lexmill.functions.text import running_sum
 from lexmill.operators.documents import spread
@@ -130,15 +130,25 @@ def test_spread_is_on_request(spark):
     assert spread(spark.range(0, 1000, 1, 1), 3).rdd.getNumPartitions() == 3
 
 
-def test_ranks_over_many_ranges(spark):
+def test_ranks_over_many_ranges(spark, tmp_path):
     keys = [*range(500), 7, 7, -3, None]
     rows = spark.createDataFrame([(f, k, f"{f}{k}") for f in "ab" for k in keys], "functionality string, doc_id bigint, result string").repartition(5)
-    got = sinks.ranked(rows).collect()
+    got = sinks.ranked(rows, str(tmp_path / "a")).collect()
     for f in "ab":
         own = sorted(((r["rank"], r.doc_id) for r in got if r.functionality == f))
         assert [r for r, _ in own] == list(range(1, len(keys) + 1))
         assert [k for _, k in own] == sorted(keys, key=lambda k: (k is not None, k or 0))
-    assert sinks.ranked(rows.limit(0)).count() == 0
+    assert sinks.ranked(rows.limit(0), str(tmp_path / "b")).count() == 0
+
+
+@pytest.mark.parametrize("trie_bytes", [1000, 0])
+def test_ranked_results(spark, tmp_path, monkeypatch, trie_bytes):
+    monkeypatch.setattr(phrases, "TRIE_BYTES", trie_bytes)
+    docs = spark.range(300).select((F.lit(300) - F.col("id")).alias("doc_id"), F.concat(F.lit("A dog w"), "id").alias("text")).repartition(7)
+    rules = spark.createDataFrame([("dog", "D")], "pattern string, type string")
+    got = ranked_results(docs, "regexner,coref", str(tmp_path / "out"), rules=rules).collect()
+    assert sorted((r.functionality, r.doc_id, r["rank"]) for r in got) == sorted((f, i, i) for f in ("coref", "regexner") for i in range(1, 301))
+    assert {r.result.split()[1] for r in got if r.functionality == "regexner"} == {"D"}
 
 
 def test_running_sum(spark):
