@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Entities that the built-in variant decodes, the ampersand last.
+# Entities that the built-in variant decodes.
 ENTITIES = [
     ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
@@ -45,6 +45,14 @@ def _without_element(markup: Column, tag: str) -> Column:
     return F.array_join(cut, TAG_MARK)
 
 
+def _decoded(text: Column) -> Column:
+    """With its entities decoded, in a text whose every `&` begins one: cut there, each piece begins with a name."""
+    chars = F.create_map(*[F.lit(x) for name, char in ENTITIES for x in (name[1:-1], char)])
+    pieces = F.transform(F.split(text, "&"), lambda p, i: F.when(i == 0, p).otherwise(
+        F.concat(F.try_element_at(chars, F.substring_index(p, ";", 1)), F.substring(p, F.instr(p, ";") + 1, F.length(p)))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+
 def html_to_text(markup: Column, drop_tags: tuple[str, ...] = ()) -> Column:
     """Text nodes joined by one space, the same as `html_to_text_exact`.
 
@@ -60,14 +68,8 @@ def html_to_text(markup: Column, drop_tags: tuple[str, ...] = ()) -> Column:
     marked = dropped
     for pattern in (COMMENT, DECLARATION, TAG):
         marked = F.regexp_replace(marked, pattern, TAG_MARK)
-    signs = marked
-    for name, _ in ENTITIES:
-        signs = F.replace(signs, F.lit(name), F.lit(""))
-    other = other | signs.rlike("[<&]")
-    text = marked
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    native = F.regexp_replace(F.regexp_replace(text, r"^\x01++|\x01++\z", ""), r"\x01++", " ")
+    other = other | marked.rlike("<|&(?!(?:" + "|".join(name[1:] for name, _ in ENTITIES) + "))")
+    native = _decoded(F.replace(F.regexp_replace(F.trim(marked, F.lit(TAG_MARK)), r"\x01\x01++", TAG_MARK), F.lit(TAG_MARK), F.lit(" ")))
     return F.coalesce(html_to_text_exact(F.when(other, markup), drop_tags), native)
 
 

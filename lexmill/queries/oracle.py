@@ -5,6 +5,8 @@ from an unnested token table instead, so an error in one is not repeated in the
 
 from __future__ import annotations
 
+import unicodedata
+
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
 from lexmill.queries import fixtures
@@ -43,6 +45,14 @@ def html_text(column: str, drop_tags=()) -> str:
     return f"regexp_replace(regexp_replace({column}, '^\\x01+|\\x01+$', '', 'g'), '\\x01+', ' ', 'g')"
 
 
+def nfkd(column: str) -> str:
+    """Character by character, from the decompositions of Latin letters, marks and signs."""
+    known = {chr(c): unicodedata.normalize("NFKD", chr(c)) for c in (*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2200), *range(0xFB00, 0xFB07))}
+    pairs = [(a, b) for a, b in known.items() if a != b]
+    table = f"MAP {{{', '.join(f'chr({ord(a)}): {q(b)}' for a, b in pairs)}}}"
+    return f"array_to_string(list_transform(string_split({column}, ''), lambda c: coalesce({table}[c], c)), '')"
+
+
 def tokens(docs: str = DOCS, keys: str = "doc_id", one_sentence: bool = False) -> list[str]:
     """CTEs up to `tok(keys, k, sent_idx, t, n, token, low, piece)`; `docs(keys, text)` comes first."""
     pattern = q(f"{BLANK}*{text.token_pattern(possessive=False)}")
@@ -486,6 +496,7 @@ def oracle_sql() -> dict[str, str]:
         "select_blocks": "SELECT page_id, 0::BIGINT AS block_idx, html AS content FROM pages",
         "html_to_text": f"SELECT page_id, {html_text('html', ('script', 'style'))} AS text FROM pages",
         "html_to_text_exact": f"SELECT page_id, {html_text('html', ('script', 'style'))} AS text FROM pages",
+        "normalize_nfkd": f"SELECT doc_id, {nfkd('text')} AS text FROM documents",
         "drop_newlines": "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents",
         "articles_to_lines": f"SELECT page_id, replace({ARTICLE_TEXT}, chr(10), '') AS text FROM pages",
         "plain_lines": f"SELECT {ONE_LINE} AS text FROM documents",

@@ -6,8 +6,8 @@ import __spark_entry__ as contract
 LLM = {*contract.llm.queries(), "pipeline"} if contract.llm else set()
 
 SF = "/root/testdata/sf0.001"
-# Checked by other means: the operators of llm and learned taggers have their own tests, and Unicode's normal form is Python's.
-ROWS_ONLY = {"normalize_nfkd", "learned_layers"}
+# Checked by other means: the operators of llm and learned taggers have their own tests.
+ROWS_ONLY = {"learned_layers"}
 OWN = [name for name in contract.queries() if name not in LLM]
 
 
