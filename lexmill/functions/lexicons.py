@@ -10,7 +10,7 @@ IRREGULAR_VERBS = {
     "arise": "arose arisen", "awake": "awoke awoken", "bear": "bore borne", "beat": "- beaten", "become": "became", "begin": "began begun",
     "bend": "bent", "bind": "bound", "bite": "bit bitten", "bleed": "bled", "blow": "blew blown", "break": "broke broken",
     "breed": "bred", "bring": "brought", "build": "built", "buy": "bought", "catch": "caught", "choose": "chose chosen",
-    "cling": "clung", "creep": "crept", "deal": "dealt", "dig": "dug", "draw": "drew drawn", "drink": "drank drunk",
+    "cling": "clung", "come": "came", "creep": "crept", "deal": "dealt", "dig": "dug", "draw": "drew drawn", "drink": "drank drunk",
     "drive": "drove driven", "eat": "ate eaten", "fall": "fell fallen", "feed": "fed", "feel": "felt", "fight": "fought",
     "find": "found", "flee": "fled", "fly": "flew flown", "forbid": "forbade forbidden", "forget": "forgot forgotten",
     "forgive": "forgave forgiven", "freeze": "froze frozen", "get": "got gotten", "give": "gave given", "go": "went gone",

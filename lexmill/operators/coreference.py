@@ -15,7 +15,7 @@ from typing import NamedTuple
 from unicodedata import category
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import lexicons as L
@@ -149,7 +149,7 @@ def lines(mentions: list[Mention], mode: str) -> str:
     return "".join(out)
 
 
-def _of(row) -> list[Mention]:
+def mentions_of(row) -> list[Mention]:
     return [Mention(m["text"], m["head_lemma"], m["pronoun"], m["type"], m["plural"]) for m in row or []]
 
 
@@ -160,7 +160,7 @@ def _resolved(mode: str):
     def resolve(rows: pa.Array) -> pa.Array:
         out = []
         for row in rows.to_pylist():
-            mentions = _of(row)
+            mentions = mentions_of(row)
             roots = chains(mentions, mode)
             names = representatives(mentions, roots)
             out.append([{"chain": root + 1, "rep": names[root] == i} for i, root in enumerate(roots)])
@@ -170,17 +170,20 @@ def _resolved(mode: str):
 
 def _printed(modes):
     def results(rows: pa.Array) -> pa.Array:
-        return pa.array([[lines(mentions, mode) for mode in modes] for mentions in map(_of, rows.to_pylist())], pa.list_(pa.string()))
+        return pa.array([[lines(mentions, mode) for mode in modes] for mentions in map(mentions_of, rows.to_pylist())], pa.list_(pa.string()))
     return F.arrow_udf(results, "array<string>")
 
 
-def _flat(docs: DataFrame, keys: list[str], text_col: str, **options) -> DataFrame:
-    """Keys and `ms`, the mentions of a document in text order."""
-    frame = analysed(docs, keys, ["mentions"], text_col, **options)
-    flat = F.flatten(F.transform("mentions", lambda ms, i: F.transform(ms, lambda m: F.struct(
+def in_order(mentions: str) -> Column:
+    """The mentions of all sentences of a document in one list."""
+    return F.flatten(F.transform(mentions, lambda ms, i: F.transform(ms, lambda m: F.struct(
         i.cast("bigint").alias("sent_idx"), m.b.cast("bigint").alias("begin_tok"), m.e.cast("bigint").alias("end_tok"),
         m.text.alias("text"), m.head_lemma.alias("head_lemma"), m.pronoun.alias("pronoun"), m.type.alias("type"), m.plural.alias("plural")))))
-    return frame.select(*keys, held(flat).alias("ms"))
+
+
+def _flat(docs: DataFrame, keys: list[str], text_col: str, **options) -> DataFrame:
+    """Keys and `ms`, the mentions of a document in text order."""
+    return analysed(docs, keys, ["mentions"], text_col, **options).select(*keys, held(in_order("mentions")).alias("ms"))
 
 
 def mentions_table(docs: DataFrame, keys: list[str], mode: str = "coref", text_col: str = "text", **options) -> DataFrame:

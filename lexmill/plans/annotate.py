@@ -1,7 +1,8 @@
 """The entry points: a request for annotators becomes one lazy plan over the documents.
 
-All annotators of a request but the coreference ones read the same array column, so the text is
-scanned and analysed once however many are asked for, with no shuffle and nothing to persist.
+All annotators of a request but `coref`, `dcoref` and `quote` read the same array column, so the text is
+scanned and analysed once however many are asked for, with no shuffle and nothing to persist. Both kinds of chains
+come from one scan of their own, and so do quotations.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text
-from lexmill.operators import coreference, dictionary, phrases, syntax
+from lexmill.operators import coreference, dictionary, phrases, quotes, syntax
 from lexmill.operators.documents import layered, marked, spread
-from lexmill.operators.quotes import quotes
 from lexmill.operators.tagging import Step
 from lexmill.plans.catalogue import resolve, validate
 from lexmill.sources import sinks
@@ -95,9 +95,6 @@ LINE_RESULTS = {
 def _rendered(name: str) -> Column:
     if name == "ssplit":
         return F.array_join(F.transform(text.sentence_texts(F.col("marked")), lambda t: F.concat(t, F.lit("\n"))), "")
-    if name == "quote":
-        return F.array_join(F.transform(quotes(F.col("source")), lambda q: F.concat(
-            F.lit("("), F.concat_ws(",", q.text, q.speaker), F.lit(")"))), " ")
     return F.expr(RESULTS[name])
 
 
@@ -127,16 +124,14 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
         docs = spread(docs, mappers)
 
     by_chain = [n for n in names if n in CHAINS]
-    local = [n for n in names if n not in by_chain]
+    local = [n for n in names if n not in by_chain and n != "quote"]
     options = {"rules": dictionary.as_rules(rules) if "regexner" in names else [], "gazetteer": dictionary.as_gazetteer(gazetteer),
                "taggers": taggers}
     clean_first = {"cleanxml": "cleanxml" in names}
 
     frames = []
     if local:
-        # Quotes are read from the same text as the tokens.
         frame = marked(docs, keys, text_col, line_as_sentence=line_as_sentence, **clean_first)
-        frame = frame.withColumn("source", F.replace(text.unmarked("marked"), F.lit(text.SENTENCE_MARK), F.lit("")))
         # Every annotator of the plan offers its layers; Spark drops the columns that no result reads.
         layers = {layer for n in resolve(local) for layer in LAYERS.get(n, [])}
         if any(n in LAYERS for n in local) or line_as_sentence:
@@ -148,6 +143,9 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
                       if not line_as_sentence and set(local) & set(SKIPS_EMPTY) else rows)
     if by_chain:
         frames.append(coreference.chain_results(docs, keys, by_chain, text_col, **clean_first, **options))
+    if "quote" in names:
+        said = quotes.quote_results(docs, keys, text_col, **clean_first, **options)
+        frames.append(said.select(F.lit("quote").alias("functionality"), *keys, "result"))
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -27,6 +27,11 @@ ROWS += [
     (-21, "Barack Obama and Angela Merkel work for Harvard University and the United Nations, but Marie Curie lives in Paris."),
     (-22, "In Berlin Angela Merkel lived in Germany, in Europe, and worked for the World Bank. Oxford University, based in Oxford, worked."),
 ]
+ROWS += [
+    (-23, 'Marie Curie spoke. "It works," she said. Then Albert Einstein rose. "Why?" he asked. They said: "Nobody knows."'),
+    (-24, '"One," said Barack Obama.\n"Two," Angela Merkel replied.\n"Three."\n"Four."\n"Five," he said. "Six."\n"Seven."\n\u201cEight\u201d'),
+    (-25, 'An odd " mark. Angela Merkel met Barack Obama. She added: "Well \u201cquoted\u201d" and "so" he says'),
+]
 SCHEMA = "doc_id bigint, text string"
 
 # Relations between names that are drawn from the documents, by words that are frequent in them.

@@ -273,7 +273,7 @@ def dependency() -> list[str]:
     ]
 
 
-def mention_rows(mode: str) -> list[str]:
+def mention_rows(mode: str, outside: str = "true") -> list[str]:
     """`mention(doc_id, sent_idx, b, e, text, pronoun, ckey, place)`, ckey being the first place of the chain: every mention is
     joined to the earlier ones of its document, and chains are walked from their first mentions."""
     kind_of = case([(f"low IN ({words(ws)})", q(kind)) for kind, ws in L.PRONOUN_KINDS.items()])
@@ -295,8 +295,9 @@ def mention_rows(mode: str) -> list[str]:
         f"""names AS (SELECT k.doc_id, k.sent_idx, k.b, k.e, k.text, lower(h.lemma) AS head_lemma, false AS pronoun, h.ner AS type,
             h.pos IN ('NNS', 'NNPS') AS plural, CAST(NULL AS VARCHAR) AS kind FROM chunk k JOIN cls h ON h.doc_id = k.doc_id AND h.sent_idx = k.sent_idx AND h.t = k.head
             WHERE k.kind = 'NP' AND k.c0 <> 'q' AND (h.pos LIKE 'NNP%' OR h.ner IN ({words(L.ENTITY_TYPES)})))""",
-        f"""found AS (SELECT * FROM names UNION ALL SELECT doc_id, sent_idx, t, t + 1, token, low, true, 'O', false, {kind_of} FROM cls
+        f"""every AS (SELECT * FROM names UNION ALL SELECT doc_id, sent_idx, t, t + 1, token, low, true, 'O', false, {kind_of} FROM cls
             WHERE low IN ({words(L.PRONOUNS)}) AND pos IN ('PRP', 'PRP$'))""",
+        f"found AS (SELECT * FROM every y WHERE {outside})",
         f"""named AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sent_idx, b, e) AS place,
             coalesce(nullif(regexp_replace(text || ' ', {q('^(?i:(?:' + before + ') )+')}, ''), ''), text || ' ') AS padded FROM found)""",
         """parted AS (SELECT *, rtrim(padded, ' ') AS name, string_split(rtrim(padded, ' '), ' ') AS ws FROM named)""",
@@ -390,16 +391,36 @@ def _quotes() -> str:
     spans = q('("[^"]*"|“[^“”]*”)([^"“]*)')
     verbs = "(?:" + "|".join(L.SPEECH_VERBS) + ")"
     name = "((?:\\p{Lu}\\p{L}+ )*\\p{Lu}\\p{L}+)"
-    found = " ,".join(f"nullif(regexp_extract({c}, {q(p)}, 1), '')" for c, p in (
+    found = " ,".join(f"CASE WHEN regexp_extract({c}, {q(p)}, 1) NOT IN ('', 'He', 'She', 'They') THEN regexp_extract({c}, {q(p)}, 1) END" for c, p in (
         ("a", f"^\\s*{verbs} {name}"), ("a", f"^\\s*{name} {verbs}(?:[^\\p{{L}}]|$)"),
         ("b", f"(?s)(?:^|[^\\p{{L}}]){name} {verbs}[,:]?\\s*$"), ("b", f"(?:^|[^\\p{{L}}]){verbs} {name}[,:]\\s*$")))
-    return select([
-        DOCS,
-        f"""qs AS (SELECT doc_id, regexp_extract_all(text, {spans}, 1) AS s, regexp_extract_all(text, {spans}, 2) AS a,
-            regexp_extract(text, '^([^"“]*)', 1) AS lead FROM docs)""",
-        "rows AS (SELECT doc_id, unnest(range(len(s))) AS quote_idx, unnest(s) AS text, unnest(a) AS a, lead FROM qs)",
-        "near AS (SELECT *, coalesce(lag(a) OVER (PARTITION BY doc_id ORDER BY quote_idx), lead) AS b FROM rows)",
-    ], f"SELECT doc_id, quote_idx, text, coalesce({found}, '') AS speaker FROM near")
+    pronoun = "([Hh]e|[Ss]he|[Tt]hey)"
+    places = ", ".join(f"CASE WHEN regexp_matches({c}, {q(p)}) THEN {base} + length(regexp_extract({c}, {q(p)}, 1)) + length(regexp_extract({c}, {q(p)}, 2)) END"
+                       for c, base, p in (("a", "upto", f"^(\\s*{verbs} ){pronoun}(?:[^\\p{{L}}]|$)"), ("a", "upto", f"^(\\s*){pronoun} {verbs}(?:[^\\p{{L}}]|$)"),
+                                          ("b", "since", f"(?s)^((?:.*[^\\p{{L}}])?){pronoun} {verbs}[,:]?\\s*$")))
+    spans_of = [
+        OFFSETS,
+        f"""qs AS (SELECT doc_id, string_split(regexp_replace(text, {spans}, chr(2) || '\\1' || chr(3) || '\\2' || chr(4), 'g'), chr(2)) AS pieces FROM docs)""",
+        """rows AS (SELECT doc_id, i - 1 AS quote_idx, split_part(pieces[i + 1], chr(3), 1) AS text, split_part(split_part(pieces[i + 1], chr(3), 2), chr(4), 1) AS a,
+            regexp_extract(pieces[1], '^([^"“]*)', 1) AS lead, CAST(length(pieces[1]) + coalesce(list_sum(list_transform(pieces[2:i], lambda p: length(p) - 2)), 0) AS BIGINT) AS begin
+            FROM (SELECT doc_id, pieces, unnest(range(1, len(pieces))) AS i FROM qs))""",
+        """near AS (SELECT *, begin + length(text) AS upto, coalesce(lag(a) OVER w, lead) AS b, coalesce(lag(begin + length(text)) OVER w, 0) AS since
+            FROM rows WINDOW w AS (PARTITION BY doc_id ORDER BY quote_idx))""",
+        """inside AS MATERIALIZED (SELECT o.doc_id, o.sent_idx, o.t FROM near n JOIN offs o ON o.doc_id = n.doc_id AND o.end_off > n.begin AND o.end_off <= n.upto)""",
+    ]
+    outside = "NOT EXISTS (SELECT 1 FROM inside i WHERE i.doc_id = y.doc_id AND i.sent_idx = y.sent_idx AND i.t = y.b)"
+    return select(LEM + entities("lem") + chunked("ner") + spans_of + mention_rows("coref", outside) + [
+        f"""quoted AS (SELECT doc_id, quote_idx, text, coalesce({found}, '') AS speaker, regexp_matches(b, '\n\\s*$') AS opens, coalesce({places}) AS place FROM near)""",
+        """standing AS (SELECT o.doc_id, o.end_off, c.rep FROM mention m JOIN offs o ON o.doc_id = m.doc_id AND o.sent_idx = m.sent_idx AND o.t = m.b AND m.pronoun
+            JOIN chains c ON c.doc_id = m.doc_id AND c.ckey = m.ckey
+            JOIN mention r ON r.doc_id = c.doc_id AND r.place = c.rep_place AND NOT r.pronoun)""",
+        """heard AS MATERIALIZED (SELECT n.doc_id, quote_idx, text, opens, speaker = '' AND n.place IS NOT NULL AS by_pronoun,
+            CASE WHEN speaker = '' AND n.place IS NOT NULL THEN coalesce(s.rep, '') ELSE speaker END AS speaker
+            FROM quoted n LEFT JOIN standing s ON s.doc_id = n.doc_id AND s.end_off = n.place)""",
+        """turns AS (SELECT doc_id, quote_idx, text, speaker, '' AS other FROM heard WHERE quote_idx = 0
+            UNION ALL SELECT h.doc_id, h.quote_idx, h.text, CASE WHEN h.speaker = '' AND NOT h.by_pronoun AND h.opens AND t.speaker <> '' AND t.other <> ''
+            AND t.speaker <> t.other THEN t.other ELSE h.speaker END, t.speaker FROM turns t JOIN heard h ON h.doc_id = t.doc_id AND h.quote_idx = t.quote_idx + 1)""",
+    ], "SELECT doc_id, quote_idx, text, speaker FROM turns")
 
 
 def _per_doc(column: str, table: str) -> str:
