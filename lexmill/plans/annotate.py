@@ -13,6 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lexmill.functions import text
 from lexmill.operators import coreference, dictionary, phrases, quotes, syntax
@@ -150,14 +151,40 @@ def annotate(docs: DataFrame, functionality: str | list[str], keys: list[str] |
 
 
 def annotate_with_model(docs: DataFrame, factory: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]],
-                        schema: str) -> DataFrame:
+                        schema: str, error: str | None = None) -> DataFrame:
     """Runs a user's own model. `factory` is called once per partition and returns a function from a batch
-    of documents to a batch of results; results are passed on batch by batch."""
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    of documents to a batch of results; results are passed on batch by batch.
+
+    An exception of the model ends the job, unless `error` names a column: then the documents of a failed batch are tried
+    one by one, and one that fails alone gives a row of its own, with the columns that documents and results share, the
+    others null, and the exception in the column `error`, which is null for results. A failure of `factory` ends the job."""
+    if error is None:
+        def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = factory()
+            for batch in batches:
+                yield model(batch)
+        return docs.mapInPandas(run, schema)
+
+    kinds = StructType.fromDDL(schema)
+    names = kinds.names
+    if error in names:
+        raise ValueError(f"The results have a column {error} of their own")
+
+    def tried(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for batch in batches:
-            yield model(batch)
-    return docs.mapInPandas(run, schema)
+            try:
+                yield model(batch)[names].assign(**{error: None})
+            except Exception:
+                for i in range(len(batch)):
+                    one = batch.iloc[i:i + 1]
+                    try:
+                        yield model(one)[names].assign(**{error: None})
+                    except Exception as problem:
+                        said = f"{type(problem).__name__}: {problem}"
+                        yield pd.DataFrame({name: one[name] if name in one else pd.Series([None], one.index, object) for name in names}).assign(**{error: said})
+
+    return docs.mapInPandas(tried, StructType([*kinds.fields, StructField(error, StringType())]))
 
 
 def _keeps_order(options: dict) -> bool:

@@ -528,6 +528,8 @@ def oracle_sql() -> dict[str, str]:
         "read_rules": r"""SELECT DISTINCT p AS pattern, 'OPENING' AS type FROM (SELECT regexp_extract(text, '^(\p{L}+ \p{L}+)(?:[ .,]|$)', 1) AS p
             FROM documents) WHERE p <> ''""",
         "annotate_with_model": "SELECT doc_id, length(text) AS n_chars FROM documents",
+        "model_errors": """SELECT doc_id, CASE WHEN length(text) % 2 = 0 THEN length(text) END AS n_chars,
+            CASE WHEN length(text) % 2 = 1 THEN 'ValueError: odd' END AS problem FROM documents""",
         "read_articles": "SELECT CAST(page_id AS VARCHAR) AS id, 2::BIGINT AS n_blocks, html AS content FROM pages",
         "sink_by_functionality": select(
             tokens(f"docs AS (SELECT doc_id, {ONE_LINE} AS text FROM documents)") + tags(),

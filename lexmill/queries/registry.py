@@ -248,6 +248,17 @@ def with_model(spark, sf_dir):
     return annotate_with_model(docs_of(spark, sf_dir), factory, "doc_id bigint, n_chars bigint")
 
 
+def model_errors(spark, sf_dir):
+    """A model that fails on texts of an odd length: their rows alone are lost, and say why."""
+    def factory():
+        def model(batch: pd.DataFrame) -> pd.DataFrame:
+            if (batch["text"].str.len() % 2).any():
+                raise ValueError("odd")
+            return pd.DataFrame({"doc_id": batch["doc_id"], "n_chars": batch["text"].str.len().astype("int64")})
+        return model
+    return annotate_with_model(docs_of(spark, sf_dir), factory, "doc_id bigint, n_chars bigint", error="problem")
+
+
 def progress(spark, sf_dir):
     """What the observation saw once a job had run over the counted documents."""
     counted, seen = sinks.counted(readers.read_docs(spark, sf_dir, "documents", KEY))
@@ -289,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "annotate_long": asked("tokenize,ssplit,pos,lemma,ner"),
         "annotate_syntax": asked("parse,depparse,natlog,sentiment"),
         "annotate_with_model": with_model,
+        "model_errors": model_errors,
         "progress": progress,
         "select_blocks": select_blocks,
         "html_to_text": html_to_text,

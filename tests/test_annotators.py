@@ -180,6 +180,22 @@ def test_own_model(docs):
     assert sorted(map(tuple, annotate_with_model(docs("a", "bcd"), factory, "doc_id bigint, n bigint").collect())) == [(0, 1), (1, 3)]
 
 
+def test_a_failing_document_costs_itself_only(docs):
+    def factory():
+        def model(batch):
+            if batch["text"].isna().any() or (batch["text"] == "bad").any():
+                raise KeyError("poison")
+            return batch.assign(n=batch["text"].str.len(), kind="k")[["kind", "n", "doc_id"]]
+        return model
+    frame = docs("a", "bad", "cde", None, "bad")
+    got = annotate_with_model(frame, factory, "doc_id bigint, n bigint, kind string", error="why").orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(0, 1, "k", None), (1, None, None, "KeyError: 'poison'"), (2, 3, "k", None),
+                                      (3, None, None, "KeyError: 'poison'"), (4, None, None, "KeyError: 'poison'")]
+    assert annotate_with_model(frame.limit(0), factory, "doc_id bigint", error="why").count() == 0
+    with pytest.raises(ValueError, match="column why"):
+        annotate_with_model(frame, factory, "doc_id bigint, why string", error="why")
+
+
 TEXTS = ["One. Two words!  Three\n\nhere...", " lead. (Yes.) No", "héllo wörld, it's U.S. 3.5%", "...", "a" * 3000 + " " + "1,2" * 2000,
          "x\x1ey\x1fz. ok", "emoji 😀 ok. 𝔘nicode"]
 

@@ -186,7 +186,7 @@ def test_job_keeps_articles_apart(spark, tmp_path, monkeypatch):
 
     import job
     lines = [json.dumps({"id": i, "contents": [{"type": "sanitized_html", "content": t}]}) for i, t in (
-        (None, "Barack Obama spoke. He left."), (None, "Angela Merkel spoke. He left."), ("a", "Tom Lee won."), ("a", "Tom Lee lost."))]
+        (None, "Barack Obama spoke. He left."), (None, "Angela Merkel spoke. She left."), ("a", "Tom Lee won."), ("a", "Tom Lee lost."))]
     write(tmp_path / "in.json", "\n".join([*lines, "{no json"]).encode())
     monkeypatch.setattr(spark, "stop", lambda: None)
     monkeypatch.setattr(sys, "argv", ["job", "-input", str(tmp_path / "in.json"), "-output", str(tmp_path / "out"), "-functionality", "coref,pos",
@@ -201,3 +201,23 @@ def test_job_keeps_articles_apart(spark, tmp_path, monkeypatch):
                                       "-format", "offsets", "-sink", "keyed"])
     job.main()
     assert sorted(lines_of(tmp_path / "keyed")) == ["(tokenize, 0)\tOne dog .", "(tokenize, 9)\tTwo cats ."]
+
+
+def test_job_prepares_lines_and_takes_names(spark, tmp_path, monkeypatch):
+    import json
+    import sys
+
+    import job
+    write(tmp_path / "in.json", "\n".join(json.dumps({"contents": [{"type": "sanitized_html", "content": f"<p>Red Fox {i}\n of Mill</p>"}]}) for i in range(30)).encode())
+    write(tmp_path / "names.tsv", b"Red Fox\tANIMAL\nMill\tPLACE\n")
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    monkeypatch.setattr(sys, "argv", ["job", "-input", str(tmp_path / "in.json"), "-output", str(tmp_path / "lines"), "-prepare"])
+    job.main()
+    assert lines_of(tmp_path / "lines") == [f"Red Fox {i} of Mill" for i in range(30)]
+    monkeypatch.setattr(sys, "argv", ["job", "-input", str(tmp_path / "lines"), "-output", str(tmp_path / "out"), "-functionality", "ner",
+                                      "-gazetteer", str(tmp_path / "names.tsv")])
+    job.main()
+    assert lines_of(tmp_path / "out/functionality=ner") == ["ANIMAL ANIMAL NUMBER O PLACE"] * 30
+    monkeypatch.setattr(sys, "argv", ["job", "-input", "x", "-output", "y"])
+    with pytest.raises(SystemExit):
+        job.main()
