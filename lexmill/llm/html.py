@@ -4,8 +4,9 @@ A page becomes a row of text nodes, each with its path of tags from the root. Te
 every path: a path that carries much punctuated text per node is content wherever it occurs, however short one of its
 nodes is. A node's weight fuses both ratios of its path; weights are smoothed over the row, so that a heading or a short
 line among paragraphs rises with them, and those over a threshold are content nodes. The smallest element that holds
-nearly all weight of the content nodes is the article; what stands in it is returned whole, but for the elements that
-are boilerplate by their kind (menus, forms, comments of readers, adverts and the like).
+nearly all weight of the content nodes, and beside which no text blocks stand, is the article; what stands in it is
+returned whole, but for the elements that are boilerplate by their kind (menus, forms, comments of readers, adverts and
+the like). An element is not boilerplate by its name alone: one that has half of the text around it stays.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.common import blocks, packed
 
-#: Part of the content nodes' text that the article must hold; the smallest such element is it.
+#: Part of the content nodes' text that the article must hold; the smallest such element is where it is sought.
 HOLD = 0.9
 #: How far smoothing reaches, in nodes to each side.
 REACH = 2
@@ -42,19 +43,40 @@ ENDS = {
 }
 ENDERS = {tag for tags in ENDS.values() for tag in tags}
 HEAD = {"meta", "link", "title", "style", "script", "base", "noscript", "template", "head", "html"}
-#: Words in class, id or role that make an element boilerplate, unless it holds the article or, where no element
-#: is called so, half of the text.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertis\w+|adsense|banner|sponsor\w*|promo\w*|sidebar|side-bar|widgets?|menu|navbar|navigation|nav|"
-    r"breadcrumbs?|comments?|commentlist|comment-\w+|disqus|replies|respond|cookies?|consent|gdpr|notice|notices|popup|modal|overlay|newsletter|"
-    r"subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|trending|popular|footer|masthead|topbar|toolbar|"
-    r"pagination|pager|skip-link|disclaimer|copyright|complementary|contentinfo|hidden)(?:$|[\s_-])")
-COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])")
+#: Blocks that are parts of a text and never all of an article.
+FLOW = {"p", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6"}
+# Names of boilerplate in class, id or role.
+READERS = {"comment", "comments", "commentlist", "disqus", "replies", "respond"}
+NAMES = READERS | {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertisements", "advertising", "adsense", "banner", "sponsor", "sponsored", "sponsors",
+    "promo", "promos", "promotion", "sidebar", "widget", "widgets", "menu", "navbar", "navigation", "nav", "breadcrumb", "breadcrumbs", "cookie", "cookies",
+    "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search", "share",
+    "sharing", "social", "related", "recommended", "trending", "popular", "footer", "masthead", "topbar", "toolbar", "pagination", "pager", "disclaimer",
+    "copyright", "complementary", "contentinfo", "hidden"}
+# What is named after boilerplate and is nothing else.
+HOLDERS = {"area", "bar", "block", "box", "button", "buttons", "container", "form", "holder", "icons", "inner", "items", "link", "links", "list", "message",
+           "panel", "section", "strip", "text", "thread", "wrap", "wrapper"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟]")
 TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|/?([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
+def boilerplate(words: str) -> str | None:
+    """"comments" or "other" if a word of class, id or role names boilerplate: the word is a name (`sidebar`, `side-bar`), ends with
+    one (`site-footer`) or is a holder of one (`share-buttons`). A state or a topic (`comments-open`, `related-work`) names none."""
+    found = None
+    for word in words.split():
+        parts = [x for x in re.split(r"[-_]+", word) if x]
+        while len(parts) > 1 and (parts[-1] in HOLDERS or parts[-1].isdigit()) and "".join(parts) not in NAMES:
+            parts.pop()
+        last = "".join(parts) if "".join(parts) in NAMES else parts[-1] if parts else ""
+        if last in READERS:
+            return "comments"
+        if last in NAMES:
+            found = "other"
+    return found
+
+
 class Node:
     """An element: its path of tags as a number, and what is summed over it."""
 
@@ -137,8 +159,8 @@ class Page:
         name = f"{tag}.{words.split()[0]}" if words else tag
         node = Node(parent, tag, self.paths.setdefault((parent.path, name), len(self.paths) + 1))
         node.dropped |= tag in DROPPED or hidden or tag == "header" and not node.article
-        if words and tag not in ("article", "main", "body", "html") and MARKS.search(words):
-            node.marked = "comments" if COMMENTS.search(words) else "other"
+        if words and tag not in ("article", "main", "body", "html"):
+            node.marked = boilerplate(words)
         self.nodes.append(node)
         self.stack.append(node)
         self.open[tag] += 1
@@ -164,8 +186,12 @@ def drop_marked(page: Page) -> None:
                 holds.add(above)
                 above = above.parent
     for node in page.nodes:
-        if node.marked and node not in holds and (holds or node.marked == "comments" or 2 * node.size < page.nodes[0].size):
-            node.dropped = True
+        if node.marked and node not in holds:
+            scope = node.parent
+            while scope.parent and scope.tag not in ("article", "main"):
+                scope = scope.parent
+            inside = bool(scope.parent) or not holds  # of an article, or a page without any
+            node.dropped |= 2 * node.size < scope.size or not inside or node.marked == "comments" and node.size < scope.size
         node.dropped |= bool(node.parent) and node.parent.dropped
 
 
@@ -187,6 +213,23 @@ def content_nodes(kept: list[tuple[Node, str, int]]) -> list[bool]:
     return [max(w, s) >= threshold for w, s in zip(weights, smooth, strict=True)]
 
 
+def climbed(article: Node, kept: list[tuple[Node, str, int]]) -> Node:
+    """The element that the article is a part of: as long as text blocks stand beside it in its parent. Beside an element of
+    the body only headings count, since a page's own lines stand there too."""
+    beside: dict[Node, set[str]] = {}
+    for node, _, _ in kept:
+        while node.parent and node.tag in INLINE | FLOW:
+            if node.tag in FLOW:
+                beside.setdefault(node.parent, set()).add(node.tag)
+            node = node.parent
+    while article.parent and article.tag not in ("body", "html"):
+        blocks_beside = beside.get(article.parent, set())
+        if not {t for t in blocks_beside if t[0] == "h" or article.parent.tag not in ("", "body", "html")}:
+            break
+        article = article.parent
+    return article
+
+
 def main_text(source: str | None) -> str:
     page = Page(source or "")
     drop_marked(page)
@@ -198,9 +241,11 @@ def main_text(source: str | None) -> str:
         node.weight += len(text.strip()) if content else 0
     upwards(page.nodes, "weight")
     total = page.nodes[0].weight
-    article = [n for n in page.nodes if n.weight >= HOLD * total and n.tag not in INLINE and n.tag != "p"][-1]
+    article = [n for n in page.nodes if n.weight >= HOLD * total and n.tag not in INLINE and n.tag not in FLOW][-1]
     while article.article and article.tag not in ("article", "main"):
         article = article.parent
+    if not article.article:
+        article = climbed(article, kept)
     for node in page.nodes:
         node.inside = node is article or bool(node.parent) and node.parent.inside
     out: list[str] = []
