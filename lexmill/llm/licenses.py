@@ -119,15 +119,24 @@ def lower(text: Column) -> Column:
 NOTHING = "cast(array() AS array<struct<start:int,stop:int,priority:int,label:string>>)"
 
 
+#: Matches that are folded into one list at a time: appending copies a list, so a long one is put together from blocks.
+BLOCK = 256
+
+
 def detections(text: str, rule: tuple[str, Needs, str, int]) -> str:
     """Where a rule matches the column text: (start, -stop, -priority, label). Places are summed from the lengths of the
     matches and of what lies between them. As SQL text: built of Column objects, some hundred rules take a minute."""
     label, _, pattern, priority = rule
     gaps = f"transform(split({text}, {quote(pattern)}), x -> length(x))"
     sizes = f"transform(regexp_extract_all({text}, {quote(pattern)}, 0), x -> length(x))"
+    pairs = f"zip_with({gaps}, {sizes}, (g, s) -> named_struct('g', g, 's', s))"
     found = f"named_struct('start', a.at + z.g, 'stop', -(a.at + z.g + z.s), 'priority', {-priority}, 'label', {quote(label)})"
-    return (f"aggregate(zip_with({gaps}, {sizes}, (g, s) -> named_struct('g', g, 's', s)), named_struct('at', 0, 'found', {NOTHING}), "
-            f"(a, z) -> if(z.s IS NULL, a, named_struct('at', a.at + z.g + z.s, 'found', concat(a.found, array({found})))), a -> a.found)")
+    block = (f"aggregate(slice(zs, j * {BLOCK} + 1, {BLOCK}), named_struct('at', acc.at, 'found', {NOTHING}), "
+             f"(a, z) -> if(z.s IS NULL, a, named_struct('at', a.at + z.g + z.s, 'found', concat(a.found, array({found})))))")
+    step = f"get(transform(array({block}), w -> named_struct('at', w.at, 'found', concat(acc.found, array(w.found)))), 0)"
+    folded = (f"aggregate(sequence(0, CAST((size(zs) - 1) DIV {BLOCK} AS INT)), named_struct('at', 0, 'found', array({NOTHING})), "
+              f"(acc, j) -> {step}, acc -> flatten(acc.found))")
+    return f"get(transform(array({pairs}), zs -> {folded}), 0)"
 
 
 def all_detections(text: str) -> Column:

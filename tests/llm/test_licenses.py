@@ -104,3 +104,18 @@ def test_plan_and_edges(spark):
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
     assert frame.first().labels == "mit"
     assert licenses.scan(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_many_matches_are_linear(rows):
+    """Each in its own place, across blocks of matches, in time that grows with them."""
+    import time
+    took = {}
+    for n in (600, 40_000):
+        start = time.perf_counter()
+        [r] = licenses.scan(rows([(1, "mit license " * n + "apache license, version 2.0")], 1)).collect()
+        took[n] = time.perf_counter() - start
+        assert (r.n_base, r.first_word, r.last_word) == (n + 1, 0, 2 * n) and {"mit", "apache"} <= set(r.base_labels.split(","))
+    assert took[40_000] < 30 + 2 * took[600]
+    found = rows([(1, "x mit license " * 700)], 1).select(licenses.all_detections("text").alias("found")).first().found
+    assert [d.start for d in sorted(found) if d.label == found[0].label and d.priority == found[0].priority][:3] == [2, 16, 30]
+    assert max(d.start for d in found) == 2 + 14 * 699
