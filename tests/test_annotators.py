@@ -230,6 +230,25 @@ def test_one_tag_per_token_and_disjoint_chains(docs):
     assert places and len(places) == len(set(places))
 
 
+def test_edges_are_trees(spark, docs):
+    """One root, and every token reaches it: of the corpus, and of random words of all classes."""
+    import random
+    rng = random.Random(2)
+    words = ["the", "his", "dog", "Rome", "ran", "to", "not", "can", "of", "and", "big", "7", ",", "she", "quickly", "is", "No"]
+    frame = docs(*[" ".join(rng.choices(words, k=rng.randrange(1, 25))) for _ in range(500)]).union(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"))
+    for r in documents.analysed(frame, ["doc_id"], ["edges"]).collect():
+        for edges in r.edges:
+            above = [e.gov for e in edges]
+            assert above.count(-1) == 1 and above[0] is not None
+            reached, left = {-1}, set(range(len(above)))
+            while left:
+                now = {i for i in left if above[i] in reached}
+                assert now, "a cycle"
+                reached |= now
+                left -= now
+
+
 def test_result_does_not_depend_on_partitions(docs):
     frame = docs(*TEXTS * 3)
     runs = [sorted(map(tuple, annotate(documents.spread(frame, n, ["doc_id"]), "pos,coref,depparse").collect())) for n in (1, 7)]
