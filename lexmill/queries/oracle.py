@@ -548,9 +548,6 @@ def oracle_sql() -> dict[str, str]:
             m.place = c.rep_place AS is_representative FROM mention m JOIN chains c ON c.doc_id = m.doc_id AND c.ckey = m.ckey""")
         out[f"{mode}_text"] = select(chain + chain_text(mode), f"""SELECT {q(mode)} AS functionality, d.doc_id, coalesce(result, '') AS result
             FROM docs d LEFT JOIN chain_results r ON r.doc_id = d.doc_id""")
-    chain = LEM + entities("lem") + chunked("ner") + mention_rows("coref") + chain_text("coref")
-    out["sorted_results"] = select(chain, f"""SELECT 'tokenize' AS functionality, doc_id, row_number() OVER (ORDER BY doc_id) AS rank,
-        r AS result FROM {_per_doc('token', 'tok')}
-        UNION ALL SELECT 'coref', d.doc_id, row_number() OVER (ORDER BY d.doc_id), coalesce(result, '')
-        FROM docs d LEFT JOIN chain_results r ON r.doc_id = d.doc_id""")
+    out["sorted_results"] = select(TOK, f"""SELECT 'tokenize' AS functionality, doc_id, row_number() OVER (ORDER BY doc_id) AS rank,
+        r AS result FROM {_per_doc('token', 'tok')}""")
     return out

@@ -219,7 +219,7 @@ def spread_rows(spark, sf_dir):
 
 
 def sorted_results(spark, sf_dir):
-    return ranked_results(corpus(spark, sf_dir), "tokenize,coref", scratch(spark))
+    return ranked_results(corpus(spark, sf_dir), "tokenize", scratch(spark))
 
 
 def sink_by_functionality(spark, sf_dir):
