@@ -37,9 +37,11 @@ def test_rules_fire_on_the_corpus(spark):
 def test_row_local_plans_do_not_shuffle(spark):
     from lexmill import annotate
     docs = spark.range(0, 10, 1, 64).selectExpr("id as doc_id", "'a b.' as text")
-    plan = annotate(docs, "tokenize,ssplit,pos,lemma,ner,regexner,parse,depparse,natlog,sentiment,openie,relation,quote")
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    names = "tokenize,ssplit,pos,lemma,ner,regexner,parse,depparse,natlog,sentiment,openie,relation"
+    text = annotate(docs, names)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Sort" not in text and "Python" not in text
+    text = annotate(docs, names + ",quote")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text
 
 
 def test_chains_do_not_shuffle(spark):
