@@ -22,12 +22,13 @@ from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
-from lexmill.functions.rows import held
+from lexmill.functions.rows import each, held
 
 ENDING = 4
 #: Words that are seen more often than this say nothing about the endings of unknown ones.
@@ -36,8 +37,8 @@ RARE = 10
 EDIT_ENDING = 5
 #: Bytes of the counts that are sent to every worker; the model takes some ten times as much there.
 MODEL_BYTES = 16 << 20
-#: Scores that a task compares at once.
-CELLS = 1 << 21
+#: Scores that a task compares at once: as many as stay in a processor's cache.
+CELLS = 1 << 18
 COUNTS = "kind string, context string, tag string, n bigint"
 
 
@@ -52,19 +53,27 @@ def labelled(tokens: DataFrame, keys: list[str], tag: str = "tag", order: str =
 def train(rows: DataFrame, tag: str, toks: str = "toks") -> DataFrame:
     """The counts (kind, context, tag, n) of rows with the columns toks and tag, both a list of sentences of one string per
     token. A sentence with a null tag says nothing, nor does a row with a null sentence."""
-    pairs = F.expr(f"flatten(zip_with({toks}, {tag}, (ws, ts) -> zip_with(transform(ws, (w, i) -> CASE WHEN i = 0 THEN lower(w) ELSE w END), "
-                   "CASE WHEN exists(ts, t -> t IS NULL) THEN array() ELSE ts END, (w, t) -> named_struct('kind', 'word', 'context', w, 'tag', t))))")
-    moves = F.expr(f"flatten(transform(filter({tag}, ts -> size(ts) > 0 AND NOT exists(ts, t -> t IS NULL)), ts -> "
-                   "zip_with(concat(array(''), ts), concat(ts, array('')), (a, b) -> named_struct('kind', 'move', 'context', a, 'tag', b))))")
-    seen = rows.select(F.explode_outer(F.concat(F.coalesce(pairs, F.array()), F.coalesce(moves, F.array()))).alias("x")).select("x.*")
-    counts = seen.where("context IS NOT NULL AND tag IS NOT NULL").groupBy("kind", "context", "tag").agg(F.count("*").alias("n"))
-    words = counts.where("kind = 'word'")
-    rare = words.groupBy("context").agg(F.sum("n").alias("n_word")).where(f"n_word <= {RARE}").select("context")
+    some = F.exists(toks, F.isnull) | F.exists(tag, F.isnull)
+    zipped = F.transform(F.arrays_zip(F.col(toks).alias("ws"), F.col(tag).alias("ts")), lambda s: F.when(
+        (F.size(s.ts) > 0) & ~F.exists(s.ts, F.isnull), F.struct(F.slice(s.ws, 1, F.size(s.ts)).alias("ws"), s.ts.alias("ts"))))
+    sentences = rows.select(F.explode_outer(F.when(~some, zipped)).alias("s"))
+    # One row per token, and one with the tag '' for the end of a sentence.
+    edge = F.array(F.lit(""))
+    steps = F.arrays_zip(F.col("s.ws").alias("w"), F.concat("s.ts", edge).alias("tag"), F.concat(edge, "s.ts").alias("before"))
+    tokens = each(sentences.select(steps.alias("z")), [], "z", "i", "x").select(
+        F.when(F.col("i") == 0, F.lower("x.w")).otherwise(F.col("x.w")).alias("w"), "x.before", "x.tag")
+    both = tokens.groupBy("w", "before", "tag").agg(F.count("*").alias("n")).select("tag", "n", F.explode(F.array(
+        *[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("context")) for kind, c in (("word", "w"), ("move", "before"))])).alias("x"))
+    counts = both.select("x.*", "tag", "n").where("context IS NOT NULL").groupBy("kind", "context", "tag").agg(F.sum("n").alias("n"))
+    # All tags of a context in a row: with joins instead, Spark would analyse the labels anew for each side.
+    seen = counts.groupBy("kind", "context").agg(F.collect_list(F.struct("tag", "n")).alias("seen"), F.sum("n").alias("n_all"))
     low = F.lower("context")
-    ending = F.transform(F.sequence(F.lit(0), F.least(F.lit(ENDING), F.length(low))), lambda n: F.concat(shape(F.col("context")), F.right(low, n)))
-    ends = words.join(rare, "context").select(F.explode(ending).alias("context"), "tag", "n")
-    ends = ends.groupBy("context", "tag").agg(F.sum("n").alias("n")).select(F.lit("end").alias("kind"), "context", "tag", "n")
-    return counts.unionByName(ends)
+    ending = F.transform(F.sequence(F.lit(0), F.least(F.lit(ENDING), F.length(low))), lambda n: F.struct(
+        F.lit("end").alias("kind"), F.concat(shape(F.col("context")), F.right(low, n)).alias("context")))
+    itself = F.array(F.struct("kind", "context"))
+    places = F.when((F.col("kind") == "word") & (F.col("n_all") <= RARE), F.concat(itself, ending)).otherwise(itself)
+    dealt = seen.select("seen", F.explode(places).alias("x")).select("x.*", F.explode("seen").alias("y")).select("kind", "context", "y.*")
+    return dealt.groupBy("kind", "context", "tag").agg(F.sum("n").alias("n"))
 
 
 def shape(word: Column) -> Column:
@@ -139,49 +148,50 @@ class Model:
             out[t] = np.log(count) - self.log_tag[t]
         return out
 
-    def paths(self, sentences: list[list[str]], lexicons: list[dict] | None = None) -> list[list[str]]:
-        """The best tags of each sentence; lexicons has the words of each where the model has none."""
-        rows: dict[tuple, int] = {}
-        table, numbers = [], []
-        for s, words in enumerate(sentences):
-            known = self.words if lexicons is None else lexicons[s]
-            line = []
-            for i, word in enumerate(words):
-                key = (word, i == 0) if lexicons is None else (word, i == 0, id(known))
-                if key not in rows:
-                    rows[key] = len(table)
-                    table.append(self.scores(word, i == 0, known))
-                line.append(rows[key])
-            numbers.append(line)
-        emitted = np.array(table) if table else np.zeros((0, len(self.tags)))
-        out: list[list[str]] = [[] for _ in sentences]
-        order = sorted((i for i, words in enumerate(sentences) if words), key=lambda i: -len(sentences[i]))
+    def paths(self, sentences: list[list[str]]) -> list[list[str]]:
+        """The best tags of each sentence."""
+        ends = np.cumsum([0] + [len(words) for words in sentences])
+        found = [self.tags[t] for t in self.tagged(pa.array([w for words in sentences for w in words], pa.string()), ends, self.words)]
+        return [found[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def tagged(self, tokens: pa.Array, ends: np.ndarray, words: dict[str, list[tuple[int, int]]]) -> np.ndarray:
+        """The best tag of every token, by its number; sentence i is the tokens from ends[i] to ends[i + 1]. A word is scored
+        once, and once more as the first one."""
+        out = np.zeros(len(tokens), np.int64)
+        lengths = np.diff(ends)
+        order = np.argsort(-lengths, kind="stable")[:int((lengths > 0).sum())]
+        if not len(order):
+            return out
+        starts, lengths = ends[:-1][order], lengths[order]
+        coded = tokens.dictionary_encode()
+        forms, keys = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64) * 2
+        keys[starts] += 1
+        used = np.zeros(2 * len(forms), bool)
+        used[keys] = True
+        rows = (np.cumsum(used) - 1)[keys]
+        emitted = np.array([self.scores(forms[k >> 1], bool(k & 1), words) for k in np.flatnonzero(used).tolist()])
         width = max(1, CELLS // max(1, len(self.tags) ** 2))
         for at in range(0, len(order), width):
-            some = order[at:at + width]
-            for i, path in zip(some, self.best(emitted, [numbers[i] for i in some]), strict=True):
-                out[i] = [self.tags[t] for t in path]
+            self.best(emitted, rows, starts[at:at + width], lengths[at:at + width], out)
         return out
 
-    def best(self, emitted: np.ndarray, lines: list[list[int]]) -> list[list[int]]:
+    def best(self, emitted: np.ndarray, rows: np.ndarray, starts: np.ndarray, lengths: np.ndarray, out: np.ndarray) -> None:
         """Viterbi over sentences in step, the longest first, so that those that go on are always the first ones."""
-        lengths = np.array([len(line) for line in lines])
         longest = int(lengths[0])
-        score = self.begin + emitted[[line[0] for line in lines]]
+        score = self.begin + emitted[rows[starts]]
         back = [None]
         for t in range(1, longest):
             n = int(np.searchsorted(-lengths, -t, side="left"))  # sentences of more than t words
             step = score[:n, None, :] + self.moves
             before = step.argmax(axis=2)
-            score[:n] = np.take_along_axis(step, before[:, :, None], 2)[:, :, 0] + emitted[[line[t] for line in lines[:n]]]
+            score[:n] = np.take_along_axis(step, before[:, :, None], 2)[:, :, 0] + emitted[rows[starts[:n] + t]]
             back.append(before.astype(np.int16))
-        last = (score + self.end).argmax(axis=1)
-        paths = np.zeros((len(lines), longest), np.int64)
-        paths[np.arange(len(lines)), lengths - 1] = last
+        now = (score + self.end).argmax(axis=1)
+        out[starts + lengths - 1] = now
         for t in range(longest - 1, 0, -1):
             n = len(back[t])
-            paths[:n, t - 1] = back[t][np.arange(n), paths[:n, t]]
-        return [path[:n].tolist() for path, n in zip(paths, lengths, strict=True)]
+            now[:n] = back[t][np.arange(n), now[:n]]
+            out[starts[:n] + t - 1] = now[:n]
 
 
 class Tagger:
@@ -205,30 +215,43 @@ def tagger(counts: DataFrame, model_bytes: int | None = None) -> Tagger:
     return Tagger(model, None if fits else words)
 
 
-def _sentences(row: str | None) -> list[list[str]]:
-    return [s.split(text.TOKEN_MARK) for s in row.split(text.SENTENCE_MARK)] if row else []
+def _tokens(cleaned: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All tokens of a batch, where each sentence ends among the tokens, and each document among the sentences; both from 0."""
+    empty = pc.fill_null(pc.equal(cleaned, ""), True)
+    texts = pc.split_pattern(cleaned.filter(pc.invert(empty)), text.SENTENCE_MARK)
+    n_sentences = np.zeros(len(cleaned), np.int64)
+    n_sentences[~empty.to_numpy(zero_copy_only=False)] = texts.value_lengths().to_numpy()
+    words = pc.split_pattern(texts.flatten(), text.TOKEN_MARK)
+    return words.flatten(), _ends(words.value_lengths().to_numpy()), _ends(n_sentences)
 
 
-def _nested(rows: list[list[list[str]]]) -> pa.Array:
-    return pa.array(rows, pa.list_(pa.list_(pa.string())))
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _nested(values: pa.Array, by_sentence: np.ndarray, by_document: np.ndarray) -> pa.Array:
+    inner = pa.ListArray.from_arrays(pa.array(by_sentence, pa.int32()), values)
+    return pa.ListArray.from_arrays(pa.array(by_document, pa.int32()), inner)
 
 
 def with_tags(frame: DataFrame, keys: list[str], tagger: Tagger, name: str) -> DataFrame:
     """Adds the learned tags, a list for each sentence, to a frame with the column `cleaned`."""
     sent = frame.sparkSession.sparkContext.broadcast(tagger.model)
 
-    def dealt(docs: list[list[list[str]]], paths: list[list[str]]) -> pa.Array:
-        ends = np.cumsum([0] + [len(d) for d in docs])
-        return _nested([paths[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)])
+    def tagged(cleaned: pa.Array, words: dict) -> pa.Array:
+        tokens, by_sentence, by_document = _tokens(cleaned)
+        model = sent.value
+        return _nested(pa.array(model.tags, pa.string()).take(pa.array(model.tagged(tokens, by_sentence, words))), by_sentence, by_document)
 
     def tag(cleaned: pa.Array) -> pa.Array:
-        docs = [_sentences(row) for row in cleaned.to_pylist()]
-        return dealt(docs, sent.value.paths([s for d in docs for s in d]))
+        return tagged(cleaned, sent.value.words)
 
     def tag_by_own(cleaned: pa.Array, words: pa.Array) -> pa.Array:
-        docs, model = [_sentences(row) for row in cleaned.to_pylist()], sent.value
-        own = [model.gathered((x["context"], y["tag"], y["n"]) for x in row or [] for y in x["seen"]) for row in words.to_pylist()]
-        return dealt(docs, model.paths([s for d in docs for s in d], [w for d, w in zip(docs, own, strict=True) for _ in d]))
+        # A word has the same counts in every document, so those of a batch are one lexicon.
+        known = words.flatten()
+        coded = known.field("context").dictionary_encode().indices.to_numpy()
+        once = known.take(pa.array(np.unique(coded, return_index=True)[1])).to_pylist()
+        return tagged(cleaned, sent.value.gathered((x["context"], y["tag"], y["n"]) for x in once for y in x["seen"]))
 
     kind = "array<array<string>>"
     if tagger.lexicon is None:
@@ -246,9 +269,10 @@ def with_tags(frame: DataFrame, keys: list[str], tagger: Tagger, name: str) -> D
 def train_lemmas(rows: DataFrame) -> DataFrame:
     """The counts (kind `edit`, context, tag, n) of rows with `toks`, `pos` and `lems`: edits by part of speech and ending, the
     whole word as one too."""
-    each = F.expr("flatten(zip_with(zip_with(toks, pos, (ws, ts) -> zip_with(ws, ts, (w, t) -> named_struct('w', lower(w), 't', t))), "
-                  "lems, (xs, ls) -> zip_with(xs, ls, (x, l) -> named_struct('w', x.w, 't', x.t, 'l', lower(l)))))")
-    seen = rows.select(F.explode_outer(F.coalesce(each, F.array())).alias("x")).select("x.*").where("w IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL")
+    sentences = rows.select(F.explode_outer(F.arrays_zip("toks", "pos", "lems")).alias("s"))
+    tokens = each(sentences.select(F.arrays_zip("s.toks", "s.pos", "s.lems").alias("z")), [], "z", "i", "x")
+    seen = tokens.select(F.lower("x.toks").alias("w"), F.col("x.pos").alias("t"), F.lower("x.lems").alias("l")).where(
+        "w IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL")
     words = seen.groupBy("w", "t", "l").agg(F.count("*").alias("n"))
     same = F.expr("size(filter(sequence(0, least(length(w), length(l))), k -> left(w, k) = left(l, k))) - 1")
     edit = F.concat((F.length("w") - F.col("same")).cast("string"), F.lit(":"), F.expr("substr(l, same + 1)"))
@@ -295,8 +319,12 @@ def with_lemmas(frame: DataFrame, lemmatizer: Lemmatizer, name: str = "lems") ->
     sent = frame.sparkSession.sparkContext.broadcast(lemmatizer)
 
     def lemmas(cleaned: pa.Array, pos: pa.Array) -> pa.Array:
-        edit = sent.value.lemma
-        return _nested([[[edit(w, t) for w, t in zip(ws, ts, strict=True)] for ws, ts in zip(_sentences(row), tags, strict=True)]
-                        for row, tags in zip(cleaned.to_pylist(), pos.to_pylist(), strict=True)])
+        tokens, by_sentence, by_document = _tokens(cleaned)
+        words, tags = tokens.dictionary_encode(), pos.flatten().flatten().dictionary_encode()
+        forms, kinds, n = words.dictionary.to_pylist(), tags.dictionary.to_pylist(), max(1, len(tags.dictionary))
+        pairs = pa.array(words.indices.to_numpy().astype(np.int64) * n + tags.indices.to_numpy()).dictionary_encode()
+        edit = sent.value.lemma  # once for each word and tag of a batch
+        found = pa.array([edit(forms[k // n], kinds[k % n]) for k in pairs.dictionary.to_pylist()], pa.string())
+        return _nested(found.take(pairs.indices), by_sentence, by_document)
 
     return frame.withColumn("pos", held("pos")).withColumn(name, F.arrow_udf(lemmas, "array<array<string>>")("cleaned", "pos"))
