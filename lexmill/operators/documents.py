@@ -42,8 +42,10 @@ NEEDS = {
     "lems": ("pos",),
     "ner": ("pos",),
     "cs": ("pos",),
-    "chunks": ("cs",),
-    "edges": ("cs",),
+    "bounds": ("cs",),
+    "chunks": ("bounds",),
+    "near": ("cs",),
+    "edges": ("near",),
     "pol": ("pos",),
     "sentiment": ("pol",),
     "triples": ("chunks", "lems"),
@@ -81,7 +83,7 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
         "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers),
-        "cs": syntax.classes, "chunks": syntax.chunks, "edges": syntax.edges,
+        "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "near": syntax.near, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "pairs": lambda: syntax.entity_pairs(lemmas, types), "relations": lambda: syntax.relations(patterns),
         "mentions": syntax.mentions,
@@ -97,10 +99,12 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
 
 
 def analysed(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
-    """Keys, `toks` and the asked layers, one array over sentences each."""
+    """Keys, `toks` and the asked layers, one array over sentences each; or, instead of the layers, the `columns` that these
+    are made of."""
+    columns = options.pop("columns", None) or ["toks", *layers]
     mark_options = {k: options.pop(k) for k in ("cleanxml", "line_as_sentence") if k in options}
     frame = layered(marked(docs, keys, text_col, **mark_options), layers, keys, **options)
-    return frame.select(*keys, *dict.fromkeys(["toks", *layers]))
+    return frame.select(*keys, *dict.fromkeys(columns))
 
 
 def sentence_rows(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
@@ -148,17 +152,13 @@ def sentence_lists(docs: DataFrame, keys: list[str], text_col: str = "text", **o
 
 def tokens_table(docs: DataFrame, keys: list[str], text_col: str = "text", **options) -> DataFrame:
     """`sent_idx, tok_in_sent, token, begin_off, end_off`."""
-    rows = _raw_sentences(docs, keys, text_col, **options).select(
-        *keys, "sent_idx", "end_off", F.length(text.unmarked("raw")).alias("width"),
-        F.split("raw", text.TOKEN_MARK).alias("pieces"))
-    ends = F.expr(text.running_sum("transform(pieces, p -> CAST(length(p) AS BIGINT))"))
-    rows = rows.select(*keys, "sent_idx", (F.col("end_off") - F.col("width")).alias("base"),
-                       F.arrays_zip(F.col("pieces").alias("piece"), ends.alias("upto")).alias("z"))
-    rows = each(rows, [*keys, "sent_idx", "base"], "z", "tok_in_sent", "z")
-    rows = rows.select(
-        *keys, "sent_idx", "tok_in_sent",
-        F.regexp_replace("z.piece", rf"^{text.BLANK}++", "").alias("token"),
-        (F.col("base") + F.col("z.upto")).alias("end_off"))
+    frame = marked(docs, keys, text_col, **options).withColumn("ends", F.arrow_udf(text.token_ends, "array<array<bigint>>")("marked"))
+    sentences = F.arrays_zip(F.split("marked", text.SENTENCE_MARK).alias("raw"), "ends")
+    frame = frame.select(*keys, F.when(F.col("cleaned") != "", sentences).alias("z"))
+    rows = each(frame, keys, "z", "sent_idx", "s")
+    pieces = F.arrays_zip(F.split("s.raw", text.TOKEN_MARK).alias("piece"), F.col("s.ends").alias("end_off"))
+    rows = each(rows.select(*keys, "sent_idx", pieces.alias("z")), [*keys, "sent_idx"], "z", "tok_in_sent", "z")
+    rows = rows.select(*keys, "sent_idx", "tok_in_sent", text.stripped("z.piece").alias("token"), "z.end_off")
     return rows.select(*keys, "sent_idx", "tok_in_sent", "token",
                        (F.col("end_off") - F.length("token")).alias("begin_off"), "end_off")
 
@@ -170,21 +170,25 @@ def _exploded(rows: DataFrame, keys: list[str], field: str, index: str | None, *
 
 
 def chunks_table(docs, keys, text_col="text", **options) -> DataFrame:
-    return _exploded(sentence_rows(docs, keys, ["chunks"], text_col, **options), keys, "chunks", "chunk_idx",
-                     kind=F.col("x.kind"), begin_tok=F.col("x.b").cast("bigint"), end_tok=F.col("x.e").cast("bigint"),
-                     text=F.col("x.text"), head=F.col("x.head").cast("bigint"))
+    rows = sentence_rows(docs, keys, ["bounds"], text_col, columns=syntax.CHUNK_READS.split(), **options)
+    rows = each(rows, [*keys, "sent_idx", "s"], "s.bounds", "chunk_idx", "b").withColumn("j", F.col("chunk_idx").cast("int"))
+    return rows.select(*keys, "sent_idx", "chunk_idx", F.expr(syntax.CHUNK).alias("x")).select(
+        *keys, "sent_idx", "chunk_idx", "x.kind", F.col("x.b").cast("bigint").alias("begin_tok"), F.col("x.e").cast("bigint").alias("end_tok"),
+        "x.text", F.col("x.head").cast("bigint").alias("head"))
 
 
 def edges_table(docs, keys, text_col="text", **options) -> DataFrame:
-    return _exploded(sentence_rows(docs, keys, ["edges"], text_col, **options), keys, "edges", None,
-                     dep_tok=F.col("x.dep").cast("bigint"), gov_tok=F.col("x.gov").cast("bigint"), rel=F.col("x.rel"))
+    rows = sentence_rows(docs, keys, ["near"], text_col, columns=syntax.EDGE_READS.split(), **options)
+    rows = each(rows, [*keys, "sent_idx", "s"], "s.pos", "i", "p").withColumn("i", F.col("i").cast("int"))
+    return rows.select(*keys, "sent_idx", F.expr(syntax.edge()).alias("x")).select(
+        *keys, "sent_idx", F.col("x.dep").cast("bigint").alias("dep_tok"), F.col("x.gov").cast("bigint").alias("gov_tok"), "x.rel")
 
 
 def first_governors(docs, keys, text_col="text", **options) -> DataFrame:
     """The governor of the first token of every sentence; -1 where that token is the root."""
-    rows = sentence_rows(docs, keys, ["edges"], text_col, **options)
-    return rows.select(
-        *keys, "sent_idx", F.get("s.edges", F.lit(0)).gov.cast("bigint").alias("gov_tok"))
+    rows = sentence_rows(docs, keys, ["near"], text_col, columns=syntax.EDGE_READS.split(), **options)
+    first = rows.withColumns({"p": F.get("s.pos", F.lit(0)), "i": F.lit(0)})
+    return first.select(*keys, "sent_idx", F.expr(syntax.edge()).gov.cast("bigint").alias("gov_tok"))
 
 
 def sentiments_table(docs, keys, text_col="text", **options) -> DataFrame:

@@ -67,20 +67,31 @@ def classes() -> list[Step]:
 KIND_OF_CLASS = case([("{0} IN ('q', 'd', 'j', 'N')", "'NP'"), ("{0} IN ('V', 'm', 'r')", "'VP'"), ("{0} IN ('i', 't')", "'PP'")], "'O'")
 
 
-def chunks() -> list[Step]:
-    """`chunks`: kind, token range, text and head token of every phrase. Noun phrases restart at a determiner or
-    pronoun, and a pronoun stands alone."""
-    begin, end = "get(s.bounds, j)", "coalesce(get(s.bounds, j + 1), size(s.cs))"
-    kind, last = KIND_OF_CLASS.format("get(s.cs, b)"), f"({end} - 1)"
-    noun = f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} ELSE get(s.noun0, {last}) END"
-    chunk = (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, 'text', {_joined('s.toks', 'b', end)}, "
-             f"'head', CASE WHEN {noun} >= b THEN {noun} ELSE {last} END)")
+def bounds() -> list[Step]:
+    """`bounds`: where phrases begin. Noun phrases restart at a determiner or pronoun, and a pronoun stands alone."""
     new = (f"i = 0 OR c IN ('d', 'q') OR get(s.cs, i - 1) = 'q' "
            f"OR {KIND_OF_CLASS.format('c')} != {KIND_OF_CLASS.format('get(s.cs, i - 1)')}")
-    return [
-        Step("bounds", "cs", places("s.cs", new)),
-        Step("chunks", "toks cs noun0 bounds", f"transform(s.bounds, (b, j) -> {chunk})"),
-    ]
+    return [Step("bounds", "cs", places("s.cs", new))]
+
+
+def _chunk() -> str:
+    """The phrase that begins at `b`, the `j`th of a sentence."""
+    end = "coalesce(get(s.bounds, j + 1), size(s.cs))"
+    kind, last = KIND_OF_CLASS.format("get(s.cs, b)"), f"({end} - 1)"
+    noun = f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} ELSE get(s.noun0, {last}) END"
+    return (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, 'text', {_joined('s.toks', 'b', end)}, "
+            f"'head', CASE WHEN {noun} >= b THEN {noun} ELSE {last} END)")
+
+
+#: What a phrase, and an edge, is put together from. A table of them has a row for each and works them out there, where Spark
+#: compiles them; inside a list it does not.
+CHUNK_READS, CHUNK = "toks cs noun0 bounds", _chunk()
+EDGE_READS = "root cs noun verb verb0 other0 pos"
+
+
+def chunks() -> list[Step]:
+    """`chunks`: kind, token range, text and head token of every phrase."""
+    return [Step("chunks", CHUNK_READS, f"transform(s.bounds, (b, j) -> {CHUNK})")]
 
 
 # One sentence as `(S (NP the dog) (VP ran) .)`.
@@ -89,9 +100,8 @@ BRACKETED = (
     "CASE WHEN c.kind = 'O' THEN c.text ELSE concat('(', c.kind, ' ', c.text, ')') END), ' '), ')')")
 
 
-def edges() -> list[Step]:
-    """`edges`: one governor per token, -1 for the root."""
-    root = "coalesce(get(s.verbs, 0), get(s.nouns, 0), 0)"
+def edge() -> str:
+    """The edge of the token with the tag `p` at `i`."""
     after = "get(s.cs, i + 1)"
     noun, verb, verb0 = "get(s.noun, i)", "get(s.verb, i)", "get(s.verb0, i)"
     # The last word before the noun phrase is a preposition.
@@ -107,7 +117,7 @@ def edges() -> list[Step]:
         (f"{verb} >= 0", to(verb, "'nsubj'")),
     ], loose)
     modifier = case([("p = 'PRP$'", "'nmod:poss'"), ("p = 'CD'", "'nummod'"), ("p = 'DT'", "'det'")], "'amod'")
-    edge = case([
+    return case([
         ("i = s.root", to("-1", "'root'")),
         ("startswith(p, 'NN')", case([(f"{after} = 'N'", to("i + 1", "'compound'"))], nominal)),
         ("p = 'PRP'", nominal),
@@ -119,18 +129,27 @@ def edges() -> list[Step]:
         ("p = 'MD'", case([(f"{verb} >= 0", to(verb, "'aux'"))], loose)),
         ("p = 'CC'", to("s.root", "'cc'")),
     ], loose)
+
+
+def near() -> list[Step]:
+    """For each token the words around it that may govern it: the next noun and verb, the last verb, the last word before its
+    noun phrase; and the root."""
     n = "size(s.cs)"
     return [
-        Step("root", "nouns verbs", root),
+        Step("root", "nouns verbs", "coalesce(get(s.verbs, 0), get(s.nouns, 0), 0)"),
         Step("others", "cs", places("s.cs", "c NOT IN ('d', 'j', 'N')")),
         Step("noun", "nouns cs", following("s.nouns", n)),
         Step("verb", "verbs cs", following("s.verbs", n)),
         Step("verb0", "verbs cs", preceding("s.verbs", n)),
         Step("other0", "others cs", preceding("s.others", n)),
-        Step("edges", "root cs noun verb verb0 other0 pos", f"transform(s.pos, (p, i) -> {edge})"),
     ]
 
 
+def edges() -> list[Step]:
+    """`edges`: one governor per token, -1 for the root."""
+    return [Step("edges", EDGE_READS, f"transform(s.pos, (p, i) -> {edge()})")]
+
+
 # `rel(governor-i, dependent-j)`, 1-based, `ROOT-0` for the root.
 EDGE_TEXT = (
     "array_join(transform(s.edges, x -> concat(x.rel, '(', CASE WHEN x.gov < 0 THEN 'ROOT-0' "
