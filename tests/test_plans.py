@@ -1,10 +1,14 @@
 """How often and where a plan works things out."""
 
+import gc
+import pickle
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import documents, tagger
+from lexmill.operators import documents, phrases, tagger
 
 
 def plan(frame):
@@ -41,3 +45,17 @@ def test_rows_are_worked_out_as_rows(docs):
     for rows, word in ((documents.chunks_table(frame, ["doc_id"]), "array_join"), (documents.edges_table(frame, ["doc_id"]), "nsubj"), (documents.first_governors(frame, ["doc_id"]), "nsubj")):
         lines = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().split("\n") if word in line]
         assert lines and not any("lambda" in line for line in lines)
+
+
+def test_a_trie_is_small():
+    """Its Python objects take less than 24 times the bytes of its phrases."""
+    rules = [(f"word{i} name{i * 7 % 5000}", "T") for i in range(20000)]
+    size = sum(len(phrase) + 1 for phrase, _ in rules)
+    trie = pickle.loads(pickle.dumps(phrases.Trie(rules)))
+    tracemalloc.start()
+    gc.collect()
+    other = pickle.loads(pickle.dumps(phrases.Trie(rules)))
+    assert other.spans(["word3", "name21", "word4", "x"]) == [(0, 2, "T")] == trie.spans(["word3", "name21", "word4", "x"])
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert used < 24 * size
