@@ -82,7 +82,7 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
         frame = tagger.with_tags(frame, keys, taggers["pos"], "pos")
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
-        "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers),
+        "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers, "pos" in taggers),
         "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "near": syntax.near, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "pairs": lambda: syntax.entity_pairs(lemmas, types), "relations": lambda: syntax.relations(patterns),

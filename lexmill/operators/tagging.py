@@ -30,6 +30,11 @@ def words() -> list[Step]:
     return [Step("lows", "toks", "transform(s.toks, t -> lower(t))")]
 
 
+def small_first(token: str) -> str:
+    """Whether a token begins with a lower-case letter; one of ASCII is known by comparison, without a regex."""
+    return f"(({token} >= 'a' AND {token} < '{{') OR {token} RLIKE {quote(L.SMALL_FIRST)})"
+
+
 def _first_tag() -> str:
     """Over the lower-cased token `w` at place `i`; the token itself is looked up only for its case."""
     every = [word for ws in L.CLOSED_CLASS.values() for word in ws]
@@ -39,16 +44,23 @@ def _first_tag() -> str:
         *[(f"endswith(w, {quote(end)}) AND length(w) >= {n}", quote(tag)) for end, n, tag in L.SUFFIXES],
         ("endswith(w, 's') AND NOT endswith(w, 'ss') AND length(w) > 3", "'NNS'"),
     ], "'NN'")
+    # One look at the last two letters rules out all endings for most tokens.
+    last_two = sorted({end[-2:] for end, _, _ in L.SUFFIXES})
+    by_suffix = f"CASE WHEN endswith(w, 's') OR substr(w, -2) IN ({quoted(last_two)}) THEN {by_suffix} ELSE 'NN' END"
     return case([
         (f"w IN ({quoted(every)})", closed),
         # Most tokens: a lower-case letter first rules out the next three shapes.
-        (f"get(s.toks, i) RLIKE {quote(L.SMALL_FIRST)}", by_suffix),
+        (small_first("get(s.toks, i)"), by_suffix),
         (f"NOT w RLIKE {quote(L.LETTER_OR_DIGIT)}", punct),
         (f"w RLIKE {quote(L.DIGIT_FIRST)}", "'CD'"),
         (f"i > 0 AND get(s.toks, i) RLIKE {quote(L.CAPITAL_FIRST)}", "'NNP'"),
     ], by_suffix)
 
 
+#: Without one of these first tags a sentence has nothing to patch.
+PATCHED_BY = ["TO", "MD", "VBD", "VBG"]
+
+
 def tags() -> list[Step]:
     """`pos`: lexicon, shape and suffix rules, then two patches from the neighbours' first tags."""
     patched = case([
@@ -58,7 +70,8 @@ def tags() -> list[Step]:
     ], "g")
     return [
         Step("first", "toks lows", f"transform(s.lows, (w, i) -> {_first_tag()})"),
-        Step("pos", "first", f"transform(s.first, (g, i) -> {patched})"),
+        Step("pos", "first", (
+            f"CASE WHEN arrays_overlap(s.first, array({quoted(PATCHED_BY)})) THEN transform(s.first, (g, i) -> {patched}) ELSE s.first END")),
     ]
 
 
@@ -134,16 +147,32 @@ def override(base: str, spans: str) -> str:
             f"ELSE concat(flatten({pieces}), slice({base}, {last} + 1, size({base}))) END")
 
 
-def shapes() -> list[Step]:
-    """`shaped`: numbers, addresses and capitalised words, `O` otherwise."""
-    tok = "get(s.toks, i)"
-    shape = case([
-        ("p = 'CD'", case([(f"startswith({tok}, '$')", "'MONEY'"), (f"endswith({tok}, '%')", "'PERCENT'")], "'NUMBER'")),
-        ("p = 'NNP'", "'MISC'"),
-        (f"startswith({tok}, 'http://') OR startswith({tok}, 'https://')", "'URL'"),
-        (f"contains({tok}, '@') AND length({tok}) > 1", "'EMAIL'"),
-    ], "'O'")
-    return [Step("shaped", "toks pos", f"transform(s.pos, (p, i) -> {shape})")]
+NUMERIC = case([("startswith(t, '$')", "'MONEY'"), ("endswith(t, '%')", "'PERCENT'")], "'NUMBER'")
+ADDRESS = case([
+    ("startswith(t, 'http://') OR startswith(t, 'https://')", "'URL'"),
+    ("contains(t, '@') AND length(t) > 1", "'EMAIL'"),
+], "'O'")
+
+
+def shape() -> str:
+    """The shape of the token `t` at place `i`. The built-in rules tell numbers and names in capitals from the token alone, and
+    no neighbour changes them, so that tags need not be found first."""
+    closed = [word for ws in L.CLOSED_CLASS.values() for word in ws]
+    marks = [mark for ms in L.PUNCTUATION.values() for mark in ms]
+    return case([
+        (f"t IN ({quoted(marks)})", "'O'"),
+        (f"{small_first('t')} OR lower(t) IN ({quoted(closed)})", ADDRESS),
+        (f"lower(t) RLIKE {quote(L.DIGIT_FIRST)}", NUMERIC),
+        (f"i > 0 AND t RLIKE {quote(L.CAPITAL_FIRST)} AND lower(t) RLIKE {quote(L.LETTER_OR_DIGIT)}", "'MISC'"),
+    ], ADDRESS)
+
+
+def shapes(learned_tags: bool = False) -> list[Step]:
+    """`shaped`: numbers, addresses and capitalised words, `O` otherwise; by learned tags, or by the tokens alone."""
+    if learned_tags:
+        by_tag = case([("get(s.pos, i) = 'CD'", NUMERIC), ("get(s.pos, i) = 'NNP'", "'MISC'")], ADDRESS)
+        return [Step("shaped", "toks pos", f"transform(s.toks, (t, i) -> {by_tag})")]
+    return [Step("shaped", "toks", f"transform(s.toks, (t, i) -> {shape()})")]
 
 
 def phrases(name: str, base: str, rules: list[tuple[str, str]] | None) -> list[Step]:
@@ -153,7 +182,8 @@ def phrases(name: str, base: str, rules: list[tuple[str, str]] | None) -> list[S
     return [*found, Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans"))]
 
 
-def entities(rules: list[tuple[str, str]] | None, gazetteer: list[tuple[str, str]] | None, learned: bool = False) -> list[Step]:
+def entities(rules: list[tuple[str, str]] | None, gazetteer: list[tuple[str, str]] | None, learned: bool = False,
+             learned_tags: bool = False) -> list[Step]:
     """`ner`: shapes, overridden by the gazetteer's phrases, then by the dictionary's. None stands for a table, whose spans
     are in `named_spans` and `ner_spans`; an empty list changes nothing. With learned tags `shaped` is there already."""
-    return ([] if learned else shapes()) + phrases("named", "shaped", gazetteer) + phrases("ner", "named", rules)
+    return ([] if learned else shapes(learned_tags)) + phrases("named", "shaped", gazetteer) + phrases("ner", "named", rules)

@@ -59,3 +59,8 @@ def test_a_trie_is_small():
     used = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert used < 24 * size
+
+
+def test_entities_need_no_tags(docs):
+    """Shapes are told from the tokens, so that a request for entities finds no part of speech."""
+    assert "VBG" not in plan(documents.analysed(docs("The dog runs."), ["doc_id"], ["ner"]))
