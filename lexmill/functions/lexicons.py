@@ -160,6 +160,8 @@ NAMES = {
         "Tokyo", "Toronto", "Vienna", "Warsaw"],
 }
 GAZETTEER = [(name, kind) for kind, names in NAMES.items() for name in names]
+#: The types that a token's shape gives.
+SHAPES = ["MONEY", "PERCENT", "NUMBER", "MISC", "URL", "EMAIL", "O"]
 ENTITY_TYPES = ["PERSON", "LOCATION", "ORGANIZATION"]
 
 # The two phrases of the default dictionary.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import html, text
 from lexmill.functions import lexicons as L
 from lexmill.functions.rows import each
+from lexmill.functions.sqltext import quote, quoted
 from lexmill.operators import phrases, syntax, tagger, tagging
 
 
@@ -44,14 +45,15 @@ NEEDS = {
     "cs": ("pos",),
     "bounds": ("cs",),
     "chunks": ("bounds",),
+    "parts": ("bounds",),
     "near": ("cs",),
     "edges": ("near",),
     "pol": ("pos",),
     "sentiment": ("pol",),
-    "triples": ("chunks", "lems"),
+    "triples": ("parts", "lems"),
     "pairs": ("ner", "lems"),
     "relations": ("ner", "lems"),
-    "mentions": ("chunks", "lems", "ner"),
+    "mentions": ("parts", "lems", "ner"),
 }
 
 
@@ -63,12 +65,29 @@ def closure(layers) -> list[str]:
     return [layer for layer in NEEDS if layer in wanted]
 
 
+def worth(layer: str, listed: dict, types=None) -> tuple[str, tuple[str, ...]] | None:
+    """The condition over a sentence without which it has none of the layer's items, and the columns of spans it reads; None where
+    nothing can be told. `listed` are the phrases of gazetteer and rules by name, None for a table whose spans are there."""
+    types = set(L.ENTITY_TYPES if layer == "mentions" else types)
+    if types & set(L.SHAPES):
+        return None
+    spans = tuple(f"{name}_spans" for name, given in listed.items() if given is None)
+    heads = sorted({phrase.split()[0] for given in listed.values() if given for phrase, kind in given if kind in types and phrase.split()})
+    tests = [f"x.s RLIKE {quote(syntax.MAY_MENTION)}"] if layer == "mentions" else []
+    tests += [f"size(x.{name}) > 0" for name in spans]
+    if heads:
+        tests.append(f"exists(split(x.s, '{text.TOKEN_MARK}'), t -> t IN ({quoted(heads)}))")
+    return " OR ".join(tests) or "false", spans
+
+
 def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None, taggers=None, patterns=None,
-            lemmas=None, types=None) -> DataFrame:
+            lemmas=None, types=None, sparing: bool = False) -> DataFrame:
     """Adds a column per layer, and those it needs, to a frame with the column `cleaned`. `rules` override the entity tags
     of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it.
     `taggers` maps `pos`, `ner` or `lemma` to what was learned for it, which then stands in for the built-in rules.
-    `patterns` are those of the relations, a list; the layer `pairs` alone needs but their `lemmas` and `types`."""
+    `patterns` are those of the relations, a list; the layer `pairs` alone needs but their `lemmas` and `types`. `sparing` is
+    for a caller that reads a single one of the layers mentions, pairs and relations: sentences that have no item of it are
+    empty in all layers, and only the others are analysed."""
     needed, taggers = closure(layers), taggers or {}
     listed = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules}
     if "ner" in needed:
@@ -83,12 +102,17 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
         "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers, "pos" in taggers),
-        "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "near": syntax.near, "edges": syntax.edges,
+        "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "parts": syntax.parts, "near": syntax.near, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "pairs": lambda: syntax.entity_pairs(lemmas, types), "relations": lambda: syntax.relations(patterns),
         "mentions": syntax.mentions,
     }
-    frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
+    condition = None
+    if sparing and not taggers:
+        if types is None and "relations" in layers:
+            types = {t for p in (L.RELATION_PATTERNS if patterns is None else patterns) for t in (p[0], p[2])}
+        condition = worth(*layers, listed, types)
+    frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned", *condition or ())))
     for layer in needed[1:]:
         if layer == "lems" and "lemma" in taggers:
             frame = tagger.with_lemmas(frame, taggers["lemma"])
@@ -223,10 +247,10 @@ def relations_table(docs, keys, text_col="text", patterns=None, **options) -> Da
     pairs are joined to it, and only its lemmas and entity types are written into the plan."""
     columns = {c: F.col(f"x.{c}") for c in ("entity1", "type", "entity2")}
     if not isinstance(patterns, DataFrame):
-        return _exploded(sentence_rows(docs, keys, ["relations"], text_col, patterns=patterns, **options), keys, "relations", "relation_idx", **columns)
+        return _exploded(sentence_rows(docs, keys, ["relations"], text_col, patterns=patterns, sparing=True, **options), keys, "relations", "relation_idx", **columns)
     known = patterns.select("first", "lemma", "second", "relation").dropna().distinct()
     words = known.agg(F.collect_set("lemma").alias("lemmas"), F.array_union(F.collect_set("first"), F.collect_set("second")).alias("types")).first()
-    rows = sentence_rows(docs, keys, ["pairs"], text_col, lemmas=sorted(words.lemmas) or [""], types=sorted(words.types) or [""], **options)
+    rows = sentence_rows(docs, keys, ["pairs"], text_col, lemmas=sorted(words.lemmas) or [""], types=sorted(words.types) or [""], sparing=True, **options)
     pairs = each(rows, [*keys, "sent_idx"], "s.pairs", "i", "x").select(*keys, "sent_idx", "x.*")
     same = (F.col("type1") == F.col("first")) & (pairs["lemma"] == known["lemma"]) & (F.col("type2") == F.col("second"))
     named = pairs.join(known, same).select(*keys, "sent_idx", "b1", "b2", F.col("relation").alias("type"), "entity1", "entity2").distinct()

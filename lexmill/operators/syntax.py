@@ -74,12 +74,13 @@ def bounds() -> list[Step]:
     return [Step("bounds", "cs", places("s.cs", new))]
 
 
-def _chunk() -> str:
-    """The phrase that begins at `b`, the `j`th of a sentence."""
+def _chunk(text: bool = True) -> str:
+    """The phrase that begins at `b`, the `j`th of a sentence; with its text, or by its places alone."""
     end = "coalesce(get(s.bounds, j + 1), size(s.cs))"
     kind, last = KIND_OF_CLASS.format("get(s.cs, b)"), f"({end} - 1)"
     noun = f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} ELSE get(s.noun0, {last}) END"
-    return (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, 'text', {_joined('s.toks', 'b', end)}, "
+    joined = f"'text', {_joined('s.toks', 'b', end)}, " if text else ""
+    return (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, {joined}"
             f"'head', CASE WHEN {noun} >= b THEN {noun} ELSE {last} END)")
 
 
@@ -94,6 +95,11 @@ def chunks() -> list[Step]:
     return [Step("chunks", CHUNK_READS, f"transform(s.bounds, (b, j) -> {CHUNK})")]
 
 
+def parts() -> list[Step]:
+    """`parts`: the phrases without their texts, for layers that put few of them into words."""
+    return [Step("parts", "cs noun0 bounds", f"transform(s.bounds, (b, j) -> {_chunk(text=False)})")]
+
+
 # One sentence as `(S (NP the dog) (VP ran) .)`.
 BRACKETED = (
     "concat('(S ', array_join(transform(s.chunks, c -> "
@@ -195,7 +201,7 @@ def sentiments() -> list[Step]:
 def triples() -> list[Step]:
     """`triples`: NP VP NP, or NP VP PP NP, as lemma glosses."""
     def at(k: int) -> str:
-        return f"get(s.chunks, j + {k})"
+        return f"get(s.parts, j + {k})"
 
     def triple(confidence: float, relation_end: int) -> str:
         third = at(relation_end + 1)
@@ -209,7 +215,7 @@ def triples() -> list[Step]:
         (f"{start} AND {at(2)}.kind = 'NP'", triple(L.CONFIDENCE_DIRECT, 1)),
         (f"{start} AND {at(2)}.kind = 'PP' AND {at(3)}.kind = 'NP'", triple(L.CONFIDENCE_PREPOSITION, 2)),
     ])
-    return [Step("triples", "chunks lems", f"filter(transform(s.chunks, (c, j) -> {found}), t -> t IS NOT NULL)")]
+    return [Step("triples", "parts lems", f"filter(transform(s.parts, (c, j) -> {found}), t -> t IS NOT NULL)")]
 
 
 TRIPLE_TEXT = "concat('(', concat_ws(',', CAST(t.confidence AS STRING), t.subject, t.relation, t.object), ')')"
@@ -278,16 +284,20 @@ def relations(patterns=None) -> list[Step]:
     ] if names else [Step("relations", "toks", "CAST(array() AS array<struct<entity1:string,type:string,entity2:string>>)")]
 
 
+#: A sentence without a capital after its first token and without a pronoun has a mention only where a phrase of a dictionary is.
+MAY_MENTION = rf"\x1f\p{{Lu}}|(?i:(?<![^\x1f])(?:{'|'.join(L.PRONOUNS)})(?=\x1f|\z))"
+
+
 def mentions() -> list[Step]:
     """`mentions`: noun phrases with a name as head, and personal pronouns, in text order."""
     named = (
         "CASE WHEN c.kind = 'NP' AND get(s.cs, c.b) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
-        f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', c.text, "
+        f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', {_joined('s.toks', 'c.b', 'c.e')}, "
         "'head_lemma', lower(get(s.lems, c.head)), 'pronoun', false, 'type', get(s.ner, c.head), "
         "'plural', get(s.pos, c.head) IN ('NNS', 'NNPS')) END")
     pronoun = (
         f"CASE WHEN w IN ({quoted(L.PRONOUNS)}) AND get(s.pos, i) IN ('PRP', 'PRP$') THEN named_struct('b', i, "
         "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true, 'type', 'O', 'plural', false) END")
-    return [Step("mentions", "chunks cs pos ner toks lows lems", (
-        f"sort_array(filter(concat(transform(s.chunks, c -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
+    return [Step("mentions", "parts cs pos ner toks lows lems", (
+        f"sort_array(filter(concat(transform(s.parts, c -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
         "m -> m IS NOT NULL))"))]

@@ -64,3 +64,22 @@ def test_a_trie_is_small():
 def test_entities_need_no_tags(docs):
     """Shapes are told from the tokens, so that a request for entities finds no part of speech."""
     assert "VBG" not in plan(documents.analysed(docs("The dog runs."), ["doc_id"], ["ner"]))
+
+
+def test_only_sentences_with_names_or_pronouns_are_analysed(spark, docs):
+    frame = documents.marked(docs("It ran. Then Ann spoke. paris grew. Paris grew. THEIR dog. a 7 dog.", "no name.", ""), ["doc_id"])
+    options = {"rules": [("a 7", "PERSON"), ("grew", "X")]}
+    rows = documents.layered(frame, ["mentions"], ["doc_id"], sparing=True, **options).orderBy("doc_id").select("toks", "mentions").collect()
+    assert [[len(s) for s in r.toks] for r in rows] == [[0, 4, 0, 3, 3, 4], [0], []]
+    every = documents.layered(frame, ["mentions"], ["doc_id"], **options).orderBy("doc_id").select("toks", "mentions").collect()
+    assert [r.mentions for r in rows] == [r.mentions for r in every] and len(every[0].toks[0]) == 3
+    table = phrases.Trie([("no", "LOCATION")])
+    rows = documents.layered(frame, ["mentions"], ["doc_id"], sparing=True, gazetteer=table).orderBy("doc_id").select("toks").collect()
+    assert [[len(s) for s in r.toks] for r in rows] == [[0, 4, 0, 0, 3, 0], [3], []]
+
+
+def test_relations_need_names(docs):
+    frame = documents.marked(docs("It works in 5 days. Ann is in Paris."), ["doc_id"])
+    for patterns, lengths in ((None, [0, 5]), ([("NUMBER", "in", "MISC", "R")], [6, 5])):
+        row = documents.layered(frame, ["relations"], ["doc_id"], sparing=True, patterns=patterns).select("toks").first()
+        assert [len(s) for s in row.toks] == lengths
