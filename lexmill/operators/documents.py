@@ -221,19 +221,13 @@ def sentiments_table(docs, keys, text_col="text", **options) -> DataFrame:
 
 
 def document_sentiments(docs, keys, text_col="text", **options) -> DataFrame:
-    """The class of each document's longest sentence, the first one if several are as long."""
-    frame = marked(docs, keys, text_col)
-    scored = layered(frame, ["sentiment"], keys, **options).withColumn("t", text.sentence_texts(F.col("marked")))
-    scored = scored.select(*keys, F.arrays_zip("sentiment", "t").alias("z"))
-    best = F.aggregate(
-        "z", F.struct(F.lit(0).alias("longest"), F.lit(None).cast("int").alias("sentiment")),
-        lambda acc, z: F.when(F.length(z.t) > acc.longest, F.struct(
-            F.length(z.t).alias("longest"), z.sentiment.alias("sentiment"))).otherwise(acc),
-        lambda acc: acc.sentiment)
-    # Documents without a sentence are dropped after the generator; a filter on `best` itself would be
-    # pushed below the projections and compute it a second time (see `each`).
-    rows = scored.select(*keys, F.explode_outer(F.array(best.cast("bigint"))).alias("sentiment"))
-    return rows.where(F.col("sentiment").isNotNull())
+    """The class of each document's longest sentence, the first one if several are as long. The sentence is chosen by its text
+    before any layer is worked out, and is the only one that is analysed."""
+    frame = marked(docs, keys, text_col).withColumn("texts", text.sentence_texts(F.col("marked")))
+    frame = frame.withColumn("lengths", F.expr("transform(texts, t -> length(t))"))
+    longest = F.get(F.split("cleaned", text.SENTENCE_MARK), F.array_position("lengths", F.array_max("lengths")).cast("int") - 1)
+    chosen = frame.select(*keys, F.when(F.col("cleaned") != "", longest).otherwise("").alias("cleaned"))
+    return each(layered(chosen, ["sentiment"], keys, **options), keys, "sentiment", "i", "x").select(*keys, F.col("x").cast("bigint").alias("sentiment"))
 
 
 def triples_table(docs, keys, text_col="text", **options) -> DataFrame:

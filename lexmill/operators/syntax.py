@@ -174,16 +174,18 @@ def polarities() -> list[Step]:
     turned = segments("s.turns", n, "k % 2", "size(s.turns) % 2", 1)
     verb0 = "CASE WHEN c = 'v' THEN i ELSE get(s.qv, i) END"
     scope = case([(f"get(s.qm, i) > {verb0}", "'flat'"), ("get(s.odd, i) = 1", "'down'")], "'up'")
+    turning = f"exists(s.lows, w -> w IN ({quoted([*L.DOWNWARD, *L.FLAT_QUANTIFIERS])}))"
     return [
-        Step("q", "lows pos", f"zip_with(s.lows, s.pos, (w, p) -> {letter})"),
+        # Empty for a sentence without such a word: all of it is `up`.
+        Step("q", "lows pos", f"CASE WHEN {turning} THEN zip_with(s.lows, s.pos, (w, p) -> {letter}) ELSE CAST(array() AS array<string>) END"),
         Step("turns", "q", places("s.q", "c = 'x'")),
         Step("limits", "q", places("s.q", "c = 'm'")),
         Step("qverbs", "q", places("s.q", "c = 'v'")),
         Step("odd", "turns q", turned),
         Step("qm", "limits q", preceding("s.limits", n)),
         Step("qv", "qverbs q", preceding("s.qverbs", n)),
-        Step("pol", "q turns limits odd qm qv", (
-            f"CASE WHEN size(s.turns) + size(s.limits) = 0 THEN array_repeat('up', {n}) "
+        Step("pol", "lows q turns limits odd qm qv", (
+            f"CASE WHEN size(s.turns) + size(s.limits) = 0 THEN array_repeat('up', size(s.lows)) "
             f"ELSE transform(s.q, (c, i) -> {scope}) END")),
     ]
 
@@ -195,7 +197,8 @@ def sentiments() -> list[Step]:
         (f"w IN ({quoted(L.NEGATIVE)})", "CASE WHEN p = 'down' THEN 1 ELSE -1 END"),
     ], "0")
     score = f"aggregate(zip_with(s.lows, s.pol, (w, p) -> {value}), 0, (acc, x) -> acc + x)"
-    return [Step("sentiment", "lows pol", f"greatest(-2, least(2, {score})) + 2")]
+    told = f"exists(s.lows, w -> w IN ({quoted([*L.POSITIVE, *L.NEGATIVE])}))"
+    return [Step("sentiment", "lows pol", f"CASE WHEN {told} THEN greatest(-2, least(2, {score})) + 2 ELSE 2 END")]
 
 
 def triples() -> list[Step]:

@@ -83,3 +83,11 @@ def test_relations_need_names(docs):
     for patterns, lengths in ((None, [0, 5]), ([("NUMBER", "in", "MISC", "R")], [6, 5])):
         row = documents.layered(frame, ["relations"], ["doc_id"], sparing=True, patterns=patterns).select("toks").first()
         assert [len(s) for s in row.toks] == lengths
+
+
+def test_only_the_longest_sentence_is_weighed(docs):
+    """It is chosen by its text, before any layer is worked out; the first of those that are as long."""
+    frame = docs("Good. A bad old day. One long sad one.", "Not one great dog. A bad big fat rat.", "Bad dog. Big dog.", "", None)
+    rows = documents.document_sentiments(frame, ["doc_id"])
+    assert sorted(map(tuple, rows.collect())) == [(0, 2), (1, 1), (2, 1)]
+    assert "array_position" in plan(rows) and "longest" not in plan(rows)
