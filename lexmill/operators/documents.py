@@ -45,15 +45,14 @@ NEEDS = {
     "cs": ("pos",),
     "bounds": ("cs",),
     "chunks": ("bounds",),
-    "parts": ("bounds",),
     "near": ("cs",),
     "edges": ("near",),
     "pol": ("pos",),
     "sentiment": ("pol",),
-    "triples": ("parts", "lems"),
+    "triples": ("bounds", "lems"),
     "pairs": ("ner", "lems"),
     "relations": ("ner", "lems"),
-    "mentions": ("parts", "lems", "ner"),
+    "mentions": ("bounds", "lems", "ner"),
 }
 
 
@@ -102,7 +101,7 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
         "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers, "pos" in taggers),
-        "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "parts": syntax.parts, "near": syntax.near, "edges": syntax.edges,
+        "cs": syntax.classes, "bounds": syntax.bounds, "chunks": syntax.chunks, "near": syntax.near, "edges": syntax.edges,
         "pol": syntax.polarities, "sentiment": syntax.sentiments, "triples": syntax.triples,
         "pairs": lambda: syntax.entity_pairs(lemmas, types), "relations": lambda: syntax.relations(patterns),
         "mentions": syntax.mentions,

@@ -25,6 +25,9 @@ CLASS_OF_TAG = case([
 ], "'.'")
 
 
+KIND_OF_CLASS = case([("{0} IN ('N', 'j', 'd', 'q')", "'NP'"), ("{0} IN ('V', 'm', 'r')", "'VP'"), ("{0} IN ('i', 't')", "'PP'")], "'O'")
+
+
 def _joined(xs: str, b: str, e: str) -> str:
     return f"array_join(slice({xs}, {b} + 1, {e} - {b}), ' ')"
 
@@ -55,32 +58,31 @@ def preceding(at: str, n: str) -> str:
 
 
 def classes() -> list[Step]:
-    """The class letters `cs` and the places of nouns and verbs."""
+    """The class letters `cs`, the kinds of phrase they belong to, and the places of nouns and verbs."""
     return [
         Step("cs", "pos", f"transform(s.pos, p -> {CLASS_OF_TAG})"),
+        Step("kinds", "cs", f"transform(s.cs, c -> {KIND_OF_CLASS.format('c')})"),
         Step("nouns", "cs", places("s.cs", "c = 'N'")),
         Step("verbs", "cs", places("s.cs", "c = 'V'")),
         Step("noun0", "nouns cs", preceding("s.nouns", "size(s.cs)")),
     ]
 
 
-KIND_OF_CLASS = case([("{0} IN ('q', 'd', 'j', 'N')", "'NP'"), ("{0} IN ('V', 'm', 'r')", "'VP'"), ("{0} IN ('i', 't')", "'PP'")], "'O'")
-
-
 def bounds() -> list[Step]:
-    """`bounds`: where phrases begin. Noun phrases restart at a determiner or pronoun, and a pronoun stands alone."""
-    new = (f"i = 0 OR c IN ('d', 'q') OR get(s.cs, i - 1) = 'q' "
-           f"OR {KIND_OF_CLASS.format('c')} != {KIND_OF_CLASS.format('get(s.cs, i - 1)')}")
-    return [Step("bounds", "cs", places("s.cs", new))]
+    """`bounds`: where phrases begin, and `ends`. Noun phrases restart at a determiner or pronoun, and a pronoun stands alone."""
+    new = "i = 0 OR get(s.kinds, i - 1) != get(s.kinds, i) OR c IN ('d', 'q') OR get(s.cs, i - 1) = 'q'"
+    return [
+        Step("bounds", "cs kinds", places("s.cs", new)),
+        Step("ends", "bounds cs", "concat(slice(s.bounds, 2, size(s.bounds)), array(size(s.cs)))"),
+    ]
 
 
-def _chunk(text: bool = True) -> str:
-    """The phrase that begins at `b`, the `j`th of a sentence; with its text, or by its places alone."""
+def _chunk() -> str:
+    """The phrase that begins at `b`, the `j`th of a sentence."""
     end = "coalesce(get(s.bounds, j + 1), size(s.cs))"
     kind, last = KIND_OF_CLASS.format("get(s.cs, b)"), f"({end} - 1)"
     noun = f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} ELSE get(s.noun0, {last}) END"
-    joined = f"'text', {_joined('s.toks', 'b', end)}, " if text else ""
-    return (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, {joined}"
+    return (f"named_struct('kind', {kind}, 'b', b, 'e', {end}, 'text', {_joined('s.toks', 'b', end)}, "
             f"'head', CASE WHEN {noun} >= b THEN {noun} ELSE {last} END)")
 
 
@@ -95,25 +97,25 @@ def chunks() -> list[Step]:
     return [Step("chunks", CHUNK_READS, f"transform(s.bounds, (b, j) -> {CHUNK})")]
 
 
-def parts() -> list[Step]:
-    """`parts`: the phrases without their texts, for layers that put few of them into words."""
-    return [Step("parts", "cs noun0 bounds", f"transform(s.bounds, (b, j) -> {_chunk(text=False)})")]
-
-
 # One sentence as `(S (NP the dog) (VP ran) .)`.
+BRACKETED_READS = "toks kinds bounds ends"
+_WORDS = _joined("s.toks", "b", "get(s.ends, j)")
 BRACKETED = (
-    "concat('(S ', array_join(transform(s.chunks, c -> "
-    "CASE WHEN c.kind = 'O' THEN c.text ELSE concat('(', c.kind, ' ', c.text, ')') END), ' '), ')')")
+    "concat('(S ', array_join(transform(s.bounds, (b, j) -> CASE WHEN get(s.kinds, b) = 'O' "
+    f"THEN {_WORDS} ELSE concat('(', get(s.kinds, b), ' ', {_WORDS}, ')') END), ' '), ')')")
 
 
-def edge() -> str:
-    """The edge of the token with the tag `p` at `i`."""
+def edge(written: bool = False) -> str:
+    """The edge of the token with the tag `p` at `i`; as a struct, or written as `rel(governor-i, dependent-j)` from the `labels` of
+    the tokens."""
     after = "get(s.cs, i + 1)"
     noun, verb, verb0 = "get(s.noun, i)", "get(s.verb, i)", "get(s.verb0, i)"
     # The last word before the noun phrase is a preposition.
     oblique = "get(s.cs, get(s.other0, i)) IN ('i', 't')"
 
     def to(gov: str, rel: str) -> str:
+        if written:
+            return f"concat({rel}, '(', {"'ROOT-0'" if gov == '-1' else f'get(s.labels, {gov})'}, ', ', get(s.labels, i), ')')"
         return f"named_struct('dep', i, 'gov', {gov}, 'rel', {rel})"
 
     # One branch per class of the token, so that only what its rules need is looked up.
@@ -142,6 +144,7 @@ def near() -> list[Step]:
     noun phrase; and the root."""
     n = "size(s.cs)"
     return [
+        Step("labels", "toks", "transform(s.toks, (t, i) -> concat(t, '-', i + 1))"),
         Step("root", "nouns verbs", "coalesce(get(s.verbs, 0), get(s.nouns, 0), 0)"),
         Step("others", "cs", places("s.cs", "c NOT IN ('d', 'j', 'N')")),
         Step("noun", "nouns cs", following("s.nouns", n)),
@@ -156,10 +159,9 @@ def edges() -> list[Step]:
     return [Step("edges", EDGE_READS, f"transform(s.pos, (p, i) -> {edge()})")]
 
 
-# `rel(governor-i, dependent-j)`, 1-based, `ROOT-0` for the root.
-EDGE_TEXT = (
-    "array_join(transform(s.edges, x -> concat(x.rel, '(', CASE WHEN x.gov < 0 THEN 'ROOT-0' "
-    "ELSE concat(get(s.toks, x.gov), '-', x.gov + 1) END, ', ', get(s.toks, x.dep), '-', x.dep + 1, ')')), ' ')")
+#: What the edges of a sentence are written from, and their text: places count from 1, and the root's governor is `ROOT-0`.
+EDGE_TEXT_READS = "labels root cs noun verb verb0 other0 pos"
+EDGE_TEXT = f"array_join(transform(s.pos, (p, i) -> {edge(written=True)}), ' ')"
 
 
 def polarities() -> list[Step]:
@@ -203,22 +205,25 @@ def sentiments() -> list[Step]:
 
 def triples() -> list[Step]:
     """`triples`: NP VP NP, or NP VP PP NP, as lemma glosses."""
-    def at(k: int) -> str:
-        return f"get(s.parts, j + {k})"
+    def begin(k: int) -> str:
+        return f"get(s.bounds, j + {k})" if k else "b"
+
+    def kind(k: int) -> str:
+        return f"get(s.kinds, {begin(k)})"
+
+    def words(first: int, last: int) -> str:
+        return _joined("s.lems", begin(first), f"get(s.ends, j + {last})")
 
-    def triple(confidence: float, relation_end: int) -> str:
-        third = at(relation_end + 1)
-        subject = _joined("s.lems", "c.b", "c.e")
-        relation = _joined("s.lems", at(1) + ".b", at(relation_end) + ".e")
-        return (f"named_struct('confidence', {confidence}D, 'subject', {subject}, "
-                f"'relation', {relation}, 'object', {_joined('s.lems', third + '.b', third + '.e')})")
+    def triple(confidence: float, n: int) -> str:
+        return (f"named_struct('confidence', {confidence}D, 'subject', {words(0, 0)}, "
+                f"'relation', {words(1, n)}, 'object', {words(n + 1, n + 1)})")
 
-    start = f"c.kind = 'NP' AND {at(1)}.kind = 'VP'"
     found = case([
-        (f"{start} AND {at(2)}.kind = 'NP'", triple(L.CONFIDENCE_DIRECT, 1)),
-        (f"{start} AND {at(2)}.kind = 'PP' AND {at(3)}.kind = 'NP'", triple(L.CONFIDENCE_PREPOSITION, 2)),
+        (f"{kind(2)} = 'NP'", triple(L.CONFIDENCE_DIRECT, 1)),
+        (f"{kind(2)} = 'PP' AND {kind(3)} = 'NP'", triple(L.CONFIDENCE_PREPOSITION, 2)),
     ])
-    return [Step("triples", "parts lems", f"filter(transform(s.parts, (c, j) -> {found}), t -> t IS NOT NULL)")]
+    found = f"CASE WHEN {kind(1)} = 'VP' AND {kind(0)} = 'NP' THEN {found} END"
+    return [Step("triples", "bounds ends kinds lems", f"filter(transform(s.bounds, (b, j) -> {found}), t -> t IS NOT NULL)")]
 
 
 TRIPLE_TEXT = "concat('(', concat_ws(',', CAST(t.confidence AS STRING), t.subject, t.relation, t.object), ')')"
@@ -293,14 +298,16 @@ MAY_MENTION = rf"\x1f\p{{Lu}}|(?i:(?<![^\x1f])(?:{'|'.join(L.PRONOUNS)})(?=\x1f|
 
 def mentions() -> list[Step]:
     """`mentions`: noun phrases with a name as head, and personal pronouns, in text order."""
-    named = (
-        "CASE WHEN c.kind = 'NP' AND get(s.cs, c.b) != 'q' AND (startswith(get(s.pos, c.head), 'NNP') "
-        f"OR get(s.ner, c.head) IN ({quoted(L.ENTITY_TYPES)})) THEN named_struct('b', c.b, 'e', c.e, 'text', {_joined('s.toks', 'c.b', 'c.e')}, "
-        "'head_lemma', lower(get(s.lems, c.head)), 'pronoun', false, 'type', get(s.ner, c.head), "
-        "'plural', get(s.pos, c.head) IN ('NNS', 'NNPS')) END")
+    last = "(get(s.ends, j) - 1)"
+    head = (f"CASE WHEN get(s.cs, {last}) = 'N' THEN {last} WHEN get(s.noun0, {last}) >= b THEN get(s.noun0, {last}) ELSE {last} END")
+    name = (
+        f"CASE WHEN startswith(get(s.pos, h), 'NNP') OR get(s.ner, h) IN ({quoted(L.ENTITY_TYPES)}) THEN named_struct('b', b, "
+        f"'e', get(s.ends, j), 'text', {_joined('s.toks', 'b', 'get(s.ends, j)')}, 'head_lemma', lower(get(s.lems, h)), "
+        "'pronoun', false, 'type', get(s.ner, h), 'plural', get(s.pos, h) IN ('NNS', 'NNPS')) END")
+    named = f"CASE WHEN get(s.kinds, b) = 'NP' AND get(s.cs, b) != 'q' THEN get(transform(array({head}), h -> {name}), 0) END"
     pronoun = (
         f"CASE WHEN w IN ({quoted(L.PRONOUNS)}) AND get(s.pos, i) IN ('PRP', 'PRP$') THEN named_struct('b', i, "
         "'e', i + 1, 'text', get(s.toks, i), 'head_lemma', w, 'pronoun', true, 'type', 'O', 'plural', false) END")
-    return [Step("mentions", "parts cs pos ner toks lows lems", (
-        f"sort_array(filter(concat(transform(s.parts, c -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
+    return [Step("mentions", "bounds ends kinds noun0 cs pos ner toks lows lems", (
+        f"sort_array(filter(concat(transform(s.bounds, (b, j) -> {named}), transform(s.lows, (w, i) -> {pronoun})), "
         "m -> m IS NOT NULL))"))]

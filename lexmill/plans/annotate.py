@@ -72,8 +72,8 @@ RESULTS = {
     "lemma": _over_document("lems"),
     "ner": _over_document("ner"),
     "regexner": _over_document("ner"),
-    "parse": _lines("chunks", syntax.BRACKETED),
-    "depparse": _lines("toks edges", syntax.EDGE_TEXT),
+    "parse": _lines(syntax.BRACKETED_READS, syntax.BRACKETED),
+    "depparse": _lines(syntax.EDGE_TEXT_READS, syntax.EDGE_TEXT),
     "sentiment": _lines("sentiment", "CAST(s.sentiment AS STRING)"),
     "natlog": _lines("pol", "concat(array_join(s.pol, ' '), ' ')"),
     "openie": _items("triples", syntax.TRIPLE_TEXT),
@@ -88,7 +88,7 @@ LINE_RESULTS = {
     "ner": "concat('[', array_join(get(ner, 0), ', '), ']')",
     "natlog": "concat('[', array_join(get(pol, 0), ', '), ']')",
     "openie": f"concat('[', array_join(transform(get(triples, 0), t -> {syntax.TRIPLE_TEXT}), ', '), ']')",
-    "parse": f"get({_per_sentence('chunks', syntax.BRACKETED)}, 0)",
+    "parse": f"get({_per_sentence(syntax.BRACKETED_READS, syntax.BRACKETED)}, 0)",
     "depparse": "CAST(get(get(edges, 0), 0).gov AS STRING)",
 }
 

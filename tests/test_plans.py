@@ -91,3 +91,11 @@ def test_only_the_longest_sentence_is_weighed(docs):
     rows = documents.document_sentiments(frame, ["doc_id"])
     assert sorted(map(tuple, rows.collect())) == [(0, 2), (1, 1), (2, 1)]
     assert "array_position" in plan(rows) and "longest" not in plan(rows)
+
+
+def test_triples_and_mentions_make_no_phrases_of_the_rest(docs):
+    """Their texts are put together where they are found, not for every phrase of a sentence."""
+    frame = docs("The dog saw a cat.")
+    for layer in ("triples", "mentions"):
+        assert "AS chunks" not in plan(documents.analysed(frame, ["doc_id"], [layer]))
+    assert documents.analysed(frame, ["doc_id"], ["chunks"]).first().chunks[0][0].text == "The dog"
