@@ -85,8 +85,8 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
     of `gazetteer` (None: the built-in one); either is a list of phrases and types, or a table as `phrases.prepared` has it.
     `taggers` maps `pos`, `ner` or `lemma` to what was learned for it, which then stands in for the built-in rules.
     `patterns` are those of the relations, a list; the layer `pairs` alone needs but their `lemmas` and `types`. `sparing` is
-    for a caller that reads a single one of the layers mentions, pairs and relations: sentences that have no item of it are
-    empty in all layers, and only the others are analysed."""
+    for a caller that reads a single one of the layers mentions, pairs and relations: sentences that can have no item of it
+    are left out of all layers, and the column `at` tells the places of the others."""
     needed, taggers = closure(layers), taggers or {}
     listed = {"named": L.GAZETTEER if gazetteer is None else gazetteer, "ner": rules}
     if "ner" in needed:
@@ -111,7 +111,14 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
         if types is None and "relations" in layers:
             types = {t for p in (L.RELATION_PATTERNS if patterns is None else patterns) for t in (p[0], p[2])}
         condition = worth(*layers, listed, types)
-    frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned", *condition or ())))
+    if condition:
+        frame = frame.withColumn("wanted", F.expr(text.wanted_sentences("cleaned", *condition)))
+        frame = frame.withColumns({"toks": F.expr(f"transform(wanted, x -> split(x.s, '{text.TOKEN_MARK}'))"), "at": F.col("wanted.i"),
+                                   **{name: F.col(f"wanted.{name}") for name in condition[1]}})
+    else:
+        frame = frame.withColumn("toks", F.expr(text.sentence_tokens("cleaned")))
+        if sparing:
+            frame = frame.withColumn("at", F.expr("transform(toks, (s, i) -> i)"))
     for layer in needed[1:]:
         if layer == "lems" and "lemma" in taggers:
             frame = tagger.with_lemmas(frame, taggers["lemma"])
@@ -123,17 +130,18 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
 
 def analysed(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
     """Keys, `toks` and the asked layers, one array over sentences each; or, instead of the layers, the `columns` that these
-    are made of."""
+    are made of. With `sparing` also `at`, see `layered`."""
     columns = options.pop("columns", None) or ["toks", *layers]
     mark_options = {k: options.pop(k) for k in ("cleanxml", "line_as_sentence") if k in options}
     frame = layered(marked(docs, keys, text_col, **mark_options), layers, keys, **options)
-    return frame.select(*keys, *dict.fromkeys(columns))
+    return frame.select(*keys, *dict.fromkeys([*columns, *(["at"] if options.get("sparing") else [])]))
 
 
 def sentence_rows(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:
     """Keys, `sent_idx` and the struct `s` of `toks` and the asked layers, one row per sentence."""
     frame = analysed(docs, keys, layers, text_col, **options)
-    return each(frame, keys, F.arrays_zip(*[c for c in frame.columns if c not in keys]), "sent_idx", "s")
+    rows = each(frame, keys, F.arrays_zip(*[c for c in frame.columns if c not in keys]), "sent_idx", "s")
+    return rows.withColumn("sent_idx", F.col("s.at").cast("bigint")) if options.get("sparing") else rows
 
 
 def token_rows(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text", **options) -> DataFrame:

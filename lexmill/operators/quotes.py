@@ -121,7 +121,7 @@ def resolved(docs: DataFrame, keys: list[str], text_col: str = "text", cleanxml:
     frame = with_quotes(docs.select(*keys, source.alias("q_source")), "q_source")
     frame = frame.withColumn("q_analysed", F.when(F.exists("quotes", lambda q: q.at.isNotNull()), F.col("q_source")))
     frame = documents.layered(documents.marked(frame, [*keys, "quotes"], "q_analysed"), ["mentions"], keys, sparing=True, **options)
-    frame = frame.select(*keys, held("quotes").alias("quotes"), "marked", held(coreference.in_order("mentions")).alias("ms"))
+    frame = frame.select(*keys, held("quotes").alias("quotes"), "marked", held(coreference.in_order("mentions", "at")).alias("ms"))
 
     def speakers(quotes: pa.Array, marked: pa.Array, ms: pa.Array) -> pa.Array:
         rows = zip(quotes.to_pylist(), marked.to_pylist(), ms.to_pylist(), strict=True)
