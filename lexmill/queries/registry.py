@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -84,11 +84,10 @@ def ner_gazetteer(spark, sf_dir):
 
 def regexner_rules(spark, sf_dir):
     """Rules with ties, nulls, odd blanks and a frequent word: as a list, as a table that is walked and as one that is joined."""
-    docs = corpus(spark, sf_dir)
     table_ = spark.createDataFrame(fixtures.ODD_RULES, "pattern string, type string")
-    forms = [dictionary.regexner_table(docs, KEY, rules, trie_bytes=size).withColumn("form", F.lit(form)) for form, rules, size in (
-        ("list", fixtures.ODD_RULES, 0), ("trie", table_, 1 << 20), ("join", table_, 0))]
-    return reduce(DataFrame.union, forms)
+    forms = {"list": fixtures.ODD_RULES, "trie": table_, "join": table_}
+    return dictionary.regexner_forms(corpus(spark, sf_dir), KEY, {
+        form: dictionary.as_rules(rules, 0 if form == "join" else 1 << 20) for form, rules in forms.items()})
 
 
 def silver(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:

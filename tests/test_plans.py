@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import documents, phrases, tagger
+from lexmill.operators import dictionary, documents, phrases, tagger
 
 
 def plan(frame):
@@ -100,3 +100,16 @@ def test_triples_and_mentions_make_no_phrases_of_the_rest(docs):
     for layer in ("triples", "mentions"):
         assert "AS chunks" not in plan(documents.analysed(frame, ["doc_id"], [layer]))
     assert documents.analysed(frame, ["doc_id"], ["chunks"]).first().chunks[0][0].text.startswith("The dog")
+
+
+def test_forms_of_a_dictionary_share_the_analysis(spark, docs):
+    """Each row is read at most twice, once of them for the join, and every form gives the rows that it gives alone."""
+    rules = [("red fox", "ANIMAL"), ("fox", "X"), ("of Arts", "TAIL")]
+    table = spark.createDataFrame(rules, "pattern string, type string")
+    frame = docs("A red fox of Arts. The fox.", "", None, "Ann of Arts")
+    forms = {"list": dictionary.as_rules(rules), "trie": dictionary.as_rules(table), "join": dictionary.as_rules(table, 0)}
+    rows = dictionary.regexner_forms(frame, ["doc_id"], forms)
+    assert 1 <= plan(rows).count("Scan ExistingRDD[doc_id") <= 2
+    for form, given in forms.items():
+        alone = dictionary.regexner_table(frame, ["doc_id"], given, trie_bytes=0 if form == "join" else None)
+        assert sorted(rows.where(F.col("form") == form).drop("form").collect()) == sorted(alone.collect())
