@@ -102,8 +102,10 @@ def contexts_of(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.n
     least = np.minimum(least[:len(least) - (span - width)], least[span - width:]) if span > width else least
     # a context ends where the anchor changes, and where a text has no more strings
     ends = np.maximum(bounds[:-1], bounds[1:] - length + 1)
-    edges = np.unique(np.concatenate((np.flatnonzero(least[1:] != least[:-1]) + 1, bounds[:-1], ends, [len(least)])))
-    edges = edges[edges <= len(least)]
+    edge = np.ones(len(least) + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1:-1])
+    edge[bounds[bounds < len(edge)]] = edge[ends[ends < len(edge)]] = True
+    edges = np.flatnonzero(edge)
     first, stop = edges[:-1], edges[1:]
     doc = np.searchsorted(bounds, first, side="right") - 1
     inside = first < ends[doc]
@@ -152,8 +154,9 @@ def list_contexts(buckets: int, length: int):
     def run(block: tuple, table: pa.Table) -> pa.Table:
         _, _, ranks, found = block_contexts(table, length)
         rank = ranks[found.doc]
-        order = np.lexsort((rank, key(found.anchor, found.hash)))
-        keys = key(found.anchor, found.hash)[order]
+        keys = key(found.anchor, found.hash)
+        order = np.lexsort((rank, keys))
+        keys = keys[order]
         first = order[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(order) else order
         first = first[np.argsort(rank[first], kind="stable")]
         rows = []
@@ -255,22 +258,26 @@ def sort_shard(length: int):
         data = np.frombuffer(b"".join(map(unpack.decompress, table.column("bytes").to_pylist())), np.uint8)
         sizes = lengths + 1  # with a sign that parts the strings and that none of them has
         bounds = np.concatenate(([0], np.cumsum(sizes)))
-        text = np.ones(bounds[-1] + 1, np.int64)
-        text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), lengths)] = data.astype(np.int64) + 2
+        text = np.ones(bounds[-1] + 1, np.uint16)
+        inside = np.ones(len(text), bool)
+        inside[bounds[1:] - 1] = inside[-1] = False
+        text[inside] = data.astype(np.uint16) + np.uint16(2)
         text[-1] = 0
-        order = suffix_array(text)
+        # of the places in order those where LENGTH bytes of one string begin; equal ones are neighbours
+        pieces = sizes - length
+        full = np.zeros(len(text), bool)
+        full[np.arange(pieces.sum()) + np.repeat(bounds[:-1] - np.cumsum(pieces) + pieces, pieces)] = True
+        order = suffix_array(text, length)
+        order = order[full[order]]
         shared = common_prefixes(text, order, length)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(text) - 1) - bounds[owner]
-        full = place + length < sizes[owner]
-        order = order[order < len(text) - 1]
         run_of = np.cumsum(shared[order] < length) - 1
-        least = np.full(run_of[-1] + 1, LAST, np.int64)
-        mine = ranks[owner[order]]
-        np.minimum.at(least, run_of[full[order]], mine[full[order]])
-        hit = order[full[order] & (mine > least[run_of])]
+        owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+        mine = ranks[owner]
+        least = np.minimum.reduceat(mine, np.flatnonzero(shared[order] < length))
+        some = np.flatnonzero(mine > least[run_of])
+        hit, owner = order[some], owner[some]
         bits = np.zeros(len(sizes), np.uint64)
-        np.bitwise_or.at(bits, owner[hit], np.uint64(1) << (place[hit] + places[owner[hit]]).astype(np.uint64))
+        np.bitwise_or.at(bits, owner, np.uint64(1) << (hit - bounds[owner] + places[owner]).astype(np.uint64))
         some = np.flatnonzero(bits)
         return pa.Table.from_arrays([pa.array(blocks[some]), pa.array(contexts[some]), pa.array(bits[some].view(np.int64))], schema=schema)
     return run

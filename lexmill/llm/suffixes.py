@@ -21,7 +21,7 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
 
 def place(target: np.ndarray, ends: np.ndarray, symbols: np.ndarray, entries: np.ndarray, step: int) -> None:
     """Puts entries, in their order, at the open ends of the buckets of their symbols, which move on by step."""
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols, kind="stable")  # of 16-bit symbols by their digits, in linear time
     symbols, entries = symbols[order], entries[order]
     new = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1])))
     counts = np.diff(np.append(new, len(symbols)))
@@ -65,39 +65,38 @@ def induce_wide(text: np.ndarray, is_s: np.ndarray, heads: np.ndarray, tails: np
     return out
 
 
-def by_doubling(numbers: np.ndarray) -> np.ndarray:
+def by_doubling(numbers: np.ndarray, order: np.ndarray | None = None, most: int | None = None) -> np.ndarray:
     """The order of suffixes of a sequence, by doubling the length that is compared; only what is not settled yet is
-    compared again. For many numbers, where a scan bucket by bucket or entry by entry is slow."""
+    compared again. For many numbers, where a scan bucket by bucket or entry by entry is slow. order: the places by their
+    numbers, if known. Suffixes that agree in most numbers may stay in any order."""
     n = len(numbers)
-    rank = np.unique(numbers, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    rank = np.searchsorted(rank[order], rank)  # the first place of a group of equals
+    order = np.argsort(numbers, kind="stable") if order is None else order.copy()
+    new = np.concatenate(([True], numbers[order][1:] != numbers[order][:-1]))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # the first place of a group of equals
+    places = np.flatnonzero(~(new & np.append(new[1:], True)))
     step = 1
-    while True:
-        sorted_ranks = rank[order]
-        alone = np.concatenate(([True], sorted_ranks[1:] != sorted_ranks[:-1]))
-        alone &= np.concatenate((alone[1:], [True]))
-        open_ = order[~alone]
-        if not len(open_):
-            return order
-        behind = np.full(len(open_), -1, np.int64)
+    while len(places) and (most is None or step < most):
+        open_ = order[places]
+        behind = np.zeros(len(open_), np.int64)
         inside = open_ + step < n
-        behind[inside] = rank[open_[inside] + step]
-        key = rank[open_] * (n + 1) + behind + 1
-        by_key = np.argsort(key, kind="stable")
+        behind[inside] = rank[open_[inside] + step] + 1
+        key = rank[open_] * (n + 1) + behind
+        by_key = np.argsort(key)
         open_, key = open_[by_key], key[by_key]
-        places = np.flatnonzero(~alone)
         order[places] = open_
         new = np.concatenate(([True], key[1:] != key[:-1]))
         rank[open_] = places[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        places = places[~(new & np.append(new[1:], True))]
         step *= 2
+    return order
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
+def suffix_array(text: np.ndarray, most: int | None = None) -> np.ndarray:
     """text: symbols from 0 without a large gap; the last one is smaller than all others. Suffixes are classed, the
     leftmost-S substrings sorted by induction and numbered, the numbers sorted in turn (by this function itself while
     they are few, else by doubling) unless all differ, and the order of all suffixes induced from that of the leftmost-S
-    ones."""
+    ones. Suffixes that agree in most symbols may stay in any order."""
     n = len(text)
     if n < 3:
         return np.argsort(text, kind="stable")
@@ -106,7 +105,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     tails = np.cumsum(np.bincount(text))
     heads = np.concatenate(([0], tails[:-1]))
     if len(tails) > WIDE:
-        return by_doubling(text)
+        return by_doubling(text, most=most)
+    if len(tails) <= 1 << 16:
+        text = text.astype(np.uint16)
 
     def induce(starts):
         return induce_wide(text, is_s, heads, tails, starts)
@@ -117,35 +118,39 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     # a substring ends with the next leftmost-S suffix; neighbours in order are compared symbol by symbol, together
     lengths = np.zeros(n, np.int64)
     lengths[lms] = np.append(np.diff(lms) + 1, 1)
-    a, b = order[:-1], order[1:]
-    differ = lengths[a] != lengths[b]
+    a, b, size = order[:-1], order[1:], lengths[order]
+    differ = size[:-1] != size[1:]
     open_ = np.flatnonzero(~differ)
-    k = 0
+    x, y, size = a[open_], b[open_], size[open_]
     while len(open_):
-        x, y = a[open_], b[open_]
-        unlike = text[x + k] != text[y + k]
+        unlike = text[x] != text[y]
         differ[open_[unlike]] = True
-        k += 1
-        open_ = open_[~unlike & (lengths[x] > k)]
+        size = size - 1
+        on = np.flatnonzero(~unlike & (size > 0))
+        open_, x, y, size = open_[on], x[on] + 1, y[on] + 1, size[on]
     names = np.concatenate(([0], np.cumsum(differ)))
-    number = np.zeros(n, np.int64)
-    number[order] = names
     if names[-1] + 1 < len(lms):
-        order = lms[suffix_array(number[lms])]
+        place_of = np.empty(n, np.int64)
+        place_of[lms] = np.arange(len(lms))
+        by_name = place_of[order]
+        number = np.empty(len(lms), np.int64)
+        number[by_name] = names
+        fewer = None if most is None else most // 2 + 1  # each stands for two symbols at least
+        order = lms[by_doubling(number, by_name, fewer) if names[-1] >= WIDE else suffix_array(number, fewer)]
     return induce(order)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """In text order (permuted): how much each suffix has in common with the one before it in order, up to most. Four
-    symbols are compared at a time; symbols are below 65536, and what lies beyond the text is like no symbol."""
+    """In text order (permuted): how much each suffix has in common with the one before it in order, up to most; 0 for those
+    that order leaves out. Four symbols are compared at a time; symbols are below 65536, and what lies beyond the text is
+    like no symbol."""
     n = len(text)
     padded = np.concatenate((text.astype(np.uint64) + np.uint64(1), np.zeros(most + 8, np.uint64)))
     words = padded.copy()
     for k in (1, 2, 3):
         words[:-k] |= padded[k:] << np.uint64(16 * k)
-    before = np.empty(n, np.int64)
+    before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    before[order[0]] = -1
     out = np.zeros(n, np.int64)
     open_ = np.flatnonzero(before >= 0)
     k = 0

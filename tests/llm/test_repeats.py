@@ -69,3 +69,38 @@ def test_suffix_arrays(rng, wide, monkeypatch):
         for a, b in zip(order[:-1].tolist(), order[1:].tolist(), strict=True):
             n = next((k for k in range(5) if text[a + k:a + k + 1] != text[b + k:b + k + 1] or not text[b + k:b + k + 1]), 5)
             assert shared[b] == n
+
+
+@pytest.mark.parametrize("wide", [0, 600])
+def test_suffixes_are_sorted_no_further_than_asked(rng, wide, monkeypatch):
+    monkeypatch.setattr(suffixes, "WIDE", wide)
+    for _ in range(150):
+        text = rng.choices(range(1, rng.choice([2, 3, 11])), k=rng.randrange(60)) * 2 + [0]
+        most = rng.randrange(1, 12)
+        order = suffixes.suffix_array(np.array(text), most).tolist()
+        assert sorted(order) == list(range(len(text)))
+        heads = [text[i:i + most] for i in order]
+        assert heads == sorted(heads)
+
+
+def test_work_does_not_grow_with_what_strings_have_in_common(rng, monkeypatch):
+    """Copies that agree in thousands of bytes need no more rounds of comparison than such that agree in 64."""
+    monkeypatch.setattr(suffixes, "WIDE", 7)
+    rounds = []
+
+    def counted(numbers, *args, inner=suffixes.by_doubling, sort=np.argsort):
+        sorts = []
+        with monkeypatch.context() as m:
+            m.setattr(suffixes.np, "argsort", lambda *a, **b: sorts.append(1) or sort(*a, **b))
+            out = inner(numbers, *args)
+        rounds.append(len(sorts))
+        return out
+    monkeypatch.setattr(suffixes, "by_doubling", counted)
+    passage = rng.choices(range(1, 5), k=4000)
+    suffixes.suffix_array(np.array([*passage, 5, *passage, 6, *passage, 0]), 50)
+    assert rounds and max(rounds) <= 6
+
+
+def test_only_places_in_the_order_have_common_prefixes():
+    text = np.array([*b"abcabcabc", 0])
+    assert suffixes.common_prefixes(text, np.array([6, 3, 0]), 5).tolist() == [5, 0, 0, 3, 0, 0, 0, 0, 0, 0]
