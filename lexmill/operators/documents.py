@@ -27,8 +27,9 @@ def clean_xml(col: Column) -> Column:
 def marked(docs: DataFrame, keys: list[str], text_col: str = "text", cleanxml: bool = False,
            line_as_sentence: bool = False) -> DataFrame:
     """Keys, `marked` and `cleaned`: the text with token and sentence marks, with and without blanks."""
-    source = clean_xml(F.col(text_col)) if cleanxml else F.col(text_col)
-    column = text.mark(source)
+    if cleanxml:
+        docs, text_col = docs.select(*keys, clean_xml(F.col(text_col)).alias("plain_source")), "plain_source"
+    column = text.mark(F.col(text_col))
     if line_as_sentence:
         column = F.replace(column, F.lit(text.SENTENCE_MARK), F.lit(text.TOKEN_MARK))
     frame = docs.select(*keys, column.alias("marked"))

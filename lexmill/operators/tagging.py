@@ -31,8 +31,18 @@ def words() -> list[Step]:
 
 
 def small_first(token: str) -> str:
-    """Whether a token begins with a lower-case letter; one of ASCII is known by comparison, without a regex."""
-    return f"(({token} >= 'a' AND {token} < '{{') OR {token} RLIKE {quote(L.SMALL_FIRST)})"
+    """Whether a token begins with a lower-case letter; with ASCII it is known by comparison, without a regex."""
+    return f"({token} >= 'a' AND ({token} < '{{' OR ({token} > '~' AND {token} RLIKE {quote(L.SMALL_FIRST)})))"
+
+
+def ascii_digit(token: str) -> str:
+    """Whether a token begins with an ASCII digit, by comparison."""
+    return f"({token} >= '0' AND {token} < ':')"
+
+
+def ascii_sign(token: str) -> str:
+    """Whether a token is a single ASCII character but no letter, if it does not begin with a small one or a digit."""
+    return f"(({token} < 'A' OR {token} >= '[') AND {token} <= '~' AND length({token}) = 1)"
 
 
 def _first_tag() -> str:
@@ -40,21 +50,29 @@ def _first_tag() -> str:
     every = [word for ws in L.CLOSED_CLASS.values() for word in ws]
     closed = case([(f"w IN ({quoted(ws)})", quote(tag)) for tag, ws in L.CLOSED_CLASS.items()])
     punct = case([(f"w IN ({quoted(ps)})", quote(tag)) for tag, ps in L.PUNCTUATION.items()], "'SYM'")
-    by_suffix = case([
-        *[(f"endswith(w, {quote(end)}) AND length(w) >= {n}", quote(tag)) for end, n, tag in L.SUFFIXES],
-        ("endswith(w, 's') AND NOT endswith(w, 'ss') AND length(w) > 3", "'NNS'"),
-    ], "'NN'")
+    plural = ("NOT endswith(w, 'ss') AND length(w) > 3", "'NNS'")
+
+    def endings(of_s: bool) -> list[tuple[str, str]]:
+        return [(f"endswith(w, {quote(end)}) AND length(w) >= {n}", quote(tag)) for end, n, tag in L.SUFFIXES if end.endswith("s") == of_s]
     # One look at the last two letters rules out all endings for most tokens.
-    last_two = sorted({end[-2:] for end, _, _ in L.SUFFIXES})
-    by_suffix = f"CASE WHEN endswith(w, 's') OR substr(w, -2) IN ({quoted(last_two)}) THEN {by_suffix} ELSE 'NN' END"
-    return case([
-        (f"w IN ({quoted(every)})", closed),
-        # Most tokens: a lower-case letter first rules out the next three shapes.
-        (small_first("get(s.toks, i)"), by_suffix),
+    last_two = sorted({end[-2:] for end, _, _ in L.SUFFIXES if not end.endswith("s")})
+    by_suffix = case([("endswith(w, 's')", case([*endings(True), plural], "'NN'")),
+                      (f"substr(w, -2) IN ({quoted(last_two)})", case(endings(False), "'NN'"))], "'NN'")
+    # Most tokens begin with ASCII and need no regex. What is lower-cased to a small ASCII letter is that letter or a capital.
+    token = "get(s.toks, i)"
+    small = f"{token} >= 'a' AND {token} < '{{'"
+    other = case([
+        (f"{token} > '~' AND {token} RLIKE {quote(L.SMALL_FIRST)}", by_suffix),
         (f"NOT w RLIKE {quote(L.LETTER_OR_DIGIT)}", punct),
         (f"w RLIKE {quote(L.DIGIT_FIRST)}", "'CD'"),
-        (f"i > 0 AND get(s.toks, i) RLIKE {quote(L.CAPITAL_FIRST)}", "'NNP'"),
+        (f"i > 0 AND {token} RLIKE {quote(L.CAPITAL_FIRST)}", "'NNP'"),
     ], by_suffix)
+    return case([
+        (f"w IN ({quoted(every)})", closed),
+        ("w >= 'a' AND w < '{'", case([(f"i > 0 AND {token} != w AND NOT ({small})", "'NNP'")], by_suffix)),
+        (ascii_digit("w"), "'CD'"),
+        (ascii_sign("w"), punct),
+    ], other)
 
 
 #: Without one of these first tags a sentence has nothing to patch.
@@ -84,6 +102,7 @@ def _stem(low: str, cut: int) -> str:
 def lemmas() -> list[Step]:
     """`lems`."""
     irregular = {form: lemma for lemma, forms in L.IRREGULAR_LEMMAS.items() for form in forms}
+    irregular = dict(reversed(irregular.items()))  # the frequent ones first: a literal map is looked through from its start
     low, pos = "w", "get(s.pos, i)"
     plural = case([
         (f"endswith({low}, 'ies') AND length({low}) > 4", f"concat(left({low}, length({low}) - 3), 'y')"),
@@ -93,6 +112,7 @@ def lemmas() -> list[Step]:
         (f"{low} IN ({quoted(irregular)})", lookup(irregular, low)),
         (f"{pos} = 'NN'", low),
         (f"startswith({pos}, 'NNP')", "get(s.toks, i)"),
+        (f"{pos} NOT IN ('NNS', 'VBZ', 'VBD', 'VBG')", low),
         (f"{pos} IN ('NNS', 'VBZ') AND endswith({low}, 's')", plural),
         (f"{pos} = 'VBD' AND endswith({low}, 'ed')", _stem(low, 2)),
         (f"{pos} = 'VBG' AND endswith({low}, 'ing')", _stem(low, 3)),
@@ -149,7 +169,7 @@ def override(base: str, spans: str) -> str:
 
 NUMERIC = case([("startswith(t, '$')", "'MONEY'"), ("endswith(t, '%')", "'PERCENT'")], "'NUMBER'")
 ADDRESS = case([
-    ("startswith(t, 'http://') OR startswith(t, 'https://')", "'URL'"),
+    ("startswith(t, 'http') AND (startswith(t, 'http://') OR startswith(t, 'https://'))", "'URL'"),
     ("contains(t, '@') AND length(t) > 1", "'EMAIL'"),
 ], "'O'")
 
@@ -161,7 +181,12 @@ def shape() -> str:
     marks = [mark for ms in L.PUNCTUATION.values() for mark in ms]
     return case([
         (f"t IN ({quoted(marks)})", "'O'"),
-        (f"{small_first('t')} OR lower(t) IN ({quoted(closed)})", ADDRESS),
+        (small_first("t"), ADDRESS),
+        # As in _first_tag, what begins with ASCII needs no regex.
+        (ascii_digit("t"), NUMERIC),
+        (ascii_sign("t"), "'O'"),
+        (f"lower(t) IN ({quoted(closed)})", ADDRESS),
+        ("t >= 'A' AND t < '['", case([("i > 0", "'MISC'")], ADDRESS)),
         (f"lower(t) RLIKE {quote(L.DIGIT_FIRST)}", NUMERIC),
         (f"i > 0 AND t RLIKE {quote(L.CAPITAL_FIRST)} AND lower(t) RLIKE {quote(L.LETTER_OR_DIGIT)}", "'MISC'"),
     ], ADDRESS)
@@ -178,6 +203,8 @@ def shapes(learned_tags: bool = False) -> list[Step]:
 def phrases(name: str, base: str, rules: list[tuple[str, str]] | None) -> list[Step]:
     """`name`: the tags `base`, overridden where a rule's phrase matches: token-wise, case-sensitive, leftmost then
     longest. Without rules the spans are there already, from a table."""
+    if rules == []:
+        return [Step(name, base, f"s.{base}")]
     found = [] if rules is None else [Step(f"{name}_spans", "toks", non_overlapping(phrase_candidates("s.toks", rules)))]
     return [*found, Step(name, f"{base} {name}_spans", override(f"s.{base}", f"s.{name}_spans"))]
 

@@ -95,7 +95,7 @@ LINE_RESULTS = {
 
 def _rendered(name: str) -> Column:
     if name == "ssplit":
-        return F.array_join(F.transform(text.sentence_texts(F.col("marked")), lambda t: F.concat(t, F.lit("\n"))), "")
+        return text.sentence_lines(F.col("marked"))
     return F.expr(RESULTS[name])
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lexmill import annotate, annotate_with_model
 from lexmill.functions import lexicons as L
-from lexmill.operators import coreference, dictionary, documents, phrases
+from lexmill.operators import coreference, dictionary, documents, phrases, tagging
 from lexmill.plans.catalogue import CATALOGUE
 
 EXPECTED = [
@@ -259,3 +259,35 @@ def test_long_runs_stay_linear(docs):
     texts = ["1," * 100_000 + "1", "x." * 50_000, "ab1" * 100_000, "A-" * 50_000 + "b", "'" * 100_000, ". " * 50_000]
     counts = documents.analysed(docs(*texts), ["doc_id"]).select("doc_id", F.size(F.flatten("toks")).alias("n")).collect()
     assert {r.doc_id: r.n for r in counts} == {0: 1, 1: 1, 2: 200_000, 3: 1, 4: 100_000, 5: 50_000}
+
+
+def test_layers_of_ascii_need_no_regex_and_no_list_of_branches():
+    """Within a lambda, branches of a CASE are looked up in a linked list, and a regex costs more than the rest of a token."""
+    for step in (tagging.tags()[0], tagging.shapes()[0]):
+        assert "CASE WHEN" not in step.value
+    first = tagging.tags()[0].value
+    assert first.index("w < ':'") < first.index("RLIKE") and "(?:" not in first[:first.index("RLIKE")]
+    assert len(tagging.phrases("ner", "named", [])) == 1 and "slice" not in tagging.phrases("ner", "named", [])[0].value
+
+
+def test_tokens_at_the_edges_of_ascii(spark):
+    """Tags and entities by comparison are those of the regexes."""
+    words = ["iPhone", "Zoo", "Kelvin", "İstanbul", "École", "été", "~", "{", "_", "^", "\\", "@", "\x7f", "$5", "5x", "٣", "Ⅷ", "日本", "I", "A@b.c"]
+    docs = spark.createDataFrame([(1, "so " + " ".join(words))], "doc_id bigint, text string")
+    got = {r.functionality: r.result.split(" ") for r in annotate(docs, "pos,ner,cleanxml").collect()}
+    assert dict(zip(got["cleanxml"], zip(got["pos"], got["ner"], strict=True), strict=True)) == {
+        f"{w}-{i}": x for i, (w, x) in enumerate({
+            "so": ("NN", "O"), "iPhone": ("NN", "O"), "Zoo": ("NNP", "MISC"), "Kelvin": ("NNP", "MISC"), "İstanbul": ("NNP", "MISC"),
+            "École": ("NNP", "MISC"), "été": ("NN", "O"), "~": ("SYM", "O"), "{": ("-LRB-", "O"), "_": ("SYM", "O"), "^": ("SYM", "O"),
+            "\\": ("SYM", "O"), "@": ("SYM", "O"), "\x7f": ("SYM", "O"), "$5": ("CD", "MONEY"), "5": ("CD", "NUMBER"), "x": ("NN", "O"),
+            "٣": ("CD", "NUMBER"), "Ⅷ": ("CD", "NUMBER"), "日本": ("NN", "O"), "I": ("PRP", "O"), "A@b.c": ("NNP", "MISC")}.items(), 1)}
+
+
+def test_sentence_lines_are_the_sentence_texts(spark):
+    texts = ["", None, " \n ", "It ran.  Then\x1e it\x1f sat. ", ".", "a", "　One!  \n\nTwo? ... Three", "Don't! 'No.' It’s"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    lines = {r.doc_id: r.result for r in annotate(docs, "ssplit").collect()}
+    listed = {}
+    for r in sorted(documents.sentences_table(docs, ["doc_id"]).collect(), key=lambda r: (r.doc_id, r.sent_idx)):
+        listed[r.doc_id] = listed.get(r.doc_id, "") + r.text + "\n"
+    assert lines == {i: listed.get(i, "") for i in range(len(texts))}
