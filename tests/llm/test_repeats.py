@@ -3,9 +3,10 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from lexmill.llm import repeats, suffixes
+from lexmill.llm import common, repeats, suffixes
 
 LENGTH = 50
 
@@ -58,6 +59,27 @@ def test_empty_and_other_columns(spark):
     assert sorted(tuple(r)[:4] for r in got) == [(1, 60, 0, 0), (2, 60, 60, 1)]
 
 
+def test_contexts_that_share_only_their_anchor_are_not_asked_for(rng):
+    """An anchor that stands in many texts by chance costs no bytes; half a string beside it does."""
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnop", k=n))
+    anchor = min((letters(repeats.GRAM) for _ in range(20_000)), key=lambda g: int(common.rolling_hash(np.frombuffer(g.encode(), np.uint8), repeats.GRAM)[0]))
+
+    def asked(before, behind, n=40, hot=2000):
+        found = [letters(60) + before + anchor + behind + letters(60) for _ in range(n)]
+        block = pa.table({"rank": list(range(n)), "text": found})
+        listed = repeats.list_contexts(1, LENGTH)((pa.scalar(0),), block)
+        resolved = repeats.resolve(hot)(listed)
+        fetched = repeats.fetch(1, LENGTH)((pa.scalar(0),), block, resolved)
+        return len(repeats.gathered(resolved, "asked")), fetched
+    assert asked("", "")[0] == asked("abc", "d" * 13)[0] == 0
+    for before, behind in (("abcdefghijklmnopq", ""), ("", "abcdefghijklmnopq"), ("abcdefghi", "q" * 17)):
+        assert asked(before, behind)[0] >= 40
+        _, fetched = asked(before, behind, hot=10)  # single strings go as hashes, and only those with that half
+        digests = [x for x in fetched.column("digests").to_pylist() if x is not None]
+        assert 16 * 40 <= sum(map(len, digests)) <= 16 * 40 * 18
+
+
 @pytest.mark.parametrize("wide", [0, 600])
 def test_suffix_arrays(rng, wide, monkeypatch):
     monkeypatch.setattr(suffixes, "WIDE", wide)
