@@ -95,10 +95,8 @@ def layered(frame: DataFrame, layers, keys: list[str], rules=(), gazetteer=None,
             if isinstance(given, phrases.Trie | DataFrame):
                 frame = phrases.with_spans(frame, keys, given, f"{name}_spans")
                 listed[name] = None
-        if "ner" in taggers:
-            frame = tagger.with_tags(frame, keys, taggers["ner"], "shaped")
-    if "pos" in taggers and "pos" in needed:
-        frame = tagger.with_tags(frame, keys, taggers["pos"], "pos")
+    learned = {column: taggers[name] for name, column in (("ner", "shaped"), ("pos", "pos")) if name in taggers and name in needed}
+    frame = tagger.with_all_tags(frame, keys, learned)
     steps = {
         "lows": tagging.words, "pos": tagging.tags, "lems": tagging.lemmas,
         "ner": lambda: tagging.entities(listed["ner"], listed["named"], "ner" in taggers, "pos" in taggers),
@@ -134,7 +132,7 @@ def analysed(docs: DataFrame, keys: list[str], layers=(), text_col: str = "text"
     are made of. With `sparing` also `at`, see `layered`."""
     columns = options.pop("columns", None) or ["toks", *layers]
     mark_options = {k: options.pop(k) for k in ("cleanxml", "line_as_sentence") if k in options}
-    frame = layered(marked(docs, keys, text_col, **mark_options), layers, keys, **options)
+    frame = layered(marked(docs, keys, text_col, **mark_options).drop("marked"), layers, keys, **options)
     return frame.select(*keys, *dict.fromkeys([*columns, *(["at"] if options.get("sparing") else [])]))
 
 

@@ -7,24 +7,28 @@ frequencies, by weights from leave-one-out counts; a word that was never seen ge
 smoothing longer ones. The best path through each sentence is found by Viterbi's algorithm, for many sentences in step.
 
 The first word of a sentence is counted in lower case, since its capital says nothing. Equal scores go to the tag that is
-first in the alphabet. Counts up to MODEL_BYTES are broadcast; with a larger lexicon the counts of each document's own words
-are joined to its row instead.
+first in the alphabet. Counts up to MODEL_BYTES are broadcast. With a larger lexicon documents are dealt out to blocks, each
+block asks for the counts of its distinct words, once for all taggers, and is tagged with what it gets.
 
 Lemmas are learned as edits (cut so many characters, add these) by part of speech and ending, and for whole words.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections import defaultdict
+from collections.abc import Iterable
 from functools import reduce
-from operator import and_
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lexmill.functions import lexicons as L
 from lexmill.functions import text
@@ -37,6 +41,9 @@ RARE = 10
 EDIT_ENDING = 5
 #: Bytes of the counts that are sent to every worker; the model takes some ten times as much there.
 MODEL_BYTES = 16 << 20
+#: Bytes of text in a block of documents that asks for its own words, and of words in a bucket of a lexicon, about.
+BLOCK = 4 << 20
+BUCKET = 4 << 20
 #: Scores that a task compares at once: as many as stay in a processor's cache.
 CELLS = 1 << 18
 COUNTS = "kind string, context string, tag string, n bigint"
@@ -62,9 +69,10 @@ def train(rows: DataFrame, tag: str, toks: str = "toks") -> DataFrame:
     steps = F.arrays_zip(F.col("s.ws").alias("w"), F.concat("s.ts", edge).alias("tag"), F.concat(edge, "s.ts").alias("before"))
     tokens = each(sentences.select(steps.alias("z")), [], "z", "i", "x").select(
         F.when(F.col("i") == 0, F.lower("x.w")).otherwise(F.col("x.w")).alias("w"), "x.before", "x.tag")
-    both = tokens.groupBy("w", "before", "tag").agg(F.count("*").alias("n")).select("tag", "n", F.explode(F.array(
+    # Words and moves apart: there are far fewer of either than of both together, so that less is shuffled.
+    both = tokens.select("tag", F.explode(F.array(
         *[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("context")) for kind, c in (("word", "w"), ("move", "before"))])).alias("x"))
-    counts = both.select("x.*", "tag", "n").where("context IS NOT NULL").groupBy("kind", "context", "tag").agg(F.sum("n").alias("n"))
+    counts = both.select("x.*", "tag").where("context IS NOT NULL").groupBy("kind", "context", "tag").agg(F.count("*").alias("n"))
     # All tags of a context in a row: with joins instead, Spark would analyse the labels anew for each side.
     seen = counts.groupBy("kind", "context").agg(F.collect_list(F.struct("tag", "n")).alias("seen"), F.sum("n").alias("n_all"))
     low = F.lower("context")
@@ -148,6 +156,26 @@ class Model:
             out[t] = np.log(count) - self.log_tag[t]
         return out
 
+    def emissions(self, forms: list[tuple[str, bool]], words: dict[str, list[tuple[int, int]]]) -> np.ndarray:
+        """`scores` of many words. What is not known is told from a word's shape and ending, once for each of these."""
+        out = np.full((len(forms), len(self.tags)), -np.inf)
+        rows, tags, counts, by_ending = [], [], [], {}
+        for i, (word, first) in enumerate(forms):
+            low = word.lower() if first else word
+            seen = words.get(low) or (words.get(word) if first else None)
+            if seen:
+                for t, count in seen:
+                    rows.append(i)
+                    tags.append(t)
+                    counts.append(count)
+            else:
+                ending = shape_of(low), low.lower()[-ENDING:]
+                if ending not in by_ending:
+                    by_ending[ending] = self.unknown(low)
+                out[i] = by_ending[ending]
+        out[rows, tags] = np.log(np.array(counts, float)) - self.log_tag[np.array(tags, np.int64)]
+        return out
+
     def paths(self, sentences: list[list[str]]) -> list[list[str]]:
         """The best tags of each sentence."""
         ends = np.cumsum([0] + [len(words) for words in sentences])
@@ -169,7 +197,7 @@ class Model:
         used = np.zeros(2 * len(forms), bool)
         used[keys] = True
         rows = (np.cumsum(used) - 1)[keys]
-        emitted = np.array([self.scores(forms[k >> 1], bool(k & 1), words) for k in np.flatnonzero(used).tolist()])
+        emitted = self.emissions([(forms[k >> 1], bool(k & 1)) for k in np.flatnonzero(used).tolist()], words)
         width = max(1, CELLS // max(1, len(self.tags) ** 2))
         for at in range(0, len(order), width):
             self.best(emitted, rows, starts[at:at + width], lengths[at:at + width], out)
@@ -197,8 +225,8 @@ class Model:
 class Tagger:
     """A model that is ready to be sent, and its lexicon as a table where that is too large to be."""
 
-    def __init__(self, model: Model, lexicon: DataFrame | None):
-        self.model, self.lexicon = model, lexicon
+    def __init__(self, model: Model, lexicon: DataFrame | None, size: int = 0):
+        self.model, self.lexicon, self.size = model, lexicon, size
 
 
 def tagger(counts: DataFrame, model_bytes: int | None = None) -> Tagger:
@@ -212,7 +240,7 @@ def tagger(counts: DataFrame, model_bytes: int | None = None) -> Tagger:
         raise ValueError("there is no labelled sentence to learn from")
     model = Model([(r.context, r.tag, r.n) for r in small if r.kind == "move"], [(r.context, r.tag, r.n) for r in small if r.kind == "end"],
                   [tuple(r) for r in words.collect()] if fits else None)
-    return Tagger(model, None if fits else words)
+    return Tagger(model, None if fits else words, size)
 
 
 def _tokens(cleaned: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -236,34 +264,94 @@ def _nested(values: pa.Array, by_sentence: np.ndarray, by_document: np.ndarray)
 
 def with_tags(frame: DataFrame, keys: list[str], tagger: Tagger, name: str) -> DataFrame:
     """Adds the learned tags, a list for each sentence, to a frame with the column `cleaned`."""
-    sent = frame.sparkSession.sparkContext.broadcast(tagger.model)
+    return with_all_tags(frame, keys, {name: tagger})
 
-    def tagged(cleaned: pa.Array, words: dict) -> pa.Array:
-        tokens, by_sentence, by_document = _tokens(cleaned)
-        model = sent.value
-        return _nested(pa.array(model.tags, pa.string()).take(pa.array(model.tagged(tokens, by_sentence, words))), by_sentence, by_document)
+
+def with_all_tags(frame: DataFrame, keys: list[str], taggers: dict[str, Tagger]) -> DataFrame:
+    """`with_tags` for several taggers by name; those with a large lexicon go together."""
+    large = {name: tagger for name, tagger in taggers.items() if tagger.lexicon is not None}
+    if large:
+        frame = _tagged_by_blocks(frame, keys, large)
+    for name, tagger in taggers.items():
+        if name not in large:
+            frame = frame.withColumn(name, F.arrow_udf(_tag_by_sent(frame, tagger), "array<array<string>>")("cleaned"))
+    return frame
+
+
+def _tags(model: Model, tokens: pa.Array, by_sentence: np.ndarray, by_document: np.ndarray, words: dict) -> pa.Array:
+    return _nested(pa.array(model.tags, pa.string()).take(pa.array(model.tagged(tokens, by_sentence, words))), by_sentence, by_document)
+
+
+def _tag_by_sent(frame: DataFrame, tagger: Tagger):
+    sent = frame.sparkSession.sparkContext.broadcast(tagger.model)
 
     def tag(cleaned: pa.Array) -> pa.Array:
-        return tagged(cleaned, sent.value.words)
-
-    def tag_by_own(cleaned: pa.Array, words: pa.Array) -> pa.Array:
-        # A word has the same counts in every document, so those of a batch are one lexicon.
-        known = words.flatten()
-        coded = known.field("context").dictionary_encode().indices.to_numpy()
-        once = known.take(pa.array(np.unique(coded, return_index=True)[1])).to_pylist()
-        return tagged(cleaned, sent.value.gathered((x["context"], y["tag"], y["n"]) for x in once for y in x["seen"]))
-
-    kind = "array<array<string>>"
-    if tagger.lexicon is None:
-        return frame.withColumn(name, F.arrow_udf(tag, kind)("cleaned"))
-    seen = tagger.lexicon.groupBy("context").agg(F.collect_list(F.struct("tag", "n")).alias("seen"))  # as long as there are tags
-    toks = F.expr(text.sentence_tokens("cleaned"))
-    forms = F.array_distinct(F.concat(F.flatten(toks), F.transform(F.filter(toks, lambda s: F.size(s) > 0), lambda s: F.lower(F.get(s, F.lit(0))))))
-    used = frame.select(*keys, F.explode_outer(forms).alias("context")).join(seen, "context").groupBy(*keys).agg(
-        F.collect_list(F.struct("context", "seen")).alias(f"{name}__words"))
-    used = used.withColumnsRenamed({k: f"{k}__of" for k in keys})
-    both = frame.join(used, reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}__of")) for k in keys]), "left")
-    return both.withColumn(name, F.arrow_udf(tag_by_own, kind)("cleaned", f"{name}__words")).select(*frame.columns, name)
+        return _tags(sent.value, *_tokens(cleaned), sent.value.words)
+    return tag
+
+
+def _packed(words: Iterable[str]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress("".join([w + text.TOKEN_MARK for w in words]).encode())
+
+
+def _unpacked(data: bytes) -> list[str]:
+    return zstandard.ZstdDecompressor().decompress(data).decode().split(text.TOKEN_MARK)[:-1]
+
+
+def _tagged_by_blocks(frame: DataFrame, keys: list[str], taggers: dict[str, Tagger]) -> DataFrame:
+    """Documents are dealt out once, by their keys; the distinct words of a block go to the lexicons' buckets, and the
+    counts of those that are known come back, packed."""
+    total = frame.agg(F.sum(F.octet_length("cleaned")).alias("n")).first().n or 0
+    blocks = max(1, math.ceil(total / BLOCK))
+    buckets = max(1, math.ceil((total // 8 + sum(tagger.size for tagger in taggers.values())) / BUCKET))
+    names = list(taggers)
+    sent = frame.sparkSession.sparkContext.broadcast([tagger.model for tagger in taggers.values()])
+
+    def ask(key: tuple, docs: pa.Table) -> pa.Table:
+        tokens, by_sentence, _ = _tokens(docs.column("cleaned").combine_chunks())
+        first = tokens.take(pa.array(by_sentence[:-1][np.diff(by_sentence) > 0]))
+        dealt = defaultdict(list)
+        for word in sorted({*tokens.unique().to_pylist(), *(w.lower() for w in first.unique().to_pylist())}):
+            dealt[zlib.crc32(word.encode()) % buckets].append(word)
+        return pa.table({"block": pa.array([key[0].as_py()] * len(dealt), pa.int64()), "bucket": pa.array(dealt, pa.int64()),
+                         "words": pa.array(map(_packed, dealt.values()), pa.binary())})
+
+    def answer(asked: pa.Table, lexicon: pa.Table) -> pa.Table:
+        counts = [defaultdict(list) for _ in names]
+        for which, word, tag, n in zip(*(lexicon.column(c).to_pylist() for c in ("which", "context", "tag", "n")), strict=True):
+            counts[which][word].append(f"{sent.value[which].at[tag]} {n}")
+        # of a word: for each tagger, parted by ';', its tags and counts, parted by ','
+        seen = {word: ";".join([",".join(of.get(word, ())) for of in counts]) for word in set().union(*counts)}
+        known = [[w for w in _unpacked(words) if w in seen] for words in asked.column("words").to_pylist()]
+        return pa.table({"block": asked.column("block"), "words": pa.array(map(_packed, known), pa.binary()),
+                         "seen": pa.array([_packed([seen[w] for w in words]) for words in known], pa.binary())})
+
+    def tag(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        words, read = [{} for _ in names], {}
+        for some, seen in zip(answers.column("words").to_pylist(), answers.column("seen").to_pylist(), strict=True):
+            for word, counts in zip(_unpacked(some), _unpacked(seen), strict=True):
+                if counts not in read:
+                    read[counts] = [[tuple(map(int, x.split())) for x in part.split(",") if x] for part in counts.split(";")]
+                for own, pairs in zip(words, read[counts], strict=True):
+                    if pairs:
+                        own[word] = pairs
+        docs = docs.drop_columns([block]).combine_chunks()
+        place = _tokens(docs.column("cleaned").combine_chunks())
+        for name, model, own in zip(names, sent.value, words, strict=True):
+            docs = docs.append_column(name, _tags(model, *place, own))
+        return docs
+
+    block = "block"
+    while block in frame.columns:
+        block += "_"
+    kind = ArrayType(ArrayType(StringType()))
+    schema = StructType([*frame.schema.fields, *(StructField(name, kind) for name in names)])
+    by_block = frame.withColumn(block, F.pmod(F.xxhash64(*keys), F.lit(blocks))).groupBy(block)
+    asked = by_block.applyInArrow(ask, "block long, bucket long, words binary")
+    lexicon = reduce(DataFrame.unionByName, [tagger.lexicon.select(F.lit(i).alias("which"), "context", "tag", "n") for i, tagger in enumerate(taggers.values())])
+    lexicon = lexicon.withColumn("bucket", F.pmod(F.crc32("context"), F.lit(buckets)))
+    answered = asked.groupBy("bucket").cogroup(lexicon.groupBy("bucket")).applyInArrow(answer, "block long, words binary, seen binary")
+    return by_block.cogroup(answered.groupBy("block")).applyInArrow(tag, schema)
 
 
 def train_lemmas(rows: DataFrame) -> DataFrame:
@@ -301,17 +389,21 @@ class Lemmatizer:
 def lemmatizer(counts: DataFrame, model_bytes: int | None = None) -> Lemmatizer:
     """From the counts of `train_lemmas`. A context whose edit is that of the next shorter ending adds nothing and is left out,
     so that what is sent grows with the exceptions; more than model_bytes (MODEL_BYTES) of them is an error."""
-    best = counts.groupBy("context").agg(F.min_by("tag", F.struct(-F.col("n"), "tag")).alias("tag"))
+    # the same filter as the join adds, so that what is shuffled is shuffled once
+    best = counts.where("context IS NOT NULL").groupBy("context").agg(F.min_by("tag", F.struct(-F.col("n"), "tag")).alias("tag"))
     word = F.expr("substr(context, length(kind_) + 2)")
     shorter = F.when(F.col("whole"), F.expr(f"right(word, {EDIT_ENDING})")).when(F.length("word") > 0, F.expr("substr(word, 2)"))
     parts = best.withColumn("kind_", F.regexp_extract("context", "^[^ =]*", 0)).withColumn("whole", F.expr("substr(context, length(kind_) + 1, 1) = '='"))
     parts = parts.withColumn("word", word).withColumn("shorter", F.concat("kind_", F.lit(" "), shorter)).select("context", "tag", "shorter")
     of_shorter = best.select(F.col("context").alias("shorter"), F.col("tag").alias("of_shorter"))
-    kept = parts.join(of_shorter, "shorter", "left").where("NOT tag <=> of_shorter").select("context", "tag")
-    size = kept.agg(F.sum(F.octet_length("context") + F.octet_length("tag")).alias("bytes")).first().bytes or 0
-    if size > (MODEL_BYTES if model_bytes is None else model_bytes):
-        raise ValueError(f"{size} bytes of edits are too many to be sent")
-    return Lemmatizer(dict(map(tuple, kept.collect())))
+    kept = parts.join(of_shorter, "shorter", "left").where("NOT tag <=> of_shorter").select("context", "tag").persist()
+    try:
+        size = kept.agg(F.sum(F.octet_length("context") + F.octet_length("tag")).alias("bytes")).first().bytes or 0
+        if size > (MODEL_BYTES if model_bytes is None else model_bytes):
+            raise ValueError(f"{size} bytes of edits are too many to be sent")
+        return Lemmatizer(dict(map(tuple, kept.collect())))
+    finally:
+        kept.unpersist()
 
 
 def with_lemmas(frame: DataFrame, lemmatizer: Lemmatizer, name: str = "lems") -> DataFrame:

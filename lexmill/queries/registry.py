@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -103,10 +104,18 @@ def lemma_counts(spark, sf_dir):
     return tagger.train_lemmas(documents.analysed(corpus(spark, sf_dir), KEY, ["pos", "lems"]))
 
 
+def let_go(spark: SparkSession) -> None:
+    """Spark deletes what was shuffled for frames that are no longer used only when the driver collects its garbage, which
+    Python's references to them keep from it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """Written as Parquet and read back, as a model's counts are."""
     path = scratch(frame.sparkSession)
-    frame.write.parquet(path)
+    let_go(frame.sparkSession)
+    frame.write.parquet(path, compression="zstd")
     return frame.sparkSession.read.parquet(path)
 
 
@@ -115,6 +124,7 @@ def learned_layers(spark, sf_dir):
     labels = stored(documents.analysed(corpus(spark, sf_dir), KEY, ["pos", "lems", "ner"]).where("pmod(doc_id, 2) = 0"))
     taggers = {name: tagger.tagger(stored(tagger.train(labels, name))) for name in ("pos", "ner")}
     taggers["lemma"] = tagger.lemmatizer(stored(tagger.train_lemmas(labels)))
+    let_go(spark)
     return documents.token_rows(corpus(spark, sf_dir), KEY, ["pos", "lems", "ner"], taggers=taggers, gazetteer=[])
 
 

@@ -21,6 +21,31 @@ def test_labels_are_read_once(spark, docs):
         assert plan(counts).count("Scan") == 1
 
 
+def test_words_and_moves_are_shuffled_apart(docs):
+    """Not together first, of which there are far more."""
+    own = documents.analysed(docs("The dog runs. Ann sees a zog."), ["doc_id"], ["pos", "lems"])
+    text = plan(tagger.train(own, "pos"))
+    assert text.count("Exchange") == 3 and "before" not in "".join(line for line in text.split("\n") if "Exchange" in line)
+
+
+def test_a_large_lexicon_goes_to_blocks_of_documents(spark, docs):
+    """Not to every document on its own; for all taggers at once, and with the same tags."""
+    frame = docs("The dog runs. Ann sees a zog.", None, "", "Bob walked. The the", "\u0130s dogs " * 3000, *(f"Ann sees dog {i}." for i in range(300)))
+    frame = frame.union(frame.limit(1)).union(spark.createDataFrame([(None, "A dog runs. Bob"), (None, "A cat")], frame.schema))
+    own = documents.analysed(frame, ["doc_id"], ["pos", "ner"]).where("doc_id % 3 != 1").cache()
+    counts = {name: tagger.train(own, name).cache() for name in ("pos", "ner")}
+
+    def tagged(sizes):
+        return documents.analysed(frame, ["doc_id"], ["pos", "ner"], gazetteer=[], taggers={n: tagger.tagger(c, sizes[n]) for n, c in counts.items()})
+    by_sent = tagged({"pos": 1 << 20, "ner": 1 << 20})
+    want = sorted(by_sent.collect(), key=repr)
+    for sizes in ({"pos": 0, "ner": 0}, {"pos": 0, "ner": 1 << 20}):
+        by_block = tagged(sizes)
+        assert sorted(by_block.collect(), key=repr) == want
+        text = plan(by_block)
+        assert "Join" not in text and "FlatMapCoGroupsInArrow" in text
+
+
 @pytest.mark.parametrize("lengths", [[1], [3, 3, 2, 1], [1] * 50 + [40]])
 def test_tags_of_a_batch_are_those_of_its_sentences(spark, lengths):
     rows = spark.createDataFrame([([["a", "b", "a", "c"]], [["X", "Y", "X", "Z"]]), ([["b", "a"]], [["X", "Y"]])], "toks array<array<string>>, tag array<array<string>>")
